@@ -24,59 +24,52 @@ def history_json(history: Column) -> Column:
 def entries(history: Column) -> Column:
     """Usable observations in time order: valid instant, metric present."""
     pairs = F.transform(
-        F.map_entries(history), lambda e: F.struct(e["key"].alias("commit"), e["value"].alias("metric"))
+        F.map_entries(history),
+        lambda e: F.struct(e["key"].alias("commit"), e["value"].alias("metric")),
     )
-    return F.array_sort(
+    return F.sort_array(
         F.filter(pairs, lambda e: e["metric"].isNotNull() & instants.is_instant(e["commit"]))
     )
 
 
 def recent_or_all(observations: Column, start: Column) -> Column:
     """Observations from `start` on, or all of them when there is none."""
-    recent = F.filter(observations, lambda e: _minute(e["commit"]) >= start)
+    recent = F.filter(observations, lambda e: instants.minute(e["commit"]) >= start)
     return F.when(F.size(recent) > 0, recent).otherwise(observations)
 
 
-def _minute(instant: Column) -> Column:
-    return F.concat(F.substring(instant, 1, 12), F.lit("00000"))
-
-
-def key_points(history: Column, start: Column) -> Column:
+def key_points(observations: Column, window: Column) -> Column:
     """Latest, highest, lowest and first observation, newest first, without repeats.
 
-    High and low are taken from `start` on, or from everything when nothing is there;
-    the lowest is the earliest instant of the low, the highest the latest of the high.
+    High and low are those of `window`: the lowest is the earliest instant of the low,
+    the highest the latest instant of the high.
     """
-    observed = entries(history)
     ranked = F.transform(
-        recent_or_all(observed, start),
-        lambda e: F.struct(e["metric"].alias("metric"), e["commit"].alias("commit")),
+        window, lambda e: F.struct(e["metric"].alias("metric"), e["commit"].alias("commit"))
     )
 
     def point(e: Column) -> Column:
         return F.struct(e["commit"].alias("commit"), e["metric"].alias("metric"))
 
     picks = F.array(
-        point(F.element_at(observed, -1)),
+        point(F.try_element_at(observations, F.lit(-1))),
         point(F.array_max(ranked)),
         point(F.array_min(ranked)),
-        point(F.element_at(observed, 1)),
-    )
-    nothing = F.array().cast("array<struct<commit:string,metric:double>>")
-    return F.when(F.size(observed) > 0, F.sort_array(F.array_distinct(picks), asc=False)).otherwise(
-        nothing
+        point(F.try_element_at(observations, F.lit(1))),
     )
+    present = F.filter(F.array_distinct(picks), lambda e: e["commit"].isNotNull())
+    return F.sort_array(present, asc=False)
 
 
-def key_points_text(history: Column, start: Column, separator: str = "\n") -> Column:
-    """Key points as lines `date and time → value`, newest first."""
+def points_text(points: Column, separator: str = "\n") -> Column:
+    """One line `date and time → value` per point."""
 
     def line(e: Column) -> Column:
         return F.concat(
             instants.tooltip_date(e["commit"]), F.lit("  →  "), text.fixed_text(e["metric"], 1)
         )
 
-    return F.array_join(F.transform(key_points(history, start), line), separator)
+    return F.array_join(F.transform(points, line), separator)
 
 
 def history_text(json_text: Column) -> Column:
@@ -97,5 +90,5 @@ def history_text(json_text: Column) -> Column:
             ).alias("item"),
         ),
     )
-    joined = F.array_join(F.transform(F.array_sort(items), lambda i: i["item"]), "; ")
+    joined = F.array_join(F.transform(F.sort_array(items), lambda i: i["item"]), "; ")
     return F.coalesce(joined, json_text, F.lit(""))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidelog.functions.maps import HISTORY_TYPE, history_json
 from tidelog.operators.snapshots import ENTITY
-from tidelog.operators.timeline import Timeline, join_timeline
+from tidelog.operators.timeline import Timeline
 
 IDENTITY = ("name", "latitude", "longitude", "url")
 
@@ -15,7 +15,7 @@ IDENTITY = ("name", "latitude", "longitude", "url")
 def _collect_history(commit: Column, metric: Column) -> Column:
     """Map of the present observations, in commit order; at most one per commit."""
     observed = F.when(commit.isNotNull() & metric.isNotNull(), F.struct(commit, metric))
-    return F.map_from_entries(F.array_sort(F.collect_list(observed))).cast(HISTORY_TYPE)
+    return F.map_from_entries(F.sort_array(F.collect_list(observed))).cast(HISTORY_TYPE)
 
 
 def history_map(
@@ -38,7 +38,7 @@ def metric_change(
     One fixed-width aggregation over the log: neither snapshots nor joins of them.
     """
     return (
-        join_timeline(log, timeline)
+        timeline.numbered(log)
         .groupBy(*entity)
         .agg(_change(F.col(metric), F.col("ordinal")).alias("metric_change"))
     )
@@ -61,7 +61,7 @@ def history_table(
     Intervals come hash-partitioned by entity, so everything below the window stays in
     that one stage.  An entity whose metric was always null keeps a row with an empty map.
     """
-    current = F.col("valid_to").isNull()
+    current = F.col("next_ordinal") > F.col("n_commits")
     versions = intervals.select(
         *dict.fromkeys([*timeline.location, *entity]),
         metric,
@@ -83,11 +83,7 @@ def history_table(
         "n_commits",
         "__ordinal",
     )
-    names = timeline.rows.select(
-        *timeline.location, F.col("ordinal").alias("__ordinal"), F.col("commit").alias("__commit")
-    )
-    if timeline.bounded:
-        names = F.broadcast(names)
+    names = timeline.lookup(F.col("ordinal").alias("__ordinal"), F.col("commit").alias("__commit"))
     grouped = (
         spread.join(names, [*timeline.location, "__ordinal"], "left")
         .groupBy(*entity)

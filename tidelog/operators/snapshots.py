@@ -6,11 +6,11 @@ stays in force until the entity's next one, nulls included; nothing is ever dele
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidelog.operators.latest import latest_per_key
-from tidelog.operators.timeline import Timeline, join_timeline
+from tidelog.operators.timeline import Timeline
 
 ENTITY = ("entity_id",)
 
@@ -42,6 +42,10 @@ def snapshot_as_of(
     return snapshot_latest(log.filter(F.col("commit") <= instant), entity, order)
 
 
+# Columns of the following version; separate ones, so that unused ones are pruned.
+_NEXT = {"__ordinal": "ordinal", "__commit": "commit", "__previous": "previous_commit"}
+
+
 def validity_intervals(
     log: DataFrame, timeline: Timeline, entity: Sequence[str] = ENTITY
 ) -> DataFrame:
@@ -50,41 +54,44 @@ def validity_intervals(
     `valid_to`: commit of the next record, null while current; `visible_until`: last
     commit that still shows this record; `ordinal`, `next_ordinal`: the same as numbers.
     """
-    keyed = join_timeline(log, timeline)
+    keyed = timeline.numbered(log)
     if timeline.bounded:
         # A group is one entity's versions: at most as long as the checked timeline.
-        following = F.lead(_version()).over(Window.partitionBy(*entity).orderBy("ordinal"))
-        versions = keyed.withColumn("__next", following)
+        ahead = Window.partitionBy(*entity).orderBy("ordinal")
+        versions = keyed.withColumns({n: F.lead(c).over(ahead) for n, c in _NEXT.items()})
     else:
-        versions = _next_version_chunked(keyed, entity)
+        versions = _look_ahead_in_chunks(keyed, entity)
     return versions.select(
         *log.columns,
         "ordinal",
-        F.coalesce("__next.ordinal", F.col("n_commits") + 1).alias("next_ordinal"),
+        F.coalesce("__ordinal", F.col("n_commits") + 1).alias("next_ordinal"),
         "n_commits",
-        F.col("__next.commit").alias("valid_to"),
-        F.coalesce("__next.previous_commit", "last_commit").alias("visible_until"),
+        F.col("__commit").alias("valid_to"),
+        F.when(F.col("__ordinal").isNull(), F.col("last_commit"))
+        .otherwise(F.col("__previous"))
+        .alias("visible_until"),
     )
 
 
-def _version() -> Column:
-    return F.struct("ordinal", "commit", "previous_commit")
-
-
-def _next_version_chunked(
+def _look_ahead_in_chunks(
     keyed: DataFrame, entity: Sequence[str], size: int = CHUNK_ORDINALS
 ) -> DataFrame:
     """The same without a group longer than `size`: look ahead within chunks of the
     timeline, then from the last row of a chunk to the first of the entity's next one."""
     chunked = keyed.withColumn("__chunk", F.floor(F.col("ordinal") / size))
-    firsts = chunked.groupBy(*entity, "__chunk").agg(F.min(_version()).alias("__first"))
-    later = F.lead("__first").over(Window.partitionBy(*entity).orderBy("__chunk"))
-    firsts = firsts.select(*entity, "__chunk", later.alias("__first_later"))
-    within = F.lead(_version()).over(Window.partitionBy(*entity, "__chunk").orderBy("ordinal"))
-    return (
-        chunked.withColumn("__within", within)
-        .join(firsts, [*entity, "__chunk"])
-        .withColumn("__next", F.coalesce("__within", "__first_later"))
+    firsts = chunked.groupBy(*entity, "__chunk").agg(
+        *[F.min_by(c, "ordinal").alias(f"{n}_first") for n, c in _NEXT.items()]
+    )
+    later = Window.partitionBy(*entity).orderBy("__chunk")
+    firsts = firsts.select(
+        *entity, "__chunk", *[F.lead(f"{n}_first").over(later).alias(f"{n}_later") for n in _NEXT]
+    )
+    ahead = Window.partitionBy(*entity, "__chunk").orderBy("ordinal")
+    within = chunked.withColumns({n: F.lead(c).over(ahead) for n, c in _NEXT.items()})
+    last = F.col("__ordinal").isNull()
+    return within.join(firsts, [*entity, "__chunk"]).select(
+        *keyed.columns,
+        *[F.when(last, F.col(f"{n}_later")).otherwise(F.col(n)).alias(n) for n in _NEXT],
     )
 
 
@@ -117,9 +124,7 @@ def history_long(
         metric,
         F.explode(F.sequence("ordinal", F.col("next_ordinal") - 1)).alias("ordinal"),
     )
-    names = timeline.rows.select(*timeline.location, "ordinal", "commit")
-    if timeline.bounded:
-        names = F.broadcast(names)
+    names = timeline.lookup("ordinal", "commit")
     return spread.join(names, [*timeline.location, "ordinal"]).select(*entity, "commit", metric)
 
 
@@ -136,12 +141,10 @@ def retain_commits(
     if keep < 1:
         raise ValueError("keep at least one commit")
     base = F.greatest(F.col("n_commits") - (keep - 1), F.lit(1))
-    names = timeline.rows.select(
-        *timeline.location, F.col("ordinal").alias("__kept"), F.col("commit").alias("__commit")
+    names = timeline.lookup(F.col("ordinal").alias("__kept"), F.col("commit").alias("__commit"))
+    moved = timeline.numbered(log).select(
+        *log.columns, "ordinal", F.greatest("ordinal", base).alias("__kept")
     )
-    if timeline.bounded:
-        names = F.broadcast(names)
-    moved = join_timeline(log, timeline).withColumn("__kept", F.greatest("ordinal", base))
     newest = latest_per_key(moved, [*entity, "__kept"], ["ordinal"])
     return (
         newest.join(names, [*timeline.location, "__kept"])

@@ -4,7 +4,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,14 +19,24 @@ BROADCAST_COMMITS = 100_000
 class Timeline:
     """Rows `location..., commit, ordinal, n_commits, previous_commit, last_commit`.
 
-    `bounded` says that the number of commits was checked; then it also bounds the
-    number of log rows of one entity.
+    `bounded` says that the number of commits was checked: the rows may be broadcast,
+    and no entity has more log rows than that.
     """
 
     rows: DataFrame
     location: tuple[str, ...]
     bounded: bool
 
+    def lookup(self, *columns: Column | str) -> DataFrame:
+        """The location and these columns, as a side to join with."""
+        side = self.rows.select(*self.location, *columns)
+        return F.broadcast(side) if self.bounded else side
+
+    def numbered(self, log: DataFrame) -> DataFrame:
+        """`log` with the ordinal, count and neighbours of each row's commit."""
+        side = self.lookup("commit", "ordinal", "n_commits", "previous_commit", "last_commit")
+        return log.join(side, [*self.location, "commit"])
+
 
 def load_timeline(
     commits: DataFrame, location: Sequence[str] = (), max_rows: int = BROADCAST_COMMITS
@@ -49,16 +59,12 @@ def load_timeline(
         previous_commit=group.shift(),
         last_commit=group.transform("last"),
     )
-    schema = T.StructType(
-        [commits.schema[c] for c in (*location, "commit")]
-        + [T.StructField(c, T.LongType()) for c in ("ordinal", "n_commits")]
-        + [T.StructField(c, T.StringType()) for c in ("previous_commit", "last_commit")]
-    )
-    table = pa.Table.from_pandas(head, preserve_index=False)
-    rows = commits.sparkSession.createDataFrame(table).select(
-        *[F.col(f.name).cast(f.dataType) for f in schema]
-    )
-    return Timeline(F.broadcast(rows), location, bounded=True)
+    fields = [commits.schema[c] for c in (*location, "commit")]
+    fields += [T.StructField(c, T.LongType()) for c in ("ordinal", "n_commits")]
+    fields += [T.StructField(c, T.StringType()) for c in ("previous_commit", "last_commit")]
+    rows = commits.sparkSession.createDataFrame(pa.Table.from_pandas(head, preserve_index=False))
+    typed = rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in fields])
+    return Timeline(typed, location, bounded=True)
 
 
 def _numbered(instants: DataFrame, location: tuple[str, ...]) -> DataFrame:
@@ -94,8 +100,3 @@ def _numbered(instants: DataFrame, location: tuple[str, ...]) -> DataFrame:
 def commit_timeline(commits: DataFrame, location: Sequence[str] = ()) -> DataFrame:
     """Completed commits in ascending order with their ordinal."""
     return load_timeline(commits, location).rows.select(*location, "commit", "ordinal")
-
-
-def join_timeline(df: DataFrame, timeline: Timeline, how: str = "inner") -> DataFrame:
-    """Attach ordinal, n_commits and neighbours of each row's commit."""
-    return df.join(timeline.rows, [*timeline.location, "commit"], how)

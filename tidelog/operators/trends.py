@@ -58,23 +58,22 @@ def _described(df: DataFrame, keep: Sequence[str]) -> DataFrame:
     ).select(*keep, *TREND_COLUMNS)
 
 
-def _usable(intervals: DataFrame, metric: str) -> DataFrame:
-    """Instants as numbers, null where the observation does not count."""
-    counts = F.col(metric).isNotNull()
-    return intervals.withColumns(
-        {
-            "__from": F.when(counts, instants.instant_number(F.col("commit"))),
-            "__until": F.when(counts, instants.instant_number(F.col("visible_until"))),
-        }
-    )
+def _last_shown(metric: str) -> Column:
+    """Ordinal of the last commit that shows a present metric."""
+    return F.when(F.col(metric).isNotNull(), F.col("next_ordinal") - 1)
 
 
-def _in_window(until: Column, start: str) -> Column:
-    return instants.minute_floor(until) >= F.lit(int(start))
+def _recent(timeline: Timeline, start: str) -> DataFrame:
+    """Per ordinal `__until`, whether that commit is in the window."""
+    return timeline.lookup(
+        F.col("ordinal").alias("__until"),
+        (instants.minute(F.col("commit")) >= start).alias("__recent"),
+    )
 
 
 def trend_summary(
     intervals: DataFrame,
+    timeline: Timeline,
     start: str,
     entity: Sequence[str] = ENTITY,
     metric: str = "metric",
@@ -82,42 +81,52 @@ def trend_summary(
     """Trend columns per entity; low and high from `start` on, or from everything when
     the entity has no observation there.
 
-    All aggregates are fixed-width, so they combine on the map side in generated code.
+    Works on ordinals: all aggregates are fixed-width, instants are looked up at the end.
     """
+    place = list(timeline.location)
     value = F.col(metric)
-    recent = F.when(_in_window(F.col("__until"), start), value)
-    usable = F.when(F.col("__until").isNotNull(), value)
-    grouped = (
-        _usable(intervals, metric)
-        .groupBy(*entity)
-        .agg(
-            F.max_by(value, "__until").alias("current_metric"),
-            F.coalesce(F.min(recent), F.min(usable)).alias("low"),
-            F.coalesce(F.max(recent), F.max(usable)).alias("high"),
-            instants.number_instant(F.min("__from")).alias("first_commit"),
-            instants.number_instant(F.max("__until")).alias("latest_commit"),
-        )
+    marked = intervals.withColumn("__until", _last_shown(metric)).join(
+        _recent(timeline, start), [*place, "__until"], "left"
+    )
+    recent = F.when(F.col("__recent"), value)
+    grouped = marked.groupBy(*entity).agg(
+        F.max_by(value, "__until").alias("current_metric"),
+        F.coalesce(F.min(recent), F.min(value)).alias("low"),
+        F.coalesce(F.max(recent), F.max(value)).alias("high"),
+        F.min(F.when(value.isNotNull(), F.col("ordinal"))).alias("__first"),
+        F.max("__until").alias("__last"),
     )
+    for ordinal, name in (("__first", "first_commit"), ("__last", "latest_commit")):
+        names = timeline.lookup(F.col("ordinal").alias(ordinal), F.col("commit").alias(name))
+        grouped = grouped.join(names, [*place, ordinal], "left")
     return _described(grouped, entity)
 
 
-def with_trend(history: DataFrame, start: str, history_col: str = "history") -> DataFrame:
-    """Add the trend columns to rows that carry a history map; no shuffle."""
-    prepared = history.withColumn("__observed", maps.entries(F.col(history_col)))
-    prepared = prepared.withColumn(
+def _observed(history: DataFrame, history_map: Column, start: str) -> DataFrame:
+    """Add the usable observations and those of the window, each worked out once."""
+    return history.withColumn("__observed", maps.entries(history_map)).withColumn(
         "__window", maps.recent_or_all(F.col("__observed"), F.lit(start))
     )
+
+
+def _trend_columns(observed: DataFrame, keep: Sequence[str]) -> DataFrame:
     values = F.transform("__window", lambda o: o["metric"])
-    described = prepared.withColumns(
+    first, last = (F.try_element_at("__observed", F.lit(i)) for i in (1, -1))
+    described = observed.withColumns(
         {
-            "current_metric": F.try_element_at("__observed", F.lit(-1))["metric"],
+            "current_metric": last["metric"],
             "low": F.array_min(values),
             "high": F.array_max(values),
-            "first_commit": F.try_element_at("__observed", F.lit(1))["commit"],
-            "latest_commit": F.try_element_at("__observed", F.lit(-1))["commit"],
+            "first_commit": first["commit"],
+            "latest_commit": last["commit"],
         }
     )
-    return _described(described, history.columns)
+    return _described(described, keep)
+
+
+def with_trend(history: DataFrame, start: str, history_col: str = "history") -> DataFrame:
+    """Add the trend columns to rows that carry a history map; no shuffle."""
+    return _trend_columns(_observed(history, F.col(history_col), start), history.columns)
 
 
 def display_rows(history: DataFrame, start: str, history_col: str = "history") -> DataFrame:
@@ -125,10 +134,10 @@ def display_rows(history: DataFrame, start: str, history_col: str = "history") -
 
     `history` stays the published JSON text.
     """
-    parsed = history.withColumn("__map", maps.parse_history(F.col(history_col)))
-    shown = with_trend(parsed, start, "__map")
-    details = maps.key_points_text(F.col("__map"), F.lit(start))
-    return shown.withColumn("history_details", details).drop("__map")
+    observed = _observed(history, maps.parse_history(F.col(history_col)), start)
+    points = maps.key_points(F.col("__observed"), F.col("__window"))
+    shown = observed.withColumn("history_details", maps.points_text(points))
+    return _trend_columns(shown, [*history.columns, "history_details"])
 
 
 def recent_or_all(
@@ -139,14 +148,13 @@ def recent_or_all(
     metric: str = "metric",
 ) -> DataFrame:
     """Observations from `start` on; all observations of an entity that has none there."""
-    usable = _usable(intervals, metric).filter(F.col("__until").isNotNull())
     # The window needs only the entity's partitioning, which the intervals already have.
-    latest = F.max("__until").over(Window.partitionBy(*entity))
-    flagged = usable.withColumn("__recent", _in_window(latest, start))
-    dense = history_long(
-        flagged, timeline, entity=[*entity, "__recent"], metric=metric, present_only=True
+    latest = F.max(_last_shown(metric)).over(Window.partitionBy(*entity))
+    flagged = intervals.withColumn("__until", latest).join(
+        _recent(timeline, start), [*timeline.location, "__until"]
     )
-    seen = _in_window(instants.instant_number(F.col("commit")), start)
+    dense = history_long(flagged, timeline, [*entity, "__recent"], metric, present_only=True)
+    seen = instants.minute(F.col("commit")) >= start
     return dense.filter(~F.col("__recent") | seen).drop("__recent")
 
 
@@ -154,7 +162,9 @@ def key_points(
     history: DataFrame, start: str, keep: Sequence[str] = ENTITY, history_col: str = "history"
 ) -> DataFrame:
     """Latest, highest, lowest and first observation of each row's history, one row each."""
-    points = history.select(
-        *keep, F.explode(maps.key_points(F.col(history_col), F.lit(start))).alias("__point")
+    points = maps.key_points(F.col("__observed"), F.col("__window"))
+    return (
+        _observed(history, F.col(history_col), start)
+        .select(*keep, F.explode(points).alias("__point"))
+        .select(*keep, "__point.commit", "__point.metric")
     )
-    return points.select(*keep, "__point.commit", "__point.metric")

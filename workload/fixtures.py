@@ -191,7 +191,7 @@ def search_pages(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
         F.col("s_name").alias("name"),
         F.col("s_nationkey").alias("nation"),
     )
-    by_nation = customers.withColumn("page", F.col("nation"))
-    by_segment = customers.withColumn("page", F.length("category") + 100).drop("nation")
-    by_supplier = suppliers.withColumn("page", F.col("nation") + 200)
+    by_nation = customers.withColumn("page", F.col("nation").cast("bigint"))
+    by_segment = customers.withColumn("page", (F.length("category") + 100).cast("bigint")).drop("nation")
+    by_supplier = suppliers.withColumn("page", (F.col("nation") + 200).cast("bigint"))
     return [by_nation, by_segment, by_supplier]

@@ -156,9 +156,9 @@ _DISPLAY = f"""
 
 _PAGES = """
     page AS (
-      SELECT place_id, name, category, nation, nation AS page FROM place
-      UNION ALL SELECT place_id, name, category, NULL, length(category) + 100 FROM place
-      UNION ALL SELECT -1 - s_suppkey, s_name, NULL, s_nationkey, s_nationkey + 200 FROM supplier)"""
+      SELECT place_id, name, category, nation, nation::BIGINT AS page FROM place
+      UNION ALL SELECT place_id, name, category, NULL, (length(category) + 100)::BIGINT FROM place
+      UNION ALL SELECT -1 - s_suppkey, s_name, NULL, s_nationkey, (s_nationkey + 200)::BIGINT FROM supplier)"""
 
 _DETAILS = """
     details AS (SELECT place_id, upper(name) AS name,

@@ -256,12 +256,13 @@ def full_cycle(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def trend_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return trends.trend_summary(fx.daily_intervals(spark, sf_dir)[0], fx.WINDOW_START)
+    return trends.trend_summary(*fx.daily_intervals(spark, sf_dir), fx.WINDOW_START)
 
 
 def trend_summary_located(spark: SparkSession, sf_dir: str) -> DataFrame:
-    intervals = fx.located_intervals(spark, sf_dir)[0]
-    return trends.trend_summary(intervals, fx.WINDOW_START, fx.LOCATED)
+    return trends.trend_summary(
+        *fx.located_intervals(spark, sf_dir), fx.WINDOW_START, fx.LOCATED
+    )
 
 
 def trend_from_map(spark: SparkSession, sf_dir: str) -> DataFrame:
