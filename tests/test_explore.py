@@ -1,0 +1,156 @@
+import csv
+import json
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from tests.conftest import day
+from tidelog.operators import explore, trends
+from tidelog.operators.numbering import number_rows
+from tidelog.sources import export
+
+
+@pytest.fixture(scope="module")
+def shops(spark):
+    rows = [
+        (1, "Blue Cafe", 4.0),
+        (2, "100%_Tea", 3.0),
+        (3, None, 5.0),
+        (4, "", 5.0),
+        (5, "zero", 0.0),
+        (6, "unrated", None),
+        (7, "blue moon", 4.0),
+    ]
+    return spark.createDataFrame(rows, "entity_id long, name string, current_metric double")
+
+
+def ids(df):
+    return [r["entity_id"] for r in df.collect()]
+
+
+def test_search_is_literal_and_ignores_case(shops):
+    assert ids(explore.explore_filter(shops, "BLUE")) == [1, 7]
+    assert ids(explore.explore_filter(shops, "%_")) == [2]
+    assert ids(explore.explore_filter(shops)) == [1, 2, 5, 6, 7]
+
+
+def test_threshold_needs_a_metric(shops):
+    assert ids(explore.explore_filter(shops, threshold=3.0)) == [1, 2, 7]
+    assert ids(explore.explore_filter(shops, threshold=0.0)) == [1, 2, 7]
+    assert ids(explore.explore_filter(shops, "blue", 4.5)) == []
+
+
+@pytest.mark.parametrize("descending, want", [(False, [5, 2, 1, 7, 3, 4, 6]), (True, [3, 4, 1, 7, 2, 5, 6])])
+def test_nulls_sort_last_both_ways(shops, descending, want):
+    order = explore.sort_order("current_metric", descending)
+    assert ids(shops.orderBy(*order)) == want
+    for top_k_rows in (1000, 0):
+        pages = [ids(explore.page(shops, order, n, 3, top_k_rows)) for n in (1, 2, 3, 4)]
+        assert pages == [want[:3], want[3:6], want[6:], []]
+
+
+def test_explore_filters_then_sorts(shops):
+    got = explore.explore(shops, threshold=3.0, sort="current_metric", descending=False)
+    assert ids(got) == [2, 1, 7]
+    with pytest.raises(ValueError):
+        explore.page(shops, explore.sort_order("name"), 0)
+
+
+def test_clicking_a_column():
+    assert explore.next_order("name") == ("name", False)
+    assert explore.next_order("range_magnitude") == ("range_magnitude", False)
+    assert explore.next_order("name", ("name", False)) == ("name", True)
+
+
+def test_row_numbers_over_many_ranges(spark):
+    rng = random.Random(1)
+    values = [(i, rng.randint(0, 50)) for i in range(5000)]
+    df = spark.createDataFrame(values, "id long, v int").repartition(7)
+    numbered = number_rows(df, [F.col("v").desc(), F.col("id")], "n")
+    got = {r["n"]: r["id"] for r in numbered.collect()}
+    want = sorted(values, key=lambda r: (-r[1], r[0]))
+    assert [got[i + 1] for i in range(5000)] == [r[0] for r in want]
+
+
+def test_statistics(shops, spark):
+    row = explore.summary_stats(shops).first()
+    assert tuple(row) == (7, 6, 3.5, 0.0, 5.0)
+    nothing = shops.filter("false")
+    assert tuple(explore.summary_stats(nothing).first()) == (0, 0, None, None, None)
+    assert tuple(explore.filter_options(nothing).first()) == (0, 5, [0, 1, 2, 3, 5])
+    options = explore.filter_options(shops.filter("current_metric between 2.5 and 4.5")).first()
+    assert tuple(options) == (3, 4, [3, 4, 5, 6, 4])
+    assert tuple(explore.page_count(shops, 5).first()) == (7, 2)
+    assert tuple(explore.page_count(nothing, 5).first()) == (0, 0)
+
+
+def test_daily(spark):
+    df = spark.createDataFrame(
+        [("2025-01-01", 1.0), ("2025-01-01", 2.0), ("2025-01-02", None)],
+        "date string, current_popularity double",
+    )
+    got = {r[0]: r[1] for r in explore.avg_by_day(df).collect()}
+    assert got == {"2025-01-01": 1.5, "2025-01-02": None}
+    assert explore.rows_for_day(df, "2025-01-01").count() == 2
+
+
+def test_nearby_agrees_with_distance_alone(spark):
+    df = spark.range(5000).select(
+        F.col("id"),
+        (25 + (F.rand(1) - 0.5) * 0.2).alias("latitude"),
+        (121.5 + (F.rand(2) - 0.5) * 0.2).alias("longitude"),
+        F.when(F.col("id") % 2 == 0, F.lit("Coffee house")).otherwise(F.lit("tea")).alias("name"),
+    ).cache()
+    everything = explore.nearby(df, 25.0, 121.5, 1e7)
+    want = everything.filter("distance_m <= 5000").count()
+    assert explore.nearby(df, 25.0, 121.5, 5000).count() == want > 0
+    words = explore.nearby(df, 25.0, 121.5, 5000, keywords="COFFEE juice")
+    assert {r["name"] for r in words.collect()} == {"Coffee house"}
+    assert explore.nearby(df, 25.0, 121.5, 5000, keywords="nothing").isEmpty()
+
+
+@pytest.fixture(scope="module")
+def shown(spark):
+    history = json.dumps({day(1): 4.0, day(2): 4.5})
+    rows = [
+        ("a", 'The "best", cafe', 25.0, 121.5, "u/a", history),
+        ("b", "Zero", 0.0, 0.0, None, json.dumps({day(1): 0.0})),
+        ("c", "Never", None, 1.0, "u/c", "{}"),
+    ]
+    df = spark.createDataFrame(
+        rows, "entity_id string, name string, latitude double, longitude double, url string, history string"
+    )
+    return trends.display_rows(df, day(1))
+
+
+def test_csv(shown, tmp_path):
+    path = tmp_path / "csv"
+    export.write_csv(shown.coalesce(1).orderBy("entity_id"), str(path))
+    (part,) = path.glob("*.csv")
+    with part.open(newline="") as file:
+        lines = list(csv.reader(file))
+    assert lines[0] == export.CSV_HEADER
+    period = "Jan 1, 2025 → Jan 2, 2025"
+    assert lines[1] == [
+        'The "best", cafe',
+        "u/a",
+        "4.5",
+        "0.5",
+        period,
+        "Jan 1, 2025: 4.0; Jan 2, 2025: 4.5",
+        "25.0000",
+        "121.5000",
+    ]
+    assert lines[2][:4] == ["Zero", "", "", "0.0"] and lines[2][6:] == ["0.0000", "0.0000"]
+    assert lines[3] == ["Never", "u/c", "", "", "", "", "", "1.0000"]
+
+
+def test_report(shown, spark, tmp_path):
+    path = str(tmp_path / "report")
+    export.write_report(shown, path, "2025-01-03T00:00:00.000Z", location="here")
+    summary = spark.read.json(f"{path}/summary").first()
+    assert (summary["total_rows"], summary["rows_with_metric"]) == (3, 2)
+    assert (summary["location"], summary["data_source"]) == ("here", "Unknown")
+    lines = [json.loads(t["value"]) for t in spark.read.text(f"{path}/rows").collect()]
+    assert len(lines) == 3 and all(set(r) == set(shown.columns) for r in lines)

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 # The instant and display formats.
 INSTANT_PATTERN = "^[0-9]{17}$"
 PLAIN_INSTANT = (
-    "^(?!0000)[0-9]{4}(0[1-9]|1[0-2])(0[1-9]|1[0-9]|2[0-8])([01][0-9]|2[0-3])[0-5][0-9][0-5][0-9]{4}$"
+    "^[0-9]{4}(0[1-9]|1[0-2])(0[1-9]|1[0-9]|2[0-8])([01][0-9]|2[0-3])[0-5][0-9][0-5][0-9]{4}$"
 )
 INSTANT_FORMAT = "yyyyMMddHHmmssSSS"
 SECONDS_FORMAT = "yyyyMMddHHmmss"

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidelog.functions.identity import location_key, reject_reason, stable_id
-from tidelog.functions.instants import to_instant
+from tidelog.functions.instants import is_instant, to_instant
 
 BASIC_INFO = (
     "place_id",
@@ -62,10 +62,14 @@ def basic_info(places: DataFrame, columns: Sequence[str] = BASIC_INFO) -> DataFr
 
 
 def identified(places: DataFrame) -> DataFrame:
-    """Add `entity_id` and `reject_reason`; exactly one of them is null."""
+    """Add `entity_id` and `reject_reason`; rows to keep have a null reason."""
     parts = [F.col(c) for c in ("name", "latitude", "longitude")]
+    undated = F.when(~is_instant(F.col("commit")), F.lit("invalid commit"))
     return places.withColumns(
-        {"entity_id": stable_id(*parts), "reject_reason": reject_reason(*parts)}
+        {
+            "entity_id": stable_id(*parts),
+            "reject_reason": F.coalesce(reject_reason(*parts), undated),
+        }
     )
 
 

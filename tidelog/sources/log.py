@@ -23,19 +23,19 @@ KEY = ("location_key", "entity_id")
 def append_batch(places: DataFrame, root: str, batch: str) -> dict[str, int]:
     """Upsert flattened places as batch `batch`; returns the rows read, rejected and kept.
 
-    One pass over the input: the counts are observed while writing.  A batch that is
-    published already is left alone; one without usable rows adds no commit.
+    One pass over the input, and a second for the rejected rows if there are any.  A batch
+    that is published already is left alone; one without usable rows adds no commit.
+    `kept` is counted from the files; the others are observed while writing, so that tasks
+    repeated for a lost executor may count twice.
     """
     spark = places.sparkSession
     if _published(spark, root, batch):
         return {"read": 0, "rejected": 0, "kept": 0}
     seen = Observation()
-    rows = identified(places).observe(
-        seen,
-        F.count(F.lit(1)).alias("read"),
-        F.count("reject_reason").alias("rejected"),
-    )
-    records = latest_per_key(accepted(rows), [*KEY, "commit"], ["source", "seq"])
+    rows = identified(places)
+    tallies = F.count(F.lit(1)).alias("read"), F.count("reject_reason").alias("rejected")
+    observed = accepted(rows.observe(seen, *tallies))
+    records = latest_per_key(observed, [*KEY, "commit"], ["source", "seq"])
     folder = f"{root}/log/batch={batch}"
     (
         records.select("location_key", "commit", *RECORD_COLUMNS)
@@ -45,22 +45,19 @@ def append_batch(places: DataFrame, root: str, batch: str) -> dict[str, int]:
         .partitionBy("location_key", "commit")
         .parquet(folder)
     )
-    counts = seen.get
-    if counts["rejected"]:
-        refused = rejected(identified(places))
-        refused.write.mode("overwrite").parquet(f"{root}/rejected/batch={batch}")
     # Needs the folder names and file footers only.
     written = spark.read.schema(_log_schema(without="batch")).parquet(folder)
-    kept = Observation()
-    (
-        written.groupBy("location_key", "commit")
-        .agg(F.count(F.lit(1)).alias("rows"))
-        .observe(kept, F.coalesce(F.sum("rows"), F.lit(0)).alias("kept"))
-        .coalesce(1)
-        .write.mode("overwrite")
-        .parquet(f"{root}/commits/batch={batch}")
-    )
-    return {**counts, **kept.get}
+    commits = written.groupBy("location_key", "commit").agg(F.count(F.lit(1)).alias("rows"))
+    kept = written.count()
+    if kept:
+        counts = seen.get
+    else:
+        # Adaptive planning drops an empty branch and the observation with it.
+        counts = rows.agg(*tallies).first().asDict()
+    if counts["rejected"]:
+        rejected(rows).write.mode("overwrite").parquet(f"{root}/rejected/batch={batch}")
+    commits.write.mode("overwrite").parquet(f"{root}/commits/batch={batch}")
+    return {**counts, "kept": kept}
 
 
 def _log_schema(without: str = "") -> T.StructType:
