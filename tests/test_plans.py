@@ -41,7 +41,7 @@ def test_history_takes_one_shuffle_of_the_log(spark, tmp_path):
     for df in (
         intervals,
         dense,
-        history.history_map(dense),
+        history.history_map(intervals, line),
         history.history_table(intervals, line),
         history.metric_change(log, line),
         trends.trend_summary(intervals, line, day(10)),

@@ -117,6 +117,10 @@ def test_a_timeline_beyond_the_broadcast_limit_gives_the_same(make_log, seed):
         assert sorted(map(str, a.collect())) == sorted(map(str, b.select(*a.columns).collect()))
         x, y = (snapshots.history_long(i, line, key) for i, line in ((a, small), (b, long)))
         assert sorted(map(str, x.collect())) == sorted(map(str, y.collect()))
+        for build in (history.history_map, history.history_table):
+            identity = {"identity": ["seq"]} if build is history.history_table else {}
+            x, y = (build(i, line, key, **identity) for i, line in ((a, small), (b, long)))
+            assert sorted(map(str, x.collect())) == sorted(map(str, y.collect()))
 
 
 def test_look_ahead_in_small_chunks(make_log):

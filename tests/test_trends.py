@@ -15,9 +15,8 @@ def parts(make_log, *observed):
     log = snapshots.upsert_merge(make_log(*observed))
     line = load_timeline(log)
     intervals = snapshots.validity_intervals(log, line)
-    dense = snapshots.history_long(intervals, line, present_only=True)
     everyone = log.select("entity_id").distinct()
-    maps = everyone.join(history.history_map(dense), "entity_id", "left")
+    maps = everyone.join(history.history_map(intervals, line), "entity_id", "left")
     return intervals, line, maps
 
 

@@ -6,25 +6,56 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidelog.functions.maps import HISTORY_TYPE, history_json
-from tidelog.operators.snapshots import ENTITY
+from tidelog.operators.snapshots import ENTITY, history_long
 from tidelog.operators.timeline import Timeline
 
 IDENTITY = ("name", "latitude", "longitude", "url")
 
 
-def _collect_history(commit: Column, metric: Column) -> Column:
-    """Map of the present observations, in commit order; at most one per commit."""
-    observed = F.when(commit.isNotNull() & metric.isNotNull(), F.struct(commit, metric))
-    return F.map_from_entries(F.sort_array(F.collect_list(observed))).cast(HISTORY_TYPE)
+def _versions(metric: str) -> Column:
+    """The entity's present versions; at most one per commit."""
+    version = F.struct("ordinal", "next_ordinal", F.col(metric).alias("metric"))
+    return F.collect_list(F.when(F.col(metric).isNotNull(), version))
+
+
+def _as_map(versions: Column, names: Column) -> Column:
+    """Each version's metric at every commit that shows it, in commit order.
+
+    Repeats a version inside the cell, so that no row is made per entity and commit.
+    """
+    ordered = F.sort_array(versions)
+
+    def length(v: Column) -> Column:
+        return (v["next_ordinal"] - v["ordinal"]).cast("int")
+
+    commits = F.transform(ordered, lambda v: F.slice(names, v["ordinal"].cast("int"), length(v)))
+    metrics = F.transform(ordered, lambda v: F.array_repeat(v["metric"], length(v)))
+    return F.map_from_arrays(F.flatten(commits), F.flatten(metrics)).cast(HISTORY_TYPE)
+
+
+def _joined_map(
+    intervals: DataFrame, timeline: Timeline, entity: Sequence[str], metric: str
+) -> DataFrame:
+    """`history` per entity for a timeline too long to look up inside a cell."""
+    dense = history_long(intervals, timeline, entity, metric, present_only=True)
+    pair = F.struct("commit", metric)
+    collected = F.map_from_entries(F.sort_array(F.collect_list(pair))).cast(HISTORY_TYPE)
+    return dense.groupBy(*entity).agg(collected.alias("history"))
 
 
 def history_map(
-    dense: DataFrame, entity: Sequence[str] = ENTITY, metric: str = "metric"
+    intervals: DataFrame,
+    timeline: Timeline,
+    entity: Sequence[str] = ENTITY,
+    metric: str = "metric",
 ) -> DataFrame:
-    """`history`: commit -> metric for each entity, nulls left out."""
-    return dense.groupBy(*entity).agg(
-        _collect_history(F.col("commit"), F.col(metric)).alias("history")
-    )
+    """`history`: commit -> metric for each entity that ever had one, nulls left out."""
+    if not timeline.bounded:
+        return _joined_map(intervals, timeline, entity, metric)
+    present = intervals.filter(F.col(metric).isNotNull())
+    grouped = present.groupBy(*entity).agg(_versions(metric).alias("__versions"))
+    named = timeline.with_names(grouped, "__names")
+    return named.select(*entity, _as_map(F.col("__versions"), F.col("__names")).alias("history"))
 
 
 def metric_change(
@@ -58,44 +89,24 @@ def history_table(
 ) -> DataFrame:
     """Current identity columns, history map and change, one row per entity.
 
-    Intervals come hash-partitioned by entity, so everything below the window stays in
-    that one stage.  An entity whose metric was always null keeps a row with an empty map.
+    Intervals come hash-partitioned by entity, so this adds no shuffle to theirs.  An
+    entity whose metric was always null keeps a row with an empty map.
     """
     current = F.col("next_ordinal") > F.col("n_commits")
-    versions = intervals.select(
-        *dict.fromkeys([*timeline.location, *entity]),
-        metric,
-        "ordinal",
-        "n_commits",
-        F.when(current, F.struct(*identity)).alias("__identity"),
-        F.when(F.col(metric).isNotNull(), F.sequence("ordinal", F.col("next_ordinal") - 1)).alias(
-            "__shown"
-        ),
-    )
-    spread = versions.select(
-        "*", F.posexplode_outer("__shown").alias("__at", "__ordinal")
-    ).select(
-        *dict.fromkeys([*timeline.location, *entity]),
-        metric,
-        # Only the first row of a version carries its wide columns on.
-        F.when(F.coalesce("__at", F.lit(0)) == 0, F.col("__identity")).alias("__identity"),
-        "ordinal",
-        "n_commits",
-        "__ordinal",
-    )
-    names = timeline.lookup(F.col("ordinal").alias("__ordinal"), F.col("commit").alias("__commit"))
-    grouped = (
-        spread.join(names, [*timeline.location, "__ordinal"], "left")
-        .groupBy(*entity)
-        .agg(
-            F.first("__identity", ignorenulls=True).alias("__identity"),
-            _collect_history(F.col("__commit"), F.col(metric)).alias("history"),
-            _change(F.col(metric), F.col("ordinal")).alias("metric_change"),
-        )
-    )
-    return grouped.select(
-        *entity, *[F.col(f"__identity.{c}").alias(c) for c in identity], "history", "metric_change"
+    grouped = intervals.groupBy(*entity).agg(
+        F.first(F.when(current, F.struct(*identity)), ignorenulls=True).alias("__identity"),
+        _change(F.col(metric), F.col("ordinal")).alias("metric_change"),
+        *([_versions(metric).alias("__versions")] if timeline.bounded else []),
     )
+    if timeline.bounded:
+        named = timeline.with_names(grouped, "__names")
+        history = _as_map(F.col("__versions"), F.col("__names"))
+    else:
+        maps = _joined_map(intervals, timeline, entity, metric)
+        named = grouped.join(maps, list(entity), "left")
+        history = F.coalesce("history", F.create_map().cast(HISTORY_TYPE))
+    fields = [F.col(f"__identity.{c}").alias(c) for c in identity]
+    return named.select(*entity, *fields, history.alias("history"), "metric_change")
 
 
 def with_history_json(history: DataFrame) -> DataFrame:

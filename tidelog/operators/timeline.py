@@ -32,6 +32,22 @@ class Timeline:
         side = self.rows.select(*self.location, *columns)
         return F.broadcast(side) if self.bounded else side
 
+    def instants(self) -> list[str]:
+        """The commits of a checked timeline without locations, in order."""
+        if not self.bounded or self.location:
+            raise ValueError("only a short timeline without locations can be listed")
+        return [row["commit"] for row in self.rows.orderBy("ordinal").collect()]
+
+    def with_names(self, df: DataFrame, name: str) -> DataFrame:
+        """`df` with the ordered commits of its location as the array column `name`.
+
+        For a checked timeline only: the array is as long as the timeline.
+        """
+        listed = F.sort_array(F.collect_list("commit")).alias(name)
+        if not self.location:
+            return df.withColumn(name, self.rows.agg(listed).scalar())
+        return df.join(F.broadcast(self.rows.groupBy(*self.location).agg(listed)), [*self.location])
+
     def numbered(self, log: DataFrame) -> DataFrame:
         """`log` with the ordinal, count and neighbours of each row's commit."""
         side = self.lookup("commit", "ordinal", "n_commits", "previous_commit", "last_commit")
@@ -47,7 +63,7 @@ def load_timeline(
     """
     location = tuple(location)
     instants = commits.select(*location, "commit").distinct()
-    head = instants.limit(max_rows + 1).toPandas()
+    head = instants.limit(max_rows + 1).toArrow().to_pandas()
     if len(head) > max_rows:
         return Timeline(_numbered(instants, location), location, bounded=False)
 

@@ -161,8 +161,7 @@ def history_long_compressed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _history_maps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    intervals, line = fx.daily_intervals(spark, sf_dir)
-    return history.history_map(snapshots.history_long(intervals, line, present_only=True))
+    return history.history_map(*fx.daily_intervals(spark, sf_dir))
 
 
 def history_map(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -182,8 +181,7 @@ def metric_change_located(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     intervals, line = fx.daily_intervals(spark, sf_dir)
-    commits = [r["commit"] for r in line.rows.select("commit").collect()]
-    return history.history_wide(snapshots.history_long(intervals, line), commits)
+    return history.history_wide(snapshots.history_long(intervals, line), line.instants())
 
 
 def history_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
