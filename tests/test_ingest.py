@@ -1,4 +1,5 @@
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -149,6 +150,33 @@ def test_several_batches_of_one_commit(spark, tmp_path):
     assert until.count() == 2
 
 
+def test_a_document_without_instant_takes_that_of_its_file(spark, tmp_path):
+    root = str(tmp_path / "root")
+    path = land(tmp_path / "raw", "1.json", document([place(*SHOP1, 4.2)]))
+    os.utime(path, (1748180150, 1748180150))  # 2025-05-25 13:35:50 UTC
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Taipei")
+    try:
+        jobs.ingest_documents(spark, path, root, "b1")
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert log_store.read_commits(spark, root).first()["commit"] == "20250525133550000"
+
+
+def test_rewriting_the_log_keeps_its_contents(spark, tmp_path):
+    root, folder = str(tmp_path / "root"), tmp_path / "raw"
+    for d, rating in ((1, 4.0), (2, 4.5), (3, 3.0)):
+        path = land(folder, f"{d}.json", document([place(*SHOP1, rating)], f"r{d}", day(d)))
+        jobs.ingest_documents(spark, path, root, f"b{d}")
+    whole, short = str(tmp_path / "whole"), str(tmp_path / "short")
+    assert log_store.rewrite_log(spark, root, whole, "base") == 3
+    before, after = (sorted(map(tuple, log_store.read_log(spark, r).collect())) for r in (root, whole))
+    assert before == after
+    assert log_store.rewrite_log(spark, root, short, "base", keep=2) == 2
+    history = json.loads(jobs.build_history(spark, short).first()["history"])
+    assert history == {day(2): 4.5, day(3): 3.0}
+
+
 def test_each_location_has_its_own_timeline(spark, tmp_path):
     root, folder = str(tmp_path / "root"), tmp_path / "raw"
     north = [land(folder, f"n{d}.json", document([place(*SHOP1, r)], f"n{d}", day(d), 25.0)) for d, r in ((1, 4.0), (3, 4.5))]

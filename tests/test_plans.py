@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tests.conftest import day
 from tidelog.operators import explore, history, snapshots, trends
 from tidelog.operators.timeline import load_timeline
+from tidelog.sources import log as log_store
 
 
 def plan(df):
@@ -101,3 +102,18 @@ def test_a_long_timeline_is_not_broadcast_by_hint(spark, tmp_path):
     short = load_timeline(log)
     roots = [x.lookup("commit")._jdf.queryExecution().analyzed().nodeName() for x in (line, short)]
     assert roots == ["Project", "ResolvedHint"]
+
+
+def test_location_and_instant_prune_folders(spark, tmp_path):
+    rows = spark.createDataFrame(
+        [("25.0_121.5", day(1), "r", 0, "p", "n", "a", 1.0, 2.0, "u", 4.0, ["t"])],
+        "location_key string, commit string, source string, seq long, place_id string, name string,"
+        "address string, latitude double, longitude double, url string, metric double, types array<string>",
+    )
+    root = str(tmp_path / "root")
+    log_store.append_batch(rows, root, "b1")
+    spark.conf.set("spark.sql.maxMetadataStringLength", 1000)
+    scan = plan(log_store.read_log(spark, root, "25.0_121.5", until=day(2)))
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    pruned = re.search(r"PartitionFilters: \[(.*?)\], PushedFilters", scan).group(1)
+    assert "= 25.0_121.5" in pruned and f"<= {day(2)}" in pruned

@@ -51,8 +51,9 @@ def flatten_places(documents: DataFrame, commit: Column | None = None) -> DataFr
 
 
 def file_instant() -> Column:
-    """Instant of a document that carries none: when its file was written."""
-    return F.coalesce(F.col("commit"), to_instant(F.col("_metadata.file_modification_time")))
+    """The document's instant, or when its file was written, in UTC."""
+    written = F.to_utc_timestamp(F.col("_metadata.file_modification_time"), F.current_timezone())
+    return F.coalesce(F.col("commit"), to_instant(written))
 
 
 def basic_info(places: DataFrame, columns: Sequence[str] = BASIC_INFO) -> DataFrame:
@@ -97,13 +98,15 @@ def nest_documents(
     """
     part = F.floor(F.col(seq) / max_places).cast("bigint")
     grouped = (
-        places.select(*request, part.alias("part"), F.struct(F.col(seq).alias("at"), place.alias("place")).alias("item"))
+        places.select(
+            *request,
+            part.alias("part"),
+            F.struct(F.col(seq).alias("at"), place.alias("place")).alias("item"),
+        )
         .groupBy(*request, "part")
-        .agg(F.array_sort(F.collect_list("item")).alias("items"))
-    )
-    return grouped.select(
-        *document, F.transform("items", lambda i: i["place"]).alias("places")
+        .agg(F.sort_array(F.collect_list("item")).alias("items"))
     )
+    return grouped.select(*document, F.transform("items", lambda i: i["place"]).alias("places"))
 
 
 def successful(responses: DataFrame, statuses: Sequence[str], status: str = "status") -> DataFrame:
@@ -134,16 +137,17 @@ def enrich_details(
     without a key are dropped.  `details` must have one row per key.
     """
     columns = [c for c in fields if c in details.columns and c in base.columns]
-    found = details.select(
+    matches = details.select(
         key, F.lit(True).alias("__found"), *[F.col(c).alias(f"__{c}") for c in columns]
     )
-    joined = base.filter(F.col(key).isNotNull()).join(found, key, "left")
+    joined = base.filter(F.col(key).isNotNull()).join(matches, key, "left")
 
     def merged(column: str) -> Column:
         if column not in columns:
             return F.col(column)
         if strict:
-            return F.when(F.col("__found"), F.col(f"__{column}")).otherwise(F.col(column)).alias(column)
+            found = F.when(F.col("__found"), F.col(f"__{column}"))
+            return found.otherwise(F.col(column)).alias(column)
         return F.coalesce(f"__{column}", column).alias(column)
 
     return joined.select(*[merged(c) for c in base.columns])

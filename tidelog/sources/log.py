@@ -15,6 +15,8 @@ from pyspark.sql import types as T
 
 from tidelog.operators.ingest import accepted, identified, rejected
 from tidelog.operators.latest import latest_per_key
+from tidelog.operators.snapshots import retain_commits
+from tidelog.operators.timeline import load_timeline
 from tidelog.schemas import COMMITS, LOG, RECORD_COLUMNS
 
 KEY = ("location_key", "entity_id")
@@ -36,19 +38,7 @@ def append_batch(places: DataFrame, root: str, batch: str) -> dict[str, int]:
     tallies = F.count(F.lit(1)).alias("read"), F.count("reject_reason").alias("rejected")
     observed = accepted(rows.observe(seen, *tallies))
     records = latest_per_key(observed, [*KEY, "commit"], ["source", "seq"])
-    folder = f"{root}/log/batch={batch}"
-    (
-        records.select("location_key", "commit", *RECORD_COLUMNS)
-        # Sizes the files: small partitions are merged, a hot location is split.
-        .hint("rebalance", "location_key", "commit")
-        .write.mode("overwrite")
-        .partitionBy("location_key", "commit")
-        .parquet(folder)
-    )
-    # Needs the folder names and file footers only.
-    written = spark.read.schema(_log_schema(without="batch")).parquet(folder)
-    commits = written.groupBy("location_key", "commit").agg(F.count(F.lit(1)).alias("rows"))
-    kept = written.count()
+    kept = _write(records, root, batch)
     if kept:
         counts = seen.get
     else:
@@ -56,10 +46,55 @@ def append_batch(places: DataFrame, root: str, batch: str) -> dict[str, int]:
         counts = rows.agg(*tallies).first().asDict()
     if counts["rejected"]:
         rejected(rows).write.mode("overwrite").parquet(f"{root}/rejected/batch={batch}")
-    commits.write.mode("overwrite").parquet(f"{root}/commits/batch={batch}")
+    _publish(spark, root, batch)
     return {**counts, "kept": kept}
 
 
+def rewrite_log(
+    spark: SparkSession, root: str, target: str, batch: str, keep: int | None = None
+) -> int:
+    """Copy the published log to the new root `target` as one batch; returns its rows.
+
+    Merges the files of many small batches.  `keep`: only the last commits of each
+    location, older records folded into one base snapshot.
+    """
+    records = read_log(spark, root)
+    if keep is not None:
+        timeline = load_timeline(read_commits(spark, root), ["location_key"])
+        records = retain_commits(records, timeline, keep, KEY)
+    kept = _write(records, target, batch)
+    _publish(spark, target, batch)
+    return kept
+
+
+def _folder(root: str, batch: str) -> str:
+    return f"{root}/log/batch={batch}"
+
+
+def _written(spark: SparkSession, root: str, batch: str) -> DataFrame:
+    return spark.read.schema(_log_schema(without="batch")).parquet(_folder(root, batch))
+
+
+def _write(records: DataFrame, root: str, batch: str) -> int:
+    """Write a batch, not yet visible; its rows are counted from the file footers."""
+    (
+        records.select("location_key", "commit", *RECORD_COLUMNS)
+        # Sizes the files: small partitions are merged, a hot location is split.
+        .hint("rebalance", "location_key", "commit")
+        .write.mode("overwrite")
+        .partitionBy("location_key", "commit")
+        .parquet(_folder(root, batch))
+    )
+    return _written(records.sparkSession, root, batch).count()
+
+
+def _publish(spark: SparkSession, root: str, batch: str) -> None:
+    """Make a written batch visible: one row per location and commit in it."""
+    written = _written(spark, root, batch).groupBy("location_key", "commit")
+    commits = written.agg(F.count(F.lit(1)).alias("rows"))
+    commits.write.mode("overwrite").parquet(f"{root}/commits/batch={batch}")
+
+
 def _log_schema(without: str = "") -> T.StructType:
     return T.StructType([f for f in LOG.fields if f.name != without])
 

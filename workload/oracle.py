@@ -216,6 +216,12 @@ ORACLE = {
              {_id()} AS entity_id, place_id::VARCHAR AS place_id, name, metric FROM place""",
     "upsert_log": f"WITH {_history()}, {_OBSERVED} SELECT * FROM observed",
     "stream_ingest": f"WITH {_history()}, {_OBSERVED} SELECT * FROM observed",
+    "log_rewrite": f"""WITH {_history()},
+      base AS (SELECT commit AS kept_from FROM commits WHERE ordinal = n_commits - 9)
+      SELECT greatest(commit, kept_from) AS commit, {_id()} AS entity_id, entity_id::VARCHAR AS place_id,
+             name, metric FROM log, base
+      QUALIFY row_number() OVER (PARTITION BY log.entity_id, greatest(log.commit, kept_from)
+                                 ORDER BY log.commit DESC) = 1""",
     "upsert_merge": f"WITH {_history()} SELECT entity_id, commit, seq, metric FROM log",
     "commit_timeline": f"WITH {_history()} SELECT commit, ordinal FROM commits",
     "commit_timeline_located": f"""WITH {_history("hour", _LOCATED, "location_key")}
@@ -285,6 +291,8 @@ ORACLE = {
                     substr(instant, 7, 2)
                   ELSE instant END AS tooltip
       FROM parsed""",
+    "window_start": f"""SELECT o_orderkey, strftime(o_orderdate - INTERVAL 6 MONTH, '{_INSTANT}') AS start
+      FROM orders""",
     "signed_text": f"""WITH {_history()}, {_tables()}
       SELECT entity_id, {_signed("metric_change")} AS change_text,
              CASE WHEN metric_change > 0 THEN 'positive' ELSE 'negative' END AS direction

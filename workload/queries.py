@@ -117,6 +117,14 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return log_store.read_log(spark, root).select(*_INGESTED)
 
 
+def log_rewrite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root, target = scratch_path(spark, "log"), scratch_path(spark, "log")
+    observed = ingest.flatten_places(fx.observation_documents(spark, sf_dir))
+    log_store.append_batch(observed, root, "b1")
+    log_store.rewrite_log(spark, root, target, "base", keep=10)
+    return log_store.read_log(spark, target).select(*_INGESTED)
+
+
 # --- snapshots --------------------------------------------------------------------
 
 
@@ -332,6 +340,12 @@ def instant_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def window_start(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fx.table(spark, sf_dir, "orders").select(
+        "o_orderkey", instants.window_start(F.col("o_orderdate")).alias("start")
+    )
+
+
 def signed_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     change = F.col("metric_change")
     return metric_change(spark, sf_dir).select(
@@ -498,6 +512,7 @@ QUERIES = {
         location_partition,
         upsert_log,
         stream_ingest,
+        log_rewrite,
         upsert_merge,
         commit_timeline,
         commit_timeline_located,
@@ -527,6 +542,7 @@ QUERIES = {
         history_parse,
         tolerant_parse,
         instant_parse,
+        window_start,
         signed_text,
         metric_bands,
         label_text,
