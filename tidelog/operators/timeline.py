@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidelog.operators.numbering import number_rows
+from tidelog.sources.scratch import durable
 
 # A timeline up to this many rows (about 100 bytes each) is broadcast; a longer one
 # is joined by shuffle.
@@ -65,7 +66,8 @@ def load_timeline(
     instants = commits.select(*location, "commit").distinct()
     head = instants.limit(max_rows + 1).toArrow().to_pandas()
     if len(head) > max_rows:
-        return Timeline(_numbered(instants, location), location, bounded=False)
+        # Written out: every lookup then scans the numbers instead of working them out.
+        return Timeline(durable(_numbered(instants, location)), location, bounded=False)
 
     head = head.sort_values([*location, "commit"], ignore_index=True)
     group = head.groupby(list(location) or (lambda _: 0), sort=False, dropna=False)["commit"]

@@ -56,13 +56,14 @@ def daily_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return upsert_merge(short_observations(spark, sf_dir))
 
 
-def daily_timeline(spark: SparkSession, sf_dir: str) -> Timeline:
-    return load_timeline(short_observations(spark, sf_dir))
+def daily_log_and_timeline(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Timeline]:
+    seen = short_observations(spark, sf_dir)
+    return upsert_merge(seen), load_timeline(seen)
 
 
 def daily_intervals(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Timeline]:
-    timeline = daily_timeline(spark, sf_dir)
-    return validity_intervals(daily_log(spark, sf_dir), timeline), timeline
+    log, timeline = daily_log_and_timeline(spark, sf_dir)
+    return validity_intervals(log, timeline), timeline
 
 
 def full_intervals(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Timeline]:

@@ -153,8 +153,7 @@ def validity_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def retain_commits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    line = fx.daily_timeline(spark, sf_dir)
-    return snapshots.retain_commits(fx.daily_log(spark, sf_dir), line, keep=10)
+    return snapshots.retain_commits(*fx.daily_log_and_timeline(spark, sf_dir), keep=10)
 
 
 # --- history ----------------------------------------------------------------------
@@ -177,7 +176,7 @@ def history_map(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def metric_change(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return history.metric_change(fx.daily_log(spark, sf_dir), fx.daily_timeline(spark, sf_dir))
+    return history.metric_change(*fx.daily_log_and_timeline(spark, sf_dir))
 
 
 def metric_change_located(spark: SparkSession, sf_dir: str) -> DataFrame:
