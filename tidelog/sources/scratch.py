@@ -10,15 +10,14 @@ _DIR = "spark.checkpoint.dir"
 
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder the cluster names; a temporary one only in local mode."""
-    named = spark.conf.get(_DIR, None) or spark.sparkContext.getConf().get(_DIR)
-    named = named or spark.sparkContext.getCheckpointDir()
+    context = spark.sparkContext
+    named = spark.conf.get(_DIR, None) or context.getCheckpointDir()
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         raise ValueError(f"set {_DIR} to a folder that every executor can reach")
-    folder = tempfile.mkdtemp(prefix="tidelog-")
-    spark.conf.set(_DIR, folder)
-    return folder
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="tidelog-"))
+    return context.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

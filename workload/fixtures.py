@@ -131,13 +131,12 @@ def place_documents(
     """
     rows = places(spark, sf_dir)
     known = F.when(F.col("balance") >= 0, F.col("latitude")) if dirty else F.col("latitude")
-    nation = F.col("nation").cast("string")
     return nest_documents(
         rows,
         ["nation"],
         "place_id",
         _document(
-            F.concat(F.lit("n"), F.lpad(nation, 2, "0"), F.lit("-"), F.lpad(F.col("part").cast("string"), 8, "0")),
+            F.format_string("n%02d-%08d", "nation", "part"),
             F.lit("20240101000000000"),
             F.lit(25.0),
             F.lit(121.0) + F.col("nation"),
@@ -155,7 +154,7 @@ def observation_documents(spark: SparkSession, sf_dir: str, max_places: int = 10
         ["commit"],
         "seq",
         _document(
-            F.concat(F.col("commit"), F.lit("-"), F.lpad(F.col("part").cast("string"), 12, "0")),
+            F.format_string("%s-%012d", "commit", "part"),
             F.col("commit"),
             F.lit(25.0),
             F.lit(121.5),
