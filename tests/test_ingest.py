@@ -219,12 +219,44 @@ def test_the_newest_complete_run_is_read_whole(spark, tmp_path):
     jobs.run_history(spark, root, day(5))
     jobs.run_history(spark, root, day(6))
     # A later run that died before its marker.
-    jobs.build_history(spark, root).limit(1).write.parquet(f"{root}/history/run={day(7)}")
-    assert published.latest_run(spark, root) == day(6)
+    part = jobs.build_history(spark, root).limit(1)
+    part.write.partitionBy("location_key").parquet(f"{root}/history/run={day(7)}")
+    assert [r["run"] for r in published.latest_runs(spark, root).collect()] == [day(6)]
     assert published.read_latest_history(spark, root).count() == 2
     assert published.read_latest_history(spark, root, location="nowhere").isEmpty()
 
 
+def test_a_run_of_one_location_leaves_the_others(spark, tmp_path):
+    root, folder = str(tmp_path / "root"), tmp_path / "raw"
+
+    def collect(number, lat, rating):
+        doc = document([place(*SHOP1, rating)], f"r{number}", day(number), lat)
+        jobs.ingest_documents(spark, land(folder, f"{number}.json", doc), root, f"b{number}")
+
+    collect(1, 25.0, 4.0)
+    collect(2, 20.0, 3.0)
+    assert jobs.run_history(spark, root, day(5)) == 2
+    collect(6, 20.0, 3.5)
+    assert jobs.run_history(spark, root, day(7), location="20.0_121.5") == 1
+    got = {r["location_key"]: r["metric_change"] for r in published.read_latest_history(spark, root).collect()}
+    assert got == {"25.0_121.5": 0.0, "20.0_121.5": 0.5}
+    one = published.read_latest_history(spark, root, "25.0_121.5", columns=["name"])
+    assert one.columns == ["name"] and one.count() == 1
+
+
+def test_a_batch_cut_off_before_publishing_is_written_again(spark, tmp_path):
+    root = str(tmp_path / "root")
+    path = land(tmp_path / "raw", "1.json", document([place(*SHOP1, 4.2)]))
+    jobs.ingest_documents(spark, path, root, "b1", commit=day(1))
+    # Left behind by a writer that died: another file under the batch to come.
+    remains = spark.read.parquet(f"{root}/log/batch=b1").withColumn("commit", F.lit(day(2)))
+    remains.write.partitionBy("location_key", "commit").parquet(f"{root}/log/batch=b2")
+    again = land(tmp_path / "raw", "2.json", document([place(*SHOP1, 4.9)]))
+    jobs.ingest_documents(spark, again, root, "b2", commit=day(3))
+    got = [(r["commit"], r["metric"]) for r in log_store.read_log(spark, root).collect()]
+    assert sorted(got) == [(day(1), 4.2), (day(3), 4.9)]
+
+
 def test_documents_round_trip_in_bounded_parts(spark, tmp_path):
     rows = spark.range(25).select(
         F.col("id").alias("n"), F.lit("q").alias("request"), F.concat(F.lit("p"), "id").alias("name")

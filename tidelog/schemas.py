@@ -96,9 +96,13 @@ HISTORY = T.StructType(
     ]
 )
 
-# Publish marker of the history output.
+# Publish marker of the history output, per location; a null key is a table without locations.
 RUNS = T.StructType(
-    [T.StructField("published_at", T.StringType()), T.StructField("rows", T.LongType())]
+    [
+        T.StructField("run", T.StringType()),
+        T.StructField("location_key", T.StringType()),
+        T.StructField("rows", T.LongType()),
+    ]
 )
 
 DAILY = T.StructType(

@@ -1,7 +1,9 @@
 """Published history tables.
 
     <root>/history/run=<instant>/location_key=<key>/*.parquet
-    <root>/runs/run=<instant>/*.parquet       written last: the publish marker
+    <root>/runs/published=<instant>/*.parquet     written last: the publish marker
+
+A run may hold all locations or some; the newest run of each location is the one read.
 """
 
 from collections.abc import Sequence
@@ -12,27 +14,33 @@ from pyspark.sql import types as T
 
 from tidelog.schemas import HISTORY, RUNS
 
+# Up to this many runs are named in the folder filter; more are left to the join alone.
+LISTED_RUNS = 1000
+
 
-def publish_history(history: DataFrame, root: str, published_at: str) -> int:
-    """Write one run and make it the newest; returns the rows written."""
+def publish_history(history: DataFrame, root: str, run: str) -> int:
+    """Write one run and make it the newest of its locations; returns the rows written."""
     spark = history.sparkSession
     located = ["location_key"] if "location_key" in history.columns else []
-    folder = f"{root}/history/run={published_at}"
+    folder = f"{root}/history/run={run}"
     # Sizes the files: small partitions are merged, a hot location is split.
     history.hint("rebalance", *located).write.mode("overwrite").partitionBy(*located).parquet(folder)
     # Counted from the file footers, not by running the history again.
-    rows = spark.read.schema(history.schema).parquet(folder).count()
-    marker = spark.createDataFrame([(published_at, rows)], RUNS)
-    marker.write.mode("overwrite").parquet(f"{root}/runs/run={published_at}")
-    return rows
+    counts = spark.read.schema(history.schema).parquet(folder).groupBy(*located)
+    markers = counts.agg(F.count(F.lit(1)).alias("rows")).select(
+        F.lit(run).alias("run"),
+        (F.col("location_key") if located else F.lit(None).cast("string")).alias("location_key"),
+        "rows",
+    )
+    path = f"{root}/runs/published={run}"
+    markers.write.mode("overwrite").parquet(path)
+    return spark.read.schema(RUNS).parquet(path).agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0]
 
 
-def latest_run(spark: SparkSession, root: str) -> str:
-    """Instant of the newest complete run."""
-    newest = spark.read.schema(RUNS).parquet(f"{root}/runs").agg(F.max("published_at")).first()[0]
-    if newest is None:
-        raise ValueError(f"no published history under {root}")
-    return newest
+def latest_runs(spark: SparkSession, root: str) -> DataFrame:
+    """Newest complete run of each location: location_key, run."""
+    runs = spark.read.schema(RUNS).parquet(f"{root}/runs")
+    return runs.groupBy("location_key").agg(F.max("run").alias("run"))
 
 
 def read_latest_history(
@@ -42,8 +50,21 @@ def read_latest_history(
     columns: Sequence[str] | None = None,
     schema: T.StructType = HISTORY,
 ) -> DataFrame:
-    """The newest run, all its files; `location` prunes folders, `columns` the scan."""
-    rows = spark.read.schema(schema).parquet(f"{root}/history/run={latest_run(spark, root)}")
+    """The newest run of each location, or of one, all its files.
+
+    Runs and location select folders, `columns` the scan.
+    """
+    newest = latest_runs(spark, root)
+    if location is not None:
+        newest = newest.filter(F.col("location_key") == location)
+    listed = [r["run"] for r in newest.select("run").distinct().limit(LISTED_RUNS + 1).collect()]
+    if not listed and location is None:
+        raise ValueError(f"no published history under {root}")
+    rows = spark.read.schema(T.StructType([*schema, RUNS["run"]])).parquet(f"{root}/history")
+    if len(listed) <= LISTED_RUNS:
+        rows = rows.filter(F.col("run").isin(listed))
     if location is not None:
         rows = rows.filter(F.col("location_key") == location)
-    return rows if columns is None else rows.select(*columns)
+    elif len(listed) > 1:
+        rows = rows.join(newest, ["location_key", "run"], "left_semi")
+    return rows.select(*(columns or schema.names))
