@@ -297,6 +297,36 @@ def test_details_override(spark):
     assert got(True) == [("a", "AA", None, "x"), ("b", "B", 2.0, "y")]
 
 
+def test_documents_from_landed_responses(spark, tmp_path):
+    def page(number, status, *places):
+        return {
+            "request_id": "q",
+            "commit": day(1),
+            "location": {"lat": 25.0, "lng": 121.5},
+            "radius": 500,
+            "page": number,
+            "status": status,
+            "results": list(places),
+        }
+
+    found = [place(*SHOP1, 4.0, "a"), place(*SHOP2, 3.0, "b"), place("Lost", 1.0, 1.0, 1.0, "c")]
+    del found[0]["url"]
+    lines = [page(1, "OK", found[1]), page(0, "OK", found[0]), page(2, "OVER_QUERY_LIMIT", found[2])]
+    lines.append({**page(0, "ZERO_RESULTS"), "request_id": "none"})
+    details = [
+        {"place_id": "a", "status": "OK", "result": {"url": "u", "rating": 4.4, "ignored": 1}},
+        {"place_id": "b", "status": "NOT_FOUND"},
+    ]
+    for name, rows in (("search", lines), ("details", details)):
+        (tmp_path / name).write_text("\n".join(json.dumps(r) for r in rows))
+    path = str(tmp_path / "raw")
+    jobs.collect(spark, str(tmp_path / "search"), str(tmp_path / "details"), path)
+    (got,) = raw.read_documents(spark, path, multi_line=False).collect()
+    assert (got["request_id"], got["radius"]) == ("q", 500)
+    places = [(p["place_id"], p["name"], p["rating"], p["url"]) for p in got["places"]]
+    assert places == [("a", "Shop 1", 4.4, "u"), ("b", "Shop 2", 3.0, "url/Shop 2")]
+
+
 def test_statuses(spark):
     df = spark.createDataFrame([("OK",), ("ZERO_RESULTS",), ("DENIED",), (None,)], "status string")
     assert ingest.successful(df, ingest.SEARCH_OK).count() == 2

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidelog.functions.identity import location_key, reject_reason, stable_id
 from tidelog.functions.instants import is_instant, to_instant
+from tidelog.schemas import DETAIL_FIELDS, PLACE
 
 BASIC_INFO = (
     "place_id",
@@ -18,8 +19,8 @@ BASIC_INFO = (
     "metric",
 )
 
-# Details that may replace what the search returned.
-DETAIL_FIELDS = ("name", "address", "latitude", "longitude", "metric", "url")
+# Greatest number of results on a page of the search provider.
+PAGE_SIZE = 20
 
 
 def flatten_places(documents: DataFrame, commit: Column | None = None) -> DataFrame:
@@ -128,7 +129,7 @@ def enrich_details(
     base: DataFrame,
     details: DataFrame,
     key: str = "place_id",
-    fields: Sequence[str] = DETAIL_FIELDS,
+    fields: Sequence[str] = (*DETAIL_FIELDS, "address", "metric"),
     strict: bool = False,
 ) -> DataFrame:
     """Left join; a detail replaces the base value, without details the base row stays.
@@ -151,3 +152,38 @@ def enrich_details(
         return F.coalesce(f"__{column}", column).alias(column)
 
     return joined.select(*[merged(c) for c in base.columns])
+
+
+def search_results(responses: DataFrame, page_size: int = PAGE_SIZE) -> DataFrame:
+    """Places of the successful pages with their request; `seq` numbers them over its pages."""
+    found = successful(responses, SEARCH_OK).select(
+        "request_id",
+        "commit",
+        "location",
+        "radius",
+        "page",
+        F.posexplode("results").alias("at", "place"),
+    )
+    seq = F.col("page") * page_size + F.col("at")
+    return found.select(
+        "request_id", "commit", "location", "radius", seq.alias("seq"), "place.*"
+    )
+
+
+def collect_documents(
+    responses: DataFrame,
+    details: DataFrame,
+    page_size: int = PAGE_SIZE,
+    max_places: int = 10_000,
+) -> DataFrame:
+    """Raw documents from landed search pages and details responses.
+
+    Places of failed pages are left out, places without successful details stay as found.
+    A request without places gives no document.
+    """
+    found = search_results(responses, page_size)
+    known = successful(details, DETAILS_OK).select("place_id", "result.*")
+    enriched = enrich_details(found, known, fields=DETAIL_FIELDS)
+    request = ["request_id", "commit", "location", "radius"]
+    place = F.struct(*PLACE.names)
+    return nest_documents(enriched, request, "seq", [F.col(c) for c in request], place, max_places)

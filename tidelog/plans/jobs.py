@@ -1,20 +1,39 @@
-"""The three batch jobs: documents to log, log to history, history to view."""
+"""The batch jobs: responses to documents, documents to log, log to history, history to view."""
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidelog.operators.history import history_table, with_history_json
-from tidelog.operators.ingest import file_instant, flatten_places
+from tidelog.operators.ingest import (
+    PAGE_SIZE,
+    collect_documents,
+    file_instant,
+    flatten_places,
+)
 from tidelog.operators.snapshots import validity_intervals
 from tidelog.operators.timeline import load_timeline
 from tidelog.operators.trends import display_rows
 from tidelog.sources.history import publish_history, read_latest_history
 from tidelog.sources.log import append_batch, read_commits, read_log
-from tidelog.sources.raw import read_documents
+from tidelog.sources.raw import (
+    read_details,
+    read_documents,
+    read_search_pages,
+    write_documents,
+)
 
 KEY = ("location_key", "entity_id")
 
 
+def collect(
+    spark: SparkSession, search: str, details: str, path: str, page_size: int = PAGE_SIZE
+) -> None:
+    """Join landed search pages and details responses and write raw documents, one per line."""
+    responses = read_search_pages(spark, search)
+    documents = collect_documents(responses, read_details(spark, details), page_size)
+    write_documents(documents, path, one_per_file=False)
+
+
 def ingest_documents(
     spark: SparkSession,
     path: str,

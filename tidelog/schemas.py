@@ -39,6 +39,33 @@ RAW_DOCUMENT = T.StructType(
     ]
 )
 
+# One landed page of a search: the request it belongs to, the provider's status and results.
+SEARCH_RESPONSE = T.StructType(
+    [
+        T.StructField("request_id", T.StringType()),
+        T.StructField("commit", T.StringType()),
+        T.StructField("location", RAW_DOCUMENT["location"].dataType),
+        T.StructField("radius", T.IntegerType()),
+        T.StructField("page", T.LongType()),
+        T.StructField("status", T.StringType()),
+        T.StructField("error_message", T.StringType()),
+        T.StructField("results", T.ArrayType(PLACE)),
+    ]
+)
+
+# The fields asked of the details service.
+DETAIL_FIELDS = ("name", "formatted_address", "geometry", "rating", "url")
+
+# One landed details response.
+DETAILS_RESPONSE = T.StructType(
+    [
+        T.StructField("place_id", T.StringType()),
+        T.StructField("status", T.StringType()),
+        T.StructField("error_message", T.StringType()),
+        T.StructField("result", T.StructType([PLACE[name] for name in DETAIL_FIELDS])),
+    ]
+)
+
 # The entity record, as flattened from a document and kept in the log.
 RECORD_COLUMNS = [
     "entity_id",

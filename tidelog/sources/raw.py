@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidelog.schemas import DAILY, RAW_DOCUMENT
+from tidelog.schemas import DAILY, DETAILS_RESPONSE, RAW_DOCUMENT, SEARCH_RESPONSE
 
 
 def read_documents(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
@@ -13,6 +13,16 @@ def read_documents(spark: SparkSession, path: str, multi_line: bool = True) -> D
     return spark.read.schema(RAW_DOCUMENT).option("multiLine", multi_line).json(path)
 
 
+def read_search_pages(spark: SparkSession, path: str) -> DataFrame:
+    """Landed search responses, one per line, all pages of all requests."""
+    return spark.read.schema(SEARCH_RESPONSE).json(path)
+
+
+def read_details(spark: SparkSession, path: str) -> DataFrame:
+    """Landed details responses, one per line."""
+    return spark.read.schema(DETAILS_RESPONSE).json(path)
+
+
 def write_documents(documents: DataFrame, path: str, one_per_file: bool = True) -> None:
     """Append documents as JSON, each in its own file or one per line."""
     writer = documents.write.mode("append")

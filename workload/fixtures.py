@@ -180,6 +180,51 @@ def detail_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def search_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One request per nation, its customers on pages of 100 consecutive keys; a page with a
+    balance below -900 has failed."""
+    element = _element(F.col("place_id"), "metric", F.col("latitude"), F.col("category"))
+    paged = places(spark, sf_dir).select(
+        "nation",
+        F.floor(F.col("place_id") / 100).cast("bigint").alias("page"),
+        "balance",
+        F.struct("place_id", element.alias("place")).alias("item"),
+    )
+    # At most 100 items in a group, by the width of a page.
+    grouped = paged.groupBy("nation", "page").agg(
+        F.min("balance").alias("worst"), F.sort_array(F.collect_list("item")).alias("items")
+    )
+    return grouped.select(
+        F.format_string("n%02d", "nation").alias("request_id"),
+        F.lit("20240101000000000").alias("commit"),
+        F.struct(F.lit(25.0).alias("lat"), (F.lit(121.0) + F.col("nation")).alias("lng")).alias("location"),
+        F.lit(5000).alias("radius"),
+        "page",
+        F.when(F.col("worst") < -900, F.lit("UNKNOWN_ERROR")).otherwise(F.lit("OK")).alias("status"),
+        F.transform("items", lambda i: i["place"]).alias("results"),
+    )
+
+
+def details_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Details of each customer: other name and link, no metric; unknown for BUILDING."""
+    key = F.col("place_id").cast("string")
+    element = _element(F.col("place_id"), "metric", F.col("latitude"), F.col("category"))
+    rows = places(spark, sf_dir).withColumn("place", element)
+    result = F.struct(
+        F.upper("name").alias("name"),
+        "place.formatted_address",
+        "place.geometry",
+        F.lit(None).cast("double").alias("rating"),
+        F.concat(F.lit("details/"), key).alias("url"),
+    )
+    known = F.col("category") != "BUILDING"
+    return rows.select(
+        key.alias("place_id"),
+        F.when(known, F.lit("OK")).otherwise(F.lit("NOT_FOUND")).alias("status"),
+        F.when(known, result).alias("result"),
+    )
+
+
 def search_pages(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     """Pages of three searches: every customer is found twice, every supplier once.
 

@@ -231,6 +231,10 @@ ORACLE = {
     "snapshot_as_of": f"""WITH {_observations("day")} SELECT entity_id, commit, seq, metric FROM obs
       WHERE commit <= '{AS_OF}'
       QUALIFY row_number() OVER (PARTITION BY entity_id ORDER BY commit DESC, seq DESC) = 1""",
+    "log_as_of": f"""WITH {_history()}
+      SELECT commit, {_id()} AS entity_id, entity_id::VARCHAR AS place_id, name, metric FROM log
+      WHERE commit <= '{AS_OF}'
+      QUALIFY row_number() OVER (PARTITION BY log.entity_id ORDER BY commit DESC) = 1""",
     "validity_intervals": f"""WITH {_history()}
       SELECT iv.entity_id, iv.commit, iv.seq, iv.metric, c.ordinal,
              coalesce(n.ordinal, c.n_commits + 1) AS next_ordinal, c.n_commits, iv.valid_to,
@@ -364,6 +368,13 @@ ORACLE = {
       QUALIFY row_number() OVER (PARTITION BY place_id ORDER BY page DESC) = 1""",
     "pages_duplicates": f"""WITH {_PLACES}, {_PAGES}
       SELECT place_id, count(*) AS copies FROM page GROUP BY place_id HAVING count(*) > 1""",
+    "collect_documents": f"""WITH {_PLACES},
+      paged AS (SELECT *, min(balance) OVER (PARTITION BY nation, place_id // 100) AS worst FROM place)
+      SELECT '25.0_' || (121.0::DOUBLE + nation)::VARCHAR AS location_key, '20240101000000000' AS commit,
+             'n' || lpad(nation::VARCHAR, 2, '0') AS source, place_id::VARCHAR AS place_id,
+             CASE WHEN category <> 'BUILDING' THEN upper(name) ELSE name END AS name, metric,
+             CASE WHEN category <> 'BUILDING' THEN 'details/' ELSE 'place/' END || place_id::VARCHAR AS url
+      FROM paged WHERE worst >= -900""",
     "status_rejected": """SELECT c_custkey AS place_id, 'NOT_FOUND' AS status FROM customer
       WHERE c_acctbal < 0""",
     "enrich_details": f"""WITH {_PLACES}, {_DETAILS}

@@ -156,6 +156,16 @@ def retain_commits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return snapshots.retain_commits(*fx.daily_log_and_timeline(spark, sf_dir), keep=10)
 
 
+def log_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As `snapshot_as_of`, from a log on disk, reading only the folders up to the instant."""
+    root = scratch_path(spark, "log")
+    log_store.append_batch(
+        ingest.flatten_places(fx.observation_documents(spark, sf_dir)), root, "b1"
+    )
+    log = log_store.read_log(spark, root, until=fx.AS_OF)
+    return snapshots.snapshot_latest(log, log_store.KEY, ["commit"]).select(*_INGESTED)
+
+
 # --- history ----------------------------------------------------------------------
 
 
@@ -478,6 +488,17 @@ def pages_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return duplicate_keys(pages_union(spark, sf_dir), ["place_id"])
 
 
+def collect_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    search, details, path = (scratch_path(spark, n) for n in ("search", "details", "raw"))
+    fx.search_responses(spark, sf_dir).write.json(search)
+    fx.details_responses(spark, sf_dir).write.json(details)
+    jobs.collect(spark, search, details, path, page_size=100)
+    documents = raw.read_documents(spark, path, multi_line=False)
+    return ingest.flatten_places(documents).select(
+        "location_key", "commit", "source", "place_id", "name", "metric", "url"
+    )
+
+
 def status_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
     responses = fx.detail_responses(spark, sf_dir)
     return ingest.unsuccessful(responses, ingest.DETAILS_OK).select("place_id", "status")
@@ -517,6 +538,7 @@ QUERIES = {
         commit_timeline_located,
         snapshot_latest,
         snapshot_as_of,
+        log_as_of,
         validity_intervals,
         retain_commits,
         history_long,
@@ -561,6 +583,7 @@ QUERIES = {
         pages_union,
         pages_dedup,
         pages_duplicates,
+        collect_documents,
         status_rejected,
         enrich_details,
         enrich_details_strict,
