@@ -177,6 +177,27 @@ def test_rewriting_the_log_keeps_its_contents(spark, tmp_path):
     assert history == {day(2): 4.5, day(3): 3.0}
 
 
+def test_a_log_without_commit_folders(spark, tmp_path):
+    root, flat, folder = str(tmp_path / "root"), str(tmp_path / "flat"), tmp_path / "raw"
+    for d, rating in ((1, 4.0), (2, 4.5)):
+        path = land(folder, f"{d}.json", document([place(*SHOP1, rating)], f"r{d}", day(d)))
+        jobs.ingest_documents(spark, path, root, f"b{d}")
+    layout = ("location_key",)
+    assert log_store.rewrite_log(spark, root, flat, "base", layout=layout) == 2
+    before, after = (sorted(map(tuple, log_store.read_log(spark, r).collect())) for r in (root, flat))
+    assert before == after
+    path = land(folder, "3.json", document([place(*SHOP1, 3.0)], "r3", day(3)))
+    jobs.ingest_documents(spark, path, flat, "b3", layout=layout)
+    assert json.loads(jobs.build_history(spark, flat).first()["history"]) == {
+        day(1): 4.0,
+        day(2): 4.5,
+        day(3): 3.0,
+    }
+    early = log_store.read_log(spark, flat, until=day(1))
+    assert early.count() == 1
+    assert "LessThanOrEqual(commit" in early._jdf.queryExecution().executedPlan().toString()
+
+
 def test_each_location_has_its_own_timeline(spark, tmp_path):
     root, folder = str(tmp_path / "root"), tmp_path / "raw"
     north = [land(folder, f"n{d}.json", document([place(*SHOP1, r)], f"n{d}", day(d), 25.0)) for d, r in ((1, 4.0), (3, 4.5))]

@@ -63,7 +63,7 @@ def load_timeline(
     Reads at most `max_rows` + 1 commits to the driver to learn whether they may be broadcast.
     """
     location = tuple(location)
-    instants = commits.select(*location, "commit").distinct()
+    instants = commits.select(*location, "commit").filter("commit is not null").distinct()
     head = instants.limit(max_rows + 1).toArrow().to_pandas()
     if len(head) > max_rows:
         # Written out: every lookup then scans the numbers instead of working them out.

@@ -1,5 +1,7 @@
 """The batch jobs: responses to documents, documents to log, log to history, history to view."""
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,7 +16,7 @@ from tidelog.operators.snapshots import validity_intervals
 from tidelog.operators.timeline import load_timeline
 from tidelog.operators.trends import display_rows
 from tidelog.sources.history import publish_history, read_latest_history
-from tidelog.sources.log import append_batch, read_commits, read_log
+from tidelog.sources.log import LAYOUT, append_batch, read_commits, read_log
 from tidelog.sources.raw import (
     read_details,
     read_documents,
@@ -41,6 +43,7 @@ def ingest_documents(
     batch: str,
     commit: str | None = None,
     multi_line: bool = True,
+    layout: Sequence[str] = LAYOUT,
 ) -> dict[str, int]:
     """Flatten, identify and upsert all documents under `path` as one batch.
 
@@ -49,7 +52,7 @@ def ingest_documents(
     """
     documents = read_documents(spark, path, multi_line)
     instant = file_instant() if commit is None else F.lit(commit)
-    return append_batch(flatten_places(documents, instant), root, batch)
+    return append_batch(flatten_places(documents, instant), root, batch, layout)
 
 
 def build_history(spark: SparkSession, root: str, location: str | None = None) -> DataFrame:
@@ -63,7 +66,9 @@ def build_history(spark: SparkSession, root: str, location: str | None = None) -
     return with_history_json(history_table(intervals, timeline, KEY))
 
 
-def run_history(spark: SparkSession, root: str, published_at: str, location: str | None = None) -> int:
+def run_history(
+    spark: SparkSession, root: str, published_at: str, location: str | None = None
+) -> int:
     """Build and publish; returns the rows written."""
     return publish_history(build_history(spark, root, location), root, published_at)
 

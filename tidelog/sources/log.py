@@ -8,6 +8,8 @@ Writing a batch again replaces its own folders only, so a replay changes nothing
 readers see a batch once its commit rows are there.
 """
 
+from collections.abc import Sequence
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
@@ -21,8 +23,14 @@ from tidelog.schemas import COMMITS, LOG, RECORD_COLUMNS
 
 KEY = ("location_key", "entity_id")
 
+# Folders below a batch.  With many small commits give ("location_key",) instead: the commit
+# is then a sorted column that row-group statistics prune.  One choice holds for a whole root.
+LAYOUT = ("location_key", "commit")
+
 
-def append_batch(places: DataFrame, root: str, batch: str) -> dict[str, int]:
+def append_batch(
+    places: DataFrame, root: str, batch: str, layout: Sequence[str] = LAYOUT
+) -> dict[str, int]:
     """Upsert flattened places as batch `batch`; returns the rows read, rejected and kept.
 
     One pass over the input, and a second for the rejected rows if there are any.  A batch
@@ -38,7 +46,7 @@ def append_batch(places: DataFrame, root: str, batch: str) -> dict[str, int]:
     tallies = F.count(F.lit(1)).alias("read"), F.count("reject_reason").alias("rejected")
     observed = accepted(rows.observe(seen, *tallies))
     records = latest_per_key(observed, [*KEY, "commit"], ["source", "seq"])
-    kept = _write(records, root, batch)
+    kept = _write(records, root, batch, layout)
     if kept:
         counts = seen.get
     else:
@@ -51,7 +59,12 @@ def append_batch(places: DataFrame, root: str, batch: str) -> dict[str, int]:
 
 
 def rewrite_log(
-    spark: SparkSession, root: str, target: str, batch: str, keep: int | None = None
+    spark: SparkSession,
+    root: str,
+    target: str,
+    batch: str,
+    keep: int | None = None,
+    layout: Sequence[str] = LAYOUT,
 ) -> int:
     """Copy the published log to the new root `target` as one batch; returns its rows.
 
@@ -62,7 +75,7 @@ def rewrite_log(
     if keep is not None:
         timeline = load_timeline(read_commits(spark, root), ["location_key"])
         records = retain_commits(records, timeline, keep, KEY)
-    kept = _write(records, target, batch)
+    kept = _write(records, target, batch, layout)
     _publish(spark, target, batch)
     return kept
 
@@ -75,14 +88,15 @@ def _written(spark: SparkSession, root: str, batch: str) -> DataFrame:
     return spark.read.schema(_log_schema(without="batch")).parquet(_folder(root, batch))
 
 
-def _write(records: DataFrame, root: str, batch: str) -> int:
+def _write(records: DataFrame, root: str, batch: str, layout: Sequence[str]) -> int:
     """Write a batch, not yet visible; its rows are counted from the file footers."""
     (
         records.select("location_key", "commit", *RECORD_COLUMNS)
         # Sizes the files: small partitions are merged, a hot location is split.
-        .hint("rebalance", "location_key", "commit")
+        .hint("rebalance", *layout)
+        .sortWithinPartitions("location_key", "commit")
         .write.mode("overwrite")
-        .partitionBy("location_key", "commit")
+        .partitionBy(*layout)
         .parquet(_folder(root, batch))
     )
     return _written(records.sparkSession, root, batch).count()
@@ -118,7 +132,8 @@ def read_log(
 ) -> DataFrame:
     """Published records, one per location, entity and commit.
 
-    `location` and `until` (an instant, included) prune folders.
+    `location` and `until` (an instant, included) prune folders, or row groups where the
+    layout keeps them in the files.
     """
     wanted = F.lit(True)
     if location is not None:

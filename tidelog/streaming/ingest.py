@@ -1,13 +1,14 @@
 """Incremental ingest: newly landed documents are upserted once."""
 
 import hashlib
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from tidelog.operators.ingest import file_instant, flatten_places
 from tidelog.schemas import RAW_DOCUMENT
-from tidelog.sources.log import append_batch
+from tidelog.sources.log import LAYOUT, append_batch
 
 
 def stream_documents(
@@ -22,7 +23,9 @@ def stream_documents(
     )
 
 
-def start_ingest(documents: DataFrame, root: str, checkpoint: str) -> StreamingQuery:
+def start_ingest(
+    documents: DataFrame, root: str, checkpoint: str, layout: Sequence[str] = LAYOUT
+) -> StreamingQuery:
     """Upsert what has landed so far, then stop; run again for what lands later.
 
     The commit comes from the document or its file, never from the order of arrival.
@@ -33,7 +36,7 @@ def start_ingest(documents: DataFrame, root: str, checkpoint: str) -> StreamingQ
     stream = hashlib.sha256(checkpoint.encode()).hexdigest()[:12]
 
     def upsert(batch: DataFrame, number: int) -> None:
-        append_batch(batch, root, f"{stream}-{number:012d}")
+        append_batch(batch, root, f"{stream}-{number:012d}", layout)
 
     return (
         flatten_places(documents, file_instant())
