@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.llm import line_dedup, warc
+from tidelog.llm import line_dedup, onebit_ann, warc
 from tidelog.sources.scratch import scratch_path
 
 
@@ -23,9 +23,15 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_onebit_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings")
+    return onebit_ann.top_k(vectors, vectors.where("vec_id % 50 = 0"), 5)
+
+
 QUERIES = {
     "op7_warc": op7_warc,
     "op8_line_dedup": op8_line_dedup,
+    "op9_onebit_ann": op9_onebit_ann,
 }
 
 ORACLE = {
