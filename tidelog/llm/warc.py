@@ -93,16 +93,17 @@ def write_archive(
         _record_id(F.col("page_id")).alias("record_id"), header_text(date).alias("header"), "sha256"
     ).write.option("compression", "zstd").parquet(f"{path}/records")
     payload = F.encode(F.coalesce("html", F.lit("")), "UTF-8")
-    bodies = pages.select("page_id", F.sha2(payload, 256).alias("sha256"), payload.alias("payload"))
-    keepers = bodies.groupBy("sha256").agg(F.max("page_id").alias("keeper"))
+    # Null ids as one value: plain equality, so that the join and the removal of repeated rows
+    # share one exchange.
+    page = F.coalesce(F.col("page_id").cast("long"), F.lit(-(2**63)))
+    bodies = pages.select(
+        F.sha2(payload, 256).alias("sha256"), page.alias("page"), payload.alias("payload")
+    )
+    keepers = bodies.groupBy("sha256").agg(F.max("page").alias("page"))
     # Whole payloads move once, by (digest, page): page ids are spread even where a digest is hot.
     stored = (
-        bodies.join(
-            keepers.withColumnRenamed("sha256", "k256"),
-            (F.col("sha256") == F.col("k256")) & F.col("page_id").eqNullSafe(F.col("keeper")),
-            "left_semi",
-        )
-        .dropDuplicates(["sha256", "page_id"])
+        bodies.join(keepers, ["sha256", "page"], "left_semi")
+        .dropDuplicates(["sha256", "page"])
         .select("sha256", "payload")
     )
     stored.write.option("compression", "zstd").parquet(f"{path}/payloads")
