@@ -52,6 +52,8 @@ def drop_boilerplate(
     text: str = "text",
     ratio: float = 0.1,
     min_pages: int = 5,
+    id_col: str = "doc_id",
+    salts: int = 32,
 ) -> DataFrame:
     """`docs` with boilerplate lines cut out of `text`, and lines_dropped added.
 
@@ -59,8 +61,16 @@ def drop_boilerplate(
     `ratio` of them.  Lines compare without surrounding blanks; one page counts a line once;
     repeated rows are pages of their own.  Empty lines, lines of rows without a host, and null
     texts stay as they are.  A text that loses all its lines becomes empty; its row stays.
+
+    Pages of one host are dealt out over `salts` join keys by their id, and the host's short
+    list of lines is repeated for each: a host with a third of all pages is no hot partition.
     """
-    known = boilerplate_lines(docs, host, text, ratio, min_pages).withColumnRenamed("host", "__host")
+    known = (
+        boilerplate_lines(docs, host, text, ratio, min_pages)
+        .withColumnRenamed("host", "__host")
+        .withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    )
+    salt = F.pmod(F.xxhash64(id_col), F.lit(salts)).cast("int")
     none = F.array().cast("array<struct<a:bigint,b:int>>")
     bad = F.coalesce(F.col("boilerplate"), none)
     kept = F.filter(
@@ -68,12 +78,12 @@ def drop_boilerplate(
     )
     changed = F.col("lines_dropped") > 0
     return (
-        docs.join(known, F.col(host) == F.col("__host"), "left")
+        docs.join(known, (F.col(host) == F.col("__host")) & (salt == F.col("__salt")), "left")
         .withColumn("__kept", F.when(F.size(bad) > 0, kept))
         .withColumn(
             "lines_dropped",
             F.coalesce(F.size(_lines(text)) - F.size("__kept"), F.lit(0)).cast("long"),
         )
         .withColumn(text, F.when(changed, F.array_join("__kept", "\n")).otherwise(F.col(text)))
-        .drop("__host", "__kept", "boilerplate")
+        .drop("__host", "__salt", "__kept", "boilerplate")
     )
