@@ -1,9 +1,10 @@
 """One query per operator over its whole table, and the SQL where SQL can say it."""
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.llm import line_dedup, onebit_ann, pq_dedup, warc
+from tidelog.llm import bpe, line_dedup, onebit_ann, pq_dedup, warc
 from tidelog.sources.scratch import scratch_path
 
 
@@ -15,6 +16,17 @@ def op1_pq_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pq_dedup.near_duplicates(_table(spark, sf_dir, "embeddings"))
 
 
+def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return bpe.round_trip(docs, path, drop=("text",)).select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "warc")
     warc.write_archive(_table(spark, sf_dir, "pages"), path)
@@ -34,6 +46,7 @@ def op9_onebit_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_pq_dedup": op1_pq_dedup,
+    "op3_bpe": op3_bpe,
     "op7_warc": op7_warc,
     "op8_line_dedup": op8_line_dedup,
     "op9_onebit_ann": op9_onebit_ann,
