@@ -53,10 +53,11 @@ def quantise(units: np.ndarray, model: dict) -> tuple[np.ndarray, np.ndarray, np
 def probes(units: np.ndarray, cell: np.ndarray, model: dict, radius: float):
     """(row, list) of every list that may hold something within the radius of the row."""
     centres = model["centres"]
-    own = centres[cell]
-    lead = ((units[:, None, :] - centres[None]) ** 2).sum(2) - ((units - own) ** 2).sum(1)[:, None]
-    between = np.sqrt(((own[:, None, :] - centres[None]) ** 2).sum(2))
-    return np.nonzero(lead <= 2 * between * (radius + _SLACK) + _SLACK)
+    squares = (centres**2).sum(1)
+    far = squares - 2 * units @ centres.T
+    lead = far - far[np.arange(len(units)), cell][:, None]
+    gaps = np.sqrt(np.maximum(squares[:, None] + squares - 2 * centres @ centres.T, 0))
+    return np.nonzero(lead <= 2 * gaps[cell] * (radius + _SLACK) + _SLACK)
 
 
 def table_distances(query: np.ndarray, codes: np.ndarray, centre: np.ndarray, model: dict) -> np.ndarray:
@@ -64,75 +65,127 @@ def table_distances(query: np.ndarray, codes: np.ndarray, centre: np.ndarray, mo
     residual = query - centre
     total = np.zeros((len(query), len(codes)))
     for i, (p, book) in enumerate(zip(model["parts"], model["books"], strict=True)):
-        table = ((residual[:, None, p] - book[None]) ** 2).sum(2)
+        own = residual[:, p]
+        table = (own**2).sum(1)[:, None] - 2 * own @ book.T + (book**2).sum(1)
         total += table[:, codes[:, i]]
-    return np.sqrt(total)
+    return np.sqrt(np.maximum(total, 0))
 
 
-def _spread(model: dict, width: int, radius: float):
-    """Each vector once per list it probes; `home` marks its own list, with its codes."""
+def _assign(model: dict, width: int):
+    """Own list, codes and left-over length of every vector, the vector as packed doubles."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
             matrix = as_matrix(batch.column("vector"), width)
-            units = unit_rows(matrix)
-            cell, codes, left = quantise(units, model)
-            for lo in range(0, len(units), 512):
-                row, probed = probes(units[lo : lo + 512], cell[lo : lo + 512], model, radius)
-                row = row + lo
-                index = pa.array(row)
-                home = cell[row] == probed
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column("id").take(index),
-                        batch.column("label").take(index),
-                        batch.column("dim").take(index),
-                        pa.array(probed.astype(np.int32)),
-                        pa.array(home),
-                        batch.column("copies").take(index),
-                        batch.column("vector").take(index),
-                        pa.array([codes[r].tobytes() for r in row], pa.binary()),
-                        pa.array(left[row]),
-                    ],
-                    names=["id", "label", "dim", "cell", "home", "copies", "vector", "codes", "left"],
-                )
+            cell, codes, left = quantise(unit_rows(matrix), model)
+            kept = {n: batch.column(n) for n in ("id", "label", "dim", "copies")}
+            new = {
+                "cell": pa.array(cell.astype(np.int32)),
+                "vector": pa.array([v.tobytes() for v in matrix], pa.binary()),
+                "codes": pa.array([c.tobytes() for c in codes], pa.binary()),
+                "left": pa.array(left),
+            }
+            yield pa.RecordBatch.from_arrays([*kept.values(), *new.values()], names=[*kept, *new])
 
     return run
 
 
-def _compare(model: dict, width: int, threshold: float):
-    """Links between the queries and the members of one block pair of a list."""
+_BLOCK = (
+    "block string, label string, dim int, cell int, reach array<int>, "
+    "ids binary, copies binary, vectors binary, codes binary, lefts binary"
+)
+
+
+def _pack(model: dict, width: int, radius: float):
+    """Members of one block of a list as one row, with the lists that any of them probes."""
+
+    def run(key: tuple, rows: pa.Table) -> pa.Table:
+        label, dim, cell, number = (k.as_py() for k in key)
+        vectors = b"".join(rows.column("vector").to_pylist())
+        units = unit_rows(np.frombuffer(vectors).reshape(-1, width))
+        _, probed = probes(units, np.full(len(units), cell), model, radius)
+        binary = lambda name: [rows.column(name).to_numpy().tobytes()]
+        return pa.table(
+            {
+                "block": [f"{label}/{dim}/{cell}/{number}"],
+                "label": [label],
+                "dim": pa.array([dim], pa.int32()),
+                "cell": pa.array([cell], pa.int32()),
+                "reach": pa.array([np.unique(probed)], pa.list_(pa.int32())),
+                "ids": pa.array(binary("id"), pa.binary()),
+                "copies": pa.array(binary("copies"), pa.binary()),
+                "vectors": pa.array([vectors], pa.binary()),
+                "codes": pa.array([b"".join(rows.column("codes").to_pylist())], pa.binary()),
+                "lefts": pa.array(binary("left"), pa.binary()),
+            }
+        )
+
+    return run
+
+
+def compare_blocks(a: dict, b: dict, model: dict, threshold: float):
+    """(row of a, row of b) of all links between two blocks; within one block, each pair once."""
     radius = np.sqrt(2 - 2 * threshold)
+    rows = []
+    for own, other in ((a, b), (b, a)):
+        # Only rows that are near enough to the other block's list can have a partner in it.
+        lead = probes(own["units"], np.full(len(own["units"]), own["cell"]), model, radius)
+        rows.append(lead[0][lead[1] == other["cell"]])
+    i, j = rows
+    if not len(i) or not len(j):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    distance = table_distances(a["units"][i], b["codes"][j], model["centres"][b["cell"]], model)
+    near = distance - b["lefts"][j][None] <= radius + _SLACK
+    if a["block"] == b["block"]:
+        near &= i[:, None] < j[None]
+    u, v = np.nonzero(near)
+    u, v = i[u], j[v]
+    linked = np.zeros(len(u), bool)
+    for lo in range(0, len(u), 32768):
+        x, y = a["vectors"][u[lo : lo + 32768]], b["vectors"][v[lo : lo + 32768]]
+        dots = np.einsum("ij,ij->i", x, y)
+        norms = np.sqrt(np.einsum("ij,ij->i", x, x) * np.einsum("ij,ij->i", y, y))
+        linked[lo : lo + 32768] = dots / norms >= threshold
+    linked &= a["ids"][u] != b["ids"][v]
+    return u[linked], v[linked]
 
-    def run(key: tuple, queries: pa.Table, members: pa.Table) -> pa.Table:
-        q_id, m_id = (t.column("id").to_numpy() for t in (queries, members))
-        empty = {"id": pa.int64(), "root": pa.int64(), "n_links": pa.int64()}
-        if not len(q_id) or not len(m_id):
-            return pa.table({k: pa.array([], t) for k, t in empty.items()})
-        q, m = (as_matrix(t.column("vector"), width) for t in (queries, members))
-        codes = np.frombuffer(b"".join(members.column("codes").to_pylist()), np.uint8).reshape(len(m), -1)
-        left, copies = (members.column(n).to_numpy() for n in ("left", "copies"))
-        centre = model["centres"][key[_GROUP.index("cell")].as_py()]
-        distance = table_distances(unit_rows(q), codes, centre, model)
-        near = (distance - left[None] <= radius + _SLACK) & (q_id[:, None] != m_id[None])
-        u, v = np.nonzero(near)
-        linked = np.zeros(len(u), bool)
-        for lo in range(0, len(u), 32768):
-            a, b = q[u[lo : lo + 32768]], m[v[lo : lo + 32768]]
-            dots = np.einsum("ij,ij->i", a, b)
-            norms = np.sqrt(np.einsum("ij,ij->i", a, a) * np.einsum("ij,ij->i", b, b))
-            linked[lo : lo + 32768] = dots / norms >= threshold
-        u, v = u[linked], v[linked]
-        n_links = np.bincount(u, weights=copies[v], minlength=len(q_id)).astype(np.int64)
-        # The links of this pair of blocks leave as a forest: one row per vector, not per link.
-        nodes, index = np.unique(np.concatenate([q_id, m_id]), return_inverse=True)
-        root = local_roots(index[u], index[len(q_id) + v], len(nodes))
-        count = np.zeros(len(nodes), np.int64)
-        np.add.at(count, index[: len(q_id)], n_links)
-        some = (count > 0) | (root != np.arange(len(nodes)))
-        return pa.table({"id": nodes[some], "root": nodes[root[some]], "n_links": count[some]})
+
+def _compare(model: dict, width: int, threshold: float):
+    def block(batch: pa.RecordBatch, row: int, side: str) -> dict:
+        get = lambda name: batch.column(f"{side}_{name}")[row].as_py()
+        vectors = np.frombuffer(get("vectors")).reshape(-1, width)
+        return {
+            "block": get("block"),
+            "cell": get("cell"),
+            "ids": np.frombuffer(get("ids"), np.int64),
+            "copies": np.frombuffer(get("copies"), np.int64),
+            "lefts": np.frombuffer(get("lefts")),
+            "codes": np.frombuffer(get("codes"), np.uint8).reshape(len(vectors), -1),
+            "vectors": vectors,
+            "units": unit_rows(vectors),
+        }
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(batch.num_rows):
+                a, b = (block(batch, row, side) for side in "ab")
+                u, v = compare_blocks(a, b, model, threshold)
+                if not len(u):
+                    continue
+                # The links leave as counts and a forest: one row per vector, not per link.
+                nodes, index = np.unique(np.concatenate([a["ids"], b["ids"]]), return_inverse=True)
+                left, right = index[u], index[len(a["ids"]) + v]
+                count = np.zeros(len(nodes), np.int64)
+                np.add.at(count, left, b["copies"][v])
+                np.add.at(count, right, a["copies"][u])
+                root = local_roots(left, right, len(nodes))
+                some = count > 0
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(x[some]) for x in (nodes, nodes[root], count)],
+                    names=["id", "root", "n_links"],
+                )
 
     return run
 
@@ -146,7 +199,7 @@ def near_duplicates(
     subspaces: int = 8,
     codes: int = 64,
     sample_rows: int = 8192,
-    list_rows: int = 512,
+    list_rows: int = 2048,
     max_lists: int = 1024,
     block_rows: int = 2048,
     seed: int = 7,
@@ -161,8 +214,8 @@ def near_duplicates(
     component, and the links of all of them are counted for each.
 
     The centres and codebooks are fitted on at most `sample_rows` rows (those with the smallest
-    hash); every row is indexed and searched.  `block_rows` bounds what one task compares at
-    once: longer lists are cut, and their blocks meet in pairs.
+    hash); every row is indexed and searched.  `block_rows` bounds what is compared at once:
+    longer lists are cut into blocks, and blocks meet in pairs, each pair once.
     """
     spark = vectors.sparkSession
     source = vectors.select(
@@ -198,33 +251,45 @@ def near_duplicates(
         lists = int(min(max_lists, max(4, n // list_rows)))
         model = train(unit_rows(as_matrix(sample.column("vector"), width)), lists, subspaces, codes, seed)
         radius = float(np.sqrt(2 - 2 * threshold))
-        spread = durable(
+        assigned = durable(
             classes.select("id", "label", "dim", "copies", "vector").mapInArrow(
-                _spread(model, width, radius),
-                "id long, label string, dim int, cell int, home boolean, copies long, "
-                "vector array<double>, codes binary, left double",
+                _assign(model, width),
+                "id long, label string, dim int, copies long, cell int, "
+                "vector binary, codes binary, left double",
             )
         )
-        sizes = spread.groupBy(*_GROUP).agg(
-            F.ceil(F.count(F.lit(1)) / block_rows).cast("int").alias("q_blocks"),
-            F.ceil(F.count_if("home") / block_rows).cast("int").alias("m_blocks"),
+        sizes = assigned.groupBy(*_GROUP).agg(
+            F.ceil(F.count(F.lit(1)) / block_rows).cast("int").alias("blocks")
         )
-        placed = spread.join(sizes.where("m_blocks > 0"), list(_GROUP))
-        keys = [*_GROUP, "q", "m"]
-
-        def dealt(own: str, other: str, salt: int) -> list:
-            mine = F.pmod(F.xxhash64("id", F.lit(salt)), F.col(f"{own}_blocks")).cast("int")
-            return [mine.alias(own), F.explode(F.sequence(F.lit(0), F.col(f"{other}_blocks") - 1)).alias(other)]
-
-        queries = placed.select(*_GROUP, "id", "vector", *dealt("q", "m", 1))
-        members = placed.where("home").select(
-            *(F.col(c).alias(c) for c in (*_GROUP, "id", "vector", "copies", "codes", "left")),
-            *dealt("m", "q", 2),
+        number = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int").alias("number")
+        blocks = durable(
+            assigned.join(sizes, list(_GROUP))
+            .select(*_GROUP, number, "id", "copies", "vector", "codes", "left")
+            .groupBy(*_GROUP, "number")
+            .applyInArrow(_pack(model, width, radius), _BLOCK)
+        )
+        # Which blocks meet is settled on names alone: a list and the later lists it reaches.
+        names = blocks.select("block", "label", "dim", "cell", "reach")
+        ahead = names.select(
+            F.col("block").alias("a"), "label", "dim", F.col("cell").alias("own"),
+            F.explode("reach").alias("cell"),
+        ).where("cell >= own")
+        pairs = (
+            ahead.join(names.select(F.col("block").alias("b"), "label", "dim", "cell"), ["label", "dim", "cell"])
+            .where("cell > own OR a <= b")
+            .select("a", "b")
+        )
+        fields = ("block", "cell", "ids", "copies", "vectors", "codes", "lefts")
+        sides = {
+            side: blocks.select(*(F.col(f).alias(f"{side}_{f}") for f in fields)) for side in "ab"
+        }
+        met = pairs.join(sides["a"], F.col("a") == F.col("a_block")).join(
+            sides["b"], F.col("b") == F.col("b_block")
         )
         forest = durable(
-            queries.groupBy(*keys)
-            .cogroup(members.groupBy(*keys))
-            .applyInArrow(_compare(model, width, threshold), "id long, root long, n_links long")
+            met.select(*(f"{side}_{f}" for side in "ab" for f in fields)).mapInArrow(
+                _compare(model, width, threshold), "id long, root long, n_links long"
+            )
         )
         counts = forest.groupBy("id").agg(F.sum("n_links").alias("far"))
         parts = connected_components(forest.select("id", "root"))
