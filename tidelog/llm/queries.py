@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.llm import bpe, line_dedup, onebit_ann, pq_dedup, warc
+from tidelog.llm import bpe, line_dedup, onebit_ann, packing, pq_dedup, warc
 from tidelog.sources.scratch import scratch_path
 
 
@@ -44,12 +44,19 @@ def op9_onebit_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return onebit_ann.top_k(vectors, vectors.where("vec_id % 50 = 0"), 5)
 
 
+def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("word_bpe_49k.json")
+    pieces = packing.cut_documents(_table(spark, sf_dir, "documents"), path, with_ids=False)
+    return packing.pack(pieces)
+
+
 QUERIES = {
     "op1_pq_dedup": op1_pq_dedup,
     "op3_bpe": op3_bpe,
     "op7_warc": op7_warc,
     "op8_line_dedup": op8_line_dedup,
     "op9_onebit_ann": op9_onebit_ann,
+    "op10_best_fit_packing": op10_best_fit_packing,
 }
 
 ORACLE = {
