@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.llm import bpe, line_dedup, onebit_ann, packing, pq_dedup, warc
+from tidelog.llm import bpe, line_dedup, ngram_join, onebit_ann, packing, pq_dedup, warc
 from tidelog.sources.scratch import scratch_path
 
 
@@ -16,6 +16,10 @@ def op1_pq_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pq_dedup.near_duplicates(_table(spark, sf_dir, "embeddings"))
 
 
+def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.similar_classes(_table(spark, sf_dir, "documents"), n=3, threshold="0.9")
+
+
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -52,6 +56,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_pq_dedup": op1_pq_dedup,
+    "op2_ngram_join": op2_ngram_join,
     "op3_bpe": op3_bpe,
     "op7_warc": op7_warc,
     "op8_line_dedup": op8_line_dedup,
