@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.llm import bpe, line_dedup, ngram_join, onebit_ann, packing, pq_dedup, warc
+from tidelog.llm import bpe, line_dedup, ngram_join, onebit_ann, packing, pq_dedup, secret_scan, warc
 from tidelog.sources.scratch import scratch_path
 
 
@@ -31,6 +31,28 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+
+    def listed(spans):
+        parts = F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"]))
+        return F.array_join(parts, ",")
+
+    base = F.filter("spans", lambda s: s["via"] == "")
+    counts = [
+        F.size(F.filter(base, lambda s, k=kind: s["kind"] == k)).cast("long").alias(f"n_{kind}")
+        for kind in secret_scan.KINDS
+    ]
+    return secret_scan.find_secrets(docs).select(
+        "doc_id",
+        *counts,
+        F.sha2(listed(base), 256).alias("base_sha256"),
+        listed("spans").alias("spans"),
+        (F.size("spans") - F.size(base)).cast("long").alias("n_decoded"),
+        "unread_layers",
+    )
+
+
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "warc")
     warc.write_archive(_table(spark, sf_dir, "pages"), path)
@@ -58,6 +80,7 @@ QUERIES = {
     "op1_pq_dedup": op1_pq_dedup,
     "op2_ngram_join": op2_ngram_join,
     "op3_bpe": op3_bpe,
+    "op4_secret_scan": op4_secret_scan,
     "op7_warc": op7_warc,
     "op8_line_dedup": op8_line_dedup,
     "op9_onebit_ann": op9_onebit_ann,
