@@ -4,7 +4,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.llm import bpe, line_dedup, ngram_join, onebit_ann, packing, pq_dedup, secret_scan, warc
+from tidelog.llm import (
+    bpe,
+    langid,
+    line_dedup,
+    mil_quality,
+    ngram_join,
+    onebit_ann,
+    packing,
+    pq_dedup,
+    secret_scan,
+    warc,
+)
 from tidelog.sources.scratch import scratch_path
 
 
@@ -53,6 +64,33 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _remainder(divisor: int):
+    """crc32 of the id as text, modulo; null without an id."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % divisor
+
+
+def op5_mil_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    learned = _table(spark, sf_dir, "labels").where(_remainder(5) != 0)
+    model = mil_quality.train(docs, learned)
+    held_out = F.coalesce(_remainder(5) == 0, F.lit(False))
+    return mil_quality.score(docs, model, drop=("text",)).select(
+        "doc_id",
+        held_out.alias("held_out"),
+        "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+    )
+
+
+def op6_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = langid.train(docs.where(_remainder(3) != 1))
+    held_out = F.coalesce(_remainder(3) == 1, F.lit(False))
+    return langid.predict(docs.drop("lang"), model, drop=("text",)).select(
+        "doc_id", held_out.alias("held_out"), "lang_pred", "score"
+    )
+
+
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "warc")
     warc.write_archive(_table(spark, sf_dir, "pages"), path)
@@ -81,6 +119,8 @@ QUERIES = {
     "op2_ngram_join": op2_ngram_join,
     "op3_bpe": op3_bpe,
     "op4_secret_scan": op4_secret_scan,
+    "op5_mil_quality": op5_mil_quality,
+    "op6_langid": op6_langid,
     "op7_warc": op7_warc,
     "op8_line_dedup": op8_line_dedup,
     "op9_onebit_ann": op9_onebit_ann,
