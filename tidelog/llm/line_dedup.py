@@ -67,12 +67,12 @@ def drop_boilerplate(
     """
     known = (
         boilerplate_lines(docs, host, text, ratio, min_pages)
-        .withColumnRenamed("host", "__host")
+        .toDF("__host", "__boilerplate")
         .withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     )
     salt = F.pmod(F.xxhash64(id_col), F.lit(salts)).cast("int")
     none = F.array().cast("array<struct<a:bigint,b:int>>")
-    bad = F.coalesce(F.col("boilerplate"), none)
+    bad = F.coalesce(F.col("__boilerplate"), none)
     kept = F.filter(
         _lines(text), lambda x: (F.trim(x) == "") | ~F.array_contains(bad, _key(x))
     )
@@ -85,5 +85,5 @@ def drop_boilerplate(
             F.coalesce(F.size(_lines(text)) - F.size("__kept"), F.lit(0)).cast("long"),
         )
         .withColumn(text, F.when(changed, F.array_join("__kept", "\n")).otherwise(F.col(text)))
-        .drop("__host", "__salt", "__kept", "boilerplate")
+        .drop("__host", "__salt", "__kept", "__boilerplate")
     )
