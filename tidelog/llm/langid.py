@@ -61,12 +61,12 @@ def read_words(block: ts.Block) -> Words:
 def ngrams(words: Words, index: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all n-grams of the chosen words, and the place in `index` each belongs to.
 
-    A word is taken with one edge mark before and one after it.
+    A word is taken with one edge mark before and one after it; a mark alone is no n-gram.
     """
-    length = words.length[index] + 2
-    counts = np.maximum(length - n + 1, 0)
+    edge = int(n == 1)
+    counts = np.maximum(words.length[index] + 2 - n + 1 - 2 * edge, 0)
     of = np.repeat(np.arange(len(index)), counts)
-    at = ts.ragged(np.zeros(len(index), np.int64), counts)
+    at = ts.ragged(np.full(len(index), edge, np.int64), counts)
     value = np.full(len(at), np.uint64(n))
     last = max(len(words.codes) - 1, 0)
     for i in range(n):
