@@ -4,9 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import day
-from tidelog.operators import history, snapshots
+from tidelog.operators import history, snapshots, trends
 from tidelog.operators.latest import latest_per_key
-from tidelog.operators.snapshots import _look_ahead_in_chunks
 from tidelog.operators.timeline import commit_timeline, load_timeline
 
 C1, C2, C3 = day(1), day(2), day(3)
@@ -101,36 +100,55 @@ def test_history_agrees_with_as_of_reads(make_log, seed):
         assert value == (0.0 if a is None or b is None else a - b)
 
 
-@pytest.mark.parametrize("seed", range(2))
-def test_a_timeline_beyond_the_broadcast_limit_gives_the_same(make_log, seed):
-    log = snapshots.upsert_merge(make_log(*random_rows(seed))).withColumn(
+def located(log):
+    return log.withColumn(
         "location_key", F.when(F.col("entity_id") < "e5", F.lit("x")).otherwise(F.lit("y"))
     )
-    for location in ((), ("location_key",)):
-        key = [*location, "entity_id"]
-        small, long = (load_timeline(log, location, max_rows=n) for n in (1000, 0))
-        assert small.bounded and not long.bounded
-        columns = [*location, "commit", "ordinal", "n_commits", "previous_commit", "last_commit"]
-        none_last = lambda line: sorted(str(tuple(r)) for r in line.rows.select(*columns).collect())
-        assert none_last(small) == none_last(long)
-        a, b = (snapshots.validity_intervals(log, line, key) for line in (small, long))
-        assert sorted(map(str, a.collect())) == sorted(map(str, b.select(*a.columns).collect()))
-        x, y = (snapshots.history_long(i, line, key) for i, line in ((a, small), (b, long)))
-        assert sorted(map(str, x.collect())) == sorted(map(str, y.collect()))
-        for build in (history.history_map, history.history_table):
-            identity = {"identity": ["seq"]} if build is history.history_table else {}
-            x, y = (build(i, line, key, **identity) for i, line in ((a, small), (b, long)))
-            assert sorted(map(str, x.collect())) == sorted(map(str, y.collect()))
-
-
-def test_look_ahead_in_small_chunks(make_log):
-    log = snapshots.upsert_merge(make_log(*random_rows(5)))
-    line = load_timeline(log)
-    whole = snapshots.validity_intervals(log, line)
-    chunks = _look_ahead_in_chunks(line.numbered(log), ["entity_id"], size=2)
-    got = chunks.select("entity_id", "commit", F.col("__commit").alias("valid_to"))
-    want = whole.select("entity_id", "commit", "valid_to")
-    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+
+def as_text(df):
+    return sorted(str(tuple(r)) for r in df.collect())
+
+
+@pytest.mark.parametrize("seed", range(2))
+@pytest.mark.parametrize("location", [(), ("location_key",)])
+def test_the_length_of_a_chunk_does_not_show(make_log, seed, location):
+    log = located(snapshots.upsert_merge(make_log(*random_rows(seed))))
+    key = [*location, "entity_id"]
+    start = day(6)
+
+    def everything(chunk):
+        line = load_timeline(log, location, chunk)
+        intervals = snapshots.validity_intervals(log, line, key)
+        yield intervals
+        yield snapshots.history_long(intervals, line, key)
+        yield snapshots.history_long(intervals, line, key, present_only=True)
+        yield history.history_map(intervals, line, key)
+        yield history.history_table(intervals, line, key, identity=["seq"])
+        yield history.metric_change(log, line, key)
+        yield trends.trend_summary(intervals, line, start, key)
+        yield trends.recent_or_all(intervals, line, start, key)
+        yield snapshots.retain_commits(log, line, 4, key)
+
+    for whole, *cut in zip(*(everything(n) for n in (1024, 1, 2, 4)), strict=True):
+        for other in cut:
+            assert as_text(other) == as_text(whole)
+
+
+def test_the_timeline_by_hand_over_many_days(spark):
+    rng = random.Random(4)
+    instants = [f"2025{rng.randint(1, 3):02d}{rng.randint(1, 28):02d}{rng.randint(0, 23):02d}{rng.randint(0, 59):02d}00000"
+                for _ in range(80)]
+    data = [(rng.choice("xy"), i) for i in instants]
+    line = load_timeline(spark.createDataFrame(data, "location_key string, commit string"), ["location_key"], 3)
+    want = []
+    for place in "xy":
+        own = sorted({c for p, c in data if p == place})
+        want += [(place, c, n, len(own), own[n - 2] if n > 1 else None, own[-1]) for n, c in enumerate(own, 1)]
+    assert sorted(map(str, want)) == as_text(line.rows)
+    listed = {(r[0], r[1]): r[2] for r in line.chunks().collect()}
+    own = sorted({c for p, c in data if p == "x"})
+    assert [listed["x", k] for k in range(-(-len(own) // 3))] == [own[i : i + 3] for i in range(0, len(own), 3)]
 
 
 def test_compressed_history_keeps_change_points(make_log):

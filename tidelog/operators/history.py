@@ -6,41 +6,47 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidelog.functions.maps import HISTORY_TYPE, history_json
-from tidelog.operators.snapshots import ENTITY, history_long
-from tidelog.operators.timeline import Timeline
+from tidelog.operators.snapshots import ENTITY, chunks_shown, slice_of_chunk
+from tidelog.operators.timeline import Timeline, as_number
 
 IDENTITY = ("name", "latitude", "longitude", "url")
 
 
 def _versions(metric: str) -> Column:
-    """The entity's present versions; at most one per commit."""
+    """The present versions of a group; at most one per commit."""
     version = F.struct("ordinal", "next_ordinal", F.col(metric).alias("metric"))
-    return F.collect_list(F.when(F.col(metric).isNotNull(), version))
+    return F.collect_list(F.when(F.col(metric).isNotNull(), version)).alias("__versions")
 
 
-def _as_map(versions: Column, names: Column) -> Column:
-    """Each version's metric at every commit that shows it, in commit order.
+def _by_chunk(
+    intervals: DataFrame, timeline: Timeline, entity: Sequence[str], metric: str, *more: Column
+) -> DataFrame:
+    """One row per entity and chunk of the timeline that shows it: `__pairs` and `more`.
 
-    Repeats a version inside the cell, so that no row is made per entity and commit.
+    `__pairs` has the chunk's number, commits and metrics: each version is repeated inside the
+    cell, so that no row is made per entity and commit.  Intervals come hash-partitioned by
+    entity, so grouping adds no shuffle to theirs.
     """
-    ordered = F.sort_array(versions)
+    shown = intervals.select("*", chunks_shown(timeline, F.col(metric).isNotNull()))
+    grouped = shown.groupBy(*entity, "__chunk").agg(_versions(metric), *more)
+    named = grouped.join(timeline.chunks(), [*timeline.location, "__chunk"])
+    ordered = F.sort_array("__versions")
 
-    def length(v: Column) -> Column:
-        return (v["next_ordinal"] - v["ordinal"]).cast("int")
+    def part(v: Column) -> tuple[Column, Column]:
+        return slice_of_chunk(timeline, v["ordinal"], v["next_ordinal"])
 
-    commits = F.transform(ordered, lambda v: F.slice(names, v["ordinal"].cast("int"), length(v)))
-    metrics = F.transform(ordered, lambda v: F.array_repeat(v["metric"], length(v)))
-    return F.map_from_arrays(F.flatten(commits), F.flatten(metrics)).cast(HISTORY_TYPE)
+    commits = F.flatten(F.transform(ordered, lambda v: F.slice("__names", *part(v))))
+    metrics = F.flatten(F.transform(ordered, lambda v: F.array_repeat(v["metric"], part(v)[1])))
+    pairs = F.struct("__chunk", commits.alias("commits"), metrics.alias("metrics"))
+    return named.withColumn("__pairs", pairs).drop("__versions", "__names")
 
 
-def _joined_map(
-    intervals: DataFrame, timeline: Timeline, entity: Sequence[str], metric: str
-) -> DataFrame:
-    """`history` per entity for a timeline too long to look up inside a cell."""
-    dense = history_long(intervals, timeline, entity, metric, present_only=True)
-    pair = F.struct("commit", metric)
-    collected = F.map_from_entries(F.sort_array(F.collect_list(pair))).cast(HISTORY_TYPE)
-    return dense.groupBy(*entity).agg(collected.alias("history"))
+def _as_map() -> Column:
+    """The chunks of an entity as one map, in commit order."""
+    ordered = F.sort_array(F.collect_list("__pairs"))
+    return F.map_from_arrays(
+        F.flatten(ordered["commits"]), F.flatten(ordered["metrics"])
+    ).cast(HISTORY_TYPE)
 
 
 def history_map(
@@ -50,12 +56,9 @@ def history_map(
     metric: str = "metric",
 ) -> DataFrame:
     """`history`: commit -> metric for each entity that ever had one, nulls left out."""
-    if not timeline.bounded:
-        return _joined_map(intervals, timeline, entity, metric)
     present = intervals.filter(F.col(metric).isNotNull())
-    grouped = present.groupBy(*entity).agg(_versions(metric).alias("__versions"))
-    named = timeline.with_names(grouped, "__names")
-    return named.select(*entity, _as_map(F.col("__versions"), F.col("__names")).alias("history"))
+    chunked = _by_chunk(present, timeline, entity, metric)
+    return chunked.groupBy(*entity).agg(_as_map().alias("history"))
 
 
 def metric_change(
@@ -66,20 +69,19 @@ def metric_change(
 ) -> DataFrame:
     """Metric at the last commit of the table minus the one before; 0.0 if either is missing.
 
-    One fixed-width aggregation over the log: neither snapshots nor joins of them.
+    One fixed-width aggregation over the log: neither snapshots nor joins of them; of the
+    timeline only each location's last commit takes part.
     """
+    at = as_number("commit")
+    earlier = F.when(at < F.col("__last"), at)
+    change = F.max_by(metric, at) - F.max_by(metric, earlier)
     return (
-        timeline.numbered(log)
+        timeline.with_last(log, "__last")
         .groupBy(*entity)
-        .agg(_change(F.col(metric), F.col("ordinal")).alias("metric_change"))
+        .agg(F.coalesce(change, F.lit(0.0)).alias("metric_change"))
     )
 
 
-def _change(metric: Column, ordinal: Column) -> Column:
-    earlier = F.when(ordinal < F.col("n_commits"), ordinal)
-    return F.coalesce(F.max_by(metric, ordinal) - F.max_by(metric, earlier), F.lit(0.0))
-
-
 def history_table(
     intervals: DataFrame,
     timeline: Timeline,
@@ -93,20 +95,26 @@ def history_table(
     entity whose metric was always null keeps a row with an empty map.
     """
     current = F.col("next_ordinal") > F.col("n_commits")
-    grouped = intervals.groupBy(*entity).agg(
+    earlier = F.when(F.col("ordinal") < F.col("n_commits"), F.col("ordinal"))
+    chunked = _by_chunk(
+        intervals,
+        timeline,
+        entity,
+        metric,
         F.first(F.when(current, F.struct(*identity)), ignorenulls=True).alias("__identity"),
-        _change(F.col(metric), F.col("ordinal")).alias("metric_change"),
-        *([_versions(metric).alias("__versions")] if timeline.bounded else []),
+        F.max("ordinal").alias("__last"),
+        F.max_by(metric, "ordinal").alias("__last_metric"),
+        F.max(earlier).alias("__earlier"),
+        F.max_by(metric, earlier).alias("__earlier_metric"),
+    )
+    change = F.max_by("__last_metric", "__last") - F.max_by("__earlier_metric", "__earlier")
+    grouped = chunked.groupBy(*entity).agg(
+        F.first("__identity", ignorenulls=True).alias("__identity"),
+        _as_map().alias("history"),
+        F.coalesce(change, F.lit(0.0)).alias("metric_change"),
     )
-    if timeline.bounded:
-        named = timeline.with_names(grouped, "__names")
-        history = _as_map(F.col("__versions"), F.col("__names"))
-    else:
-        maps = _joined_map(intervals, timeline, entity, metric)
-        named = grouped.join(maps, list(entity), "left")
-        history = F.coalesce("history", F.create_map().cast(HISTORY_TYPE))
     fields = [F.col(f"__identity.{c}").alias(c) for c in identity]
-    return named.select(*entity, *fields, history.alias("history"), "metric_change")
+    return grouped.select(*entity, *fields, "history", "metric_change")
 
 
 def with_history_json(history: DataFrame) -> DataFrame:

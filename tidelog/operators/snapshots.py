@@ -6,7 +6,7 @@ stays in force until the entity's next one, nulls included; nothing is ever dele
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidelog.operators.latest import latest_per_key
@@ -14,9 +14,6 @@ from tidelog.operators.timeline import Timeline
 
 ENTITY = ("entity_id",)
 
-# Ordinals per window group when the timeline is too long for one group.
-CHUNK_ORDINALS = 50_000
-
 
 def upsert_merge(
     batch: DataFrame, entity: Sequence[str] = ENTITY, order: Sequence[str] = ("seq",)
@@ -54,13 +51,8 @@ def validity_intervals(
     `valid_to`: commit of the next record, null while current; `visible_until`: last
     commit that still shows this record; `ordinal`, `next_ordinal`: the same as numbers.
     """
-    keyed = timeline.numbered(log)
-    if timeline.bounded:
-        # A group is one entity's versions: at most as long as the checked timeline.
-        ahead = Window.partitionBy(*entity).orderBy("ordinal")
-        versions = keyed.withColumns({n: F.lead(c).over(ahead) for n, c in _NEXT.items()})
-    else:
-        versions = _look_ahead_in_chunks(keyed, entity)
+    ahead = Window.partitionBy(*entity).orderBy("ordinal")
+    versions = timeline.numbered(log).withColumns({n: F.lead(c).over(ahead) for n, c in _NEXT.items()})
     return versions.select(
         *log.columns,
         "ordinal",
@@ -73,26 +65,20 @@ def validity_intervals(
     )
 
 
-def _look_ahead_in_chunks(
-    keyed: DataFrame, entity: Sequence[str], size: int = CHUNK_ORDINALS
-) -> DataFrame:
-    """The same without a group longer than `size`: look ahead within chunks of the
-    timeline, then from the last row of a chunk to the first of the entity's next one."""
-    chunked = keyed.withColumn("__chunk", F.floor(F.col("ordinal") / size))
-    firsts = chunked.groupBy(*entity, "__chunk").agg(
-        *[F.min_by(c, "ordinal").alias(f"{n}_first") for n, c in _NEXT.items()]
-    )
-    later = Window.partitionBy(*entity).orderBy("__chunk")
-    firsts = firsts.select(
-        *entity, "__chunk", *[F.lead(f"{n}_first").over(later).alias(f"{n}_later") for n in _NEXT]
-    )
-    ahead = Window.partitionBy(*entity, "__chunk").orderBy("ordinal")
-    within = chunked.withColumns({n: F.lead(c).over(ahead) for n, c in _NEXT.items()})
-    last = F.col("__ordinal").isNull()
-    return within.join(firsts, [*entity, "__chunk"]).select(
-        *keyed.columns,
-        *[F.when(last, F.col(f"{n}_later")).otherwise(F.col(n)).alias(n) for n in _NEXT],
-    )
+def chunks_shown(timeline: Timeline, shown: Column) -> Column:
+    """Chunks of the timeline that a version is visible in; the first one alone unless `shown`."""
+    first = timeline.chunk_of(F.col("ordinal"))
+    last = timeline.chunk_of(F.col("next_ordinal") - 1)
+    # next_ordinal > ordinal always, so the sequence never counts down.
+    return F.explode(F.sequence(first, F.when(shown, last).otherwise(first))).alias("__chunk")
+
+
+def slice_of_chunk(timeline: Timeline, ordinal: Column, next_ordinal: Column) -> tuple[Column, Column]:
+    """Where a version's commits begin in the list of `__chunk` (from 1), and how many they are."""
+    start = F.col("__chunk") * timeline.chunk
+    begin = F.greatest(ordinal - 1, start)
+    end = F.least(next_ordinal - 1, start + timeline.chunk)
+    return (begin - start + 1).cast("int"), (end - begin).cast("int")
 
 
 def history_long(
@@ -118,14 +104,14 @@ def history_long(
         return changes.select(*entity, "commit", metric)
     if present_only:
         intervals = intervals.filter(F.col(metric).isNotNull())
-    # next_ordinal > ordinal always, so the sequence never counts down.
-    spread = intervals.select(
-        *dict.fromkeys([*timeline.location, *entity]),
-        metric,
-        F.explode(F.sequence("ordinal", F.col("next_ordinal") - 1)).alias("ordinal"),
+    kept = list(dict.fromkeys([*timeline.location, *entity, metric]))
+    spread = intervals.select(*kept, "ordinal", "next_ordinal", chunks_shown(timeline, F.lit(True)))
+    begin, length = slice_of_chunk(timeline, F.col("ordinal"), F.col("next_ordinal"))
+    return (
+        spread.join(timeline.chunks(), [*timeline.location, "__chunk"])
+        .withColumn("commit", F.explode(F.slice("__names", begin, length)))
+        .select(*entity, "commit", metric)
     )
-    names = timeline.lookup("ordinal", "commit")
-    return spread.join(names, [*timeline.location, "ordinal"]).select(*entity, "commit", metric)
 
 
 def retain_commits(
@@ -140,14 +126,11 @@ def retain_commits(
     """
     if keep < 1:
         raise ValueError("keep at least one commit")
-    base = F.greatest(F.col("n_commits") - (keep - 1), F.lit(1))
-    names = timeline.lookup(F.col("ordinal").alias("__kept"), F.col("commit").alias("__commit"))
-    moved = timeline.numbered(log).select(
-        *log.columns, "ordinal", F.greatest("ordinal", base).alias("__kept")
+    base = timeline.rows.filter(
+        F.col("ordinal") == F.greatest(F.col("n_commits") - (keep - 1), F.lit(1))
     )
-    newest = latest_per_key(moved, [*entity, "__kept"], ["ordinal"])
-    return (
-        newest.join(names, [*timeline.location, "__kept"])
-        .withColumn("commit", F.col("__commit"))
-        .select(*log.columns)
+    moved = timeline.with_place(log, base, F.max("commit"), "__base").withColumn(
+        "__kept", F.greatest("commit", "__base")
     )
+    newest = latest_per_key(moved, [*entity, "__kept"], ["commit"])
+    return newest.withColumn("commit", F.col("__kept")).select(*log.columns)

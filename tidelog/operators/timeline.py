@@ -3,116 +3,113 @@
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from tidelog.operators.numbering import number_rows
-from tidelog.sources.scratch import durable
+from tidelog.functions import instants
 
-# A timeline up to this many rows (about 100 bytes each) is broadcast; a longer one
-# is joined by shuffle.
-BROADCAST_COMMITS = 100_000
+# Commits per chunk of a timeline: what one row of `Timeline.chunks` lists.
+CHUNK_COMMITS = 1024
+# An instant as a number, without the time of day: 17 digits, 9 of them after the date.
+_DAY = 10**9
+
+
+def as_number(commit: Column | str) -> Column:
+    """An instant as a number: orders as the text does, at a fixed width."""
+    return (F.col(commit) if isinstance(commit, str) else commit).cast("long")
 
 
 @dataclass(frozen=True)
 class Timeline:
-    """Rows `location..., commit, ordinal, n_commits, previous_commit, last_commit`.
+    """The distinct commits of each location, as tables that are worked out where they are used.
 
-    `bounded` says that the number of commits was checked: the rows may be broadcast,
-    and no entity has more log rows than that.
+    One plan for any length: nothing is counted first, nothing is forced to be broadcast, and
+    no window group is longer than the commits of one day or the days of one location.
     """
 
-    rows: DataFrame
+    commits: DataFrame
     location: tuple[str, ...]
-    bounded: bool
+    chunk: int = CHUNK_COMMITS
+
+    @property
+    def rows(self) -> DataFrame:
+        """`location..., commit, ordinal, n_commits, previous_commit, last_commit`."""
+        place = list(self.location)
+        at = self.commits.select(*place, as_number("commit").alias("__at"))
+        at = at.withColumn("__day", F.col("__at") - F.col("__at") % _DAY)
+        days = at.groupBy(*place, "__day").agg(
+            F.count(F.lit(1)).alias("__count"), F.max("__at").alias("__end")
+        )
+        whole = Window.partitionBy(*place)
+        order = whole.orderBy("__day")
+        days = days.select(
+            *place,
+            "__day",
+            F.coalesce(F.sum("__count").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__before"),
+            F.lag("__end").over(order).alias("__end_before"),
+            F.sum("__count").over(whole).alias("n_commits"),
+            F.max("__end").over(whole).alias("__last"),
+        )
+        within = Window.partitionBy(*place, "__day").orderBy("__at")
+        placed = at.withColumns(
+            {"__row": F.row_number().over(within), "__previous": F.lag("__at").over(within)}
+        )
+        return placed.join(days, [*place, "__day"]).select(
+            *place,
+            F.col("__at").cast("string").alias("commit"),
+            (F.col("__before") + F.col("__row")).alias("ordinal"),
+            "n_commits",
+            F.coalesce("__previous", "__end_before").cast("string").alias("previous_commit"),
+            F.col("__last").cast("string").alias("last_commit"),
+        )
+
+    def chunk_of(self, ordinal: Column) -> Column:
+        """Number of the chunk that lists the commit with this ordinal."""
+        return F.floor((ordinal - 1) / self.chunk)
+
+    def chunks(self) -> DataFrame:
+        """`location..., __chunk, __names`: the commits in order, `chunk` of them a row."""
+        listed = F.sort_array(F.collect_list("commit")).alias("__names")
+        numbered = self.rows.withColumn("__chunk", self.chunk_of(F.col("ordinal")))
+        return numbered.groupBy(*self.location, "__chunk").agg(listed)
 
-    def lookup(self, *columns: Column | str) -> DataFrame:
-        """The location and these columns, as a side to join with."""
-        side = self.rows.select(*self.location, *columns)
-        return F.broadcast(side) if self.bounded else side
-
-    def instants(self) -> list[str]:
-        """The commits of a checked timeline without locations, in order."""
-        if not self.bounded or self.location:
-            raise ValueError("only a short timeline without locations can be listed")
-        return [row["commit"] for row in self.rows.orderBy("ordinal").collect()]
+    def numbered(self, log: DataFrame) -> DataFrame:
+        """`log` with the ordinal, count and neighbours of each row's commit."""
+        return log.join(self.rows, [*self.location, "commit"])
 
-    def with_names(self, df: DataFrame, name: str) -> DataFrame:
-        """`df` with the ordered commits of its location as the array column `name`.
+    def with_place(self, df: DataFrame, chosen: DataFrame, value: Column, name: str) -> DataFrame:
+        """`df` with a value of its location's `chosen` commits; null where there is none.
 
-        For a checked timeline only: the array is as long as the timeline.
+        One row per location: whatever the timeline's length, this side grows with locations only.
         """
-        listed = F.sort_array(F.collect_list("commit")).alias(name)
         if not self.location:
-            return df.withColumn(name, self.rows.agg(listed).scalar())
-        return df.join(F.broadcast(self.rows.groupBy(*self.location).agg(listed)), [*self.location])
+            return df.withColumn(name, chosen.agg(value).scalar())
+        one = chosen.groupBy(*self.location).agg(value.alias(name))
+        return df.join(one, list(self.location), "left")
 
-    def numbered(self, log: DataFrame) -> DataFrame:
-        """`log` with the ordinal, count and neighbours of each row's commit."""
-        side = self.lookup("commit", "ordinal", "n_commits", "previous_commit", "last_commit")
-        return log.join(side, [*self.location, "commit"])
+    def with_last(self, df: DataFrame, name: str) -> DataFrame:
+        """`df` with the last commit of its location, as a number."""
+        return self.with_place(df, self.commits, F.max(as_number("commit")), name)
+
+    def with_first_from(self, df: DataFrame, start: str, name: str) -> DataFrame:
+        """`df` with the first commit of its location from `start` on, null if there is none."""
+        recent = self.commits.filter(instants.minute(F.col("commit")) >= start)
+        return self.with_place(df, recent, F.min(as_number("commit")), name)
+
+    def instants(self) -> list[str]:
+        """All commits of a timeline without locations, in order: the columns of a wide view."""
+        if self.location:
+            raise ValueError("each location has its own commits")
+        return [row["commit"] for row in self.commits.orderBy("commit").collect()]
 
 
 def load_timeline(
-    commits: DataFrame, location: Sequence[str] = (), max_rows: int = BROADCAST_COMMITS
+    commits: DataFrame, location: Sequence[str] = (), chunk: int = CHUNK_COMMITS
 ) -> Timeline:
-    """Number the distinct commits of `commits` (a commit table, or a log) per location.
-
-    Reads at most `max_rows` + 1 commits to the driver to learn whether they may be broadcast.
-    """
-    location = tuple(location)
-    instants = commits.select(*location, "commit").filter("commit is not null").distinct()
-    head = instants.limit(max_rows + 1).toArrow().to_pandas()
-    if len(head) > max_rows:
-        # Written out: every lookup then scans the numbers instead of working them out.
-        return Timeline(durable(_numbered(instants, location)), location, bounded=False)
-
-    head = head.sort_values([*location, "commit"], ignore_index=True)
-    group = head.groupby(list(location) or (lambda _: 0), sort=False, dropna=False)["commit"]
-    head = head.assign(
-        ordinal=group.cumcount() + 1,
-        n_commits=group.transform("size"),
-        previous_commit=group.shift(),
-        last_commit=group.transform("last"),
-    )
-    fields = [commits.schema[c] for c in (*location, "commit")]
-    fields += [T.StructField(c, T.LongType()) for c in ("ordinal", "n_commits")]
-    fields += [T.StructField(c, T.StringType()) for c in ("previous_commit", "last_commit")]
-    rows = commits.sparkSession.createDataFrame(pa.Table.from_pandas(head, preserve_index=False))
-    typed = rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in fields])
-    return Timeline(typed, location, bounded=True)
-
-
-def _numbered(instants: DataFrame, location: tuple[str, ...]) -> DataFrame:
-    """The same columns for a timeline of any length, by joins on the position."""
-    order = [F.col(c) for c in (*location, "commit")]
-    ranked = number_rows(instants, order, "__position")
-    span = [
-        F.min("__position").alias("__first"),
-        F.count(F.lit(1)).alias("n_commits"),
-        F.max("commit").alias("last_commit"),
-    ]
-    before = ranked.select(
-        *location,
-        (F.col("__position") + 1).alias("__position"),
-        F.col("commit").alias("previous_commit"),
-    )
-    joined = ranked.join(before, [*location, "__position"], "left")
-    if location:
-        joined = joined.join(ranked.groupBy(*location).agg(*span), list(location))
-    else:
-        whole = ranked.agg(*span).first().asDict()
-        joined = joined.withColumns({name: F.lit(value) for name, value in whole.items()})
-    return joined.select(
-        *location,
-        "commit",
-        (F.col("__position") - F.col("__first") + 1).alias("ordinal"),
-        "n_commits",
-        "previous_commit",
-        "last_commit",
-    )
+    """The timeline of a commit table, or of a log: its distinct instants per location."""
+    place = tuple(location)
+    listed = commits.select(*place, "commit").filter("commit is not null").distinct()
+    return Timeline(listed, place, chunk)
 
 
 def commit_timeline(commits: DataFrame, location: Sequence[str] = ()) -> DataFrame:

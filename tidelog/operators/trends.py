@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tidelog.functions import instants, maps, text
 from tidelog.operators.snapshots import ENTITY, history_long
-from tidelog.operators.timeline import Timeline
+from tidelog.operators.timeline import Timeline, as_number
 
 TREND_COLUMNS = (
     "current_metric",
@@ -58,17 +58,10 @@ def _described(df: DataFrame, keep: Sequence[str]) -> DataFrame:
     ).select(*keep, *TREND_COLUMNS)
 
 
-def _last_shown(metric: str) -> Column:
-    """Ordinal of the last commit that shows a present metric."""
-    return F.when(F.col(metric).isNotNull(), F.col("next_ordinal") - 1)
-
-
-def _recent(timeline: Timeline, start: str) -> DataFrame:
-    """Per ordinal `__until`, whether that commit is in the window."""
-    return timeline.lookup(
-        F.col("ordinal").alias("__until"),
-        (instants.minute(F.col("commit")) >= start).alias("__recent"),
-    )
+def _in_window(metric: str) -> Column:
+    """Whether a present metric is shown by a commit of the window, which begins at `__from`."""
+    present = F.col(metric).isNotNull() & F.col("__from").isNotNull()
+    return present & (F.col("valid_to").isNull() | (as_number("valid_to") > F.col("__from")))
 
 
 def trend_summary(
@@ -81,24 +74,22 @@ def trend_summary(
     """Trend columns per entity; low and high from `start` on, or from everything when
     the entity has no observation there.
 
-    Works on ordinals: all aggregates are fixed-width, instants are looked up at the end.
+    All aggregates are fixed-width; of the timeline only the first commit in the window of
+    each location takes part.
     """
-    place = list(timeline.location)
     value = F.col(metric)
-    marked = intervals.withColumn("__until", _last_shown(metric)).join(
-        _recent(timeline, start), [*place, "__until"], "left"
-    )
-    recent = F.when(F.col("__recent"), value)
+    marked = timeline.with_first_from(intervals, start, "__from")
+    recent = F.when(_in_window(metric), value)
+    present = value.isNotNull()
+    first = F.min(F.when(present, as_number("commit")))
+    latest = F.max(F.when(present, as_number("visible_until")))
     grouped = marked.groupBy(*entity).agg(
-        F.max_by(value, "__until").alias("current_metric"),
+        F.max_by(value, F.when(present, F.col("ordinal"))).alias("current_metric"),
         F.coalesce(F.min(recent), F.min(value)).alias("low"),
         F.coalesce(F.max(recent), F.max(value)).alias("high"),
-        F.min(F.when(value.isNotNull(), F.col("ordinal"))).alias("__first"),
-        F.max("__until").alias("__last"),
+        first.cast("string").alias("first_commit"),
+        latest.cast("string").alias("latest_commit"),
     )
-    for ordinal, name in (("__first", "first_commit"), ("__last", "latest_commit")):
-        names = timeline.lookup(F.col("ordinal").alias(ordinal), F.col("commit").alias(name))
-        grouped = grouped.join(names, [*place, ordinal], "left")
     return _described(grouped, entity)
 
 
@@ -149,10 +140,8 @@ def recent_or_all(
 ) -> DataFrame:
     """Observations from `start` on; all observations of an entity that has none there."""
     # The window needs only the entity's partitioning, which the intervals already have.
-    latest = F.max(_last_shown(metric)).over(Window.partitionBy(*entity))
-    flagged = intervals.withColumn("__until", latest).join(
-        _recent(timeline, start), [*timeline.location, "__until"]
-    )
+    some = F.max(_in_window(metric)).over(Window.partitionBy(*entity))
+    flagged = timeline.with_first_from(intervals, start, "__from").withColumn("__recent", some)
     dense = history_long(flagged, timeline, [*entity, "__recent"], metric, present_only=True)
     seen = instants.minute(F.col("commit")) >= start
     return dense.filter(~F.col("__recent") | seen).drop("__recent")
