@@ -35,9 +35,16 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     are one document and leave one row.
     """
     groups = ngram_join.similar_classes(docs, n=5, threshold="0.8")
-    stay = groups.where("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.join(stay, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.select(docs.columns).union(docs.where("doc_id IS NULL"))
+    counted = groups.where("doc_id IS NOT NULL").groupBy("doc_id")
+    found = durable(
+        counted.agg(F.min("component_id").alias("first"), F.count(F.lit(1)).alias("rows")).where(
+            "doc_id <> first OR rows > 1"
+        )
+    )
+    # Written out: what goes is broadcast if that is known to be small, and texts stay put.
+    kept = docs.join(found.select("doc_id"), "doc_id", "left_anti")
+    again = docs.join(found.where("doc_id = first").select("doc_id"), "doc_id", "left_semi")
+    return kept.union(again.dropDuplicates(["doc_id"])).select(docs.columns)
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

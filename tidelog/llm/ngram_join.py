@@ -239,16 +239,8 @@ def _alike(shape: Shape, a: str, b: str) -> Column:
     return fits & (bits <= total - 2 * least)
 
 
-def _verified(
-    pairs: DataFrame, texts: DataFrame, sets: DataFrame, n: int, shape: Shape, parts: int
-) -> DataFrame:
+def _verified(pairs: DataFrame, cut: DataFrame, shape: Shape) -> DataFrame:
     """The pairs (a, b, an, bn) that reach the threshold, by overlaps summed over partitions."""
-    nodes = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    cut = durable(
-        texts.join(sets.join(nodes, "id", "left_semi"), "id")
-        .mapInArrow(_vertical(n, parts), "id long, part int, grams array<long>")
-        .dropDuplicates(["id", "part"])
-    )
     left = cut.select(F.col("id").alias("a"), "part", F.col("grams").alias("x"))
     right = cut.select(F.col("id").alias("b"), "part", F.col("grams").alias("y"))
     overlap = (
@@ -297,24 +289,36 @@ def similar_classes(
         .agg(F.max(F.struct(*key)).alias("k"))
         .select("id", "k.*")
     )
-    classes = durable(chosen.groupBy(*key).agg(F.min("id").alias("node")))
-    own = classes.select(F.col("node").alias("id"), *key)
-    nodes = durable(
-        profiles.join(own, ["id", *key], "left_semi").dropDuplicates(["id", *key]).drop("k1", "k2")
+    classes = chosen.groupBy(*key).agg(F.min("id").alias("of"))
+    member = durable(chosen.join(classes, key).select("id", "of"))
+    # Marks that at least two ids show, and all who show them; both from one exchange.
+    shown = (
+        profiles.where("id IS NOT NULL")
+        .select("id", F.explode("shown").alias("mark"))
+        .repartition("mark")
+    )
+    spread = [F.min("id").alias("centre"), F.max("id").alias("top"), F.count(F.lit(1)).alias("many")]
+    shared = shown.groupBy("mark").agg(*spread).where("centre < top").select("mark")
+    by_node = durable(
+        shown.join(shared, "mark").join(member, "id").select("mark", F.col("of").alias("id")).distinct()
+    )
+    groups = by_node.groupBy("mark").agg(*spread).where("centre < top").select("mark", "centre", "many")
+    marks = durable(by_node.join(groups, "mark"))
+    # Written before they are joined with: small tables are then broadcast by their known size.
+    nodes = durable(marks.select("id").distinct())
+    own = chosen.join(nodes, "id", "left_semi")
+    facts = durable(
+        profiles.select("id", *key, *_SKETCH)
+        .join(nodes, "id", "left_semi")
+        .join(own, ["id", *key], "left_semi")
+        .dropDuplicates(["id"])
     )
-    facts = nodes.drop("shown")
-    # Marks that at least two nodes show, and all who show them; both from one exchange.
-    shown = nodes.select("id", F.explode("shown").alias("mark")).repartition("mark")
-    shared = shown.groupBy("mark").agg(
-        F.min("id").alias("centre"), F.count(F.lit(1)).alias("many")
-    ).where("many > 1")
-    marks = durable(shown.join(shared.select("mark", "centre"), "mark"))
 
     def side(prefix: str) -> DataFrame:
         return facts.select(F.col("id").alias(prefix), *(F.col(c).alias(prefix + c) for c in ("n", *_SKETCH)))
 
     alike = _alike(shape, "a", "b")
-    stars = (
+    stars = durable(
         marks.where("id <> centre")
         .select(F.col("centre").alias("a"), F.col("id").alias("b"))
         .distinct()
@@ -323,7 +327,19 @@ def similar_classes(
         .where(alike)
         .select("a", "b", "an", "bn")
     )
-    links = durable(_verified(durable(stars), ids, own, n, shape, parts))
+    # Texts are read once more, for nodes that may have a partner: those of the pairs above, and
+    # members of marks in which others than the centre may be partners of each other.
+    asked = stars.select(F.explode(F.array("a", "b")).alias("id")).union(
+        marks.where("many > 2").select("id")
+    )
+    asked = durable(asked.distinct())
+    cut = durable(
+        ids.join(asked, "id", "left_semi")
+        .join(facts.select("id", *key), "id")
+        .mapInArrow(_vertical(n, parts), "id long, part int, grams array<long>")
+        .dropDuplicates(["id", "part"])
+    )
+    links = durable(_verified(stars, cut, shape))
     so_far = durable(connected_components(links))
     # Marks whose nodes are not in one component yet.  Within each the largest component is
     # not compared with itself: the others meet everyone of another component.
@@ -337,7 +353,7 @@ def similar_classes(
         F.max_by("c", F.struct("size", "c")).alias("main"), F.count(F.lit(1)).alias("many")
     ).where("many > 1")
     open_marks = durable(
-        placed.join(mixed.select("mark", "main"), "mark").join(facts, "id")
+        placed.join(mixed.select("mark", "main"), "mark").join(facts.drop("k1", "k2"), "id")
     )
     columns = ("id", "c", "n", *_SKETCH)
     one = open_marks.where("c <> main").select(
@@ -357,9 +373,8 @@ def similar_classes(
         )
         .distinct()
     )
-    more = _verified(durable(rest), ids, own, n, shape, parts)
+    more = _verified(durable(rest), cut, shape)
     final = connected_components(links.union(more))
-    member = chosen.join(classes, key).select("id", F.col("node").alias("of"))
     component = member.join(final, F.col("of") == F.col("node"), "left").select(
         "id", F.coalesce("component", "of").alias("component")
     )
