@@ -37,29 +37,78 @@ def land(folder, name, doc):
     return str(folder / name)
 
 
-SHOP1 = ("Shop 1", 25.0330, 121.5654)
-SHOP2 = ("Shop 2", 25.0340, 121.5664)
+SHOP1 = ("Mill Bakery", 48.2081, 16.3713)
+SHOP2 = ("Dock Diner", 48.2104, 16.3702)
 
 
 def test_two_commits_from_document_to_view(spark, tmp_path):
     root = str(tmp_path / "root")
-    first = land(tmp_path / "raw", "1.json", document([place(*SHOP1, 4.2), place(*SHOP2, 3.8)]))
-    second = land(tmp_path / "raw", "2.json", document([place(*SHOP1, 4.5), place(*SHOP2, 3.6)]))
+    first = land(tmp_path / "raw", "1.json", document([place(*SHOP1, 3.1), place(*SHOP2, 4.7)]))
+    second = land(tmp_path / "raw", "2.json", document([place(*SHOP1, 3.9), place(*SHOP2, 4.4)]))
     for n, path in enumerate((first, second), 1):
         counts = jobs.ingest_documents(spark, path, root, f"b{n}", commit=day(n))
         assert counts == {"read": 2, "rejected": 0, "kept": 2}
     assert jobs.run_history(spark, root, day(3)) == 2
     rows = {r["name"]: r for r in jobs.view(spark, root, day(1)).collect()}
-    assert json.loads(rows["Shop 1"]["history"]) == {day(1): 4.2, day(2): 4.5}
-    assert rows["Shop 1"]["metric_change"] == pytest.approx(0.3, abs=0.01)
-    assert rows["Shop 2"]["metric_change"] == pytest.approx(-0.2, abs=0.01)
-    assert rows["Shop 2"]["location_key"] == "25.0_121.5"
-    assert rows["Shop 2"]["range_text"] == "-0.2"
+    assert json.loads(rows["Mill Bakery"]["history"]) == {day(1): 3.1, day(2): 3.9}
+    assert rows["Mill Bakery"]["metric_change"] == pytest.approx(0.8, abs=0.01)
+    assert rows["Dock Diner"]["metric_change"] == pytest.approx(-0.3, abs=0.01)
+    assert rows["Dock Diner"]["location_key"] == "25.0_121.5"
+    assert rows["Dock Diner"]["range_text"] == "-0.3"
+
+
+def unplaced(doc):
+    """A document as some collectors write it: without request, instant and location."""
+    return {"places": doc["places"]}
+
+
+def test_two_commits_of_documents_without_location(spark, tmp_path):
+    root, folder = str(tmp_path / "root"), tmp_path / "raw"
+    for n, (a, b) in enumerate(((3.1, 4.7), (3.9, 4.4)), 1):
+        path = land(folder, f"{n}.json", unplaced(document([place(*SHOP1, a), place(*SHOP2, b)])))
+        counts = jobs.ingest_documents(spark, path, root, f"b{n}", day(n), location=(48.2, 16.4))
+        assert counts == {"read": 2, "rejected": 0, "kept": 2}
+    rows = {r["name"]: r for r in jobs.build_history(spark, root).collect()}
+    assert {r["location_key"] for r in rows.values()} == {"48.2_16.4"}
+    assert rows["Mill Bakery"]["metric_change"] == pytest.approx(0.8, abs=0.01)
+    assert rows["Dock Diner"]["metric_change"] == pytest.approx(-0.3, abs=0.01)
+
+
+def test_rows_without_any_location_are_counted_and_set_aside(spark, tmp_path):
+    root = str(tmp_path / "root")
+    assert log_store.read_rejected(spark, root).isEmpty()
+    path = land(tmp_path / "raw", "1.json", unplaced(document([place(*SHOP1, 4.2), place(*SHOP2, 1.0)])))
+    counts = jobs.ingest_documents(spark, path, root, "b1", commit=day(1))
+    assert counts == {"read": 2, "rejected": 2, "kept": 0}
+    reasons = [r["reject_reason"] for r in log_store.read_rejected(spark, root).collect()]
+    assert reasons == ["missing location"] * 2
+
+
+def test_the_greatest_number_of_a_request_wins_over_its_parts(spark, tmp_path):
+    root, folder = str(tmp_path / "root"), tmp_path / "raw"
+    for start, rating in ((20, 4.0), (0, 3.0), (40, 2.0)):
+        doc = {**document([place(*SHOP1, rating)], "q", day(1)), "first_seq": start}
+        land(folder, f"{start}.json", doc)
+    jobs.ingest_documents(spark, str(folder), root, "b1")
+    row = log_store.read_log(spark, root).first()
+    assert (row["metric"], row["seq"]) == (2.0, 40)
+
+
+def test_documents_without_request_are_told_apart_by_file(spark, tmp_path):
+    folder, got = tmp_path / "raw", set()
+    for name, rating in (("b.json", 2.0), ("a.json", 3.0)):
+        land(folder, name, {**document([place(*SHOP1, rating)], commit=day(1)), "request_id": None})
+    for n in range(2):
+        root = str(tmp_path / f"root{n}")
+        jobs.ingest_documents(spark, str(folder), root, "b1")
+        row = log_store.read_log(spark, root).first()
+        got.add((row["metric"], row["source"].rsplit("/", 1)[1]))
+    assert got == {(2.0, "b.json")}
 
 
 def test_one_commit_has_no_change(spark, tmp_path):
     root = str(tmp_path / "root")
-    shops = [place(*SHOP1, 4.2), place(*SHOP2, 3.8), place("Shop 3", 25.1, 121.6, 4.5)]
+    shops = [place(*SHOP1, 4.2), place(*SHOP2, 3.8), place("Hill Books", 25.1, 121.6, 4.5)]
     path = land(tmp_path / "raw", "1.json", document(shops))
     jobs.ingest_documents(spark, path, root, "b1", commit=day(1))
     got = jobs.build_history(spark, root)
@@ -74,7 +123,7 @@ def test_flatten_keeps_order_and_skips_empty_lists(spark, tmp_path):
     land(folder, "2.json", document([], "b", day(1)))
     land(folder, "3.json", {"request_id": "c"})
     rows = ingest.flatten_places(raw.read_documents(spark, str(folder))).orderBy("seq").collect()
-    assert [(r["name"], r["seq"], r["metric"]) for r in rows] == [("Shop 1", 0, 4.0), ("Shop 2", 1, 3.0)]
+    assert [(r["name"], r["seq"], r["metric"]) for r in rows] == [("Mill Bakery", 0, 4.0), ("Dock Diner", 1, 3.0)]
     assert rows[0]["types"] == ["cafe"] and rows[0]["location_key"] == "25.0_121.5"
     info = ingest.basic_info(spark.createDataFrame(rows))
     assert "types" not in info.columns and {len(r[0]) for r in info.select("entity_id").collect()} == {12}
@@ -142,9 +191,9 @@ def test_several_batches_of_one_commit(spark, tmp_path):
         jobs.ingest_documents(spark, path, root, f"b{n}")
     got = log_store.read_log(spark, root).select("commit", "name", "metric").collect()
     assert sorted(map(tuple, got)) == [
-        (day(1), "Shop 1", 4.4),
-        (day(1), "Shop 2", 3.0),
-        (day(2), "Shop 2", 3.1),
+        (day(1), "Dock Diner", 3.0),
+        (day(1), "Mill Bakery", 4.4),
+        (day(2), "Dock Diner", 3.1),
     ]
     until = log_store.read_log(spark, root, until=day(1))
     assert until.count() == 2
@@ -228,7 +277,7 @@ def test_stream_ingests_each_document_once(spark, tmp_path):
     assert log_store.read_log(spark, root).count() == 2
     land(folder, "x.json", document([place(*SHOP1, 4.1), place(*SHOP2, 3.0)], "c", day(3)))
     run()
-    history = jobs.build_history(spark, root).filter("name = 'Shop 1'").first()
+    history = jobs.build_history(spark, root).filter("name = 'Mill Bakery'").first()
     assert json.loads(history["history"]) == {day(1): 4.2, day(2): 4.5, day(3): 4.1}
     assert history["metric_change"] == pytest.approx(-0.4)
 
@@ -319,9 +368,9 @@ def test_details_override(spark):
 
 
 def test_documents_from_landed_responses(spark, tmp_path):
-    def page(number, status, *places):
+    def page(number, status, *places, request="q"):
         return {
-            "request_id": "q",
+            "request_id": request,
             "commit": day(1),
             "location": {"lat": 25.0, "lng": 121.5},
             "radius": 500,
@@ -334,18 +383,31 @@ def test_documents_from_landed_responses(spark, tmp_path):
     del found[0]["url"]
     lines = [page(1, "OK", found[1]), page(0, "OK", found[0]), page(2, "OVER_QUERY_LIMIT", found[2])]
     lines.append({**page(0, "ZERO_RESULTS"), "request_id": "none"})
+    found_again = {**found[0], "rating": 2.0}
+    lines.append({**page(0, "OK", found_again, request="later"), "commit": day(8)})
+    known = {"request_id": "q", "place_id": "a", "status": "OK", "result": {"url": "u", "rating": 4.4, "ignored": 1}}
     details = [
-        {"place_id": "a", "status": "OK", "result": {"url": "u", "rating": 4.4, "ignored": 1}},
-        {"place_id": "b", "status": "NOT_FOUND"},
+        known,
+        known,
+        {**known, "request_id": "later", "result": {"rating": 2.2}},
+        {"request_id": "q", "place_id": "b", "status": "NOT_FOUND", "error_message": "gone"},
     ]
     for name, rows in (("search", lines), ("details", details)):
         (tmp_path / name).write_text("\n".join(json.dumps(r) for r in rows))
     path = str(tmp_path / "raw")
-    jobs.collect(spark, str(tmp_path / "search"), str(tmp_path / "details"), path)
-    (got,) = raw.read_documents(spark, path, multi_line=False).collect()
+    for _ in range(2):  # a replay replaces what was written
+        jobs.collect(spark, str(tmp_path / "search"), str(tmp_path / "details"), path)
+    got, later = raw.read_documents(spark, path, multi_line=False).orderBy("commit").collect()
+    assert [(p["place_id"], p["rating"], p["url"]) for p in later["places"]] == [("a", 2.2, None)]
+    failed = raw.read_failed(spark, path).orderBy("kind").collect()
+    assert [(r["kind"], r["place_id"], r["page"], r["status"], r["error_message"]) for r in failed] == [
+        ("details", "b", None, "NOT_FOUND", "gone"),
+        ("search", None, 2, "OVER_QUERY_LIMIT", None),
+    ]
+    assert raw.read_failed(spark, str(tmp_path / "nothing")).isEmpty()
     assert (got["request_id"], got["radius"]) == ("q", 500)
     places = [(p["place_id"], p["name"], p["rating"], p["url"]) for p in got["places"]]
-    assert places == [("a", "Shop 1", 4.4, "u"), ("b", "Shop 2", 3.0, "url/Shop 2")]
+    assert places == [("a", "Mill Bakery", 4.4, "u"), ("b", "Dock Diner", 3.0, "url/Dock Diner")]
 
 
 def test_statuses(spark):

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidelog.functions.identity import location_key, reject_reason, stable_id
 from tidelog.functions.instants import is_instant, to_instant
+from tidelog.operators.latest import latest_per_key
 from tidelog.schemas import DETAIL_FIELDS, PLACE
 
 BASIC_INFO = (
@@ -23,23 +24,40 @@ BASIC_INFO = (
 PAGE_SIZE = 20
 
 
-def flatten_places(documents: DataFrame, commit: Column | None = None) -> DataFrame:
+def flatten_places(
+    documents: DataFrame,
+    commit: Column | None = None,
+    location: tuple[float, float] | None = None,
+    origin: Column | None = None,
+) -> DataFrame:
     """One row per place, in document order; a null or empty list gives none.
 
-    `commit`: the instant of each document; by default the document's own.
+    `commit`: the instant of each document; by default the document's own.  `location`: the
+    search centre of all documents, instead of their own.  `origin`: where a document comes
+    from; it stands for the request of a document without one.  `seq` runs through all
+    documents of a request.
     """
+    lat, lng = (
+        (F.col("location.lat"), F.col("location.lng"))
+        if location is None
+        else (F.lit(float(c)) for c in location)
+    )
+    request = F.col("request_id") if origin is None else F.coalesce("request_id", origin)
+    several = "first_seq" in documents.columns
+    before = F.coalesce("first_seq", F.lit(0)) if several else F.lit(0)
     elements = documents.select(
-        location_key(F.col("location.lat"), F.col("location.lng")).alias("location_key"),
+        location_key(lat, lng).alias("location_key"),
         (F.col("commit") if commit is None else commit).alias("commit"),
-        F.col("request_id").alias("source"),
-        F.posexplode("places").alias("seq", "place"),
-    )
+        request.alias("source"),
+        before.cast("bigint").alias("first_seq"),
+        F.posexplode("places").alias("at", "place"),
+    ).withColumn("seq", F.col("first_seq") + F.col("at"))
     places = elements.select("location_key", "commit", "source", "seq", "place.*")
     return places.select(
         "location_key",
         "commit",
         "source",
-        F.col("seq").cast("bigint").alias("seq"),
+        "seq",
         "place_id",
         "name",
         F.col("formatted_address").alias("address"),
@@ -57,6 +75,11 @@ def file_instant() -> Column:
     return F.coalesce(F.col("commit"), to_instant(written))
 
 
+def file_origin() -> Column:
+    """Path of the file a document was read from."""
+    return F.col("_metadata.file_path")
+
+
 def basic_info(places: DataFrame, columns: Sequence[str] = BASIC_INFO) -> DataFrame:
     """The stored columns of a place with its stable id; drops the labels."""
     identity = stable_id(F.col("name"), F.col("latitude"), F.col("longitude"))
@@ -66,11 +89,12 @@ def basic_info(places: DataFrame, columns: Sequence[str] = BASIC_INFO) -> DataFr
 def identified(places: DataFrame) -> DataFrame:
     """Add `entity_id` and `reject_reason`; rows to keep have a null reason."""
     parts = [F.col(c) for c in ("name", "latitude", "longitude")]
-    undated = F.when(~is_instant(F.col("commit")), F.lit("invalid commit"))
+    undated = F.when(~F.coalesce(is_instant(F.col("commit")), F.lit(False)), F.lit("invalid commit"))
+    unplaced = F.when(F.col("location_key").isNull(), F.lit("missing location"))
     return places.withColumns(
         {
             "entity_id": stable_id(*parts),
-            "reject_reason": F.coalesce(reject_reason(*parts), undated),
+            "reject_reason": F.coalesce(reject_reason(*parts), undated, unplaced),
         }
     )
 
@@ -95,7 +119,7 @@ def nest_documents(
 
     A document holds at most `max_places` consecutive values of the unique `seq`; a
     larger request becomes several documents (`part`), so that no group and no file
-    grows with the size of a request.
+    grows with the size of a request; `first_seq` keeps their places numbered through.
     """
     part = F.floor(F.col(seq) / max_places).cast("bigint")
     grouped = (
@@ -107,7 +131,11 @@ def nest_documents(
         .groupBy(*request, "part")
         .agg(F.sort_array(F.collect_list("item")).alias("items"))
     )
-    return grouped.select(*document, F.transform("items", lambda i: i["place"]).alias("places"))
+    return grouped.select(
+        *document,
+        (F.col("part") * max_places).alias("first_seq"),
+        F.transform("items", lambda i: i["place"]).alias("places"),
+    )
 
 
 def successful(responses: DataFrame, statuses: Sequence[str], status: str = "status") -> DataFrame:
@@ -128,7 +156,7 @@ DETAILS_OK = ("OK",)
 def enrich_details(
     base: DataFrame,
     details: DataFrame,
-    key: str = "place_id",
+    key: str | Sequence[str] = "place_id",
     fields: Sequence[str] = (*DETAIL_FIELDS, "address", "metric"),
     strict: bool = False,
 ) -> DataFrame:
@@ -137,11 +165,12 @@ def enrich_details(
     `strict`: a null detail of a matched row replaces the base value as well.  Rows
     without a key are dropped.  `details` must have one row per key.
     """
+    keys = [key] if isinstance(key, str) else list(key)
     columns = [c for c in fields if c in details.columns and c in base.columns]
     matches = details.select(
-        key, F.lit(True).alias("__found"), *[F.col(c).alias(f"__{c}") for c in columns]
+        *keys, F.lit(True).alias("__found"), *[F.col(c).alias(f"__{c}") for c in columns]
     )
-    joined = base.filter(F.col(key).isNotNull()).join(matches, key, "left")
+    joined = base.dropna(subset=keys).join(matches, keys, "left")
 
     def merged(column: str) -> Column:
         if column not in columns:
@@ -155,7 +184,10 @@ def enrich_details(
 
 
 def search_results(responses: DataFrame, page_size: int = PAGE_SIZE) -> DataFrame:
-    """Places of the successful pages with their request; `seq` numbers them over its pages."""
+    """Places of the successful pages with their request; `seq` numbers them over its pages.
+
+    A page with more than `page_size` results raises: the numbers of two pages would meet.
+    """
     found = successful(responses, SEARCH_OK).select(
         "request_id",
         "commit",
@@ -164,12 +196,35 @@ def search_results(responses: DataFrame, page_size: int = PAGE_SIZE) -> DataFram
         "page",
         F.posexplode("results").alias("at", "place"),
     )
-    seq = F.col("page") * page_size + F.col("at")
+    too_many = F.raise_error(F.lit(f"a page has more than {page_size} results")).cast("bigint")
+    seq = F.col("page") * page_size + F.when(F.col("at") < page_size, F.col("at")).otherwise(too_many)
     return found.select(
         "request_id", "commit", "location", "radius", seq.alias("seq"), "place.*"
     )
 
 
+def failed_responses(responses: DataFrame, details: DataFrame) -> DataFrame:
+    """Search pages and details responses without usable results, with status and message."""
+    none = F.lit(None)
+    pages = unsuccessful(responses, SEARCH_OK).select(
+        F.lit("search").alias("kind"),
+        "request_id",
+        "page",
+        none.cast("string").alias("place_id"),
+        "status",
+        "error_message",
+    )
+    places = unsuccessful(details, DETAILS_OK).select(
+        F.lit("details").alias("kind"),
+        "request_id",
+        none.cast("bigint").alias("page"),
+        "place_id",
+        "status",
+        "error_message",
+    )
+    return pages.union(places)
+
+
 def collect_documents(
     responses: DataFrame,
     details: DataFrame,
@@ -178,12 +233,18 @@ def collect_documents(
 ) -> DataFrame:
     """Raw documents from landed search pages and details responses.
 
-    Places of failed pages are left out, places without successful details stay as found.
-    A request without places gives no document.
+    Details belong to the run of their request; of several for one place and run the one
+    that is greatest as text counts.  Places of failed pages are left out (see
+    `failed_responses`), places without successful details stay as found.  A request without
+    places gives no document.
     """
-    found = search_results(responses, page_size)
-    known = successful(details, DETAILS_OK).select("place_id", "result.*")
-    enriched = enrich_details(found, known, fields=DETAIL_FIELDS)
+    run = F.coalesce("request_id", F.lit("")).alias("__run")
+    found = search_results(responses, page_size).select("*", run)
+    known = successful(details, DETAILS_OK).select(
+        run, "place_id", "result.*", F.to_json("result").alias("__text")
+    )
+    one = latest_per_key(known, ["__run", "place_id"], ["__text"])
+    enriched = enrich_details(found, one, ["__run", "place_id"], DETAIL_FIELDS)
     request = ["request_id", "commit", "location", "radius"]
     place = F.struct(*PLACE.names)
     return nest_documents(enriched, request, "seq", [F.col(c) for c in request], place, max_places)

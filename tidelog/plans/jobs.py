@@ -9,7 +9,9 @@ from tidelog.operators.history import history_table, with_history_json
 from tidelog.operators.ingest import (
     PAGE_SIZE,
     collect_documents,
+    failed_responses,
     file_instant,
+    file_origin,
     flatten_places,
 )
 from tidelog.operators.snapshots import validity_intervals
@@ -21,19 +23,29 @@ from tidelog.sources.raw import (
     read_details,
     read_documents,
     read_search_pages,
-    write_documents,
+    write_batch,
+    write_failed,
 )
 
 KEY = ("location_key", "entity_id")
 
 
 def collect(
-    spark: SparkSession, search: str, details: str, path: str, page_size: int = PAGE_SIZE
+    spark: SparkSession,
+    search: str,
+    details: str,
+    path: str,
+    page_size: int = PAGE_SIZE,
+    batch: str = "all",
 ) -> None:
-    """Join landed search pages and details responses and write raw documents, one per line."""
-    responses = read_search_pages(spark, search)
-    documents = collect_documents(responses, read_details(spark, details), page_size)
-    write_documents(documents, path, one_per_file=False)
+    """Join landed search pages and details responses and write raw documents, one per line.
+
+    Failed responses are written beside them (`read_failed`).  The same batch again replaces
+    its own files only.
+    """
+    responses, known = read_search_pages(spark, search), read_details(spark, details)
+    write_batch(collect_documents(responses, known, page_size), path, batch)
+    write_failed(failed_responses(responses, known), path, batch)
 
 
 def ingest_documents(
@@ -44,15 +56,18 @@ def ingest_documents(
     commit: str | None = None,
     multi_line: bool = True,
     layout: Sequence[str] = LAYOUT,
+    location: tuple[float, float] | None = None,
 ) -> dict[str, int]:
     """Flatten, identify and upsert all documents under `path` as one batch.
 
     `commit`: the instant of the whole batch; without it each document's own, or when its
-    file was written.
+    file was written.  `location`: latitude and longitude of the search centre of the whole
+    batch; without it each document's own.
     """
     documents = read_documents(spark, path, multi_line)
     instant = file_instant() if commit is None else F.lit(commit)
-    return append_batch(flatten_places(documents, instant), root, batch, layout)
+    places = flatten_places(documents, instant, location, file_origin())
+    return append_batch(places, root, batch, layout)
 
 
 def build_history(spark: SparkSession, root: str, location: str | None = None) -> DataFrame:

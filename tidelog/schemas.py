@@ -24,8 +24,10 @@ PLACE = T.StructType(
     ]
 )
 
-# One landed document: a search centre and what was found around it.  `commit` is
-# optional; a document without it gets its instant from the caller or the file.
+# One landed document: a search centre and what was found around it.  `commit` and `location`
+# are optional; a document without them gets its instant from the caller or the file, its
+# location from the caller.  `first_seq` numbers its first place where a request has several
+# documents.
 RAW_DOCUMENT = T.StructType(
     [
         T.StructField("request_id", T.StringType()),
@@ -35,6 +37,7 @@ RAW_DOCUMENT = T.StructType(
             T.StructType([T.StructField("lat", T.DoubleType()), T.StructField("lng", T.DoubleType())]),
         ),
         T.StructField("radius", T.IntegerType()),
+        T.StructField("first_seq", T.LongType()),
         T.StructField("places", T.ArrayType(PLACE)),
     ]
 )
@@ -56,9 +59,10 @@ SEARCH_RESPONSE = T.StructType(
 # The fields asked of the details service.
 DETAIL_FIELDS = ("name", "formatted_address", "geometry", "rating", "url")
 
-# One landed details response.
+# One landed details response; it belongs to the run of its request.
 DETAILS_RESPONSE = T.StructType(
     [
+        T.StructField("request_id", T.StringType()),
         T.StructField("place_id", T.StringType()),
         T.StructField("status", T.StringType()),
         T.StructField("error_message", T.StringType()),
@@ -100,6 +104,40 @@ LOG = T.StructType(
     ]
 )
 
+# A row that no identity could be made for.
+REJECTED = T.StructType(
+    [
+        T.StructField("location_key", T.StringType()),
+        T.StructField("commit", T.StringType()),
+        T.StructField("source", T.StringType()),
+        T.StructField("seq", T.LongType()),
+        T.StructField("place_id", T.StringType()),
+        T.StructField("name", T.StringType()),
+        T.StructField("address", T.StringType()),
+        T.StructField("latitude", T.DoubleType()),
+        T.StructField("longitude", T.DoubleType()),
+        T.StructField("url", T.StringType()),
+        T.StructField("metric", T.DoubleType()),
+        T.StructField("types", T.ArrayType(T.StringType())),
+        T.StructField("entity_id", T.StringType()),
+        T.StructField("reject_reason", T.StringType()),
+        T.StructField("batch", T.StringType()),
+    ]
+)
+
+# A search page or details response without usable results.
+FAILED = T.StructType(
+    [
+        T.StructField("kind", T.StringType()),
+        T.StructField("request_id", T.StringType()),
+        T.StructField("page", T.LongType()),
+        T.StructField("place_id", T.StringType()),
+        T.StructField("status", T.StringType()),
+        T.StructField("error_message", T.StringType()),
+        T.StructField("batch", T.StringType()),
+    ]
+)
+
 # Publish marker of the log: a batch is visible once its rows are here.
 COMMITS = T.StructType(
     [

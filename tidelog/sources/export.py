@@ -69,7 +69,11 @@ def summary_report(
 
 
 def write_report(rows: DataFrame, path: str, generated_at: str, **provenance: str) -> None:
-    """The summary and, beside it, the rows; never all rows in one document."""
+    """The summary and, beside it, the rows; never all rows in one document.
+
+    The summary is of the rows as written: they are worked out once.
+    """
     write_json(rows, f"{path}/rows")
-    summary = summary_report(rows, generated_at, **provenance)
+    written = rows.sparkSession.read.schema(rows.schema).json(f"{path}/rows")
+    summary = summary_report(written, generated_at, **provenance)
     summary.write.option("ignoreNullFields", False).json(f"{path}/summary")

@@ -2,7 +2,7 @@
 
     <root>/log/batch=<id>/location_key=<key>/commit=<instant>/*.parquet
     <root>/commits/batch=<id>/*.parquet      written last: the publish marker
-    <root>/rejected/batch=<id>/*.parquet     rows without an identity
+    <root>/rejected/batch=<id>/*.parquet     rows without identity, instant or location
 
 Writing a batch again replaces its own folders only, so a replay changes nothing, and
 readers see a batch once its commit rows are there.
@@ -11,7 +11,7 @@ readers see a batch once its commit rows are there.
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,7 +19,9 @@ from tidelog.operators.ingest import accepted, identified, rejected
 from tidelog.operators.latest import latest_per_key
 from tidelog.operators.snapshots import retain_commits
 from tidelog.operators.timeline import load_timeline
-from tidelog.schemas import COMMITS, LOG, RECORD_COLUMNS
+from tidelog.schemas import COMMITS, LOG, RECORD_COLUMNS, REJECTED
+from tidelog.sources.raw import read_or_none
+from tidelog.sources.scratch import durable
 
 KEY = ("location_key", "entity_id")
 
@@ -33,25 +35,20 @@ def append_batch(
 ) -> dict[str, int]:
     """Upsert flattened places as batch `batch`; returns the rows read, rejected and kept.
 
-    One pass over the input, and a second for the rejected rows if there are any.  A batch
-    that is published already is left alone; one without usable rows adds no commit.
-    `kept` is counted from the files; the others are observed while writing, so that tasks
-    repeated for a lost executor may count twice.
+    One pass over the input: identified rows are written out once, and rejected rows, records
+    and all counts come from there.  A batch that is published already is left alone; one
+    without usable rows adds no commit.  Rows that agree in source and seq (documents without a
+    request in one file) are settled by their contents, so a replay gives the same winner.
     """
     spark = places.sparkSession
     if _published(spark, root, batch):
         return {"read": 0, "rejected": 0, "kept": 0}
-    seen = Observation()
-    rows = identified(places)
+    rows = durable(identified(places))
     tallies = F.count(F.lit(1)).alias("read"), F.count("reject_reason").alias("rejected")
-    observed = accepted(rows.observe(seen, *tallies))
-    records = latest_per_key(observed, [*KEY, "commit"], ["source", "seq"])
+    counts = rows.agg(*tallies).first().asDict()
+    order = ["source", "seq", "place_id", "metric", "name", "url"]
+    records = latest_per_key(accepted(rows), [*KEY, "commit"], order)
     kept = _write(records, root, batch, layout)
-    if kept:
-        counts = seen.get
-    else:
-        # Adaptive planning drops an empty branch and the observation with it.
-        counts = rows.agg(*tallies).first().asDict()
     if counts["rejected"]:
         rejected(rows).write.mode("overwrite").parquet(f"{root}/rejected/batch={batch}")
     _publish(spark, root, batch)
@@ -141,24 +138,17 @@ def read_log(
     if until is not None:
         wanted &= F.col("commit") <= until
     rows = spark.read.schema(LOG).parquet(f"{root}/log").filter(wanted)
-    same_commit = Window.partitionBy("location_key", "commit")
-    # One row per commit and batch; Spark broadcasts it when its files are small.
-    published = (
-        read_commits(spark, root)
-        .filter(wanted)
-        .select(
-            "location_key", "commit", "batch", F.count(F.lit(1)).over(same_commit).alias("__batches")
-        )
+    published = read_commits(spark, root).filter(wanted).select("batch").distinct()
+    found = rows.join(published, "batch", "left_semi")
+    # Several batches may bring one commit: of an entity's rows there the last in order stays.
+    # The exchange is the one by entity that as-of reads and intervals need anyway.
+    order = Window.partitionBy(*KEY).orderBy("commit", "source", "seq", "batch")
+    following = F.lead("commit").over(order)
+    return (
+        found.withColumn("__following", following)
+        .filter(F.col("__following").isNull() | (F.col("__following") != F.col("commit")))
+        .select(*_record_fields())
     )
-    found = rows.join(published, ["location_key", "commit", "batch"])
-    if published.filter(F.col("__batches") > 1).isEmpty():
-        return found.select(*_record_fields())
-    # Only a commit that several batches brought can hold an entity twice.
-    once = found.filter(F.col("__batches") == 1)
-    several = latest_per_key(
-        found.filter(F.col("__batches") > 1), [*KEY, "commit"], ["source", "seq", "batch"]
-    )
-    return once.unionByName(several).select(*_record_fields())
 
 
 def _record_fields() -> list[str]:
@@ -166,5 +156,5 @@ def _record_fields() -> list[str]:
 
 
 def read_rejected(spark: SparkSession, root: str) -> DataFrame:
-    """Rows that no identity could be made for, with the reason."""
-    return spark.read.parquet(f"{root}/rejected")
+    """Rows without identity, instant or location, with the reason; none if there never were any."""
+    return read_or_none(spark, REJECTED, "parquet", f"{root}/rejected")

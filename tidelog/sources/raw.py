@@ -1,8 +1,10 @@
 """Raw documents, result pages and daily rows."""
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
-from tidelog.schemas import DAILY, DETAILS_RESPONSE, RAW_DOCUMENT, SEARCH_RESPONSE
+from tidelog.schemas import DAILY, DETAILS_RESPONSE, FAILED, RAW_DOCUMENT, SEARCH_RESPONSE
 
 
 def read_documents(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
@@ -31,6 +33,31 @@ def write_documents(documents: DataFrame, path: str, one_per_file: bool = True)
     writer.json(path)
 
 
+def write_batch(documents: DataFrame, path: str, batch: str) -> None:
+    """Write documents, one per line, as a batch of a folder of documents, replacing it."""
+    documents.write.mode("overwrite").json(f"{path}/batch={batch}")
+
+
+def write_failed(failed: DataFrame, path: str, batch: str) -> None:
+    """Write the failed responses of a batch beside its documents, which readers do not see."""
+    failed.write.mode("overwrite").json(f"{path}/_failed/batch={batch}")
+
+
+def read_failed(spark: SparkSession, path: str) -> DataFrame:
+    """Failed responses of all batches; none where nothing was collected."""
+    return read_or_none(spark, FAILED, "json", f"{path}/_failed")
+
+
+def read_or_none(spark: SparkSession, schema: T.StructType, kind: str, path: str) -> DataFrame:
+    """A table, or no rows of its schema where nothing was ever written."""
+    try:
+        return spark.read.schema(schema).format(kind).load(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
 def read_daily(spark: SparkSession, path: str) -> DataFrame:
     """Daily popularity, JSON lines."""
     return spark.read.schema(DAILY).json(path)

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from tidelog.operators.ingest import file_instant, flatten_places
+from tidelog.operators.ingest import file_instant, file_origin, flatten_places
 from tidelog.schemas import RAW_DOCUMENT
 from tidelog.sources.log import LAYOUT, append_batch
 
@@ -24,11 +24,15 @@ def stream_documents(
 
 
 def start_ingest(
-    documents: DataFrame, root: str, checkpoint: str, layout: Sequence[str] = LAYOUT
+    documents: DataFrame,
+    root: str,
+    checkpoint: str,
+    layout: Sequence[str] = LAYOUT,
+    location: tuple[float, float] | None = None,
 ) -> StreamingQuery:
     """Upsert what has landed so far, then stop; run again for what lands later.
 
-    The commit comes from the document or its file, never from the order of arrival.
+    `location`: the search centre of all documents, instead of their own.  The commit comes from the document or its file, never from the order of arrival.
     A micro-batch is one log batch, named after the checkpoint and its number, so a
     replayed one is recognised; several may add to the same commit.
     """
@@ -39,7 +43,7 @@ def start_ingest(
         append_batch(batch, root, f"{stream}-{number:012d}", layout)
 
     return (
-        flatten_places(documents, file_instant())
+        flatten_places(documents, file_instant(), location, file_origin())
         .writeStream.foreachBatch(upsert)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)

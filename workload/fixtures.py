@@ -146,15 +146,21 @@ def place_documents(
     )
 
 
-def observation_documents(spark: SparkSession, sf_dir: str, max_places: int = 1000) -> DataFrame:
-    """Documents of at most `max_places` observations, one commit per day."""
+def observation_documents(
+    spark: SparkSession, sf_dir: str, max_places: int = 1000, one_request: bool = False
+) -> DataFrame:
+    """Documents of at most `max_places` observations, one commit per day.
+
+    `one_request`: all documents of a day are parts of one request.
+    """
     seen = observations(spark, sf_dir)
+    name = F.col("commit") if one_request else F.format_string("%s-%012d", "commit", "part")
     return nest_documents(
         seen,
         ["commit"],
         "seq",
         _document(
-            F.format_string("%s-%012d", "commit", "part"),
+            name,
             F.col("commit"),
             F.lit(25.0),
             F.lit(121.5),
@@ -219,12 +225,42 @@ def details_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     known = F.col("category") != "BUILDING"
     return rows.select(
+        F.format_string("n%02d", "nation").alias("request_id"),
         key.alias("place_id"),
         F.when(known, F.lit("OK")).otherwise(F.lit("NOT_FOUND")).alias("status"),
         F.when(known, result).alias("result"),
     )
 
 
+def run_responses(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Search pages and details of two weekly runs over all customers.
+
+    Each run has its own details, with a metric of its own, and every one of them twice.
+    """
+    run = F.explode(F.array(F.lit(1), F.lit(8))).alias("run")
+    request = F.format_string("%s-%d", "request_id", "run")
+    searched = search_responses(spark, sf_dir).select("*", run)
+    searched = searched.withColumns(
+        {"request_id": request, "commit": F.format_string("202401%02d000000000", "run")}
+    ).drop("run")
+    detailed = details_responses(spark, sf_dir).select("*", run)
+    rating = (F.lit(10) + (F.col("place_id").cast("long") * 7 + F.col("run") * 13) % 41) / 10.0
+    known = F.col("result").isNotNull()
+    detailed = detailed.withColumns(
+        {
+            "request_id": request,
+            "result": F.when(known, F.col("result").withField("rating", rating)),
+        }
+    ).drop("run")
+    return searched, detailed.union(detailed)
+
+
+def unplaced_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents of `place_documents`; those of nations with an odd key have no location."""
+    placed = F.substring("request_id", 2, 2).cast("int") % 2 == 0
+    return place_documents(spark, sf_dir).withColumn("location", F.when(placed, F.col("location")))
+
+
 def search_pages(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     """Pages of three searches: every customer is found twice, every supplier once.
 

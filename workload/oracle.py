@@ -214,7 +214,16 @@ ORACLE = {
     "location_partition": f"""WITH {_PLACES}
       SELECT '25.0_' || (121.0::DOUBLE + nation)::VARCHAR AS location_key, '20240101000000000' AS commit,
              {_id()} AS entity_id, place_id::VARCHAR AS place_id, name, metric FROM place""",
+    "location_read": f"""WITH {_PLACES}
+      SELECT '25.0_' || (121.0::DOUBLE + nation)::VARCHAR AS location_key, '20240101000000000' AS commit,
+             {_id()} AS entity_id, place_id::VARCHAR AS place_id, name, metric FROM place WHERE nation = 3""",
+    "ingest_unplaced": f"""WITH {_PLACES}
+      SELECT place_id::VARCHAR AS place_id,
+             CASE WHEN nation % 2 = 0 THEN '25.0_' || (121.0::DOUBLE + nation)::VARCHAR END AS location_key,
+             CASE WHEN nation % 2 = 1 THEN 'missing location' END AS reject_reason
+      FROM place""",
     "upsert_log": f"WITH {_history()}, {_OBSERVED} SELECT * FROM observed",
+    "upsert_parts": f"WITH {_history()}, {_OBSERVED} SELECT * FROM observed",
     "stream_ingest": f"WITH {_history()}, {_OBSERVED} SELECT * FROM observed",
     "log_rewrite": f"""WITH {_history()},
       base AS (SELECT commit AS kept_from FROM commits WHERE ordinal = n_commits - 9)
@@ -260,6 +269,8 @@ ORACLE = {
     "history_table": f"WITH {_history()}, {_tables()} SELECT * FROM history_rows",
     "history_table_located": f"""WITH {_history("hour", _LOCATED, "location_key")},
       {_tables(_LOCATED)} SELECT * FROM history_rows""",
+    "history_table_chunked": f"""WITH {_history("hour", _LOCATED, "location_key")},
+      {_tables(_LOCATED)} SELECT * FROM history_rows""",
     "history_scan": f"""WITH {_history()}, {_tables()}
       SELECT entity_id, name, metric_change FROM history_rows""",
     "latest_output": f"WITH {_history()}, {_tables()} SELECT * FROM history_rows",
@@ -375,6 +386,22 @@ ORACLE = {
              CASE WHEN category <> 'BUILDING' THEN upper(name) ELSE name END AS name, metric,
              CASE WHEN category <> 'BUILDING' THEN 'details/' ELSE 'place/' END || place_id::VARCHAR AS url
       FROM paged WHERE worst >= -900""",
+    "collect_runs": f"""WITH {_PLACES},
+      paged AS (SELECT *, min(balance) OVER (PARTITION BY nation, place_id // 100) AS worst FROM place)
+      SELECT '25.0_' || (121.0::DOUBLE + nation)::VARCHAR AS location_key,
+             CASE WHEN category <> 'BUILDING' THEN upper(name) ELSE name END AS name,
+             CASE WHEN category <> 'BUILDING' THEN (10 + (place_id * 7 + 8 * 13) % 41) / 10.0
+                       - (10 + (place_id * 7 + 13) % 41) / 10.0 ELSE 0.0 END AS metric_change
+      FROM paged WHERE worst >= -900""",
+    "failed_responses": f"""WITH {_PLACES},
+      paged AS (SELECT nation, place_id // 100 AS page, min(balance) AS worst FROM place GROUP BY ALL),
+      runs AS (SELECT unnest([1, 8]) AS run)
+      SELECT 'search' AS kind, 'n' || lpad(nation::VARCHAR, 2, '0') || '-' || run AS request_id,
+             page, NULL::VARCHAR AS place_id, 'UNKNOWN_ERROR' AS status
+      FROM paged, runs WHERE worst < -900
+      UNION ALL
+      SELECT 'details', 'n' || lpad(nation::VARCHAR, 2, '0') || '-' || run, NULL, place_id::VARCHAR, 'NOT_FOUND'
+      FROM place, runs, (SELECT unnest([1, 2])) WHERE category = 'BUILDING'""",
     "status_rejected": """SELECT c_custkey AS place_id, 'NOT_FOUND' AS status FROM customer
       WHERE c_acctbal < 0""",
     "enrich_details": f"""WITH {_PLACES}, {_DETAILS}

@@ -97,6 +97,26 @@ def location_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def location_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One location of the log; the others' folders are not opened."""
+    root = scratch_path(spark, "log")
+    log_store.append_batch(fx.flattened_places(spark, sf_dir), root, "b1")
+    return log_store.read_log(spark, root, location="25.0_124.0").select(
+        "location_key", "commit", "entity_id", "place_id", "name", "metric"
+    )
+
+
+def ingest_unplaced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with and without location: every row is read back, as kept or as rejected."""
+    root = scratch_path(spark, "log")
+    log_store.append_batch(ingest.flatten_places(fx.unplaced_documents(spark, sf_dir)), root, "b1")
+    kept = log_store.read_log(spark, root).select(
+        "place_id", "location_key", F.lit(None).cast("string").alias("reject_reason")
+    )
+    rejected = log_store.read_rejected(spark, root)
+    return kept.union(rejected.select("place_id", "location_key", "reject_reason"))
+
+
 _INGESTED = ["commit", "entity_id", "place_id", "name", "metric"]
 
 
@@ -107,6 +127,14 @@ def upsert_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return log_store.read_log(spark, root).select(*_INGESTED)
 
 
+def upsert_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As `upsert_log`, each day one request in many documents: the greatest number wins."""
+    root = scratch_path(spark, "log")
+    documents = fx.observation_documents(spark, sf_dir, max_places=20, one_request=True)
+    log_store.append_batch(ingest.flatten_places(documents), root, "b1")
+    return log_store.read_log(spark, root).select(*_INGESTED)
+
+
 def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     landed, root = scratch_path(spark, "landed"), scratch_path(spark, "log")
     raw.write_documents(fx.observation_documents(spark, sf_dir), landed, one_per_file=False)
@@ -185,6 +213,15 @@ def history_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     return history.with_history_json(_history_maps(spark, sf_dir))
 
 
+def history_table_chunked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As `history_table_located`, with a timeline cut into chunks of seven commits."""
+    seen = fx.observations(spark, sf_dir, "hour")
+    line = timeline.load_timeline(seen, ["location_key"], chunk=7)
+    log = snapshots.upsert_merge(seen, fx.LOCATED)
+    intervals = snapshots.validity_intervals(log, line, fx.LOCATED)
+    return history.with_history_json(history.history_table(intervals, line, fx.LOCATED))
+
+
 def metric_change(spark: SparkSession, sf_dir: str) -> DataFrame:
     return history.metric_change(*fx.daily_log_and_timeline(spark, sf_dir))
 
@@ -499,6 +536,28 @@ def collect_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _collected_runs(spark: SparkSession, sf_dir: str) -> str:
+    search, details, path = (scratch_path(spark, n) for n in ("search", "details", "raw"))
+    searched, detailed = fx.run_responses(spark, sf_dir)
+    searched.write.json(search)
+    detailed.write.json(details)
+    for _ in range(2):  # a replay changes nothing
+        jobs.collect(spark, search, details, path, page_size=100)
+    return path
+
+
+def collect_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs with details of their own: the change is between the details of the runs."""
+    root = scratch_path(spark, "root")
+    jobs.ingest_documents(spark, _collected_runs(spark, sf_dir), root, "b1", multi_line=False)
+    return jobs.build_history(spark, root).select("location_key", "name", "metric_change")
+
+
+def failed_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    failed = raw.read_failed(spark, _collected_runs(spark, sf_dir))
+    return failed.select("kind", "request_id", "page", "place_id", "status")
+
+
 def status_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
     responses = fx.detail_responses(spark, sf_dir)
     return ingest.unsuccessful(responses, ingest.DETAILS_OK).select("place_id", "status")
@@ -530,7 +589,10 @@ QUERIES = {
         rejected_rows,
         batch_counts,
         location_partition,
+        location_read,
+        ingest_unplaced,
         upsert_log,
+        upsert_parts,
         stream_ingest,
         log_rewrite,
         upsert_merge,
@@ -550,6 +612,7 @@ QUERIES = {
         history_wide_map,
         history_table,
         history_table_located,
+        history_table_chunked,
         history_scan,
         latest_output,
         full_cycle,
@@ -584,6 +647,8 @@ QUERIES = {
         pages_dedup,
         pages_duplicates,
         collect_documents,
+        collect_runs,
+        failed_responses,
         status_rejected,
         enrich_details,
         enrich_details_strict,
