@@ -90,12 +90,11 @@ class Shape:
         self.num, self.den = threshold.numerator, threshold.denominator
 
     def differing(self, total: int) -> int:
-        """Most n-grams in which two sets of `total` together can differ at Jaccard >= t.
+        """Most n-grams in which two sets of at most `total` together can differ at Jaccard >= t.
 
-        overlap >= t * (total - overlap), so overlap >= ceil(num * total / (num + den)).
+        They differ in (1 - Jaccard) of their union, which is total / (1 + Jaccard).
         """
-        overlap = -(-self.num * total // (self.num + self.den))
-        return total - 2 * overlap
+        return (self.den - self.num) * total // (self.den + self.num)
 
     def largest_partner(self, size: int) -> int:
         return size * self.den // self.num
