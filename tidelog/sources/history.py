@@ -14,10 +14,6 @@ from pyspark.sql import types as T
 
 from tidelog.schemas import HISTORY, RUNS
 
-# Up to this many runs are named in the folder filter; more are left to the join alone.
-LISTED_RUNS = 1000
-
-
 def publish_history(history: DataFrame, root: str, run: str) -> int:
     """Write one run and make it the newest of its locations; returns the rows written."""
     spark = history.sparkSession
@@ -57,14 +53,12 @@ def read_latest_history(
     newest = latest_runs(spark, root)
     if location is not None:
         newest = newest.filter(F.col("location_key") == location)
-    listed = [r["run"] for r in newest.select("run").distinct().limit(LISTED_RUNS + 1).collect()]
-    if not listed and location is None:
+    elif newest.isEmpty():
         raise ValueError(f"no published history under {root}")
     rows = spark.read.schema(T.StructType([*schema, RUNS["run"]])).parquet(f"{root}/history")
-    if len(listed) <= LISTED_RUNS:
-        rows = rows.filter(F.col("run").isin(listed))
     if location is not None:
         rows = rows.filter(F.col("location_key") == location)
-    elif len(listed) > 1:
-        rows = rows.join(newest, ["location_key", "run"], "left_semi")
+    # One row per location: while it is small, its runs prune the folders of the scan.
+    same = ["location_key", "run"] if "location_key" in schema.names else ["run"]
+    rows = rows.join(newest.select(*same), same, "left_semi")
     return rows.select(*(columns or schema.names))
