@@ -50,10 +50,12 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         return F.array_join(parts, ",")
 
     base = F.filter("spans", lambda s: s["via"] == "")
-    counts = [
-        F.size(F.filter(base, lambda s, k=kind: s["kind"] == k)).cast("long").alias(f"n_{kind}")
-        for kind in secret_scan.KINDS
-    ]
+
+    def counted(kind):
+        own = F.filter(base, lambda s: s["kind"] == kind)
+        return F.size(own).cast("long").alias(f"n_{kind}")
+
+    counts = [counted(kind) for kind in secret_scan.KINDS]
     return secret_scan.find_secrets(docs).select(
         "doc_id",
         *counts,
