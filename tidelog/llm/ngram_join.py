@@ -7,7 +7,7 @@ Candidates.  Two sets with Jaccard at least t differ in at most D = (1-t)/(1+t)
 n-grams.  A differing n-gram spoils one fragment, so if one of the sets has more than D fragments
 that are not empty, some fragment is equal in both and not empty.  Fragments as tokens differ in
 at most D on each side, so by the prefix principle it is enough that each document shows its
-first D+1 fragments in the global order.  F follows the size class of the larger set; a smaller
+first D+1 fragments in an order common to all (by number of n-grams, then value).  F follows the size class of the larger set; a smaller
 set shows the cuts of every class that a partner may have.  A set with too few non-empty
 fragments shows the cut of a second order as well (another hash), and so on; after the last
 it shows single n-grams.  Nothing at or above t is lost.
@@ -26,7 +26,7 @@ from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidelog.llm import textscan as ts
@@ -106,7 +106,7 @@ class Shape:
     def cut(self, size_class: int) -> int:
         """Number of fragments for pairs whose larger set is in the class."""
         most = self.differing(2 * ((2 << size_class) - 1))
-        return 1 if most == 0 else most + most // 2 + 2
+        return 1 if most == 0 else most + most // 6 + 2
 
 
 def _fragments(grams: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -135,7 +135,9 @@ def signatures(grams: np.ndarray, shape: Shape) -> np.ndarray:
             starts = np.flatnonzero(np.append(True, number[1:] != number[:-1]))
             content = np.add.reduceat(ts.mix(keys), starts)
             value = ts.mix(content + ts.mix(number[starts] + _salt(seed)))
-            out.append(value[: most + 1])
+            # The common order of fragments: those with most n-grams first, they tell most.
+            many = np.diff(np.append(starts, len(keys)))
+            out.append(value[np.lexsort((value, -many))[: most + 1]])
             if len(starts) > most:
                 break
     return np.unique(np.concatenate(out))
@@ -150,27 +152,42 @@ def sketches(grams: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return np.packbits(odd.reshape(rows, 512), axis=1).view(np.int64)
 
 
-def _profile(shape: Shape, n: int, text: str, id_col: str):
+def _profile(n: int):
+    """Size, name and sketch of every text's set."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block in ts.blocks(batch.column("text")):
+                grams, bounds = ngram_sets(block, n)
+                sketch = sketches(grams, bounds)
+                columns = [
+                    batch.column("id").slice(block.first_row, block.rows),
+                    *(pa.array(x) for x in (np.diff(bounds).astype(np.int64), *_set_keys(grams, bounds))),
+                    *(pa.array(np.ascontiguousarray(sketch[:, i])) for i in range(8)),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, names=["id", "n", "k1", "k2", *_SKETCH])
+
+    return run
+
+
+def _show(shape: Shape, n: int):
+    """What every text's set shows."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for block in ts.blocks(batch.column(text)):
+            for block in ts.blocks(batch.column("text")):
                 grams, bounds = ngram_sets(block, n)
-                sizes = np.diff(bounds)
-                keys = _set_keys(grams, bounds)
                 shown = [signatures(grams[a:b], shape) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
                 counts = np.array([len(x) for x in shown], np.int64)
                 offsets = pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32))
-                flat = np.concatenate(shown) if shown else np.zeros(0, _U)
-                sketch = sketches(grams, bounds)
+                flat = np.concatenate(shown).view(np.int64)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column(id_col).slice(block.first_row, block.rows).cast(pa.int64()),
-                        pa.array(sizes.astype(np.int64)),
-                        *(pa.array(k) for k in keys),
-                        pa.ListArray.from_arrays(offsets, pa.array(flat.view(np.int64))),
-                        *(pa.array(np.ascontiguousarray(sketch[:, i])) for i in range(8)),
+                        batch.column("id").slice(block.first_row, block.rows),
+                        pa.array(np.diff(bounds).astype(np.int64)),
+                        pa.ListArray.from_arrays(offsets, pa.array(flat)),
                     ],
-                    names=["id", "n", "k1", "k2", "shown", *_SKETCH],
+                    names=["id", "n", "shown"],
                 )
 
     return run
@@ -275,9 +292,8 @@ def similar_classes(
     ids = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text).alias("text"))
     profiles = durable(
         ids.mapInArrow(
-            _profile(shape, n, "text", "id"),
-            "id long, n long, k1 long, k2 long, shown array<long>, "
-            + ", ".join(f"{s} long" for s in _SKETCH),
+            _profile(n),
+            "id long, n long, k1 long, k2 long, " + ", ".join(f"{s} long" for s in _SKETCH),
         )
     )
     # One set per id, one node per set: partial aggregation meets a hot set in every task.
@@ -290,25 +306,31 @@ def similar_classes(
     )
     classes = chosen.groupBy(*key).agg(F.min("id").alias("of"))
     member = durable(chosen.join(classes, key).select("id", "of"))
-    # Marks that at least two ids show, and all who show them; both from one exchange.
+    # Small tables are written before they are joined with: Spark then knows their size, and
+    # texts stay where they are while it can broadcast them.
+    copies = durable(member.where("id <> of").select("id"))
     shown = (
-        profiles.where("id IS NOT NULL")
-        .select("id", F.explode("shown").alias("mark"))
-        .repartition("mark")
+        ids.where("id IS NOT NULL")
+        .join(copies, "id", "left_anti")
+        .mapInArrow(_show(shape, n), "id long, n long, shown array<long>")
+        .select("id", "n", F.explode("shown").alias("mark"))
     )
-    spread = [F.min("id").alias("centre"), F.max("id").alias("top"), F.count(F.lit(1)).alias("many")]
-    shared = shown.groupBy("mark").agg(*spread).where("centre < top").select("mark")
-    by_node = durable(
-        shown.join(shared, "mark").join(member, "id").select("mark", F.col("of").alias("id")).distinct()
+    # Only neighbours in size can be partners: by size, the nearest one is next to a row.
+    by_size = Window.partitionBy("mark").orderBy("n", "id")
+    before, after = F.lag("n").over(by_size), F.lead("n").over(by_size)
+    marks = durable(
+        shown.withColumns({"before": before, "after": after})
+        .where(
+            (F.col("before") * shape.den >= F.col("n") * shape.num)
+            | (F.col("n") * shape.den >= F.col("after") * shape.num)
+        )
+        .select("mark", "id")
     )
-    groups = by_node.groupBy("mark").agg(*spread).where("centre < top").select("mark", "centre", "many")
-    marks = durable(by_node.join(groups, "mark"))
-    # Written before they are joined with: small tables are then broadcast by their known size.
+    groups = marks.groupBy("mark").agg(F.min("id").alias("centre"))
     nodes = durable(marks.select("id").distinct())
     own = chosen.join(nodes, "id", "left_semi")
     facts = durable(
-        profiles.select("id", *key, *_SKETCH)
-        .join(nodes, "id", "left_semi")
+        profiles.join(nodes, "id", "left_semi")
         .join(own, ["id", *key], "left_semi")
         .dropDuplicates(["id"])
     )
@@ -316,9 +338,20 @@ def similar_classes(
     def side(prefix: str) -> DataFrame:
         return facts.select(F.col("id").alias(prefix), *(F.col(c).alias(prefix + c) for c in ("n", *_SKETCH)))
 
+    def sets_of(pairs: DataFrame) -> DataFrame:
+        """The sets of all members of `pairs`, cut; texts are read once more for them."""
+        asked = durable(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct())
+        return durable(
+            ids.join(asked, "id", "left_semi")
+            .join(facts.select("id", *key), "id")
+            .mapInArrow(_vertical(n, parts), "id long, part int, grams array<long>")
+            .dropDuplicates(["id", "part"])
+        )
+
     alike = _alike(shape, "a", "b")
     stars = durable(
-        marks.where("id <> centre")
+        marks.join(groups, "mark")
+        .where("id <> centre")
         .select(F.col("centre").alias("a"), F.col("id").alias("b"))
         .distinct()
         .join(side("a"), "a")
@@ -326,19 +359,7 @@ def similar_classes(
         .where(alike)
         .select("a", "b", "an", "bn")
     )
-    # Texts are read once more, for nodes that may have a partner: those of the pairs above, and
-    # members of marks in which others than the centre may be partners of each other.
-    asked = stars.select(F.explode(F.array("a", "b")).alias("id")).union(
-        marks.where("many > 2").select("id")
-    )
-    asked = durable(asked.distinct())
-    cut = durable(
-        ids.join(asked, "id", "left_semi")
-        .join(facts.select("id", *key), "id")
-        .mapInArrow(_vertical(n, parts), "id long, part int, grams array<long>")
-        .dropDuplicates(["id", "part"])
-    )
-    links = durable(_verified(stars, cut, shape))
+    links = durable(_verified(stars, sets_of(stars), shape))
     so_far = durable(connected_components(links))
     # Marks whose nodes are not in one component yet.  Within each the largest component is
     # not compared with itself: the others meet everyone of another component.
@@ -372,7 +393,8 @@ def similar_classes(
         )
         .distinct()
     )
-    more = _verified(durable(rest), cut, shape)
+    rest = durable(rest)
+    more = _verified(rest, sets_of(rest), shape)
     final = connected_components(links.union(more))
     component = member.join(final, F.col("of") == F.col("node"), "left").select(
         "id", F.coalesce("component", "of").alias("component")
