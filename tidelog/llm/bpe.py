@@ -153,7 +153,7 @@ class Codec:
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all rows one after another, and how many each row has."""
         all_ids, all_counts = [], []
-        for block in ts.blocks(texts):
+        for block in ts.blocks(texts, ts.ENCODE_BYTES):
             starts = ts.spaced_tokens(block)
             ids, counts = ts.encode_tokens(self.words, block.codes, starts, None)
             all_ids.append(ids)

@@ -28,7 +28,7 @@ PASSAGE_WORDS = 64
 
 def _class_table() -> np.ndarray:
     kind = ts.classes()
-    table = np.full(0x110000, _REST, np.int64)
+    table = np.full(0x110000, _REST, np.int32)
     table[kind == ts.LETTER] = _LOWER
     table[(kind == ts.LETTER) & (ts.lower() != np.arange(0x110000))] = _UPPER
     table[kind == ts.NUMBER] = _DIGIT

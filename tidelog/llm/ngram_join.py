@@ -7,16 +7,16 @@ Candidates.  Two sets with Jaccard at least t differ in at most D = (1-t)/(1+t)
 n-grams.  A differing n-gram spoils one fragment, so if one of the sets has more than D fragments
 that are not empty, some fragment is equal in both and not empty.  Fragments as tokens differ in
 at most D on each side, so by the prefix principle it is enough that each document shows its
-first D+1 fragments in an order common to all (by number of n-grams, then value).  F follows the size class of the larger set; a smaller
-set shows the cuts of every class that a partner may have.  A set with too few non-empty
-fragments shows the cut of a second order as well (another hash), and so on; after the last
-it shows single n-grams.  Nothing at or above t is lost.
+first D+1 fragments in an order common to all (those with most n-grams first, then by value).
+F follows the size class of the larger set; a smaller set shows the cuts of every class that a
+partner may have.  A set with too few non-empty fragments shows the cut of a second order as well
+(another hash), and so on; after the last it shows single n-grams.  Nothing at or above t is lost.
 
 Verification.  Per vertical partition the overlap of each candidate pair is counted on its
 fragment alone; the counts are summed per pair and compared as whole numbers.
 
-Only classes matter: equal sets are one node, candidates first meet at the smallest node of
-their fragment, and only pairs that are still in different components meet in the end.  Before
+Only classes matter: equal sets are one node, candidates first meet the smallest node of their
+fragment, and only pairs that are still in different components meet in the end.  Before
 a pair is counted its parity sketches are compared: bit h mod 512 is the parity of the n-grams
 with that hash, so sketches never differ in more bits than the sets do in n-grams.
 """

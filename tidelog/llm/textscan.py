@@ -11,6 +11,8 @@ import tiktoken
 from tokenizers.normalizers import Lowercase
 
 OTHER, LETTER, NUMBER, SPACE = 0, 1, 2, 3
+#: Blocks of the tokenisers: each adds its new words to the cache, so fewer are better.
+ENCODE_BYTES = 3_000_000
 
 
 @dataclass
@@ -26,8 +28,11 @@ class Block:
         return len(self.bounds) - 1
 
 
-def blocks(texts: pa.Array, most_bytes: int = 4_000_000) -> Iterator[Block]:
-    """Whole rows in blocks of about `most_bytes`; a longer row is a block of its own."""
+def blocks(texts: pa.Array, most_bytes: int = 1_000_000) -> Iterator[Block]:
+    """Whole rows in blocks of about `most_bytes`; a longer row is a block of its own.
+
+    What is worked out for a block takes some 60 bytes per byte of text.
+    """
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
     texts = pc.fill_null(texts, "").cast(pa.large_string())
@@ -70,7 +75,8 @@ def lower() -> np.ndarray:
     table = np.arange(0x110000, dtype=np.uint32)
     upper = _all_characters(skip=(0x130,))
     small = Lowercase().normalize_str(upper)
-    table[[ord(c) for c in upper]] = [ord(c) for c in small]
+    codes, lowered = (np.frombuffer(x.encode("utf-32-le"), np.uint32) for x in (upper, small))
+    table[codes] = lowered
     return table
 
 
@@ -201,7 +207,7 @@ def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
 class TokenCache:
     """Ids of words by their hash, for one Python worker; starts afresh beyond `most` words."""
 
-    def __init__(self, encode, most: int = 2_000_000):
+    def __init__(self, encode, most: int = 1_000_000):
         self.encode, self.most = encode, most
         self.clear()
 
