@@ -34,6 +34,7 @@ from tidelog.llm.components import connected_components
 from tidelog.sources.scratch import durable
 
 _ORDERS = 4
+_SALTS = 32
 _SKETCH = [f"s{i}" for i in range(8)]
 _U = np.uint64
 
@@ -304,8 +305,18 @@ def similar_classes(
         .agg(F.max(F.struct(*key)).alias("k"))
         .select("id", "k.*")
     )
-    classes = chosen.groupBy(*key).agg(F.min("id").alias("of"))
-    member = durable(chosen.join(classes, key).select("id", "of"))
+    # Sets that several ids share, repeated for every salt: the ids of one set, maybe a third of
+    # all, are dealt out over as many join keys.
+    several = (
+        chosen.groupBy(*key)
+        .agg(F.min("id").alias("of"), F.count(F.lit(1)).alias("copies"))
+        .where("copies > 1")
+        .select(*key, "of", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))).alias("salt"))
+    )
+    salted = chosen.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(_SALTS)).cast("int"))
+    member = durable(
+        salted.join(several, [*key, "salt"], "left").select("id", F.coalesce("of", "id").alias("of"))
+    )
     # Small tables are written before they are joined with: Spark then knows their size, and
     # texts stay where they are while it can broadcast them.
     copies = durable(member.where("id <> of").select("id"))
