@@ -10,6 +10,7 @@ import time
 from pathlib import Path
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
@@ -60,6 +61,14 @@ def maps_by(spark, sf_dir, unit):
     return history.history_map(intervals, line)
 
 
+def table_over(spark, sf_dir, location):
+    """History tables with the given column as location: few locations, or as many as users."""
+    seen = fx.observations(spark, sf_dir, "hour").withColumn("location_key", F.col(location).cast("string"))
+    line = load_timeline(seen, ["location_key"])
+    intervals = snapshots.validity_intervals(snapshots.upsert_merge(seen, fx.LOCATED), line, fx.LOCATED)
+    return history.history_table(intervals, line, fx.LOCATED)
+
+
 def main():
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
@@ -81,6 +90,10 @@ def main():
         f"history_map_by_{unit}": timed(lambda: maps_by(spark, sf_dir, unit))
         for unit in ("day", "hour")
     }
+    scaling |= {
+        f"history_table_by_{name}": timed(lambda: table_over(spark, sf_dir, column))
+        for name, column in (("event_type", "location_key"), ("user", "entity_id"))
+    }
     print(
         json.dumps(
             {
