@@ -11,8 +11,6 @@ import tiktoken
 from tokenizers.normalizers import Lowercase
 
 OTHER, LETTER, NUMBER, SPACE = 0, 1, 2, 3
-#: Blocks of the tokenisers: each adds its new words to the cache, so fewer are better.
-ENCODE_BYTES = 3_000_000
 
 
 @dataclass
@@ -204,39 +202,64 @@ def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.arange(total, dtype=np.int64) + np.repeat(starts - offsets, lengths)
 
 
+class _Level:
+    """Sorted word hashes, with the place and number of each word's ids."""
+
+    def __init__(self):
+        self.keys = np.zeros(0, np.uint64)
+        self.start = np.zeros(0, np.int64)
+        self.length = np.zeros(0, np.int32)
+
+    def find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        place = np.minimum(np.searchsorted(self.keys, hashes), max(len(self.keys) - 1, 0))
+        return place, self.keys[place] == hashes if len(self.keys) else np.zeros(len(hashes), bool)
+
+    def add(self, keys: np.ndarray, start: np.ndarray, length: np.ndarray) -> None:
+        keys = np.concatenate([self.keys, keys])
+        order = np.argsort(keys)
+        self.keys = keys[order]
+        self.start = np.concatenate([self.start, start])[order]
+        self.length = np.concatenate([self.length, length.astype(np.int32)])[order]
+
+
 class TokenCache:
-    """Ids of words by their hash, for one Python worker; starts afresh beyond `most` words."""
+    """Ids of words by their hash, for one Python worker; starts afresh beyond `most` words.
+
+    New words go to a small level, which joins the large one when it has grown to a fifth of it.
+    """
 
-    def __init__(self, encode, most: int = 1_000_000):
+    def __init__(self, encode, most: int = 600_000):
         self.encode, self.most = encode, most
         self.clear()
 
     def clear(self) -> None:
-        self.keys = np.zeros(0, np.uint64)
-        self.start = np.zeros(0, np.int64)
-        self.length = np.zeros(0, np.int32)
+        self.large, self.small = _Level(), _Level()
         self.ids = np.zeros(0, np.int32)
 
+    def __len__(self) -> int:
+        return len(self.large.keys) + len(self.small.keys)
+
     def lookup(self, hashes: np.ndarray, words) -> tuple[np.ndarray, np.ndarray]:
         """Place and number of ids of each (distinct) hash; `words(index)` gives unknown words."""
-        if len(self.keys) + len(hashes) > self.most:
+        if len(self) + len(hashes) > self.most:
             self.clear()
-        place = np.searchsorted(self.keys, hashes)
-        known = np.zeros(len(hashes), bool)
-        inside = place < len(self.keys)
-        known[inside] = self.keys[place[inside]] == hashes[inside]
-        new = np.flatnonzero(~known)
-        if len(new):
-            ids, lengths = self.encode(words(new))
-            starts = len(self.ids) + np.cumsum(lengths) - lengths
-            keys = np.concatenate([self.keys, hashes[new]])
-            order = np.argsort(keys)
-            self.keys = keys[order]
-            self.start = np.concatenate([self.start, starts])[order]
-            self.length = np.concatenate([self.length, lengths.astype(np.int32)])[order]
+        start, length = np.zeros(len(hashes), np.int64), np.zeros(len(hashes), np.int64)
+        left = np.arange(len(hashes))
+        for level in (self.large, self.small):
+            place, known = level.find(hashes[left])
+            start[left[known]] = level.start[place[known]]
+            length[left[known]] = level.length[place[known]]
+            left = left[~known]
+        if len(left):
+            ids, lengths = self.encode(words(left))
+            start[left] = len(self.ids) + np.cumsum(lengths) - lengths
+            length[left] = lengths
             self.ids = np.concatenate([self.ids, ids.astype(np.int32)])
-            place = np.searchsorted(self.keys, hashes)
-        return self.start[place], self.length[place].astype(np.int64)
+            self.small.add(hashes[left], start[left], lengths)
+            if len(self.small.keys) > max(20_000, len(self.large.keys) // 5):
+                self.large.add(self.small.keys, self.small.start, self.small.length)
+                self.small = _Level()
+        return start, length
 
 
 def encode_tokens(cache: TokenCache, codes: np.ndarray, starts: np.ndarray, wanted: np.ndarray | None):
