@@ -243,6 +243,25 @@ def test_cycles_bombs_and_clean_texts():
     assert [s[2] for s in secret_scan.scan(deep)[0]] == ["assign"]
 
 
+def packed_text(data):
+    return base64.b64encode(gzip.compress(data, mtime=0)).decode()
+
+
+def test_a_bomb_hides_no_other_run_and_is_read_in_windows(make_docs):
+    bomb = packed_text(b"zz " * 5000)
+    small = packed_text(PLAIN.encode())
+    for text in (f"{small} and {bomb}", f"{bomb} and {small}"):
+        spans, unread = secret_scan.scan(text, limit=1000)
+        assert [text[a:b] for a, b, _, _ in spans] == [small] and unread == 1
+    for fill in (b"zz ", b" " * 3):
+        loaded = packed_text(fill * 5000 + b"password" + b" " * 9000 + PLAIN[8:].encode() + b" zz" * 5000)
+        text = f"é {loaded} {hidden('zz ' * 9)} {loaded}"
+        spans, unread = secret_scan.scan(text, limit=1000)
+        assert [(text[a:b], kind) for a, b, kind, _ in spans] == [(loaded, "assign")] * 2 and unread == 2
+    nested = packed_text(b"zz " * 5000 + hidden(PLAIN).encode() + b" zz" * 5000)
+    assert [s[2] for s in secret_scan.scan(nested, limit=1000)[0]] == ["assign"]
+
+
 def test_redaction(make_docs, no_docs):
     key = "AKIA" + "Q" * 16
     docs = make_docs((1, f"é {PLAIN} and {key} end"), (2, None), (3, ""), (4, key), (5, "plain"), (6, f"token={key}{key}"))

@@ -10,10 +10,11 @@ reported where it lies in the document.
 import base64
 import bz2
 import hashlib
+import itertools
 import lzma
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -35,6 +36,8 @@ _UNICODE = re.compile(
     r"\\u[0-9A-Fa-f]{4}|\\U[0-9A-Fa-f]{8}|\\x[0-9A-Fa-f]{2}|&#[0-9]{1,7};|&#[xX][0-9A-Fa-f]{1,6};"
 )
 _BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}={0,2}")
+_BLANKS = re.compile(rb"  +")
+_PIECE, _WINDOW = 1 << 20, 4 << 20
 _URL_SAFE = str.maketrans("-_", "+/")
 
 SPAN = T.StructType(
@@ -71,9 +74,20 @@ class Layer:
         return int(self.start[lo:hi].min()), int(self.end[lo:hi].max())
 
 
-#: A decoder gives (start, end, decoded text, source start and end of each of its characters,
-#: relative to the layer) of every run that it can unwrap.
-Run = tuple[int, int, str, np.ndarray, np.ndarray]
+@dataclass
+class Run:
+    """Code from start to end of a layer, and the text that it stands for.
+
+    Character i of the text comes from first[i] to last[i] of the layer.  A run in `place` is
+    read instead of its code; another one is a layer of its own.
+    """
+
+    start: int
+    end: int
+    text: str
+    first: np.ndarray
+    last: np.ndarray
+    place: bool = True
 
 
 def _by_bytes(start: int, data: bytes, text: str, first: np.ndarray, last: np.ndarray) -> tuple:
@@ -84,7 +98,8 @@ def _by_bytes(start: int, data: bytes, text: str, first: np.ndarray, last: np.nd
     return start + first[lead], start + last[final]
 
 
-def _percent(text: str, limit: int) -> Iterator[Run]:
+def _percent(layer: Layer, limit: int, unread: set) -> Iterator[Run]:
+    text = layer.text
     if "%" not in text:
         return
     for m in _PERCENT.finditer(text):
@@ -95,13 +110,14 @@ def _percent(text: str, limit: int) -> Iterator[Run]:
             data = data.decode("latin-1").encode("utf-8")
             decoded = data.decode("utf-8")
             at = 3 * np.arange(len(decoded))
-            yield m.start(), m.end(), decoded, m.start() + at, m.start() + at + 3
+            yield Run(m.start(), m.end(), decoded, m.start() + at, m.start() + at + 3)
             continue
         at = 3 * np.arange(len(data))
-        yield m.start(), m.end(), decoded, *_by_bytes(m.start(), data, decoded, at, at + 3)
+        yield Run(m.start(), m.end(), decoded, *_by_bytes(m.start(), data, decoded, at, at + 3))
 
 
-def _unicode(text: str, limit: int) -> Iterator[Run]:
+def _unicode(layer: Layer, limit: int, unread: set) -> Iterator[Run]:
+    text = layer.text
     if "\\" not in text and "&#" not in text:
         return
     high = None  # first half of a surrogate pair: (code, start, end)
@@ -120,29 +136,51 @@ def _unicode(text: str, limit: int) -> Iterator[Run]:
                 continue
             code, start = 0x10000 + ((high[0] - 0xD800) << 10) + code - 0xDC00, high[1]
         if code < 0x110000:
-            yield start, m.end(), chr(code), np.array([start]), np.array([m.end()])
-
+            yield Run(start, m.end(), chr(code), np.array([start]), np.array([m.end()]))
 
-def _inflate(data: bytes, limit: int) -> bytes | None:
-    """The content of gzip, zlib, bzip2 or xz data; None for other bytes.
 
-    More than `limit` bytes raise OverflowError.
-    """
+def _tool(data: bytes):
+    """A decompressor for gzip, zlib, bzip2 or xz data; None for other bytes."""
     if data[:2] == b"\x1f\x8b" or (data[:1] == b"\x78" and len(data) > 2 and int.from_bytes(data[:2]) % 31 == 0):
-        tool = zlib.decompressobj(47)
-    elif data[:3] == b"BZh":
-        tool = bz2.BZ2Decompressor()
-    elif data[:6] == b"\xfd7zXZ\x00":
-        tool = lzma.LZMADecompressor()
-    else:
-        return None
+        return zlib.decompressobj(47)
+    if data[:3] == b"BZh":
+        return bz2.BZ2Decompressor()
+    if data[:6] == b"\xfd7zXZ\x00":
+        return lzma.LZMADecompressor()
+    return None
+
+
+def _inflate(data: bytes) -> Iterator[bytes]:
+    """The content of compressed data piece by piece, as far as it can be read."""
+    tool = _tool(data)
+    if tool is None:
+        return
     try:
-        out = tool.decompress(data, limit + 1)
+        while not tool.eof:
+            out = tool.decompress(data, _PIECE)
+            data = getattr(tool, "unconsumed_tail", b"")
+            if out:
+                yield out
+            elif not data:
+                return
     except (zlib.error, OSError, EOFError, lzma.LZMAError, ValueError):
-        return None
-    if len(out) > limit:
-        raise OverflowError
-    return out
+        return
+
+
+def _windows(pieces: Iterable[bytes], size: int) -> Iterator[bytes]:
+    """Windows of `size` bytes; the latter half of each is the first of the next.
+
+    Blanks in a row become one, which is the same to every pattern: a match that counts is
+    short, and no cut loses it.
+    """
+    held = b""
+    for piece in pieces:
+        held = _BLANKS.sub(b" ", held + piece)
+        while len(held) >= size:
+            yield held[:size]
+            held = held[size - size // 2 :]
+    if held:
+        yield held
 
 
 def _plain(data: bytes) -> str | None:
@@ -172,86 +210,103 @@ def _base64_runs(text: str) -> Iterator[tuple[int, str, bytes]]:
                 yield m.start() + part.start(), part[0], data
 
 
-def _base64(text: str, limit: int) -> Iterator[Run]:
-    for start, run, data in _base64_runs(text):
+def _base64(layer: Layer, limit: int, unread: set) -> Iterator[Run]:
+    for start, run, data in _base64_runs(layer.text):
         decoded = _plain(data)
         if decoded:
             at = np.arange(len(data))
             first, last = at // 3 * 4, np.minimum(at // 3 * 4 + 4, len(run))
-            yield start, start + len(run), decoded, *_by_bytes(start, data, decoded, first, last)
+            yield Run(start, start + len(run), decoded, *_by_bytes(start, data, decoded, first, last))
 
 
-def _compressed(text: str, limit: int) -> Iterator[Run]:
-    for start, run, data in _base64_runs(text):
-        content = _inflate(data, limit)
+def _compressed(layer: Layer, limit: int, unread: set) -> Iterator[Run]:
+    """Content of up to `limit` bytes in place; more than that in windows, each on its own."""
+    for start, run, data in _base64_runs(layer.text):
+        if _tool(data) is None:
+            continue
+        end = start + len(run)
+        key = (*layer.original(start, end), hashlib.sha256(data).digest())
+        if key in unread:  # met in a layer before
+            continue
+        held, size, pieces = [], 0, _inflate(data)
+        for piece in pieces:
+            held.append(piece)
+            size += len(piece)
+            if size > limit:
+                break
+        if size > limit:
+            unread.add(key)
+            for window in _windows(itertools.chain(held, pieces), max(2, min(limit, _WINDOW))):
+                text = window.decode("utf-8", "replace")
+                yield Run(start, end, text, np.full(len(text), start), np.full(len(text), end), False)
+            continue
+        content = b"".join(held)
         decoded = _plain(content) if content else None
         if decoded:
-            n, end = len(decoded), start + len(run)
-            yield start, end, decoded, np.full(n, start), np.full(n, end)
+            n = len(decoded)
+            yield Run(start, end, decoded, np.full(n, start), np.full(n, end))
 
 
 DECODERS = {"url": _percent, "unicode": _unicode, "base64": _base64, "compressed": _compressed}
 
 
-def unwrap(layer: Layer, name: str, limit: int) -> Layer | None:
-    """The layer with every run that the decoder can read in place of its code; None if there is none."""
-    texts, starts, ends, at = [], [], [], 0
-    for lo, hi, decoded, first, last in DECODERS[name](layer.text, limit):
-        if lo < at:
-            continue
-        texts += [layer.text[at:lo], decoded]
-        starts += [layer.start[at:lo], layer.start[first]]
-        ends += [layer.end[at:lo], layer.end[last - 1]]
-        at = hi
-    if not texts:
-        return None
+def unwrap(layer: Layer, name: str, limit: int, unread: set) -> Iterator[Layer]:
+    """What the decoder reads in a layer: runs that are layers, then the layer with all others in place."""
     via = f"{layer.via}>{name}" if layer.via else name
-    return Layer(
-        "".join([*texts, layer.text[at:]]),
-        np.concatenate([*starts, layer.start[at:]]),
-        np.concatenate([*ends, layer.end[at:]]),
-        via,
-    )
+    texts, starts, ends, at = [], [], [], 0
+    for run in DECODERS[name](layer, limit, unread):
+        first, last = run.first, run.last - 1
+        if not run.place:
+            yield Layer(run.text, layer.start[first], layer.end[last], via)
+        elif run.start >= at:
+            texts += [layer.text[at : run.start], run.text]
+            starts += [layer.start[at : run.start], layer.start[first]]
+            ends += [layer.end[at : run.start], layer.end[last]]
+            at = run.end
+    if texts:
+        yield Layer(
+            "".join([*texts, layer.text[at:]]),
+            np.concatenate([*starts, layer.start[at:]]),
+            np.concatenate([*ends, layer.end[at:]]),
+            via,
+        )
 
 
 def scan(text: str, limit: int = 64 << 20) -> tuple[list[tuple[int, int, str, str]], int]:
     """(start, end, kind, via) of all secrets of a text, and the number of unread layers.
 
     `via` is empty for what the text shows itself.  A span that several layers show counts once.
-    Compressed content of more than `limit` bytes is not unpacked but counted as unread.
+    Compressed content of more than `limit` bytes is read in windows that overlap by half.  It
+    is counted as unread, for encoded runs in it are only whole up to half a window.
     """
     found = {(lo, hi, kind): "" for lo, hi, kind in base_spans(text)}
-    unread = 0
-    seen = {hashlib.sha256(text.encode("utf-8", "surrogatepass")).digest()}
-    work: list[Layer] = []
-    root: Layer | None = None
+    unread: set = set()
+    seen = set()
 
-    def open_layer(layer: Layer) -> None:
-        nonlocal unread
+    def opened(layer: Layer) -> Iterator[Layer]:
         for name in DECODERS:
-            try:
-                inner = unwrap(layer, name, limit)
-            except OverflowError:
-                unread += 1
-                continue
-            if inner is None:
-                continue
-            digest = hashlib.sha256(inner.text.encode("utf-8", "surrogatepass")).digest()
-            if digest not in seen:  # a layer met before, as in a cycle, is not opened again
-                seen.add(digest)
-                work.append(inner)
-
+            for inner in unwrap(layer, name, limit, unread):
+                digest = hashlib.sha256(inner.text.encode("utf-8", "surrogatepass")).digest()
+                key = (digest, int(inner.start[0]), int(inner.end[-1])) if inner.text else None
+                if key and key not in seen:  # a layer met before, as in a cycle, is not opened again
+                    seen.add(key)
+                    yield inner
+
+    work: list[Iterator[Layer]] = []
     if "%" in text or "\\" in text or "&#" in text or _BASE64.search(text):
         at = np.arange(len(text))
-        root = Layer(text, at, at + 1, "")
-        open_layer(root)
-    while work:
-        layer = work.pop()
+        seen.add((hashlib.sha256(text.encode("utf-8", "surrogatepass")).digest(), 0, len(text)))
+        work.append(opened(Layer(text, at, at + 1, "")))
+    while work:  # depth first, so that windows are made one at a time
+        layer = next(work[-1], None)
+        if layer is None:
+            work.pop()
+            continue
         for lo, hi, kind in base_spans(layer.text):
             found.setdefault((*layer.original(lo, hi), kind), layer.via)
-        open_layer(layer)
+        work.append(opened(layer))
     order = sorted(found.items(), key=lambda x: (x[0][0], KINDS.index(x[0][2]), x[0][1]))
-    return [(*span, via) for span, via in order], unread
+    return [(*span, via) for span, via in order], len(unread)
 
 
 def find_secrets(df: DataFrame, text: str = "text", limit: int = 64 << 20) -> DataFrame:
