@@ -1,8 +1,10 @@
 """Tokenisers, secrets, quality, language and line dedup: brute force, round trips, edge cases."""
 
 import base64
+import bz2
 import gzip
 import hashlib
+import lzma
 import random
 import re
 import urllib.parse
@@ -262,6 +264,21 @@ def test_a_bomb_hides_no_other_run_and_is_read_in_windows(make_docs):
     assert [s[2] for s in secret_scan.scan(nested, limit=1000)[0]] == ["assign"]
 
 
+def test_compressed_in_compressed_and_all_members():
+    data = PLAIN.encode()
+    for inner in (gzip.compress, zlib.compress, bz2.compress, lzma.compress):
+        for outer in (gzip.compress, zlib.compress, bz2.compress, lzma.compress):
+            code = base64.b64encode(outer(outer(inner(data)))).decode()
+            spans, unread = secret_scan.scan(f"é {code} end")
+            assert (2, 2 + len(code), "assign") in [s[:3] for s in spans] and unread == 0
+        for joint in (b"", b"\0" * 9):
+            code = base64.b64encode(inner(b"one ") + joint + inner(b"two ") + joint + inner(data)).decode()
+            assert [s[2] for s in secret_scan.scan(code)[0]] == ["assign"]
+    large = gzip.compress(zlib.compress(b"zz " * 5000 + random.Random(1).randbytes(3000)) + zlib.compress(data))
+    code = base64.b64encode(large).decode()
+    assert (0, len(code), "assign") in [s[:3] for s in secret_scan.scan(code, limit=1000)[0]]
+
+
 def test_redaction(make_docs, no_docs):
     key = "AKIA" + "Q" * 16
     docs = make_docs((1, f"é {PLAIN} and {key} end"), (2, None), (3, ""), (4, key), (5, "plain"), (6, f"token={key}{key}"))

@@ -16,6 +16,7 @@ import re
 import zlib
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -150,23 +151,62 @@ def _tool(data: bytes):
     return None
 
 
-def _inflate(data: bytes) -> Iterator[bytes]:
-    """The content of compressed data piece by piece, as far as it can be read."""
-    tool = _tool(data)
-    if tool is None:
-        return
+def _inflate(pieces: Iterable[bytes]) -> Iterator[bytes]:
+    """The content of compressed data, all members of the stream, as far as it can be read."""
+    pieces = iter(pieces)
+    data, tool = b"", None
     try:
-        while not tool.eof:
+        while True:
+            if tool is None or tool.eof:
+                data = tool.unused_data.lstrip(b"\0") if tool else b""
+                while len(data) < 6 and (more := next(pieces, None)) is not None:
+                    data += more
+                tool = _tool(data)
+                if tool is None:
+                    return
             out = tool.decompress(data, _PIECE)
             data = getattr(tool, "unconsumed_tail", b"")
             if out:
                 yield out
-            elif not data:
-                return
+            elif not data and not tool.eof:
+                data = next(pieces, None)
+                if data is None:
+                    return
     except (zlib.error, OSError, EOFError, lzma.LZMAError, ValueError):
         return
 
 
+def _contents(data: bytes, limit: int) -> Iterator[tuple[bytes | Iterable[bytes], bool]]:
+    """The content of compressed data and, as long as that is compressed as well, its content.
+
+    Content of up to `limit` bytes comes whole, with whether it is the last; a larger one in
+    pieces.  Content that is its own content ends there.
+    """
+    seen = {hashlib.sha256(data).digest()}
+
+    def source() -> Iterable[bytes]:
+        return [data]
+
+    while True:
+        held, size, pieces = [], 0, _inflate(source())
+        for piece in pieces:
+            held.append(piece)
+            size += len(piece)
+            if size > limit:
+                break
+        content = b"".join(held)
+        digest = hashlib.sha256(content).digest()
+        if not content or digest in seen:
+            return
+        seen.add(digest)
+        if size > limit:
+            yield itertools.chain([content], pieces), False
+            source = partial(lambda outer: _inflate(outer()), source)
+        else:
+            yield content, next(_inflate([content]), None) is None
+            source = partial(list, [content])
+
+
 def _windows(pieces: Iterable[bytes], size: int) -> Iterator[bytes]:
     """Windows of `size` bytes; the latter half of each is the first of the next.
 
@@ -228,23 +268,17 @@ def _compressed(layer: Layer, limit: int, unread: set) -> Iterator[Run]:
         key = (*layer.original(start, end), hashlib.sha256(data).digest())
         if key in unread:  # met in a layer before
             continue
-        held, size, pieces = [], 0, _inflate(data)
-        for piece in pieces:
-            held.append(piece)
-            size += len(piece)
-            if size > limit:
-                break
-        if size > limit:
+        for content, final in _contents(data, limit):
+            if isinstance(content, bytes):
+                decoded = _plain(content)
+                if decoded:
+                    n = len(decoded)
+                    yield Run(start, end, decoded, np.full(n, start), np.full(n, end), final)
+                continue
             unread.add(key)
-            for window in _windows(itertools.chain(held, pieces), max(2, min(limit, _WINDOW))):
+            for window in _windows(content, max(2, min(limit, _WINDOW))):
                 text = window.decode("utf-8", "replace")
                 yield Run(start, end, text, np.full(len(text), start), np.full(len(text), end), False)
-            continue
-        content = b"".join(held)
-        decoded = _plain(content) if content else None
-        if decoded:
-            n = len(decoded)
-            yield Run(start, end, decoded, np.full(n, start), np.full(n, end))
 
 
 DECODERS = {"url": _percent, "unicode": _unicode, "base64": _base64, "compressed": _compressed}
