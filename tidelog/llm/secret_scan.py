@@ -37,6 +37,7 @@ _UNICODE = re.compile(
     r"\\u[0-9A-Fa-f]{4}|\\U[0-9A-Fa-f]{8}|\\x[0-9A-Fa-f]{2}|&#[0-9]{1,7};|&#[xX][0-9A-Fa-f]{1,6};"
 )
 _BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}={0,2}")
+_CONTROL = re.compile(r"[\x00-\x08\x0e-\x1f\x7f]")
 _BLANKS = re.compile(rb"  +")
 _PIECE, _WINDOW = 1 << 20, 4 << 20
 _URL_SAFE = str.maketrans("-_", "+/")
@@ -92,7 +93,9 @@ class Run:
 
 
 def _by_bytes(start: int, data: bytes, text: str, first: np.ndarray, last: np.ndarray) -> tuple:
-    """Source range of every character of UTF-8 `data`, from the range of each byte."""
+    """Source range of every character of `data`, from the range of each byte."""
+    if len(text) == len(data):
+        return start + first, start + last
     raw = np.frombuffer(data, np.uint8)
     lead = np.flatnonzero((raw & 0xC0) != 0x80)
     final = np.append(lead[1:], len(raw)) - 1
@@ -223,13 +226,21 @@ def _windows(pieces: Iterable[bytes], size: int) -> Iterator[bytes]:
         yield held
 
 
-def _plain(data: bytes) -> str | None:
-    """The text of UTF-8 bytes without control characters; None for other bytes."""
+def _text(data: bytes) -> tuple[str, bool]:
+    """Bytes as text, and whether they are one: UTF-8 without control characters.
+
+    Bytes that are not UTF-8 are taken for Latin-1, so that what is ASCII in them is found.
+    """
     try:
         text = data.decode("utf-8")
     except UnicodeDecodeError:
-        return None
-    return text if text and all(c.isprintable() or c in "\t\r\n" for c in text) else None
+        return data.decode("latin-1"), False
+    return text, not _CONTROL.search(text)
+
+
+def _dull(text: str) -> bool:
+    """Nothing is found in the text and no decoder has anything to read."""
+    return not (_PERCENT.search(text) or _UNICODE.search(text) or _BASE64.search(text) or base_spans(text))
 
 
 def _base64_bytes(run: str) -> bytes | None:
@@ -252,11 +263,11 @@ def _base64_runs(text: str) -> Iterator[tuple[int, str, bytes]]:
 
 def _base64(layer: Layer, limit: int, unread: set) -> Iterator[Run]:
     for start, run, data in _base64_runs(layer.text):
-        decoded = _plain(data)
-        if decoded:
+        decoded, plain = _text(data)
+        if plain or not _dull(decoded):
             at = np.arange(len(data))
             first, last = at // 3 * 4, np.minimum(at // 3 * 4 + 4, len(run))
-            yield Run(start, start + len(run), decoded, *_by_bytes(start, data, decoded, first, last))
+            yield Run(start, start + len(run), decoded, *_by_bytes(start, data, decoded, first, last), plain)
 
 
 def _compressed(layer: Layer, limit: int, unread: set) -> Iterator[Run]:
@@ -270,10 +281,10 @@ def _compressed(layer: Layer, limit: int, unread: set) -> Iterator[Run]:
             continue
         for content, final in _contents(data, limit):
             if isinstance(content, bytes):
-                decoded = _plain(content)
-                if decoded:
+                decoded, plain = _text(content)
+                if plain or not _dull(decoded):
                     n = len(decoded)
-                    yield Run(start, end, decoded, np.full(n, start), np.full(n, end), final)
+                    yield Run(start, end, decoded, np.full(n, start), np.full(n, end), plain and final)
                 continue
             unread.add(key)
             for window in _windows(content, max(2, min(limit, _WINDOW))):
