@@ -299,6 +299,27 @@ def test_any_decoded_bytes_are_scanned_and_unwrapped(odd):
             assert (2 + at // 3 * 4, 2 + (at + len(PLAIN) - 1) // 3 * 4 + 4) in own
 
 
+@pytest.mark.parametrize("width, line_end", [(64, "\n"), (76, "\r\n"), (57, "\n  "), (16, "\r")])
+def test_wrapped_base64_is_joined(width, line_end):
+    rng = random.Random(width)
+    for size in range(150, 190):
+        filler = " ".join(rng.choices(["中文", "zz", "é", "yy"], k=size))
+        data = f"{filler} {PLAIN} {filler}".encode()
+        at = data.index(PLAIN.encode())
+        packed = gzip.compress(rng.randbytes(400) + data)
+        for before, after in (("x: ", " end"), ("internationalisations\n", "\nend of it"), ("-----BEGIN CERTIFICATE-----\n", "\n-----END")):
+            for content in (data, packed):
+                code = base64.b64encode(content).decode()
+                lines = line_end.join(code[i : i + width] for i in range(0, len(code), width))
+                text = f"{before}{lines}{after}"
+                spans, unread = secret_scan.scan(text)
+                place = [len(before) + i + i // width * len(line_end) for i in range(len(code))]
+                want = (place[0], place[-1] + 1)
+                if content is data:
+                    want = place[at // 3 * 4], place[(at + len(PLAIN) - 1) // 3 * 4 + 3] + 1
+                assert (*want, "assign") in [s[:3] for s in spans] and unread == 0, (text, spans)
+
+
 def test_redaction(make_docs, no_docs):
     key = "AKIA" + "Q" * 16
     docs = make_docs((1, f"é {PLAIN} and {key} end"), (2, None), (3, ""), (4, key), (5, "plain"), (6, f"token={key}{key}"))

@@ -40,6 +40,11 @@ _BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}={0,2}")
 _CONTROL = re.compile(r"[\x00-\x08\x0e-\x1f\x7f]")
 _BLANKS = re.compile(rb"  +")
 _PIECE, _WINDOW = 1 << 20, 4 << 20
+#: Lines of symbols alone; the first may follow and the last precede other text.
+_WRAPPED = re.compile(
+    r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}+(?:[ \t]*(?:\r\n?|\n)[ \t]*[A-Za-z0-9+/_-]++)++={0,2}"
+)
+_SYMBOLS = re.compile(r"[A-Za-z0-9+/_-]+={0,2}")
 _URL_SAFE = str.maketrans("-_", "+/")
 
 SPAN = T.StructType(
@@ -154,8 +159,11 @@ def _tool(data: bytes):
     return None
 
 
-def _inflate(pieces: Iterable[bytes]) -> Iterator[bytes]:
-    """The content of compressed data, all members of the stream, as far as it can be read."""
+def _inflate(pieces: Iterable[bytes], rest: list[int] | None = None) -> Iterator[bytes]:
+    """The content of compressed data, all members of the stream, as far as it can be read.
+
+    `rest` gets the number of bytes that follow the last member in its piece.
+    """
     pieces = iter(pieces)
     data, tool = b"", None
     try:
@@ -166,6 +174,8 @@ def _inflate(pieces: Iterable[bytes]) -> Iterator[bytes]:
                     data += more
                 tool = _tool(data)
                 if tool is None:
+                    if rest is not None:
+                        rest.append(len(data))
                     return
             out = tool.decompress(data, _PIECE)
             data = getattr(tool, "unconsumed_tail", b"")
@@ -179,6 +189,17 @@ def _inflate(pieces: Iterable[bytes]) -> Iterator[bytes]:
         return
 
 
+def _unused(data: bytes, limit: int) -> int:
+    """How many bytes follow compressed data; 0 if it goes on beyond `limit` or is cut short."""
+    size = 0
+    pieces = _inflate([data], rest := [])
+    for piece in pieces:
+        size += len(piece)
+        if size > limit:
+            return 0
+    return rest[0] if size and rest else 0
+
+
 def _contents(data: bytes, limit: int) -> Iterator[tuple[bytes | Iterable[bytes], bool]]:
     """The content of compressed data and, as long as that is compressed as well, its content.
 
@@ -250,32 +271,83 @@ def _base64_bytes(run: str) -> bytes | None:
     return base64.b64decode(body + "=" * (-len(body) % 4))
 
 
-def _base64_runs(text: str) -> Iterator[tuple[int, str, bytes]]:
-    """Runs that may be base64: whole ones, and the parts between signs of their alphabet."""
+@dataclass
+class Code:
+    """Symbols that may be base64, the bytes they stand for, and the place of each symbol."""
+
+    place: np.ndarray
+    data: bytes
+    wrapped: bool = False
+
+    @property
+    def start(self) -> int:
+        return int(self.place[0])
+
+    def end(self, unused: int = 0) -> int:
+        """Where the code ends, without the symbols of the last `unused` bytes."""
+        most = -(-(len(self.data) - unused) * 4 // 3) if unused else len(self.place)
+        return int(self.place[most - 1]) + 1
+
+
+def _wrapped_runs(text: str) -> Iterator[Code]:
+    """Runs over lines: whole blocks from wherever they may begin, and lines of one width with the
+    shorter one that ends them."""
+    for m in _WRAPPED.finditer(text):
+        lines = [x.span() for x in _SYMBOLS.finditer(text, *m.span())]
+        symbols = "".join(text[lo:hi] for lo, hi in lines)
+        place = np.concatenate([np.arange(lo, hi) for lo, hi in lines])
+        width = [hi - lo for lo, hi in lines]
+        at = [0, *itertools.accumulate(width)]
+        n, aligned, chosen = len(lines), set(), set()
+        for i in range(n - 1):
+            # Blocks from lines a multiple of four symbols apart read the same, but for compressed bytes.
+            head = _base64_bytes(symbols[at[i] : at[i] + 8].rstrip("="))
+            if at[i] % 4 not in aligned or (head and _tool(head)):
+                aligned.add(at[i] % 4)
+                chosen.add((i, n))
+        for _, group in itertools.groupby(range(n), lambda i: width[i]):
+            group = [*group]
+            i, j = group[0], group[-1] + 1
+            if j - i > 1:
+                chosen.add((i, j))
+            if j < n and width[j] < width[i] and width[i] >= 16:
+                chosen.add((i, j + 1))
+        for i, j in chosen:
+            run = symbols[at[i] : at[j]]
+            if len(run.rstrip("=")) % 4 == 1:
+                run = run.rstrip("=")[:-1]
+            yield Code(place[at[i] : at[i] + len(run)], _base64_bytes(run) or b"", True)
+
+
+def _base64_runs(text: str) -> list[Code]:
+    """Runs that may be base64, by start, the longest first: wrapped ones, whole ones of one line,
+    and the parts between signs of their alphabet."""
+    found = [*_wrapped_runs(text)]
     for m in _BASE64.finditer(text):
-        data = _base64_bytes(m[0])
-        if data is not None:
-            yield m.start(), m[0], data
-        for part in re.finditer(r"[A-Za-z0-9]{16,}={0,2}", m[0]):
-            if part[0] != m[0] and (data := _base64_bytes(part[0])) is not None:
-                yield m.start() + part.start(), part[0], data
+        for part in (m, *re.finditer(r"[A-Za-z0-9]{16,}={0,2}", m[0])):
+            lo = m.start() + (0 if part is m else part.start())
+            if (part is m or part[0] != m[0]) and (data := _base64_bytes(part[0])) is not None:
+                found.append(Code(np.arange(lo, lo + len(part[0])), data))
+    return sorted(found, key=lambda c: (c.start, -c.end()))
 
 
 def _base64(layer: Layer, limit: int, unread: set) -> Iterator[Run]:
-    for start, run, data in _base64_runs(layer.text):
-        decoded, plain = _text(data)
+    for code in _base64_runs(layer.text):
+        decoded, plain = _text(code.data)
         if plain or not _dull(decoded):
-            at = np.arange(len(data))
-            first, last = at // 3 * 4, np.minimum(at // 3 * 4 + 4, len(run))
-            yield Run(start, start + len(run), decoded, *_by_bytes(start, data, decoded, first, last), plain)
+            at = np.arange(len(code.data)) // 3 * 4
+            first, last = code.place[at], code.place[np.minimum(at + 3, len(code.place) - 1)] + 1
+            yield Run(code.start, code.end(), decoded, *_by_bytes(0, code.data, decoded, first, last), plain)
 
 
 def _compressed(layer: Layer, limit: int, unread: set) -> Iterator[Run]:
     """Content of up to `limit` bytes in place; more than that in windows, each on its own."""
-    for start, run, data in _base64_runs(layer.text):
+    for code in _base64_runs(layer.text):
+        start, data = code.start, code.data
         if _tool(data) is None:
             continue
-        end = start + len(run)
+        # A block of lines may go on after the code.
+        end = code.end(_unused(data, limit) if code.wrapped else 0)
         key = (*layer.original(start, end), hashlib.sha256(data).digest())
         if key in unread:  # met in a layer before
             continue
