@@ -94,6 +94,20 @@ def test_word_ids_are_the_library():
     assert rows_of(ids, counts) == word_ids(texts)
 
 
+def test_added_tokens_are_those_of_the_library(make_docs):
+    library = Tokenizer.from_file(WORDS)
+    rng = random.Random(12)
+    parts = [*ALPHABET, "<|startoftext|>", "<|endoftext|>", "<|EndOfText|>", "<|endof"]
+    texts = ["".join(rng.choices(parts, k=rng.randint(0, 12))) for _ in range(3000)]
+    texts += ["a <|endoftext|> b", "<|endoftext|>", "<|startoftext|><|endoftext|>", "e<|endoftext|>\u0301", None, "", "plain"]
+    want = [library.encode(t or "", add_special_tokens=False).ids for t in texts]
+    for some in (texts, texts[-2:], texts[-7:-5]):
+        ids, counts = packing.word_tokenizer(WORDS).encode(pa.array(some))
+        assert rows_of(ids, counts) == [library.encode(t or "", add_special_tokens=False).ids for t in some]
+    got = {r.doc_id: r.ids for r in packing.cut_documents(make_docs(*enumerate(texts)), WORDS).collect()}
+    assert got == {i: [*x, 0] for i, x in enumerate(want)}
+
+
 def test_blocks_cut_between_rows_only():
     texts = ["é" * 10, None, "", "x" * 100, "y"]
     found = list(ts.blocks(pa.array(texts), most_bytes=25))

@@ -10,12 +10,14 @@ Only lengths take part: a partition is at most a histogram of `capacity` counts.
 
 import bisect
 import itertools
+import re
 import zlib
 from collections.abc import Iterator
 from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -35,11 +37,20 @@ def _byte_alphabet() -> dict[int, int]:
 
 
 class WordTokenizer:
-    """Ids of a word-level BPE file, each distinct word encoded once per worker."""
+    """Ids of a word-level BPE file, each distinct word encoded once per worker.
 
-    def __init__(self, path: str):
+    With `added` the strings of the file's added tokens stand for their ids, as by default in
+    the library; without, they are ordinary text.
+    """
+
+    def __init__(self, path: str, added: bool = False):
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        tokens = self.tokenizer.get_added_tokens_decoder() if added else {}
+        self.added = {token.content: number for number, token in tokens.items()}
+        longest_first = sorted(self.added, key=len, reverse=True)
+        self.cut = re.compile(f"({'|'.join(map(re.escape, longest_first))})")
+        # Tokens that are looked for in another way are left to the library.
+        self.by_library = any(t.normalized or t.single_word or t.lstrip or t.rstrip for t in tokens.values())
         self.ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
         for token, number in self.tokenizer.get_vocab().items():
             self.ends[number] = token.endswith("</w>")
@@ -58,6 +69,28 @@ class WordTokenizer:
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all rows one after another, and how many each row has."""
+        if self.by_library:
+            found = [self.tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts.to_pylist()]
+            return np.array([*itertools.chain(*found)], np.int64), np.array([*map(len, found)], np.int64)
+        hit = np.zeros(len(texts), bool)
+        for token in self.added:
+            hit |= pc.fill_null(pc.match_substring(texts, token), False).to_numpy(zero_copy_only=False)
+        if not hit.any():
+            return self._encode(texts)
+        ids, counts = self._encode(pc.if_else(pa.array(hit), None, texts))
+        # Text and added tokens in turn, a text first and last.
+        rows = [self.cut.split(t) for t in texts.filter(pa.array(hit)).to_pylist()]
+        own, many = self._encode(pa.array([t for row in rows for t in row[::2]], pa.large_string()))
+        token = np.array([self.added.get(t, -1) for row in rows for t in (*row[1::2], "")])
+        own = np.insert(own, np.cumsum(many)[token >= 0], token[token >= 0])
+        texts_of = [len(row) // 2 + 1 for row in rows]
+        sizes = np.add.reduceat(many + (token >= 0), np.cumsum([0, *texts_of[:-1]]))
+        ids = np.insert(ids, np.repeat((np.cumsum(counts) - counts)[hit], sizes), own)
+        counts[hit] = sizes
+        return ids, counts
+
+    def _encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The same for texts without added tokens."""
         all_ids, all_counts = [], []
         for block in ts.blocks(texts):
             block = self._normalised(block)
@@ -95,7 +128,7 @@ class WordTokenizer:
 @cache
 def word_tokenizer(path: str) -> WordTokenizer:
     """One tokenizer for each file and Python worker."""
-    return WordTokenizer(path)
+    return WordTokenizer(path, added=True)
 
 
 def cut_documents(
@@ -110,7 +143,7 @@ def cut_documents(
     """doc_id, piece, start, length, ids_crc32, ids: each document's tokens, `end_id` last.
 
     Only documents of more than `capacity` ids are cut; null and empty texts have the end id
-    alone.  ids_crc32 is over the ids as little-endian 32-bit numbers.  Rows that repeat an id,
+    alone.  The file's added tokens are read in a text as the library does.  ids_crc32 is over the ids as little-endian 32-bit numbers.  Rows that repeat an id,
     or have none, are documents of their own.  `with_ids=False` leaves the ids out.
     """
     kind = docs.schema[id_col].dataType
