@@ -382,6 +382,14 @@ def test_language_counts_by_hand(make_docs):
     assert (scores[-1] == 0).all()  # nothing of zz is known
 
 
+def test_what_occurs_once_counts(make_docs):
+    docs = make_docs((1, "the house the house", "en", "s"), (2, "fjord", "no", "s"), (3, "12", "xx", "s"))
+    model = langid.train(docs)
+    assert model.languages == ["en", "no"]
+    got = langid.predict(make_docs((1, "fjord"), (2, "house")), model).collect()
+    assert [r.lang_pred for r in got] == ["no", "en"]
+
+
 def test_a_model_of_nothing(no_docs, make_docs):
     model = langid.train(no_docs)
     got = langid.predict(make_docs((1, "hello")).withColumnRenamed("lang", "score"), model).collect()

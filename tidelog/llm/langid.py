@@ -167,9 +167,11 @@ def train(
     lang: str = "lang",
     longest: int = 4,
     max_cells: int = 2_000_000,
-    least_count: int = 2,
+    least_count: int = 1,
 ) -> Model:
-    """Counts over all rows of `docs` whose text and lang are not null.
+    """Counts over all rows of `docs` whose text and lang are not null, also of what occurs once.
+
+    The languages are all that have a letter in some row.
 
     The counts are of the whole corpus; the model keeps those words and n-grams that are most
     frequent in some language, relative to its size, and at most `max_cells` log frequencies, a
