@@ -390,6 +390,22 @@ def test_what_occurs_once_counts(make_docs):
     assert [r.lang_pred for r in got] == ["no", "en"]
 
 
+def test_words_that_are_not_at_hand_are_joined(make_docs):
+    rng = random.Random(13)
+    rows = [(i, spoken(rng, lang, 20), lang, "s") for i in range(40) for lang in (rng.choice(list(SENTENCES)),)]
+    asked = [(i, " ".join(rng.choices([*SENTENCES["en"].split(), *SENTENCES["de"].split(), "gärten", "rivieras", "ζζζ", "中文"], k=rng.randint(0, 8)))) for i in range(60)]
+    asked += [(100, None), (101, "12"), (102, "ζζζ"), (102, "ζζζ"), (None, "the")]
+    full = langid.train(make_docs(*rows))
+    want = langid.predict(make_docs(*asked), full).collect()
+    for cells in (1, 40, 200):
+        model = langid.train(make_docs(*rows), max_cells=cells)
+        got = langid.predict(make_docs(*asked), model).collect()
+        order = lambda rs: sorted((repr(r.doc_id), r.text or "", r.lang_pred, r.score) for r in rs)
+        for a, b in zip(order(got), order(want), strict=True):
+            assert a[:3] == b[:3] and a[3] == pytest.approx(b[3], abs=1e-5)
+    assert got[0].asDict().keys() == want[0].asDict().keys()
+
+
 def test_a_model_of_nothing(no_docs, make_docs):
     model = langid.train(no_docs)
     got = langid.predict(make_docs((1, "hello")).withColumnRenamed("lang", "score"), model).collect()

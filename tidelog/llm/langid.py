@@ -126,10 +126,14 @@ def _count(text: str, lang: str, longest: int):
 
 @dataclass
 class Model:
-    """Languages, and per n (0: words) sorted hashes with a row of log frequencies each."""
+    """Languages, and per n (0: words) sorted hashes with a row of log frequencies each.
+
+    If the tables do not hold everything, `full` does: n, hash, logs, one row each.
+    """
 
     languages: list[str]
     tables: dict[int, tuple[np.ndarray, np.ndarray]]
+    full: DataFrame | None = None
 
     def lookup(self, n: int, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Which hashes are known, and the table rows of those."""
@@ -173,10 +177,8 @@ def train(
 
     The languages are all that have a letter in some row.
 
-    The counts are of the whole corpus; the model keeps those words and n-grams that are most
-    frequent in some language, relative to its size, and at most `max_cells` log frequencies, a
-    documented bound that does not depend on the corpus.  What it does not keep is by definition
-    unseen and backs off.
+    All of them take part.  Up to `max_cells` log frequencies are kept at hand; with more, these are
+    the words most frequent relative to their language, and the whole table in Spark is joined.
     """
     rows = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(text, lang)
     counts = durable(
@@ -192,27 +194,174 @@ def train(
     sizes = counts.groupBy("lang", "n").agg(F.sum("count").alias("total"))
     share = F.max(F.col("count") / F.col("total"))
     columns = [F.sum(F.when(F.col("lang") == name, F.col("count"))).alias(f"c{i}") for i, name in enumerate(languages)]
-    table = (
+    table = durable(
         counts.join(F.broadcast(sizes), ["lang", "n"])  # one row per language and length
         .groupBy("n", "hash")
         .agg(share.alias("share"), *columns)
     )
-    kept = (
-        table.orderBy(F.desc("share"), "n", "hash").limit(max(1, max_cells // len(languages))).drop("share").toArrow()
-    )
+    entries = {r.n: r["count"] for r in table.groupBy("n").count().collect()}
+    most = max(1, max_cells // len(languages))
+    complete = sum(entries.values()) <= most
+    # Joined, only words are looked up at hand.
+    first = table.where("n = 0").orderBy(F.desc("share"), "hash").limit(most)
+    kept = (table if complete else first).drop("share").toArrow()
     length = kept.column("n").to_numpy()
     keys = kept.column("hash").to_numpy().view(np.uint64)
     found = np.stack(
         [kept.column(f"c{i}").fill_null(0).to_numpy().astype(np.float64) for i in range(len(languages))], axis=1
     )
-    tables = {}
+    tables, below = {}, {}
     for n in range(longest + 1):
         mine = length == n
         order = np.argsort(keys[mine])
         total = np.array([totals.get((name, n), 0) for name in languages], np.float64)
-        smooth = np.log((found[mine][order] + 0.5) / (total + 0.5 * max(1, mine.sum()))[None])
+        below[n] = total + 0.5 * max(1, entries.get(n, 0))
+        smooth = np.log((found[mine][order] + 0.5) / below[n][None])
         tables[n] = (keys[mine][order], smooth.astype(np.float32))
-    return Model(languages, tables)
+    if complete:
+        return Model(languages, tables)
+    logs = []
+    for i in range(len(languages)):
+        by_length = F.create_map(*[F.lit(x) for n in below for x in (n, float(below[n][i]))])
+        some = F.coalesce(F.col(f"c{i}"), F.lit(0)) + 0.5
+        logs.append(F.log(some / by_length[F.col("n")]).cast("float"))
+    return Model(languages, tables, table.select("n", "hash", F.array(*logs).alias("logs")))
+
+
+def _open_words(known: Model, text: str, kept: list[str]):
+    """Each batch's rows with the sums of words at hand, and the others: hash, count and letters."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = known.value
+        for batch in batches:
+            total = np.zeros((batch.num_rows, len(model.languages)))
+            has = np.zeros(batch.num_rows, bool)
+            many, hashes, counts, letters = np.zeros(batch.num_rows, np.int64), [], [], []
+            for block in ts.blocks(batch.column(text)):
+                words = read_words(block)
+                if not len(words.hashes):
+                    continue
+                rows = slice(block.first_row, block.first_row + block.rows)
+                has[rows] = np.bincount(words.row, minlength=block.rows) > 0
+                at_hand, logs = model.lookup(0, words.hashes)
+                place = np.cumsum(at_hand) - 1
+                here = at_hand[words.of_token]
+                for i in range(len(model.languages)):
+                    weights = logs[place[words.of_token[here]], i].astype(np.float64)
+                    total[rows, i] = np.bincount(words.row[here], weights=weights, minlength=block.rows)
+                # Rows first, so that the open words of one row lie together.
+                pair, count = np.unique(
+                    words.row[~here] * len(words.hashes) + words.of_token[~here], return_counts=True
+                )
+                row, word = pair // len(words.hashes), pair % len(words.hashes)
+                many[rows] = np.bincount(row, minlength=block.rows)
+                hashes.append(words.hashes[word].view(np.int64))
+                counts.append(count)
+                letters += ts.strings(words.codes, words.start[word], words.start[word] + words.length[word])
+            ends = pa.array(np.concatenate([[0], np.cumsum(many)]).astype(np.int32))
+            none = [np.zeros(0, np.int64)]
+            columns = {name: batch.column(name) for name in kept}
+            columns["__has"] = pa.array(has)
+            columns["__sums"] = pa.FixedSizeListArray.from_arrays(
+                pa.array(total.ravel()), len(model.languages)
+            ).cast(pa.list_(pa.float64()))
+            columns["__hash"] = pa.ListArray.from_arrays(ends, pa.array(np.concatenate(hashes or none)))
+            columns["__count"] = pa.ListArray.from_arrays(ends, pa.array(np.concatenate(counts or none)))
+            columns["__word"] = pa.ListArray.from_arrays(ends, pa.array(letters, pa.string()))
+            yield pa.RecordBatch.from_arrays([*columns.values()], names=[*columns])
+
+    return run
+
+
+def _word_ngrams(n: int):
+    """(word, hash) of the n-grams of each word."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            name = batch.column("hash").to_numpy()
+            for block in ts.blocks(batch.column("word")):
+                own = name[block.first_row : block.first_row + block.rows]
+                none = np.zeros(0, np.int64)
+                words = Words(own, none, none, block.bounds[:-1], np.diff(block.bounds), block.codes)
+                grams, of = ngrams(words, np.arange(block.rows), n)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(own[of]), pa.array(grams.view(np.int64))], names=["word", "hash"]
+                )
+
+    return run
+
+
+def _predict_joined(
+    docs: DataFrame, model: Model, text: str, kept: list[T.StructField], salts: int = 4
+) -> DataFrame:
+    """As predict, with words that are not at hand, and n-grams of unseen ones, joined to the whole table.
+
+    Frequent keys are spread over `salts`.
+    """
+    size = len(model.languages)
+    shared = docs.sparkSession.sparkContext.broadcast(Model(model.languages, model.tables))
+    own = T.StructType(
+        [
+            *kept,
+            T.StructField("__row", T.LongType()),
+            T.StructField("__has", T.BooleanType()),
+            T.StructField("__sums", T.ArrayType(T.DoubleType())),
+            T.StructField("__hash", T.ArrayType(T.LongType())),
+            T.StructField("__count", T.ArrayType(T.LongType())),
+            T.StructField("__word", T.ArrayType(T.StringType())),
+        ]
+    )
+    names = [f.name for f in kept]
+    parts = durable(
+        docs.withColumn("__row", F.monotonically_increasing_id()).mapInArrow(
+            _open_words(shared, text, [*names, "__row"]), own
+        )
+    )
+    zipped = F.explode(F.arrays_zip("__hash", "__count", "__word")).alias("w")
+    open_words = parts.select("__row", zipped).select(
+        "__row", F.col("w.__hash").alias("hash"), F.col("w.__count").alias("count"), F.col("w.__word").alias("word")
+    )
+    distinct = open_words.groupBy("hash").agg(F.min("word").alias("word"))
+    looked_up = durable(distinct.join(model.full.where("n = 0").select("hash", "logs"), "hash", "left"))
+    every_salt = F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt")
+    scored = looked_up.where("logs IS NOT NULL").select("hash", "logs")
+    unseen = looked_up.where("logs IS NULL").select("hash", "word")
+    for n in sorted((n for n in model.tables if n > 0), reverse=True):
+        grams = unseen.mapInArrow(_word_ngrams(n), "word long, hash long").withColumn(
+            "salt", F.pmod(F.col("word"), F.lit(salts)).cast("int")
+        )
+        means = [F.avg(F.col("logs")[i].cast("double")).cast("float") for i in range(size)]
+        found = durable(
+            grams.join(model.full.where(F.col("n") == n).select("hash", "logs", every_salt), ["hash", "salt"])
+            .groupBy(F.col("word").alias("hash"))
+            .agg(F.array(*means).alias("logs"))
+        )
+        scored = scored.union(found)
+        unseen = unseen.join(found.select("hash"), "hash", "left_anti")
+    scored = scored.select("*", every_salt)
+    sums = (
+        open_words.withColumn("salt", F.pmod(F.xxhash64("__row"), F.lit(salts)).cast("int"))
+        .join(scored, ["hash", "salt"])
+        .groupBy("__row")
+        .agg(F.array(*[F.sum(F.col("logs")[i].cast("double") * F.col("count")) for i in range(size)]).alias("__more"))
+    )
+    total = F.when(F.col("__more").isNull(), F.col("__sums")).otherwise(
+        F.zip_with("__sums", "__more", lambda a, b: a + b)
+    )
+    best = F.array_max("__total")
+    odds = F.aggregate("__total", F.lit(0.0), lambda acc, x: acc + F.exp(x - best))
+    languages = F.array(*[F.lit(name) for name in model.languages])
+    pred = F.element_at(languages, F.array_position("__total", best).cast("int"))
+    return (
+        parts.drop("__hash", "__count", "__word")
+        .join(sums, "__row", "left")
+        .withColumn("__total", total)
+        .select(
+            *[F.col(f"`{name}`") for name in names],
+            F.when(F.col("__has"), pred).otherwise(UNKNOWN).alias("lang_pred"),
+            F.when(F.col("__has"), 1 / odds).otherwise(0.0).alias("score"),
+        )
+    )
 
 
 def predict(docs: DataFrame, model: Model, text: str = "text", drop: tuple[str, ...] = ()) -> DataFrame:
@@ -222,8 +371,10 @@ def predict(docs: DataFrame, model: Model, text: str = "text", drop: tuple[str,
     knows no language.  A tie goes to the language that comes first by name.  Columns that are
     called lang_pred or score are replaced.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
     kept = [f for f in docs.schema.fields if f.name not in ("lang_pred", "score", *drop)]
+    if model.full is not None:
+        return _predict_joined(docs, model, text, kept)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value
