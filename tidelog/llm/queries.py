@@ -15,6 +15,7 @@ from tidelog.llm import (
     pq_dedup,
     secret_scan,
     warc,
+    whitening,
 )
 from tidelog.sources.scratch import scratch_path
 
@@ -116,6 +117,11 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(pieces)
 
 
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    deviation = F.expr("try_cast(deviation AS bigint)")
+    return whitening.whiten(_table(spark, sf_dir, "embeddings")).withColumn("deviation", deviation)
+
+
 QUERIES = {
     "op1_pq_dedup": op1_pq_dedup,
     "op2_ngram_join": op2_ngram_join,
@@ -127,6 +133,7 @@ QUERIES = {
     "op8_line_dedup": op8_line_dedup,
     "op9_onebit_ann": op9_onebit_ann,
     "op10_best_fit_packing": op10_best_fit_packing,
+    "op12_whitening": op12_whitening,
 }
 
 ORACLE = {
