@@ -14,6 +14,7 @@ from tidelog.llm import (
     packing,
     pq_dedup,
     secret_scan,
+    spelling,
     warc,
     whitening,
 )
@@ -122,6 +123,10 @@ def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(_table(spark, sf_dir, "embeddings")).withColumn("deviation", deviation)
 
 
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_pq_dedup": op1_pq_dedup,
     "op2_ngram_join": op2_ngram_join,
@@ -134,6 +139,7 @@ QUERIES = {
     "op9_onebit_ann": op9_onebit_ann,
     "op10_best_fit_packing": op10_best_fit_packing,
     "op12_whitening": op12_whitening,
+    "op13_spelling_variants": op13_spelling_variants,
 }
 
 ORACLE = {
