@@ -15,6 +15,7 @@ from tidelog.llm import (
     pq_dedup,
     secret_scan,
     spelling,
+    toxicity,
     warc,
     whitening,
 )
@@ -118,6 +119,20 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(pieces)
 
 
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    learned = _table(spark, sf_dir, "labels").where(_remainder(3) != 1)
+    model = toxicity.train(docs, learned)
+    held_out = F.coalesce(_remainder(3) == 1, F.lit(False))
+    return toxicity.score(docs, model, drop=("text",)).select(
+        "doc_id",
+        held_out.alias("held_out"),
+        "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"),
+        "evidence",
+    )
+
+
 def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     deviation = F.expr("try_cast(deviation AS bigint)")
     return whitening.whiten(_table(spark, sf_dir, "embeddings")).withColumn("deviation", deviation)
@@ -138,6 +153,7 @@ QUERIES = {
     "op8_line_dedup": op8_line_dedup,
     "op9_onebit_ann": op9_onebit_ann,
     "op10_best_fit_packing": op10_best_fit_packing,
+    "op11_toxicity": op11_toxicity,
     "op12_whitening": op12_whitening,
     "op13_spelling_variants": op13_spelling_variants,
 }
