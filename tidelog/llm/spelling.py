@@ -436,7 +436,8 @@ def _follow(links: DataFrame) -> DataFrame:
         salted = onward.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))))
         own = links.withColumn("__salt", F.pmod(F.xxhash64("word"), F.lit(_SALTS)).cast("int"))
         links = durable(
-            own.join(salted, ["root", "__salt"], "left").select(
+            # Merged, not broadcast: what is copied to every salt is not measured beforehand.
+            own.join(salted.hint("merge"), ["root", "__salt"], "left").select(
                 "word", F.coalesce("__next", "root").alias("root")
             )
         )
