@@ -37,16 +37,11 @@ def flatten_places(
     from; it stands for the request of a document without one.  `seq` runs through all
     documents of a request.
     """
-    lat, lng = (
-        (F.col("location.lat"), F.col("location.lng"))
-        if location is None
-        else (F.lit(float(c)) for c in location)
-    )
     request = F.col("request_id") if origin is None else F.coalesce("request_id", origin)
     several = "first_seq" in documents.columns
     before = F.coalesce("first_seq", F.lit(0)) if several else F.lit(0)
     elements = documents.select(
-        location_key(lat, lng).alias("location_key"),
+        _searched(location).alias("location_key"),
         (F.col("commit") if commit is None else commit).alias("commit"),
         request.alias("source"),
         before.cast("bigint").alias("first_seq"),
@@ -69,6 +64,23 @@ def flatten_places(
     )
 
 
+def _searched(location: tuple[float, float] | None) -> Column:
+    """Key of a document's search centre, its own or the given one."""
+    if location is None:
+        return location_key(F.col("location.lat"), F.col("location.lng"))
+    return location_key(*(F.lit(float(c)) for c in location))
+
+
+def document_runs(
+    documents: DataFrame,
+    commit: Column | None = None,
+    location: tuple[float, float] | None = None,
+) -> DataFrame:
+    """`location_key, commit` of each document, with places or without: the runs they stand for."""
+    instant = F.col("commit") if commit is None else commit
+    return documents.select(_searched(location).alias("location_key"), instant.alias("commit"))
+
+
 def file_instant() -> Column:
     """The document's instant, or when its file was written, in UTC."""
     written = F.to_utc_timestamp(F.col("_metadata.file_modification_time"), F.current_timezone())

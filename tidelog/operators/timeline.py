@@ -1,12 +1,13 @@
 """Commit timeline: the ordered instants of each location."""
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidelog.functions import instants
+from tidelog.sources.scratch import durable
 
 # Commits per chunk of a timeline: what one row of `Timeline.chunks` lists.
 CHUNK_COMMITS = 1024
@@ -30,10 +31,17 @@ class Timeline:
     commits: DataFrame
     location: tuple[str, ...]
     chunk: int = CHUNK_COMMITS
+    table: DataFrame | None = None
+
+    def settled(self) -> "Timeline":
+        """The same, its rows written out: worked out once, and of a size that is known to joins."""
+        return replace(self, table=durable(self.rows))
 
     @property
     def rows(self) -> DataFrame:
         """`location..., commit, ordinal, n_commits, previous_commit, last_commit`."""
+        if self.table is not None:
+            return self.table
         place = list(self.location)
         at = self.commits.select(*place, as_number("commit").alias("__at"))
         at = at.withColumn("__day", F.col("__at") - F.col("__at") % _DAY)

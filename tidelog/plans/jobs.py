@@ -9,6 +9,7 @@ from tidelog.operators.history import history_table, with_history_json
 from tidelog.operators.ingest import (
     PAGE_SIZE,
     collect_documents,
+    document_runs,
     failed_responses,
     file_instant,
     file_origin,
@@ -17,6 +18,7 @@ from tidelog.operators.ingest import (
 from tidelog.operators.snapshots import validity_intervals
 from tidelog.operators.timeline import load_timeline
 from tidelog.operators.trends import display_rows
+from tidelog.sources.bases import EVERY, maintain_bases
 from tidelog.sources.history import publish_history, read_latest_history
 from tidelog.sources.log import LAYOUT, append_batch, read_commits, read_log
 from tidelog.sources.raw import (
@@ -26,6 +28,7 @@ from tidelog.sources.raw import (
     write_batch,
     write_failed,
 )
+from tidelog.sources.segments import update_history
 
 KEY = ("location_key", "entity_id")
 
@@ -62,12 +65,16 @@ def ingest_documents(
 
     `commit`: the instant of the whole batch; without it each document's own, or when its
     file was written.  `location`: latitude and longitude of the search centre of the whole
-    batch; without it each document's own.
+    batch; without it each document's own.  Documents without usable places are commits, too, and
+    with both given the batch is one even without documents.
     """
     documents = read_documents(spark, path, multi_line)
     instant = file_instant() if commit is None else F.lit(commit)
     places = flatten_places(documents, instant, location, file_origin())
-    return append_batch(places, root, batch, layout)
+    runs = document_runs(documents, instant, location)
+    if commit is not None and location is not None:
+        runs = runs.union(document_runs(spark.range(1), instant, location))
+    return append_batch(places, root, batch, layout, runs)
 
 
 def build_history(spark: SparkSession, root: str, location: str | None = None) -> DataFrame:
@@ -75,7 +82,7 @@ def build_history(spark: SparkSession, root: str, location: str | None = None) -
     commits = read_commits(spark, root)
     if location is not None:
         commits = commits.filter(F.col("location_key") == location)
-    timeline = load_timeline(commits, ["location_key"])
+    timeline = load_timeline(commits, ["location_key"]).settled()
     log = read_log(spark, root, location)
     intervals = validity_intervals(log, timeline, KEY)
     return with_history_json(history_table(intervals, timeline, KEY))
@@ -88,6 +95,16 @@ def run_history(
     return publish_history(build_history(spark, root, location), root, published_at)
 
 
+def keep_history(spark: SparkSession, root: str, run: str, every: int = EVERY) -> int:
+    """Bring bases and history segments up to the log; returns the segments that were opened.
+
+    The incremental form of `run_history`: what is read and written goes by what is new.  Read it
+    with `segments.read_history`, or publish that.
+    """
+    maintain_bases(spark, root, every)
+    return update_history(spark, root, run)
+
+
 def view(spark: SparkSession, root: str, start: str, location: str | None = None) -> DataFrame:
     """Display rows of the newest published history; filter, sort, page or export from here."""
     return display_rows(read_latest_history(spark, root, location), start)

@@ -5,7 +5,8 @@
     <root>/rejected/batch=<id>/*.parquet     rows without identity, instant or location
 
 Writing a batch again replaces its own folders only, so a replay changes nothing, and
-readers see a batch once its commit rows are there.
+readers see a batch once its commit rows are there.  A run that brought no usable record is a
+commit, too: its row in `commits` says 0.
 """
 
 from collections.abc import Sequence
@@ -15,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidelog.functions.instants import is_instant
 from tidelog.operators.ingest import accepted, identified, rejected
 from tidelog.operators.latest import latest_per_key
 from tidelog.operators.snapshots import retain_commits
@@ -25,20 +27,30 @@ from tidelog.sources.scratch import durable
 
 KEY = ("location_key", "entity_id")
 
+# Of an entity's records the greatest in this order is in force.
+ORDER = ("commit", "source", "seq", "batch")
+
 # Folders below a batch.  With many small commits give ("location_key",) instead: the commit
 # is then a sorted column that row-group statistics prune.  One choice holds for a whole root.
 LAYOUT = ("location_key", "commit")
 
 
 def append_batch(
-    places: DataFrame, root: str, batch: str, layout: Sequence[str] = LAYOUT
+    places: DataFrame,
+    root: str,
+    batch: str,
+    layout: Sequence[str] = LAYOUT,
+    runs: DataFrame | None = None,
 ) -> dict[str, int]:
     """Upsert flattened places as batch `batch`; returns the rows read, rejected and kept.
 
     One pass over the input: identified rows are written out once, and rejected rows, records
-    and all counts come from there.  A batch that is published already is left alone; one
-    without usable rows adds no commit.  Rows that agree in source and seq (documents without a
-    request in one file) are settled by their contents, so a replay gives the same winner.
+    and all counts come from there.  A batch that is published already is left alone.  Rows that
+    agree in source and seq (documents without a request in one file) are settled by their
+    contents, so a replay gives the same winner.
+
+    Commits are the places' own locations and instants, those of rejected places included, and
+    `runs` (location_key, commit): what the batch ran for, whether or not anything was found.
     """
     spark = places.sparkSession
     if _published(spark, root, batch):
@@ -51,7 +63,8 @@ def append_batch(
     kept = _write(records, root, batch, layout)
     if counts["rejected"]:
         rejected(rows).write.mode("overwrite").parquet(f"{root}/rejected/batch={batch}")
-    _publish(spark, root, batch)
+    own = rows.select("location_key", "commit")
+    _publish(spark, root, batch, own if runs is None else own.union(runs.select("location_key", "commit")))
     return {**counts, "kept": kept}
 
 
@@ -68,12 +81,13 @@ def rewrite_log(
     Merges the files of many small batches.  `keep`: only the last commits of each
     location, older records folded into one base snapshot.
     """
-    records = read_log(spark, root)
+    records, runs = read_log(spark, root), read_commits(spark, root)
     if keep is not None:
-        timeline = load_timeline(read_commits(spark, root), ["location_key"])
+        timeline = load_timeline(runs, ["location_key"])
         records = retain_commits(records, timeline, keep, KEY)
+        runs = timeline.rows.filter(F.col("ordinal") > F.col("n_commits") - keep)
     kept = _write(records, target, batch, layout)
-    _publish(spark, target, batch)
+    _publish(spark, target, batch, runs.select("location_key", "commit"))
     return kept
 
 
@@ -99,11 +113,20 @@ def _write(records: DataFrame, root: str, batch: str, layout: Sequence[str]) ->
     return _written(records.sparkSession, root, batch).count()
 
 
-def _publish(spark: SparkSession, root: str, batch: str) -> None:
-    """Make a written batch visible: one row per location and commit in it."""
-    written = _written(spark, root, batch).groupBy("location_key", "commit")
-    commits = written.agg(F.count(F.lit(1)).alias("rows"))
-    commits.write.mode("overwrite").parquet(f"{root}/commits/batch={batch}")
+def _publish(spark: SparkSession, root: str, batch: str, runs: DataFrame) -> None:
+    """Make a written batch visible: one row per location and commit of it or of `runs`.
+
+    One more row names neither, so that a batch that ran for nothing is known as published, too.
+    The rows are one file, which appears at once.
+    """
+    dated = F.coalesce(is_instant(F.col("commit")), F.lit(False)) & F.col("location_key").isNotNull()
+    stood = runs.filter(dated).distinct().select("location_key", "commit", F.lit(0).alias("rows"))
+    written = _written(spark, root, batch).select("location_key", "commit", F.lit(1).alias("rows"))
+    found = written.union(stood).groupBy("location_key", "commit").agg(F.sum("rows").alias("rows"))
+    nowhere = F.lit(None).cast("string")
+    published = spark.range(1).select(nowhere.alias("location_key"), nowhere.alias("commit"), F.lit(0).alias("rows"))
+    markers = found.union(published).repartition(1)
+    markers.write.mode("overwrite").parquet(f"{root}/commits/batch={batch}")
 
 
 def _log_schema(without: str = "") -> T.StructType:
@@ -120,8 +143,8 @@ def _published(spark: SparkSession, root: str, batch: str) -> bool:
 
 
 def read_commits(spark: SparkSession, root: str) -> DataFrame:
-    """Published commits: location_key, commit, rows, batch."""
-    return spark.read.schema(COMMITS).parquet(f"{root}/commits")
+    """Published commits: location_key, commit, rows (0: none usable), batch."""
+    return spark.read.schema(COMMITS).parquet(f"{root}/commits").filter("location_key IS NOT NULL")
 
 
 def read_log(
@@ -137,18 +160,31 @@ def read_log(
         wanted &= F.col("location_key") == location
     if until is not None:
         wanted &= F.col("commit") <= until
-    rows = spark.read.schema(LOG).parquet(f"{root}/log").filter(wanted)
-    published = read_commits(spark, root).filter(wanted).select("batch").distinct()
-    found = rows.join(published, "batch", "left_semi")
-    # Several batches may bring one commit: of an entity's rows there the last in order stays.
-    # The exchange is the one by entity that as-of reads and intervals need anyway.
-    order = Window.partitionBy(*KEY).orderBy("commit", "source", "seq", "batch")
-    following = F.lead("commit").over(order)
-    return (
-        found.withColumn("__following", following)
-        .filter(F.col("__following").isNull() | (F.col("__following") != F.col("commit")))
-        .select(*_record_fields())
-    )
+    commits = read_commits(spark, root).filter(wanted)
+    return settled(read_batches(spark, root, commits).filter(wanted), commits).select(*_record_fields())
+
+
+def read_batches(spark: SparkSession, root: str, commits: DataFrame) -> DataFrame:
+    """Records of the batches in `commits`, with `batch`; a commit may have an entity several times."""
+    rows = spark.read.schema(LOG).parquet(f"{root}/log")
+    return rows.join(commits.select("batch").distinct(), "batch", "left_semi")
+
+
+def settled(records: DataFrame, commits: DataFrame) -> DataFrame:
+    """Of an entity's rows in one commit, from several batches, the last in order.
+
+    Commits that one batch brought, nearly all of them, pass as they are; the others, listed by the
+    commit table, are ranked.
+    """
+    key = ["location_key", "commit"]
+    several = (
+        commits.filter("rows > 0").groupBy(*key).agg(F.countDistinct("batch").alias("batches"))
+    ).filter("batches > 1")
+    shared = records.join(several.select(*key), key, "left_semi").select(records.columns)
+    newest = Window.partitionBy(*KEY, "commit").orderBy(*[F.col(c).desc() for c in ORDER[1:]])
+    last = shared.withColumn("__rank", F.row_number().over(newest)).filter("__rank = 1").drop("__rank")
+    once = records.join(several.select(*key), key, "left_anti").select(records.columns)
+    return once.union(last)
 
 
 def _record_fields() -> list[str]:

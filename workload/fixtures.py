@@ -15,6 +15,8 @@ from tidelog.operators.timeline import Timeline, load_timeline
 WINDOW_START = "20240120000000000"
 # Only the last commit: entities without a metric there fall back to their whole history.
 LAST_DAY_START = "20240130000000000"
+# A run after all others that found nothing usable.
+EMPTY_RUN = "20240201000000000"
 AS_OF = "20240115000000000"
 CENTRE = (25.041171, 121.035)
 RADIUS_M = 5000.0

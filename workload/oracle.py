@@ -1,6 +1,6 @@
 """The SQL each registered query must agree with, over the same tables."""
 
-from workload.fixtures import AS_OF, CENTRE, LAST_DAY_START, RADIUS_M, WINDOW_START
+from workload.fixtures import AS_OF, CENTRE, EMPTY_RUN, LAST_DAY_START, RADIUS_M, WINDOW_START
 
 _INSTANT = "%Y%m%d%H%M%S%g"
 
@@ -18,8 +18,11 @@ def _observations(unit: str) -> str:
       FROM events)"""
 
 
-def _history(unit: str = "day", key: str = "entity_id", place: str = "") -> str:
-    """CTEs obs, log, commits, iv, dense, hist; `place` is the location column, if any."""
+def _history(unit: str = "day", key: str = "entity_id", place: str = "", empty: str = "") -> str:
+    """CTEs obs, log, commits, iv, dense, hist; `place` is the location column, if any.
+
+    `empty`: a commit without observations.
+    """
     same = f"AND iv.{place} = c.{place}" if place else ""
     listed = f"{place}, commit" if place else "commit"
     part = f"PARTITION BY {place}" if place else ""
@@ -31,7 +34,7 @@ def _history(unit: str = "day", key: str = "entity_id", place: str = "") -> str:
                        count(*) OVER ({part}) AS n_commits,
                        max(commit) OVER ({part}) AS last_commit,
                        lag(commit) OVER ({part} ORDER BY commit) AS previous_commit
-                FROM (SELECT DISTINCT {listed} FROM obs)),
+                FROM (SELECT DISTINCT {listed} FROM obs{f" UNION SELECT '{empty}'" if empty else ""})),
     iv AS (SELECT *, lead(commit) OVER (PARTITION BY {key} ORDER BY commit) AS valid_to FROM log),
     dense AS (SELECT iv.* EXCLUDE (commit), c.commit, c.ordinal, c.n_commits
               FROM iv JOIN commits c
@@ -244,6 +247,16 @@ ORACLE = {
       SELECT commit, {_id()} AS entity_id, entity_id::VARCHAR AS place_id, name, metric FROM log
       WHERE commit <= '{AS_OF}'
       QUALIFY row_number() OVER (PARTITION BY log.entity_id ORDER BY commit DESC) = 1""",
+    "as_of_bases": f"""WITH {_history()}
+      SELECT commit, {_id()} AS entity_id, entity_id::VARCHAR AS place_id, name, metric FROM log
+      WHERE commit <= '{AS_OF}'
+      QUALIFY row_number() OVER (PARTITION BY log.entity_id ORDER BY commit DESC) = 1""",
+    "history_increments": f"""WITH {_history()}, {_tables()}
+      SELECT '25.0_121.5' AS location_key, {_id()} AS entity_id, name, latitude, longitude,
+             history, metric_change FROM history_rows""",
+    "commits_without_rows": f"""WITH {_history(empty=EMPTY_RUN)}, {_tables()}
+      SELECT '25.0_121.5' AS location_key, {_id()} AS entity_id, name, latitude, longitude,
+             history, metric_change FROM history_rows""",
     "validity_intervals": f"""WITH {_history()}
       SELECT iv.entity_id, iv.commit, iv.seq, iv.metric, c.ordinal,
              coalesce(n.ordinal, c.n_commits + 1) AS next_ordinal, c.n_commits, iv.valid_to,

@@ -10,7 +10,7 @@ from tidelog.operators.latest import duplicate_keys
 from tidelog.operators.numbering import number_rows
 from tidelog.plans import jobs
 from tidelog.schemas import HISTORY
-from tidelog.sources import export, raw
+from tidelog.sources import bases, export, raw, segments
 from tidelog.sources import history as published
 from tidelog.sources import log as log_store
 from tidelog.sources.scratch import scratch_path
@@ -194,6 +194,52 @@ def log_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     return snapshots.snapshot_latest(log, log_store.KEY, ["commit"]).select(*_INGESTED)
 
 
+def _landed_in_turns(spark: SparkSession, sf_dir: str) -> list[tuple[str, DataFrame]]:
+    """All observations in three batches: two stretches of days, between them late rows of the first."""
+    observed = ingest.flatten_places(fx.observation_documents(spark, sf_dir))
+    first = F.col("commit") < "20240116"
+    late = first & (F.pmod(F.xxhash64("place_id", "seq"), F.lit(5)) == 0)
+    return [
+        ("b1", observed.filter(first & ~late)),
+        ("b2", observed.filter(late)),
+        ("b3", observed.filter(~first)),
+    ]
+
+
+def as_of_bases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As `log_as_of`, from a base, the commits after it and a late batch with commits before it."""
+    root = scratch_path(spark, "log")
+    for batch, places in _landed_in_turns(spark, sf_dir):
+        log_store.append_batch(places, root, batch)
+        bases.maintain_bases(spark, root, every=10)
+    return bases.read_as_of(spark, root, fx.AS_OF).select(*_INGESTED)
+
+
+_HISTORY_ROWS = ["location_key", "entity_id", "name", "latitude", "longitude", "history", "metric_change"]
+
+
+def history_increments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The history table kept up batch by batch, a late and a replayed one among them."""
+    root = scratch_path(spark, "log")
+    turns = _landed_in_turns(spark, sf_dir)
+    for n, (batch, places) in enumerate([*turns, turns[1]]):
+        log_store.append_batch(places, root, batch)
+        jobs.keep_history(spark, root, f"r{n}", every=10)
+    return segments.read_history(spark, root).select(*_HISTORY_ROWS)
+
+
+def commits_without_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run whose rows are all rejected is a commit: history goes on to it, the change is 0."""
+    root = scratch_path(spark, "log")
+    observed = ingest.flatten_places(fx.observation_documents(spark, sf_dir))
+    log_store.append_batch(observed, root, "b1")
+    unusable = observed.withColumns(
+        {"name": F.lit(None).cast("string"), "commit": F.lit(fx.EMPTY_RUN)}
+    )
+    log_store.append_batch(unusable, root, "b2")
+    return jobs.build_history(spark, root).select(*_HISTORY_ROWS)
+
+
 # --- history ----------------------------------------------------------------------
 
 
@@ -601,6 +647,9 @@ QUERIES = {
         snapshot_latest,
         snapshot_as_of,
         log_as_of,
+        as_of_bases,
+        history_increments,
+        commits_without_rows,
         validity_intervals,
         retain_commits,
         history_long,
