@@ -7,6 +7,8 @@ ratio are boilerplate of that host and are dropped there.  All stock expressions
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidelog.sources.scratch import durable
+
 
 def _lines(text: str) -> Column:
     return F.split(F.coalesce(F.col(text), F.lit("")), "\n")
@@ -19,7 +21,7 @@ def _key(line: Column) -> Column:
 
 
 def boilerplate_lines(
-    docs: DataFrame, host: str, text: str, ratio: float = 0.1, min_pages: int = 5
+    docs: DataFrame, host: str, text: str, ratio: float = 0.1, min_pages: int = 2
 ) -> DataFrame:
     """One row per host with boilerplate: host and the keys of its lines.
 
@@ -51,25 +53,24 @@ def drop_boilerplate(
     host: str = "source",
     text: str = "text",
     ratio: float = 0.1,
-    min_pages: int = 5,
+    min_pages: int = 2,
     id_col: str = "doc_id",
     salts: int = 32,
 ) -> DataFrame:
     """`docs` with boilerplate lines cut out of `text`, and lines_dropped added.
 
-    A line is dropped when it is on at least `min_pages` pages of its host and on more than
-    `ratio` of them.  Lines compare without surrounding blanks; one page counts a line once;
+    A line is dropped when it is on more than `ratio` of the pages of its host, and on
+    `min_pages` at least: a line seen once repeats nothing.  Lines compare without surrounding blanks; one page counts a line once;
     repeated rows are pages of their own.  Empty lines, lines of rows without a host, and null
     texts stay as they are.  A text that loses all its lines becomes empty; its row stays.
 
     Pages of one host are dealt out over `salts` join keys by their id, and the host's short
     list of lines is repeated for each: a host with a third of all pages is no hot partition.
     """
-    known = (
-        boilerplate_lines(docs, host, text, ratio, min_pages)
-        .toDF("__host", "__boilerplate")
-        .withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    )
+    # Written first: where the table is small its size is known, and texts stay where they are.
+    known = durable(
+        boilerplate_lines(docs, host, text, ratio, min_pages).toDF("__host", "__boilerplate")
+    ).withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     salt = F.pmod(F.xxhash64(id_col), F.lit(salts)).cast("int")
     none = F.array().cast("array<struct<a:bigint,b:int>>")
     bad = F.coalesce(F.col("__boilerplate"), none)

@@ -184,7 +184,7 @@ ORACLE = {
             SELECT source, unnest(list_distinct([trim(x, ' ') for x in lines if trim(x, ' ') <> ''])) AS line
             FROM l WHERE source IS NOT NULL
         ), found AS (
-            SELECT source, line, count(*) AS n FROM present GROUP BY ALL HAVING count(*) >= 5
+            SELECT source, line, count(*) AS n FROM present GROUP BY ALL HAVING count(*) >= 2
         ), total AS (
             SELECT source, count(*) AS pages FROM documents GROUP BY source
         ), bad AS (
