@@ -157,6 +157,17 @@ class Model:
         }
 
 
+def _spread(features: np.ndarray, rows: int = 65_536) -> tuple[np.ndarray, np.ndarray]:
+    """Mean and scale of each feature, some rows at a time: features stay in half precision."""
+    total, square = np.zeros(features.shape[1]), np.zeros(features.shape[1])
+    for lo in range(0, len(features), rows):
+        part = features[lo : lo + rows].astype(np.float64)
+        total += part.sum(axis=0)
+        square += (part * part).sum(axis=0)
+    mean = total / len(features)
+    return mean, np.sqrt(np.maximum(square / len(features) - mean * mean, 0)) + 0.05
+
+
 def fit(
     features: np.ndarray,
     many: np.ndarray,
@@ -181,7 +192,7 @@ def fit(
         "out": spread(hidden, 1)[:, 0],
         "out_bias": np.zeros(()),
     }
-    model = Model(weights, features.mean(axis=0), features.std(axis=0) + 0.05)
+    model = Model(weights, *_spread(features))
     first = {k: np.zeros_like(v) for k, v in weights.items()}
     second = {k: np.zeros_like(v) for k, v in weights.items()}
     starts, step = np.cumsum(many) - many, 0
@@ -190,7 +201,7 @@ def fit(
         for lo in range(0, len(order), batch):
             docs = order[lo : lo + batch]
             rows = ts.ragged(starts[docs], many[docs])
-            slope = model.gradient(features[rows], many[docs], label[docs], weight_of[docs])
+            slope = model.gradient(features[rows].astype(np.float32), many[docs], label[docs], weight_of[docs])
             step += 1
             for k, g in slope.items():
                 g = g + decay * weights[k]
@@ -208,14 +219,13 @@ def train(
     id_col: str = "doc_id",
     text: str = "text",
     sample_rows: int = 2000,
-    sample_passages: int = 32,
     seed: int = 7,
 ) -> Model:
     """Learn from at most `sample_rows` labelled documents of each class.
 
     They are those with the smallest hash of their id, weighted so that the classes count as they
-    do among all labels; of a longer document `sample_passages` passages, evenly spaced, take part.
-    Both bounds are fixed, whatever the corpus.  Rows without id or label are left out; of
+    do among all labels; all passages of their whole texts take part.  The bound is fixed, whatever
+    the corpus.  Rows without id or label are left out; of
     labels that repeat an id the greatest counts.  If a class has no documents the model is the
     constant share of label 1, and without labels 0.5.
     """
@@ -242,8 +252,7 @@ def train(
                 starts = np.cumsum(many) - many
                 out = []
                 for i in range(block.rows):
-                    pick = np.unique(np.linspace(0, many[i] - 1, min(many[i], sample_passages)).astype(np.int64))
-                    out.append(features[starts[i] + pick].astype(np.float16).tobytes())
+                    out.append(features[starts[i] : starts[i] + many[i]].astype(np.float16).tobytes())
                 rows = batch.slice(block.first_row, block.rows)
                 yield pa.RecordBatch.from_arrays(
                     [rows.column(id_col), rows.column("__label"), pa.array(out, pa.binary())],
@@ -268,7 +277,7 @@ def train(
     truth = sample.column("__label").to_numpy().astype(np.float64)
     have = {v: max(1, int((truth == v).sum())) for v in (0, 1)}
     weight_of = np.where(truth == 1, counts[1] / have[1], counts[0] / have[0]) / total
-    return fit(np.concatenate(bags).astype(np.float32), many, truth, weight_of, seed=seed)
+    return fit(np.concatenate(bags), many, truth, weight_of, seed=seed)
 
 
 def score(docs: DataFrame, model: Model, text: str = "text", drop: tuple[str, ...] = ()) -> DataFrame:
