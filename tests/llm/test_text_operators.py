@@ -146,7 +146,7 @@ def test_packing_is_whole_gapless_and_certified(make_docs):
                 place += length
             assert place <= 512
         bound = packing.lower_bound(np.bincount([r.length for r in got], minlength=513), 512)
-        assert bound <= len(by_sequence) <= bound + (0 if not options else 2)
+        assert len(by_sequence) == bound
 
 
 def test_packing_of_nothing_repeats_and_clashing_names(make_docs, no_docs):

@@ -252,22 +252,77 @@ def best_fit(counts: np.ndarray, capacity: int) -> list[tuple[int, tuple[tuple[i
     return [(n, c) for held in open_bins.values() for c, n in held.items()]
 
 
-def _plan(capacity: int, last: bool):
+def fill_sums(counts: np.ndarray, capacity: int, seed: int = 0) -> list[tuple[int, tuple[tuple[int, int], ...]]]:
+    """Sequences one by one: the longest piece left, and of all others those that fill it best.
+
+    What sums can be reached is a set of bits, exact for each sequence; the seed (0: longest first)
+    sets the order in which lengths are tried, and so which of equally full sequences is made.
+    Same form as `best_fit`.
+    """
+    rng, left = np.random.default_rng(seed), counts.copy()
+    present = np.flatnonzero(left)[::-1].tolist()
+    made: dict[tuple, int] = {}
+    while present:
+        longest = present[0]
+        room = capacity - longest
+        left[longest] -= 1
+        lengths = [x for x in present if x <= room and left[x]]
+        if seed:
+            lengths = [lengths[i] for i in rng.permutation(len(lengths))]
+        sums, within, steps = 1, (1 << (room + 1)) - 1, []
+        for x in lengths:
+            rest, each = int(left[x]), 1
+            while rest and not sums >> room & 1:  # numbers of pieces in powers of two
+                each = min(each, rest)
+                more = (sums | sums << x * each) & within
+                if more != sums:
+                    steps.append((x, each, sums))
+                    sums = more
+                rest, each = rest - each, each * 2
+        at, contents = sums.bit_length() - 1, {longest: 1}
+        for x, each, before in reversed(steps):
+            if not before >> at & 1:
+                contents[x] = contents.get(x, 0) + each
+                left[x] -= each
+                at -= x * each
+        key = tuple(sorted(contents.items(), reverse=True))
+        made[key] = made.get(key, 0) + 1
+        present = [x for x in present if left[x]]
+    return [(n, contents) for contents, n in made.items()]
+
+
+def tightest(counts: np.ndarray, capacity: int, tries: int) -> tuple[list, bool]:
+    """Best-fit decreasing, or where it is above the bound the best of `tries` fillings; certified or not."""
+    bound = lower_bound(counts, capacity)
+    best = best_fit(counts, capacity)
+    for seed in range(tries):
+        if sum(n for n, _ in best) <= bound:
+            break
+        best = min(best, fill_sums(counts, capacity, seed), key=lambda bins: sum(n for n, _ in bins))
+    return best, sum(n for n, _ in best) <= bound
+
+
+#: Pieces times fillings that are tried where all that is left is in one partition.
+_SEARCH = 60_000
+
+
+def _plan(capacity: int, last: bool, search: bool):
     """Pack one partition: every piece gets a sequence and an offset, or is given up.
 
     The last round keeps all.  Before, a certified partition gives up its emptiest sequence
-    only, and one above its bound every sequence with room.
+    only, and one above its bound every sequence with room.  `search`: the gap is worth many tries.
     """
 
     def run(key: tuple, rows: pa.Table) -> pa.Table:
         length = rows.column("length").to_numpy()
         counts = np.bincount(length, minlength=capacity + 1)
-        bins = sorted((sum(x * y for x, y in c), n, c) for n, c in best_fit(counts, capacity))
-        certified = sum(n for _, n, _ in bins) <= lower_bound(counts, capacity)
+        bins, certified = tightest(counts, capacity, max(1, _SEARCH // len(length)) if search else 1)
+        bins = sorted((sum(x * y for x, y in c), n, c) for n, c in bins)
         order = np.argsort(length, kind="stable")
         following = np.searchsorted(length[order], np.arange(capacity + 2))
         sequence = np.full(len(length), -1, np.int64)
         offset = np.zeros(len(length), np.int64)
+        filled = np.zeros(len(length), np.int64)
         number = 0
         for i, (used, many, contents) in enumerate(bins):
             given_up = 0 if last or used == capacity else (many if not certified else int(i == 0))
@@ -278,6 +333,7 @@ def _plan(capacity: int, last: bool):
                 following[size] += many * each
                 sequence[take] = number + np.repeat(np.arange(held), each)
                 offset[take] = place + size * np.tile(np.arange(each), held)
+                filled[take] = used
                 place += size * each
             number += held
         return pa.table(
@@ -287,51 +343,89 @@ def _plan(capacity: int, last: bool):
                 "part": pa.array(np.full(len(length), key[0].as_py()), pa.int64()),
                 "local": sequence,
                 "offset": offset,
+                "filled": filled,
             }
         )
 
     return run
 
 
+_PLANNED = "row long, length long, part long, local long, offset long, filled long"
+
+
 def pack(
-    pieces: DataFrame, capacity: int = 2048, part_rows: int = 100_000, rounds: int = 6
+    pieces: DataFrame, capacity: int = 2048, part_rows: int = 4_000, rounds: int = 6
 ) -> DataFrame:
     """`pieces` (any columns, and length) with sequence_id and offset, gapless in a sequence.
 
-    Round one deals all pieces out by hash to partitions of about `part_rows`.  A partition
-    whose number of sequences equals its lower bound is certified.  What partitions give up
-    (see _plan) is dealt out anew to as many partitions as it needs, and packed again.  The
-    last round, in one partition or after `rounds`, keeps everything.  Lengths must be 1 to
-    `capacity`; equal lengths are interchangeable, so ties do not matter.
+    Round one deals all pieces out by hash to partitions of about `part_rows`, two at least from
+    200 pieces on.  A partition whose number of sequences equals its lower bound is certified.  What
+    partitions give up (see _plan) is dealt out anew to as many partitions as it needs, and packed
+    again.  When it fits one partition, or after `rounds`, everything is kept.  If the whole is then above
+    the bound of all pieces, the emptiest sequences, as many as one partition takes, are opened and
+    packed once more while that saves one.  Lengths must be 1 to `capacity`; equal lengths are
+    interchangeable, so ties do not matter.
     """
     numbered = durable(pieces.withColumn("__row", F.monotonically_increasing_id()))
     loose = numbered.select(F.col("__row").alias("row"), F.col("length").cast("long").alias("length"))
+    sizes = loose.groupBy("length").count().collect()  # one row per length
+    counts = np.zeros(capacity + 1, np.int64)
+    for r in sizes:
+        counts[r["length"]] = r["count"]
+    bound = lower_bound(counts, capacity)
     kept, base, turn = None, 0, 0
     while True:
         left = loose.count()
-        parts = max(1, -(-left // part_rows))
+        parts = max(1, -(-left // part_rows), 2 if not turn and left >= 200 else 1)
         last = parts == 1 or turn == rounds - 1
-        lane = F.pmod(F.xxhash64("row", F.lit(turn)), F.lit(parts)) + F.lit(base)
-        planned = durable(
-            loose.select(lane.alias("part"), "row", "length")
-            .groupBy("part")
-            .applyInArrow(
-                _plan(capacity, last), "row long, length long, part long, local long, offset long"
-            )
-        )
-        done = planned.where("local >= 0").select("row", "part", "local", "offset")
+        planned = _packed(loose, capacity, turn, base, parts, last)
+        done = planned.where("local >= 0")
         kept = done if kept is None else kept.union(done)
+        base, turn = base + parts, turn + 1
         if last:
             break
         loose = planned.where("local < 0").select("row", "length")
-        base, turn = base + parts, turn + 1
+    total = _sequences(kept)
+    while total > bound and turn < 2 * rounds:
+        few = _emptiest(kept, part_rows)
+        if few is None:
+            break
+        opened, rest = kept.where(F.col("filled") <= few), kept.where(F.col("filled") > few)
+        again = _packed(opened.select("row", "length"), capacity, turn, base, 1, True)
+        saved = _sequences(opened) - _sequences(again)
+        if saved <= 0:
+            break
+        kept, total, base, turn = durable(rest.union(again)), total - saved, base + 1, turn + 1
     return (
-        numbered.join(kept, F.col("__row") == F.col("row"))
+        numbered.join(kept.select("row", "part", "local", "offset"), F.col("__row") == F.col("row"))
         .withColumn("sequence_id", F.col("part") * F.lit(1 << 32) + F.col("local"))
         .drop("__row", "row", "part", "local")
     )
 
 
+def _packed(loose: DataFrame, capacity: int, turn: int, base: int, parts: int, last: bool) -> DataFrame:
+    lane = F.pmod(F.xxhash64("row", F.lit(turn)), F.lit(parts)) + F.lit(base)
+    plan = _plan(capacity, last, parts == 1)
+    return durable(loose.select(lane.alias("part"), "row", "length").groupBy("part").applyInArrow(plan, _PLANNED))
+
+
+def _sequences(planned: DataFrame) -> int:
+    """Each sequence has one piece at its start."""
+    return planned.where("offset = 0").count()
+
+
+def _emptiest(kept: DataFrame, most: int) -> int | None:
+    """Filling up to which sequences hold at most `most` pieces in all; None without any."""
+    rows = kept.groupBy("filled").count().orderBy("filled").collect()
+    few, pieces = None, 0
+    for r in rows:  # at most one row per filling
+        pieces += r["count"]
+        if pieces > most:
+            break
+        few = r["filled"]
+    return few
+
+
 def sequences(packed: DataFrame) -> DataFrame:
     """sequence_id, ids: the token ids of each sequence in order of offset (needs column ids)."""
     pieces = F.array_sort(F.collect_list(F.struct("offset", "ids")))
