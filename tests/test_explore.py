@@ -6,9 +6,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import day
-from tidelog.operators import explore, trends
+from tidelog.operators import explore, states, trends
 from tidelog.operators.numbering import number_rows
-from tidelog.sources import export
+from tidelog.sources import export, ranks, search
+from tidelog.sources import history as published
 
 
 @pytest.fixture(scope="module")
@@ -45,9 +46,89 @@ def test_threshold_needs_a_metric(shops):
 def test_nulls_sort_last_both_ways(shops, descending, want):
     order = explore.sort_order("current_metric", descending)
     assert ids(shops.orderBy(*order)) == want
-    for top_k_rows in (1000, 0):
-        pages = [ids(explore.page(shops, order, n, 3, top_k_rows)) for n in (1, 2, 3, 4)]
-        assert pages == [want[:3], want[3:6], want[6:], []]
+    pages = [ids(explore.page(shops, order, n, 3)) for n in (1, 2, 3, 4)]
+    assert pages == [want[:3], want[3:6], want[6:], []]
+
+
+@pytest.mark.parametrize("descending, want", [(False, [5, 2, 1, 7, 3, 4, 6]), (True, [3, 4, 1, 7, 2, 5, 6])])
+def test_any_page_from_the_rank_index(spark, tmp_path, shops, descending, want):
+    path = str(tmp_path / "ranks")
+    ranks.write_ranked(shops, path, explore.sort_order("current_metric", descending), block_rows=2)
+    pages = [ids(ranks.read_page(spark, path, n, 2, 2)) for n in (1, 2, 3, 4, 5)]
+    assert pages == [want[:2], want[2:4], want[4:6], want[6:], []]
+    assert [ids(ranks.read_page(spark, path, n, 3, 2)) for n in (1, 2)] == [want[:3], want[3:6]]
+    opened = ranks.read_page(spark, path, 3, 2, 2)._jdf.queryExecution().executedPlan().toString()
+    assert "block" in opened.split("PartitionFilters: [")[1].split("]")[0]
+    files = {f.split("block=")[1][0] for f in ranks.read_page(spark, path, 2, 2, 2).inputFiles()}
+    assert files == {"1"} or len(files) == 4  # inputFiles may list what filters prune later
+    with pytest.raises(ValueError):
+        ranks.read_page(spark, path, 0)
+
+
+def test_search_by_the_index_equals_the_scan(spark, tmp_path):
+    names = ["Cafe Blue", "cafe", "CAFETERIA", "ab", "100% Pure", "a_b_c", "Ünï Café", None, "", "fecafecafe", "İstanbul"]
+    rows = spark.createDataFrame(
+        [(i, n, float(i % 5), "x") for i, n in enumerate(names)], "entity_id int, name string, current_metric double, piece string"
+    )
+    path = str(tmp_path / "postings")
+    search.write_postings(rows, path)
+    for needle in ("cafe", "CAFE", "af", "", "0% p", "_b_", "ünï", "istanbul", "nothing like it", "cafecafe"):
+        for threshold in (None, 1.0):
+            want = ids(explore.explore_filter(rows, needle, threshold).orderBy("entity_id"))
+            got = search.search(spark, rows, path, needle, threshold)
+            assert got.columns == rows.columns and ids(got.orderBy("entity_id")) == want
+    empty = str(tmp_path / "empty")
+    search.write_postings(rows.limit(0), empty)
+    plan = search.search(spark, rows, path, "cafe")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [bucket" in plan and "piece" in plan
+
+
+def test_around_many_centres_equals_one_search_each(spark):
+    random.seed(4)
+    spots = [(i, f"n{i % 3}", random.uniform(-90, 90), random.uniform(-180, 180)) for i in range(150)]
+    spots += [(200 + i, "n0", 89.99 - i / 500, 40.0 * i) for i in range(8)]
+    spots += [(300 + i, "n1", 10.0, 179.999 + i / 1000 - (360 if i else 0)) for i in range(4)]
+    spots += [(400 + i, "hot", 25.0001, 121.0001) for i in range(40)] + [(500, "n2", None, 1.0), (501, "n2", 1.0, None)]
+    rows = spark.createDataFrame(spots, "place int, name string, latitude double, longitude double")
+    centres = [
+        (1, 25.0, 121.0, 300.0), (2, 89.999, 0.0, 5000.0), (3, 10.0, 180.0, 900.0), (4, 10.0, -180.0, 900.0),
+        (5, 0.0, 0.0, 3_000_000.0), (6, -90.0, 7.0, 1_500_000.0), (7, 25.0001, 121.0001, 0.0), (8, None, 1.0, 5.0),
+        (9, 30.0, 30.0, 21_000_000.0), (10, 45.0, 170.0, 2_500_000.0), (1, 25.0, 121.0, 300.0),
+    ]
+    frame = spark.createDataFrame(centres, "centre int, centre_lat double, centre_lng double, radius_m double")
+    for keywords in ("", "N1 hot"):
+        found = explore.nearby_many(rows, frame, keywords)
+        got = sorted((r.centre, r.place, round(r.distance_m, 6)) for r in found.collect())
+        want = sorted(
+            (c, r.place, round(r.distance_m, 6))
+            for c, lat, lng, radius in centres
+            if lat is not None
+            for r in explore.nearby(rows, lat, lng, radius, keywords).collect()
+        )
+        assert got == want and len(got) > 40
+    plan = explore.nearby_many(rows, frame)._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+    assert explore.nearby_many(rows, frame.limit(0)).collect() == []
+
+
+def test_statistics_from_states_equal_those_from_rows(spark, tmp_path):
+    rows = spark.createDataFrame(
+        [("A", "1", 4.25), ("A", "2", None), ("B", "3", 2.0), ("B", "4", 3.5), ("C", "5", None)],
+        "location_key string, entity_id string, current_metric double",
+    )
+    root = str(tmp_path)
+    for run, part in (("1", rows.limit(2)), ("2", rows), ("2", rows), ("3", rows.filter("location_key = 'B'"))):
+        published.publish_states(states.state_of(part, "current_metric", ["location_key"]), root, run)
+        published.publish_history(part, root, run)
+    merged = published.read_states(spark, root)
+    assert states.summary_from(merged).collect() == explore.summary_stats(rows).collect()
+    assert states.options_from(merged).collect() == explore.filter_options(rows).collect()
+    assert "history" not in " ".join(merged.inputFiles())
+    none = merged.limit(0)
+    assert states.summary_from(none).collect() == explore.summary_stats(rows.limit(0)).collect()
+    assert states.options_from(none).collect() == explore.filter_options(rows.limit(0)).collect()
+    by_place = {r.location_key: r.average for r in states.average_from(merged, "location_key", "average").collect()}
+    assert by_place == {"A": 4.25, "B": 2.75, "C": None}
 
 
 def test_explore_filters_then_sorts(shops):

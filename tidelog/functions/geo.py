@@ -30,11 +30,48 @@ def bounding_box(
     return inside & longitude.between(west, east)
 
 
-def haversine(latitude: Column, longitude: Column, centre_lat: float, centre_lng: float) -> Column:
+def cell_degrees(level: Column) -> Column:
+    """Height of a grid cell: 2**level metres."""
+    return F.degrees(F.pow(F.lit(2.0), level) / F.lit(EARTH_RADIUS_M))
+
+
+def band_of(latitude: Column, level: Column) -> Column:
+    """Row of the grid, counted from the south pole."""
+    return F.floor((latitude + 90) / cell_degrees(level)).cast("long")
+
+
+def cells_around(band: Column, level: Column) -> Column:
+    """Cells in a row of the grid, none narrower than high on the row's shorter side."""
+    height = cell_degrees(level)
+    south = band * height - 90
+    furthest = F.least(F.greatest(F.abs(south), F.abs(south + height)), F.lit(90.0))
+    return F.greatest(F.floor(360 * F.cos(F.radians(furthest)) / height), F.lit(1)).cast("long")
+
+
+def cell_of(longitude: Column, around: Column) -> Column:
+    """Cell in a row of `around` cells; not wrapped."""
+    return F.floor((longitude + 180) / 360 * around).cast("long")
+
+
+def reach_of(latitude: Column, radius_m: Column) -> tuple[Column, Column]:
+    """Degrees north or south, and east or west, that a circle reaches; 360 where it holds a pole."""
+    angle = radius_m / EARTH_RADIUS_M
+    north = F.degrees(angle) * (1 + 1e-9)
+    ratio = F.sin(F.least(angle, F.lit(math.pi / 2))) / F.greatest(F.cos(F.radians(latitude)), F.lit(1e-12))
+    polar = (F.abs(latitude) + north >= 90) | (ratio >= 1)
+    return north, F.when(polar, F.lit(360.0)).otherwise(F.degrees(F.asin(ratio)) * (1 + 1e-9))
+
+
+def haversine(
+    latitude: Column, longitude: Column, centre_lat: float | Column, centre_lng: float | Column
+) -> Column:
     """Great-circle distance to the centre, in metres."""
-    half_lat = F.sin(F.radians(latitude - F.lit(centre_lat)) / 2)
-    half_lng = F.sin(F.radians(longitude - F.lit(centre_lng)) / 2)
-    chord = half_lat * half_lat + F.lit(math.cos(math.radians(centre_lat))) * F.cos(
-        F.radians(latitude)
-    ) * half_lng * half_lng
+    if not isinstance(centre_lat, Column):
+        cosine = F.lit(math.cos(math.radians(centre_lat)))
+        centre_lat, centre_lng = F.lit(centre_lat), F.lit(centre_lng)
+    else:
+        cosine = F.cos(F.radians(centre_lat))
+    half_lat = F.sin(F.radians(latitude - centre_lat) / 2)
+    half_lng = F.sin(F.radians(longitude - centre_lng) / 2)
+    chord = half_lat * half_lat + cosine * F.cos(F.radians(latitude)) * half_lng * half_lng
     return F.lit(2 * EARTH_RADIUS_M) * F.asin(F.sqrt(F.least(chord, F.lit(1.0))))

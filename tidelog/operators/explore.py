@@ -6,10 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidelog.functions import geo
-from tidelog.operators.numbering import number_rows
-
-# Pages that end beyond this row are cut by position, not by a top-k on one task.
-TOP_K_ROWS = 100_000
 
 
 def explore_filter(
@@ -57,30 +53,15 @@ def explore(
     )
 
 
-def page(
-    rows: DataFrame,
-    order: Sequence[Column],
-    number: int,
-    size: int = 5,
-    top_k_rows: int = TOP_K_ROWS,
-) -> DataFrame:
-    """Rows of page `number` (from 1) in the given order.
+def page(rows: DataFrame, order: Sequence[Column], number: int, size: int = 5) -> DataFrame:
+    """Rows of page `number` (from 1) in the given order: a top-k of the rows up to its end.
 
-    Near the front this is a top-k; further on the whole order is numbered by range
-    partitions and the page is cut out by position, so no task holds all rows before it.
+    Right near the front, where pages are turned.  To open any page of a published table at the
+    cost of that page, keep a rank index (`sources.ranks`).
     """
     if number < 1 or size < 1:
         raise ValueError("page number and size start at 1")
-    start = (number - 1) * size
-    if start + size <= top_k_rows:
-        return rows.orderBy(*order).offset(start).limit(size)
-    position = F.col("__row")
-    numbered = number_rows(rows, order, "__row")
-    return (
-        numbered.filter((position > start) & (position <= start + size))
-        .orderBy("__row")
-        .drop("__row")
-    )
+    return rows.orderBy(*order).offset((number - 1) * size).limit(size)
 
 
 def page_count(rows: DataFrame, size: int = 5) -> DataFrame:
@@ -118,6 +99,18 @@ def rows_for_day(rows: DataFrame, wanted: str, day: str = "date") -> DataFrame:
     return rows.filter(F.col(day) == wanted)
 
 
+def with_keywords(rows: DataFrame, keywords: str, text: Sequence[str]) -> DataFrame:
+    """Rows whose text has any of the blank-separated keywords; all rows without any."""
+    words = keywords.lower().split()
+    if not words:
+        return rows
+    haystack = F.lower(F.concat_ws(" ", *text))
+    wanted = F.lit(False)
+    for word in words:
+        wanted |= F.contains(haystack, F.lit(word))
+    return rows.filter(wanted)
+
+
 def nearby(
     rows: DataFrame,
     centre_lat: float,
@@ -133,13 +126,74 @@ def nearby(
     Adds `distance_m`.  The box goes down to the scan; the exact distance decides.
     """
     lat, lng = F.col(latitude), F.col(longitude)
-    boxed = rows.filter(geo.bounding_box(lat, lng, centre_lat, centre_lng, radius_m))
-    words = keywords.lower().split()
-    if words:
-        haystack = F.lower(F.concat_ws(" ", *text))
-        wanted = F.lit(False)
-        for word in words:
-            wanted |= F.contains(haystack, F.lit(word))
-        boxed = boxed.filter(wanted)
+    boxed = with_keywords(
+        rows.filter(
+            geo.bounding_box(lat, lng, centre_lat, centre_lng, radius_m) & lat.isNotNull() & lng.isNotNull()
+        ),
+        keywords,
+        text,
+    )
     distance = geo.haversine(lat, lng, centre_lat, centre_lng)
     return boxed.withColumn("distance_m", distance).filter(F.col("distance_m") <= radius_m)
+
+
+def nearby_many(
+    rows: DataFrame,
+    centres: DataFrame,
+    keywords: str = "",
+    text: Sequence[str] = ("name",),
+    latitude: str = "latitude",
+    longitude: str = "longitude",
+    salts: int = 8,
+) -> DataFrame:
+    """Rows within the radius of each of many centres: `rows`, the centre's other columns, `distance_m`.
+
+    `centres`: centre_lat, centre_lng, radius_m and any more.  Circles are covered by cells of a grid
+    whose size follows their radius (powers of two), rows fall into one cell per size, and both meet
+    by an equi-join; the exact distance decides.  The rows of a cell are dealt out over `salts` keys: a
+    cell with a third of all rows is no hot partition.  Rows and centres without a position or radius
+    meet nothing; each pair comes once.
+    """
+    level = F.greatest(F.ceil(F.log2(F.greatest("radius_m", F.lit(1.0)))), F.lit(0)).cast("int")
+    north, east = geo.reach_of(F.col("centre_lat"), F.col("radius_m"))
+    placed = centres.filter("centre_lat IS NOT NULL AND centre_lng IS NOT NULL AND radius_m >= 0")
+    sized = placed.withColumns({"__level": level, "__north": north, "__east": east})
+    here = F.col("__level")
+    bands = sized.withColumn(
+        "__band",
+        F.explode(
+            F.sequence(
+                geo.band_of(F.col("centre_lat") - F.col("__north"), here),
+                geo.band_of(F.col("centre_lat") + F.col("__north"), here),
+            )
+        ),
+    ).withColumn("__around", geo.cells_around(F.col("__band"), here))
+    first = geo.cell_of(F.col("centre_lng") - F.col("__east"), F.col("__around"))
+    last = geo.cell_of(F.col("centre_lng") + F.col("__east"), F.col("__around"))
+    cells = F.sequence(first, F.least(last, first + F.col("__around") - 1))
+    covered = bands.withColumn("__cell", F.explode(cells)).withColumns(
+        {
+            "__cell": F.pmod("__cell", "__around"),
+            "__salt": F.explode(F.sequence(F.lit(0), F.lit(salts - 1))),
+        }
+    )
+    # One row per size of circle there is: at most 25, from a metre to the whole earth.
+    levels = sorted(r["__level"] for r in sized.select("__level").distinct().collect())
+    lat, lng = F.col(latitude), F.col(longitude)
+    located = with_keywords(rows.filter(lat.isNotNull() & lng.isNotNull()), keywords, text)
+    each = F.explode(F.array(*[F.lit(n) for n in levels]).cast("array<int>"))
+    in_cells = located.withColumn("__level", each).withColumn("__band", geo.band_of(lat, here))
+    around = geo.cells_around(F.col("__band"), here)
+    in_cells = in_cells.withColumns(
+        {
+            "__cell": F.pmod(geo.cell_of(lng, around), around),
+            "__salt": F.pmod(F.xxhash64(lat, lng, *text), F.lit(salts)).cast("int"),
+        }
+    )
+    distance = geo.haversine(lat, lng, F.col("centre_lat"), F.col("centre_lng"))
+    return (
+        in_cells.join(covered, ["__level", "__band", "__cell", "__salt"])
+        .withColumn("distance_m", distance)
+        .filter(F.col("distance_m") <= F.col("radius_m"))
+        .select(*rows.columns, *centres.columns, "distance_m")
+    )

@@ -170,6 +170,19 @@ RUNS = T.StructType(
     ]
 )
 
+# Mergeable statistics of a run, per location.
+STATES = T.StructType(
+    [
+        T.StructField("location_key", T.StringType()),
+        T.StructField("rows", T.LongType()),
+        T.StructField("present", T.LongType()),
+        T.StructField("total", T.DoubleType()),
+        T.StructField("low", T.DoubleType()),
+        T.StructField("high", T.DoubleType()),
+        T.StructField("run", T.StringType()),
+    ]
+)
+
 DAILY = T.StructType(
     [T.StructField("date", T.StringType()), T.StructField("current_popularity", T.DoubleType())]
 )

@@ -1,6 +1,7 @@
 """Published history tables.
 
     <root>/history/run=<instant>/location_key=<key>/*.parquet
+    <root>/states/run=<instant>/*.parquet         statistics of the run by location
     <root>/runs/published=<instant>/*.parquet     written last: the publish marker
 
 A run may hold all locations or some; the newest run of each location is the one read.
@@ -12,7 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidelog.schemas import HISTORY, RUNS
+from tidelog.schemas import HISTORY, RUNS, STATES
+
 
 def publish_history(history: DataFrame, root: str, run: str) -> int:
     """Write one run and make it the newest of its locations; returns the rows written."""
@@ -33,6 +35,21 @@ def publish_history(history: DataFrame, root: str, run: str) -> int:
     return spark.read.schema(RUNS).parquet(path).agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0]
 
 
+def publish_states(states: DataFrame, root: str, run: str) -> None:
+    """Write the states (`operators.states`) of a run, by location_key, before the run is published.
+
+    The same run again replaces its own.
+    """
+    states.write.mode("overwrite").parquet(f"{root}/states/run={run}")
+
+
+def read_states(spark: SparkSession, root: str) -> DataFrame:
+    """The states of the newest run of each location; history files are not opened."""
+    return spark.read.schema(STATES).parquet(f"{root}/states").join(
+        latest_runs(spark, root), ["location_key", "run"], "left_semi"
+    ).select(*[n for n in STATES.names if n != "run"])
+
+
 def latest_runs(spark: SparkSession, root: str) -> DataFrame:
     """Newest complete run of each location: location_key, run."""
     runs = spark.read.schema(RUNS).parquet(f"{root}/runs")

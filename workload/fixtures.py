@@ -278,3 +278,26 @@ def search_pages(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     by_segment = customers.withColumn("page", (F.length("category") + 100).cast("bigint")).drop("nation")
     by_supplier = suppliers.withColumn("page", (F.col("nation") + 200).cast("bigint"))
     return [by_nation, by_segment, by_supplier]
+
+
+def customer_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Versions of customers: the greatest metric of what was shipped to each on a day."""
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_shipdate", "l_extendedprice")
+    owners = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
+    seen = lines.join(owners, "l_orderkey").select(
+        F.col("o_custkey").alias("entity_id"),
+        to_instant(F.col("l_shipdate")).alias("commit"),
+        _grid_metric(F.col("l_extendedprice")).alias("metric"),
+    )
+    return seen.groupBy("entity_id", "commit").agg(F.max("metric").alias("metric"))
+
+
+def supplier_centres(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each supplier is a search centre; radii of 100 to 900 metres."""
+    key = F.col("s_suppkey")
+    return table(spark, sf_dir, "supplier").select(
+        key.alias("centre_id"),
+        (F.lit(25.0) + (key * 37 % 1000) / 10000.0).alias("centre_lat"),
+        (F.lit(121.0) + (key * 11 % 700) / 10000.0).alias("centre_lng"),
+        (F.lit(100.0) + key % 5 * 200.0).alias("radius_m"),
+    )

@@ -378,6 +378,37 @@ ORACLE = {
                    * sin(radians(longitude - {_LNG}) / 2) * sin(radians(longitude - {_LNG}) / 2), 1.0))) AS metres
         FROM place WHERE category IN ('BUILDING', 'MACHINERY'))
       SELECT place_id, round(metres, 3) AS distance_m FROM measured WHERE metres <= {RADIUS_M}""",
+    "nearby_centres": f"""WITH {_PLACES}, centre AS (
+        SELECT s_suppkey AS centre_id, 25.0::DOUBLE + (s_suppkey * 37 % 1000) / 10000.0 AS lat,
+               121.0::DOUBLE + (s_suppkey * 11 % 700) / 10000.0 AS lng, 100.0 + s_suppkey % 5 * 200.0 AS radius
+        FROM supplier),
+      measured AS (
+        SELECT centre_id, place_id, radius, 2 * 6371000.0 * asin(sqrt(least(
+                 sin(radians(latitude - lat) / 2) * sin(radians(latitude - lat) / 2)
+                 + cos(radians(lat)) * cos(radians(latitude))
+                   * sin(radians(longitude - lng) / 2) * sin(radians(longitude - lng) / 2), 1.0))) AS metres
+        FROM place, centre WHERE category IN ('BUILDING', 'MACHINERY'))
+      SELECT centre_id, place_id, round(metres, 3) AS distance_m FROM measured WHERE metres <= radius""",
+    "orders_as_of": f"""WITH version AS (
+        SELECT o_custkey AS entity_id, strftime(l_shipdate, '{_INSTANT}') AS commit,
+               max((10 + floor(l_extendedprice)::BIGINT % 41) / 10.0) AS metric
+        FROM lineitem JOIN orders ON o_orderkey = l_orderkey GROUP BY 1, 2),
+      asked AS (SELECT o_orderkey, o_custkey AS entity_id, strftime(o_orderdate, '{_INSTANT}') AS at FROM orders)
+      SELECT a.o_orderkey, a.entity_id, a.at, v.commit, v.metric
+      FROM asked a ASOF LEFT JOIN version v ON a.entity_id = v.entity_id AND a.at >= v.commit""",
+    "search_indexed": f"""WITH {_PLACES} SELECT place_id, name, metric FROM place
+      WHERE name IS NOT NULL AND name <> '' AND contains(lower(name), 'r#0000001')
+        AND metric <> 0 AND metric >= 3""",
+    "summary_merged": f"""WITH {_PLACES}
+      SELECT count(*) AS total_rows, count(metric) AS rows_with_metric, round(avg(metric), 2) AS average_metric,
+             min(metric) AS min_metric, max(metric) AS max_metric FROM place""",
+    "options_merged": f"""WITH {_PLACES}, bounds AS (
+        SELECT CAST(coalesce(floor(min(metric)), 0) AS BIGINT) AS lo,
+               CAST(coalesce(ceil(max(metric)), 5) AS BIGINT) AS hi FROM place)
+      SELECT lo AS min_metric, hi AS max_metric,
+             CAST(to_json([lo, lo + 1, lo + 2, lo + 3, hi]) AS VARCHAR) AS steps FROM bounds""",
+    "avg_by_day_merged": """SELECT strftime(ts, '%Y-%m-%d') AS d, round(avg(value), 6) AS avg_value
+      FROM events GROUP BY 1""",
     "export_csv_rows": f"""WITH {_history()}, {_tables()}, {_trend(WINDOW_START)}, {_points(WINDOW_START)},
       {_DISPLAY}
       SELECT name AS "Name", url AS "URL",

@@ -5,12 +5,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidelog.functions import bands, identity, instants, maps, text
-from tidelog.operators import explore, history, ingest, pages, snapshots, timeline, trends
+from tidelog.operators import asof, explore, history, ingest, pages, snapshots, states, timeline, trends
 from tidelog.operators.latest import duplicate_keys
 from tidelog.operators.numbering import number_rows
 from tidelog.plans import jobs
 from tidelog.schemas import HISTORY
-from tidelog.sources import bases, export, raw, segments
+from tidelog.sources import bases, export, ranks, raw, search, segments
 from tidelog.sources import history as published
 from tidelog.sources import log as log_store
 from tidelog.sources.scratch import scratch_path
@@ -493,9 +493,12 @@ def explore_page(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def explore_page_deep(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A page from a rank index of small blocks, two of which it touches."""
+    path = scratch_path(spark, "ranks")
     order = explore.sort_order("metric", tie="place_id")
     rows = fx.places(spark, sf_dir).select("place_id", "name", "metric")
-    return explore.page(rows, order, number=3, size=40, top_k_rows=0)
+    ranks.write_ranked(rows, path, order, block_rows=64)
+    return ranks.read_page(spark, path, 3, 40, block_rows=64).drop(ranks.POSITION)
 
 
 def page_count(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -532,6 +535,60 @@ def rows_for_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     return explore.rows_for_day(daily, "2024-01-15", "d")
 
 
+def orders_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every order with the version of its customer that was in force then."""
+    orders = fx.table(spark, sf_dir, "orders").select(
+        "o_orderkey",
+        F.col("o_custkey").alias("entity_id"),
+        instants.to_instant(F.col("o_orderdate")).alias("at"),
+    )
+    versions = fx.customer_versions(spark, sf_dir)
+    # Dates spread over years: by month a customer has a few orders.
+    return asof.as_of_join(orders, versions, "at", ["commit", "metric"], stretch=6)
+
+
+def nearby_centres(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All places around each of many centres, those of two categories."""
+    found = explore.nearby_many(
+        fx.places(spark, sf_dir),
+        fx.supplier_centres(spark, sf_dir),
+        keywords="Building machinery",
+        text=["name", "category"],
+    )
+    return found.select("centre_id", "place_id", F.round("distance_m", 3).alias("distance_m"))
+
+
+def search_indexed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As `explore_filter`, by the index of three-letter pieces."""
+    path, rows = scratch_path(spark, "postings"), fx.places(spark, sf_dir)
+    search.write_postings(rows, path, key=["place_id"])
+    found = search.search(spark, rows, path, "R#0000001", 3.0, key=["place_id"], metric="metric")
+    return found.select("place_id", "name", "metric")
+
+
+def summary_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As `summary_stats`, merged from published states; an earlier and a repeated run do not count."""
+    root = scratch_path(spark, "states")
+    placed = fx.places(spark, sf_dir).withColumn("location_key", F.col("nation").cast("string"))
+    for run, rows in (("1", placed.withColumn("metric", F.lit(99.0))), ("2", placed), ("2", placed)):
+        published.publish_states(states.state_of(rows, "metric", ["location_key"]), root, run)
+        published.publish_history(rows.select("location_key", "place_id", "metric"), root, run)
+    return states.summary_from(published.read_states(spark, root))
+
+
+def options_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As `filter_options`, from one state per nation."""
+    by_nation = states.state_of(fx.places(spark, sf_dir), "metric", ["nation"])
+    return states.options_from(by_nation).withColumn("steps", F.to_json("steps"))
+
+
+def avg_by_day_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As `avg_by_day`, from states per event type and day."""
+    daily = fx.table(spark, sf_dir, "events").withColumn("d", F.date_format("ts", "yyyy-MM-dd"))
+    parts = states.state_of(daily, "value", ["event_type", "d"])
+    return states.average_from(parts, "d", "avg_value").withColumn("avg_value", F.round("avg_value", 6))
+
+
 def nearby_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = explore.nearby(
         fx.places(spark, sf_dir),
@@ -690,6 +747,12 @@ QUERIES = {
         avg_by_day,
         rows_for_day,
         nearby_search,
+        nearby_centres,
+        orders_as_of,
+        search_indexed,
+        summary_merged,
+        options_merged,
+        avg_by_day_merged,
         export_csv_rows,
         export_json_rows,
         pages_union,
