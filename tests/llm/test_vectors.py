@@ -10,7 +10,7 @@ SCHEMA = "vec_id long, embedding array<float>, label int"
 
 
 def cosine(a, b):
-    a, b = np.float32(a).astype(float), np.float32(b).astype(float)
+    a, b = (np.asarray(x, float) / np.abs(np.asarray(x, float)).max() for x in (a, b))
     return float(a @ b / np.sqrt((a @ a) * (b @ b)))
 
 
@@ -161,3 +161,35 @@ def test_components_of_paths_stars_and_loops(spark):
     want = {**{i: 0 for i in range(41)}, **{i: 100 for i in range(100, 160)}, 200: 200, 201: 200}
     assert got == want
     assert connected_components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_vectors_of_any_finite_size(spark):
+    """Components of 1e-200 and 1e200: squares of neither can be worked out as they are."""
+    wide = "vec_id long, embedding array<double>, label int"
+    rows = [(0, [1.0, 0.0], 0), (1, [1e-200, 0.0], 0), (2, [0.9, 0.1], 0), (3, [0.0, 1.0], 0), (4, [1e200, 0.0], 0)]
+    rows += [(5, [5e-324, 0.0], 0), (6, [1.7e308, 1.7e308], 0), (7, [1e-310, 1e-310], 0)]
+    df = spark.createDataFrame(rows, wide)
+    got = {(r.query_id, r.rank): r for r in onebit_ann.top_k(df, df, 5).collect()}
+    vectors = {i: v for i, v, _ in rows}
+    for q, rank, near in neighbours_by_hand(rows, rows, 5):
+        # Vectors of one direction tie but for the last bit.
+        assert got[q, rank].score == pytest.approx(cosine(vectors[q], vectors[near]), abs=1e-12)
+        assert got[q, rank].score == pytest.approx(cosine(vectors[q], vectors[got[q, rank].vec_id]), abs=1e-12)
+    assert [got[0, rank].vec_id for rank in (1, 2, 3)] == [1, 4, 5] and len(got) == 40
+    links = links_by_hand(rows, 0.98)
+    parts = components_by_hand(links)
+    found = {tuple(r)[:3] for r in pq_dedup.near_duplicates(df).collect()}
+    assert found == {(i, len(links[i]), parts[i]) for i in links} and len(links[4]) == 4
+
+
+@pytest.mark.parametrize("width", [3, 64, 100])
+def test_code_bounds_hold_and_tell(width):
+    rng = np.random.default_rng(width)
+    units = onebit_ann.unit_rows(rng.standard_normal((300, width)))
+    turn = onebit_ann.rotation(width, 7)
+    codes = onebit_ann.encode(units, turn)
+    estimate, half = onebit_ann.bounds(codes, units[:40], turn, 3.0)
+    off = np.abs(estimate - units[:40] @ units.T)
+    assert (off <= half).mean() > 0.99 and np.abs((estimate - units[:40] @ units.T).mean()) < 0.02
+    if width > 3:
+        assert half.mean() < 0.5

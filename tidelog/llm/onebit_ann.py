@@ -1,10 +1,12 @@
 """Nearest neighbours by randomly rotated one-bit codes, reranked exactly.
 
-Rows are packed into blocks.  Within a block each unit vector is taken relative to the block's
-mean, rotated at random and kept as one sign bit per dimension with three scalars: the length
-of the residual, the inner product of the rotated direction with its own code, and the block's
-offset.  For a query they give an unbiased estimate of the cosine and an error bound; vectors
-whose upper bound reaches the k-th best exact score are reranked in double precision.
+Rows are packed into blocks and encoded there, once.  Within a block each unit vector is taken
+relative to the block's mean, rotated at random and kept as one sign bit per dimension with two
+scalars: the length of the residual, and the inner product of the rotated direction with its own
+code.  A query is rotated and rounded to eight bits a dimension; its inner product with a code is
+counted on packed bits, plane by plane.  That gives an unbiased estimate of the cosine and an
+error bound; vectors whose upper bound reaches the k-th best exact score are reranked in double
+precision.  A task keeps the best k of each query over all blocks it meets.
 """
 
 from collections.abc import Iterator
@@ -14,9 +16,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidelog.llm.vectors import as_matrix, unit_rows, usable, widest
+from tidelog.llm.vectors import as_matrix, balanced, unit_rows, usable, widest
 
 _BLOCK = "dim int, ids binary, data binary"
+_CODED = _BLOCK + ", bits binary, length binary, own binary, centre binary"
+_PLANES = 8
 
 
 def rotation(width: int, seed: int) -> np.ndarray:
@@ -34,25 +38,45 @@ def encode(units: np.ndarray, turn: np.ndarray) -> dict:
     signs = direction > 0
     own = np.abs(direction).sum(axis=1) / np.sqrt(units.shape[1])
     return {
-        "bits": np.packbits(signs, axis=1),
+        "bits": _words(signs),
         "length": length,
         "own": np.maximum(own, 1e-12),
         "centre": centre,
     }
 
 
+def _words(signs: np.ndarray) -> np.ndarray:
+    """Rows of bits as 64-bit words, filled with zeros."""
+    packed = np.packbits(signs, axis=1)
+    whole = np.zeros((len(packed), -(-signs.shape[1] // 64) * 8), np.uint8)
+    whole[:, : packed.shape[1]] = packed
+    return whole.view(np.uint64)
+
+
 def bounds(codes: dict, queries: np.ndarray, turn: np.ndarray, epsilon: float):
     """Estimated cosines (queries x vectors) and the half width of their bounds."""
     width = queries.shape[1]
-    signs = np.unpackbits(codes["bits"], axis=1, count=width).astype(np.float32)
-    turned = (queries @ turn.T).astype(np.float32)
+    turned = queries @ turn.T
+    # Rounded to whole steps from the least component on: at most half a step off each.
+    least = turned.min(axis=1, keepdims=True)
+    step = np.maximum((turned.max(axis=1, keepdims=True) - least) / (2**_PLANES - 1), 1e-300)
+    rounded = np.rint((turned - least) / step).astype(np.int64)
+    over_set = np.zeros((len(queries), len(codes["bits"])), np.int32)
+    for plane in range(_PLANES):
+        asked = _words(rounded >> plane & 1 == 1)
+        for w in range(asked.shape[1]):
+            both = asked[:, w, None] & codes["bits"][None, :, w]
+            over_set += np.bitwise_count(both).astype(np.int32) << plane
+    set_bits = np.bitwise_count(codes["bits"]).sum(axis=1, dtype=np.int64)
     # The code is +-1/sqrt(width): twice the sum over set bits, less the sum over all.
-    dots = (2 * turned @ signs.T - turned.sum(axis=1, keepdims=True)) / np.sqrt(width)
+    sums = over_set * step + set_bits[None] * least
+    dots = (2 * sums - (rounded.sum(axis=1, keepdims=True) * step + width * least)) / np.sqrt(width)
     base = queries @ codes["centre"]
-    estimate = base[:, None] + dots * (codes["length"] / codes["own"])
-    spread = np.sqrt(np.maximum(1 - codes["own"] ** 2, 0)) / codes["own"]
-    half = codes["length"] * spread * epsilon / np.sqrt(max(width - 1, 1))
-    return estimate, half + 1e-5
+    scale = codes["length"] / codes["own"]
+    estimate = base[:, None] + dots * scale
+    off = np.abs(turned - (rounded * step + least)).sum(axis=1, keepdims=True) / np.sqrt(width)
+    spread = np.sqrt(np.maximum(1 - codes["own"] ** 2, 0)) * epsilon / np.sqrt(max(width - 1, 1))
+    return estimate, (spread + off) * scale + 1e-9
 
 
 def exact_cosine(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -60,11 +84,9 @@ def exact_cosine(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.einsum("ij,ij->i", a, b) / (np.linalg.norm(a, axis=1) * np.linalg.norm(b, axis=1))
 
 
-def search_block(ids, vectors, query_ids, queries, k, turn, epsilon):
+def search_block(ids, vectors, codes, query_ids, queries, k, turn, epsilon):
     """Best k of one block for each query: (query index, id, score), and how many were reranked."""
-    units, query_units = unit_rows(vectors), unit_rows(queries)
-    codes = encode(units, turn)
-    estimate, half = bounds(codes, query_units, turn, epsilon)
+    estimate, half = bounds(codes, unit_rows(queries), turn, epsilon)
     own = query_ids[:, None] == ids[None, :]
     estimate[own] = -np.inf
     score = np.full(estimate.shape, -np.inf)
@@ -91,13 +113,17 @@ def search_block(ids, vectors, query_ids, queries, k, turn, epsilon):
     return q[kept], ids[v[kept]], score[q, v][kept], int(seen.sum())
 
 
-def _pack(width: int, rows: int, key: str = ""):
-    """Rows to blocks of at most `rows` vectors that agree in length and in `key`."""
+def _pack(width: int, rows: int, key: str = "", turn: np.ndarray | None = None):
+    """Rows to blocks of at most `rows` vectors that agree in length and in `key`; encoded by `turn`."""
 
     def block(group: tuple, ids: np.ndarray, matrix: np.ndarray) -> pa.RecordBatch:
         values = [pa.array([ids.tobytes()], pa.binary()), pa.array([matrix.tobytes()], pa.binary())]
         values.insert(0, pa.array([group[0]], pa.int32()))
         names = ["dim", "ids", "data"]
+        if turn is not None:
+            coded = encode(unit_rows(matrix), turn)
+            values += [pa.array([x.tobytes()], pa.binary()) for x in coded.values()]
+            names += list(coded)
         if key:
             values.append(pa.array([group[1]], pa.int32()))
             names.append(key)
@@ -109,7 +135,7 @@ def _pack(width: int, rows: int, key: str = ""):
             ids = batch.column("id").to_numpy(zero_copy_only=False)
             dims = batch.column("dim").to_numpy(zero_copy_only=False)
             keys = batch.column(key).to_numpy(zero_copy_only=False) if key else np.zeros_like(dims)
-            matrix = as_matrix(batch.column("vector"), width)
+            matrix = balanced(as_matrix(batch.column("vector"), width))
             for group in {(int(d), int(x)) for d, x in zip(dims, keys, strict=True)}:
                 mine = (dims == group[0]) & (keys == group[1])
                 i, m = ids[mine], matrix[mine]
@@ -126,27 +152,47 @@ def _pack(width: int, rows: int, key: str = ""):
     return pack
 
 
-def _search(k: int, width: int, seed: int, epsilon: float):
+def _search(k: int, width: int, turn: np.ndarray, epsilon: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        turn = rotation(width, seed)
+        best: dict[int, tuple] = {}  # k rows at most for each query met here
         for batch in batches:
             for row in range(batch.num_rows):
-                ids, data, query_ids, query_data = (batch.column(i)[row].as_py() for i in range(4))
-                ids, query_ids = (np.frombuffer(x, np.int64) for x in (ids, query_ids))
-                vectors, queries = (np.frombuffer(x).reshape(-1, width) for x in (data, query_data))
+                held = {n: batch.column(n)[row].as_py() for n in batch.schema.names}
+                ids, query_ids = (np.frombuffer(held[n], np.int64) for n in ("ids", "query_ids"))
+                vectors, queries = (np.frombuffer(held[n]).reshape(-1, width) for n in ("data", "query_data"))
+                codes = {
+                    "bits": np.frombuffer(held["bits"], np.uint64).reshape(len(ids), -1),
+                    **{n: np.frombuffer(held[n]) for n in ("length", "own", "centre")},
+                }
                 for lo in range(0, len(query_ids), 512):
                     part = slice(lo, lo + 512)
-                    q, found, score, n = search_block(
-                        ids, vectors, query_ids[part], queries[part], k, turn, epsilon
-                    )
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(query_ids[part][q]), pa.array(found), pa.array(score)],
-                        names=["query_id", "vec_id", "score"],
+                    q, found, score, _ = search_block(
+                        ids, vectors, codes, query_ids[part], queries[part], k, turn, epsilon
                     )
+                    _keep(best, held["block"], query_ids[part][q], found, score, k)
+        for q, found, score in best.values():
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(q), pa.array(found), pa.array(score)], names=["query_id", "vec_id", "score"]
+            )
 
     return run
 
 
+def _keep(best: dict, block: int, q: np.ndarray, found: np.ndarray, score: np.ndarray, k: int) -> None:
+    """The k best of each query of a block of queries so far; an id counts once."""
+    if block in best:
+        q, found, score = (np.concatenate(x) for x in zip(best[block], (q, found, score), strict=True))
+    order = np.lexsort((-score, found, q))
+    q, found, score = q[order], found[order], score[order]
+    once = np.ones(len(q), bool)
+    once[1:] = (q[1:] != q[:-1]) | (found[1:] != found[:-1])
+    q, found, score = q[once], found[once], score[once]
+    order = np.lexsort((found, -score, q))
+    q, found, score = q[order], found[order], score[order]
+    kept = np.arange(len(q)) - np.searchsorted(q, q) < k
+    best[block] = q[kept], found[kept], score[kept]
+
+
 def top_k(
     vectors: DataFrame,
     queries: DataFrame,
@@ -155,7 +201,7 @@ def top_k(
     vector_col: str = "embedding",
     epsilon: float = 3.0,
     block_rows: int = 1024,
-    query_rows: int = 512,
+    query_rows: int = 4096,
     seed: int = 7,
 ) -> DataFrame:
     """query_id, rank, vec_id, score: the k nearest of `vectors` for each row of `queries`.
@@ -175,10 +221,9 @@ def top_k(
     n_blocks = max(1, -(-asked.count() // query_rows))
     # Lanes deal the vector blocks of one query block out to several tasks.
     lanes = max(1, -(-2 * partitions // n_blocks))
-    packed = rows.mapInArrow(_pack(width, block_rows), _BLOCK).select(
-        "dim",
-        F.col("ids"),
-        F.col("data"),
+    turn = rotation(width, seed)
+    packed = rows.mapInArrow(_pack(width, block_rows, turn=turn), _CODED).select(
+        "*",
         F.pmod(F.xxhash64("ids"), F.lit(lanes)).cast("int").alias("lane"),
         F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))).alias("block"),
     )
@@ -195,11 +240,9 @@ def top_k(
         )
     )
     # A stated query set against all rows: each block meets each block once, in bounded tasks.
-    met = packed.join(asked_blocks, ["dim", "block", "lane"]).select(
-        "ids", "data", "query_ids", "query_data"
-    )
+    met = packed.join(asked_blocks, ["dim", "block", "lane"]).drop("dim", "lane")
     best = met.mapInArrow(
-        _search(k, width, seed, epsilon), "query_id long, vec_id long, score double"
+        _search(k, width, turn, epsilon), "query_id long, vec_id long, score double"
     )
     merged = best.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidelog.llm.components import connected_components, local_roots
-from tidelog.llm.vectors import as_matrix, is_usable, kmeans, nearest, unit_rows, widest
+from tidelog.llm.vectors import as_matrix, balanced, is_usable, kmeans, nearest, unit_rows, widest
 from tidelog.sources.scratch import durable
 
 _SLACK = 1e-6
@@ -78,7 +78,7 @@ def _assign(model: dict, width: int):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            matrix = as_matrix(batch.column("vector"), width)
+            matrix = balanced(as_matrix(batch.column("vector"), width))
             cell, codes, left = quantise(unit_rows(matrix), model)
             kept = {n: batch.column(n) for n in ("id", "label", "dim", "copies")}
             new = {

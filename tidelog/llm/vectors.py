@@ -45,6 +45,16 @@ def as_matrix(column: pa.ListArray | pa.ChunkedArray, width: int) -> np.ndarray:
     return out
 
 
+def balanced(matrix: np.ndarray) -> np.ndarray:
+    """Rows times the power of two that brings their greatest component to 0.5 up to 1.
+
+    Their cosines stay as they are, to the last bit where nothing was too small or too large to be
+    squared; no product overflows or vanishes any more.
+    """
+    top = np.abs(matrix).max(axis=1, initial=0, keepdims=True)
+    return np.ldexp(matrix, -np.frexp(top)[1])
+
+
 def unit_rows(matrix: np.ndarray) -> np.ndarray:
     """Rows scaled to length one; by the greatest component first, so that no square overflows."""
     scaled = matrix / np.abs(matrix).max(axis=1, keepdims=True)
