@@ -21,6 +21,7 @@ a pair is counted its parity sketches are compared: bit h mod 512 is the parity
 with that hash, so sketches never differ in more bits than the sets do in n-grams.
 """
 
+import math
 from collections.abc import Iterator
 from fractions import Fraction
 
@@ -35,6 +36,8 @@ from tidelog.sources.scratch import durable
 
 _ORDERS = 4
 _SALTS = 32
+#: A mark on more rows than this is hot.
+_HOT = 2000
 _SKETCH = [f"s{i}" for i in range(8)]
 _U = np.uint64
 
@@ -326,18 +329,40 @@ def similar_classes(
         .mapInArrow(_show(shape, n), "id long, n long, shown array<long>")
         .select("id", "n", F.explode("shown").alias("mark"))
     )
-    # Only neighbours in size can be partners: by size, the nearest one is next to a row.
-    by_size = Window.partitionBy("mark").orderBy("n", "id")
-    before, after = F.lag("n").over(by_size), F.lead("n").over(by_size)
+    # Only neighbours in size can be partners.  Per mark the classes of sizes are counted, combined
+    # on the map side; partners are in one class or in two that lie side by side.
+    width = -math.log(shape.num / shape.den) * (1 + 1e-9) if shape.num < shape.den else 1e-9
+    shown = durable(shown.withColumn("class", F.floor(F.log("n") / width)))
+    classes = shown.groupBy("mark", "class").agg(F.count(F.lit(1)).alias("many"))
+    by_class = Window.partitionBy("mark").orderBy("class")  # at most one row per class
+    beside = (F.lead("class").over(by_class) == F.col("class") + 1) | (
+        F.lag("class").over(by_class) == F.col("class") - 1
+    )
+    kept = durable(
+        classes.withColumn("beside", F.coalesce(beside, F.lit(False)))
+        .where("beside OR many > 1")
+        .select("mark", "class", "many")
+    )
+    # Marks on many rows: one in _HOT rows at most.  Their rows are dealt out over salts, and what
+    # is known of the mark is repeated for each.
+    hot = durable(
+        kept.groupBy("mark").agg(F.sum("many").alias("rows")).where(F.col("rows") > _HOT).select("mark")
+    )
+    salt = F.pmod(F.xxhash64("id"), F.lit(_SALTS)).cast("int")
+    marked = hot.select("mark", F.lit(True).alias("hot"))
+    shown = shown.join(marked, "mark", "left").withColumn("salt", F.when(F.col("hot"), salt).otherwise(0))
+
+    def for_salts(table: DataFrame) -> DataFrame:
+        """A table with one row per mark (and class), repeated for the salts of hot marks."""
+        all_salts = F.when(F.col("hot"), F.sequence(F.lit(0), F.lit(_SALTS - 1))).otherwise(F.array(F.lit(0)))
+        return table.join(marked, "mark", "left").withColumn("salt", F.explode(all_salts)).drop("hot")
+
     marks = durable(
-        shown.withColumns({"before": before, "after": after})
-        .where(
-            (F.col("before") * shape.den >= F.col("n") * shape.num)
-            | (F.col("n") * shape.den >= F.col("after") * shape.num)
-        )
-        .select("mark", "id")
+        shown.drop("n", "hot")
+        .join(for_salts(kept.select("mark", "class")), ["mark", "class", "salt"], "left_semi")
+        .select("mark", "salt", "id")
     )
-    groups = marks.groupBy("mark").agg(F.min("id").alias("centre"))
+    groups = for_salts(marks.groupBy("mark").agg(F.min("id").alias("centre")))
     nodes = durable(marks.select("id").distinct())
     own = chosen.join(nodes, "id", "left_semi")
     facts = durable(
@@ -361,7 +386,7 @@ def similar_classes(
 
     alike = _alike(shape, "a", "b")
     stars = durable(
-        marks.join(groups, "mark")
+        marks.join(groups, ["mark", "salt"])
         .where("id <> centre")
         .select(F.col("centre").alias("a"), F.col("id").alias("b"))
         .distinct()
@@ -376,7 +401,7 @@ def similar_classes(
     # not compared with itself: the others meet everyone of another component.
     placed = durable(
         marks.join(so_far, F.col("id") == F.col("node"), "left").select(
-            "mark", "id", F.coalesce("component", "id").alias("c")
+            "mark", "salt", "id", F.coalesce("component", "id").alias("c")
         )
     )
     tally = placed.groupBy("mark", "c").agg(F.count(F.lit(1)).alias("size"))
@@ -384,18 +409,23 @@ def similar_classes(
         F.max_by("c", F.struct("size", "c")).alias("main"), F.count(F.lit(1)).alias("many")
     ).where("many > 1")
     open_marks = durable(
-        placed.join(mixed.select("mark", "main"), "mark").join(facts.drop("k1", "k2"), "id")
-    )
+        placed.join(for_salts(mixed.select("mark", "main")), ["mark", "salt"]).join(facts.drop("k1", "k2"), "id")
+    ).join(marked, "mark", "left")
     columns = ("id", "c", "n", *_SKETCH)
+    # Blocks of a hot mark, one per salt, meet in pairs: each side goes to all blocks of the other.
+    all_blocks = F.when(F.col("hot"), F.sequence(F.lit(0), F.lit(_SALTS - 1))).otherwise(F.array(F.lit(0)))
     one = open_marks.where("c <> main").select(
-        F.col("mark").alias("amark"), *(F.col(c).alias("a" + c) for c in columns)
-    )
+        F.col("mark").alias("amark"), F.col("salt").alias("asalt"), F.explode(all_blocks).alias("aother"),
+        *(F.col(c).alias("a" + c) for c in columns),
+    )
     other = open_marks.select(
-        F.col("mark").alias("bmark"), "main", *(F.col(c).alias("b" + c) for c in columns)
-    )
+        F.col("mark").alias("bmark"), F.col("salt").alias("bsalt"), F.explode(all_blocks).alias("bother"),
+        "main", *(F.col(c).alias("b" + c) for c in columns),
+    )
+    met = (F.col("amark") == F.col("bmark")) & (F.col("asalt") == F.col("bother")) & (F.col("aother") == F.col("bsalt"))
     once = (F.col("ac") < F.col("bc")) | ((F.col("bc") == F.col("main")) & (F.col("ac") > F.col("bc")))
     rest = (
-        one.join(other, (F.col("amark") == F.col("bmark")) & once & alike)
+        one.join(other, met & once & alike)
         .select(
             F.least("aid", "bid").alias("a"),
             F.greatest("aid", "bid").alias("b"),
