@@ -9,6 +9,7 @@ from tidelog.operators import ingest, pages
 from tidelog.operators.latest import duplicate_keys
 from tidelog.plans import jobs
 from tidelog.sources import history as published
+from tidelog.sources import locations
 from tidelog.sources import log as log_store
 from tidelog.sources import raw
 from tidelog.streaming.ingest import start_ingest, stream_documents
@@ -435,3 +436,18 @@ def test_daily_rows(spark, tmp_path):
     path.write_text('{"date":"2025-01-01","current_popularity":3}\n{"date":"2025-01-02","current_popularity":4.5}\n')
     got = raw.read_daily(spark, str(path)).orderBy("date").collect()
     assert [tuple(r) for r in got] == [("2025-01-01", 3.0), ("2025-01-02", 4.5)]
+
+
+def test_locations_have_names(spark, tmp_path):
+    path = tmp_path / "centres.json"
+    centres = [
+        {"name": "Old Town", "latitude": 25.0, "longitude": 121.5, "radius": 500},
+        {"name": "A", "latitude": 25.0, "longitude": 121.5},
+        {"name": " ", "latitude": 1.0, "longitude": 2.0}, {"name": "nowhere", "latitude": 1.0},
+    ]
+    path.write_text(json.dumps(centres))
+    known = locations.read_locations(spark, str(path))
+    assert known.count() == 2
+    rows = spark.createDataFrame([("25.0_121.5", 1), ("1.0_2.0", 2), ("9.0_9.0", 3), (None, 4)], "location_key string, n int")
+    got = {r.n: r.location_name for r in locations.with_location_names(rows, known).collect()}
+    assert got == {1: "Old Town", 2: "1.0_2.0", 3: "9.0_9.0", 4: None}

@@ -20,6 +20,7 @@ from tidelog.operators.timeline import load_timeline
 from tidelog.operators.trends import display_rows
 from tidelog.sources.bases import EVERY, maintain_bases
 from tidelog.sources.history import publish_history, read_latest_history
+from tidelog.sources.locations import with_location_names
 from tidelog.sources.log import LAYOUT, append_batch, read_commits, read_log
 from tidelog.sources.raw import (
     read_details,
@@ -105,6 +106,16 @@ def keep_history(spark: SparkSession, root: str, run: str, every: int = EVERY) -
     return update_history(spark, root, run)
 
 
-def view(spark: SparkSession, root: str, start: str, location: str | None = None) -> DataFrame:
-    """Display rows of the newest published history; filter, sort, page or export from here."""
-    return display_rows(read_latest_history(spark, root, location), start)
+def view(
+    spark: SparkSession,
+    root: str,
+    start: str,
+    location: str | None = None,
+    locations: DataFrame | None = None,
+) -> DataFrame:
+    """Display rows of the newest published history; filter, sort, page or export from here.
+
+    `locations` (see `sources.locations`): adds the location's name.
+    """
+    rows = display_rows(read_latest_history(spark, root, location), start)
+    return rows if locations is None else with_location_names(rows, locations)

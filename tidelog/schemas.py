@@ -170,6 +170,16 @@ RUNS = T.StructType(
     ]
 )
 
+# A configured search centre; the radius is in metres.
+LOCATIONS = T.StructType(
+    [
+        T.StructField("name", T.StringType()),
+        T.StructField("latitude", T.DoubleType()),
+        T.StructField("longitude", T.DoubleType()),
+        T.StructField("radius", T.IntegerType()),
+    ]
+)
+
 # Mergeable statistics of a run, per location.
 STATES = T.StructType(
     [

@@ -225,6 +225,11 @@ ORACLE = {
              CASE WHEN nation % 2 = 0 THEN '25.0_' || (121.0::DOUBLE + nation)::VARCHAR END AS location_key,
              CASE WHEN nation % 2 = 1 THEN 'missing location' END AS reject_reason
       FROM place""",
+    "location_names": f"""WITH {_PLACES}, keyed AS (
+        SELECT place_id::VARCHAR AS place_id, nation,
+               '25.0_' || (121.0::DOUBLE + nation)::VARCHAR AS location_key FROM place)
+      SELECT place_id, location_key, coalesce(n_name, location_key) AS location_name
+      FROM keyed LEFT JOIN nation ON n_nationkey = nation AND n_nationkey % 2 = 0""",
     "upsert_log": f"WITH {_history()}, {_OBSERVED} SELECT * FROM observed",
     "upsert_parts": f"WITH {_history()}, {_OBSERVED} SELECT * FROM observed",
     "stream_ingest": f"WITH {_history()}, {_OBSERVED} SELECT * FROM observed",

@@ -10,7 +10,7 @@ from tidelog.operators.latest import duplicate_keys
 from tidelog.operators.numbering import number_rows
 from tidelog.plans import jobs
 from tidelog.schemas import HISTORY
-from tidelog.sources import bases, export, ranks, raw, search, segments
+from tidelog.sources import bases, export, locations, ranks, raw, search, segments
 from tidelog.sources import history as published
 from tidelog.sources import log as log_store
 from tidelog.sources.scratch import scratch_path
@@ -106,6 +106,20 @@ def location_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def location_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All places with the name of their search centre; nations with an odd key have none configured."""
+    path = scratch_path(spark, "centres")
+    nations = fx.table(spark, sf_dir, "nation").filter(F.col("n_nationkey") % 2 == 0)
+    nations.select(
+        F.col("n_name").alias("name"),
+        F.lit(25.0).alias("latitude"),
+        (F.lit(121.0) + F.col("n_nationkey")).alias("longitude"),
+    ).write.json(path)
+    centres = locations.read_locations(spark, path, multi_line=False)
+    rows = fx.flattened_places(spark, sf_dir).select("place_id", "location_key")
+    return locations.with_location_names(rows, centres)
+
+
 def ingest_unplaced(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with and without location: every row is read back, as kept or as rejected."""
     root = scratch_path(spark, "log")
@@ -693,6 +707,7 @@ QUERIES = {
         batch_counts,
         location_partition,
         location_read,
+        location_names,
         ingest_unplaced,
         upsert_log,
         upsert_parts,
