@@ -96,6 +96,22 @@ def test_a_family_that_is_near_but_not_linked(make_docs):
     assert found_groups(make_docs(*rows), 3, "0.8") == groups_by_hand(rows, 3, "0.8")
 
 
+def test_hot_marks_are_split_and_lose_no_link(make_docs, monkeypatch):
+    """Every mark on more than two rows is hot: copies, near copies and a family that is not linked."""
+    monkeypatch.setattr(ngram_join, "_HOT", 2)
+    rng = np.random.default_rng(8)
+    base = [f"w{x}" for x in rng.integers(0, 10_000, 60)]
+    rows = []
+    for i in range(60):
+        words = list(base)
+        for at in rng.choice(60, i % 7, replace=False):
+            words[at] = f"x{i % 9}"
+        rows.append((i, " ".join(words)))
+    rows += [(100 + i, " ".join(f"v{i % 3}_{j}" for j in range(30))) for i in range(12)]
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.similar_classes(make_docs(*rows), 3, "0.8").collect()}
+    assert got == groups_by_hand(rows, 3, "0.8") and len({c for _, c in got.values()}) > 3
+
+
 @pytest.mark.parametrize("threshold", ["0.9", "0.8", "0.5"])
 def test_linked_sets_always_show_a_common_mark(threshold):
     shape, rng = ngram_join.Shape(Fraction(threshold)), np.random.default_rng(5)
