@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tests.conftest import day
 from tidelog.operators import explore, history, snapshots, trends
 from tidelog.operators.timeline import load_timeline
+from tidelog.sources import buckets
 from tidelog.sources import log as log_store
 
 
@@ -133,3 +134,75 @@ def test_location_and_instant_prune_folders(spark, tmp_path):
     spark.conf.unset("spark.sql.maxMetadataStringLength")
     pruned = re.search(r"PartitionFilters: \[(.*?)\], PushedFilters", scan).group(1)
     assert "= 25.0_121.5" in pruned and f"<= {day(2)}" in pruned
+
+
+PLACES = (
+    "location_key string, commit string, source string, seq long, place_id string, name string,"
+    "address string, latitude double, longitude double, url string, metric double, types array<string>"
+)
+
+
+def observed(spark, root):
+    """Two locations; one entity is observed at every commit, the others now and then."""
+    rows = [
+        (place, day(d), "r", e, "p", f"n{e}", "a", 1.0, 2.0, "u", float(d), ["t"])
+        for place in ("A", "B")
+        for d in range(1, 11)
+        for e in range(12)
+        if e == 0 or (d + e) % 4 == 0
+    ]
+    log_store.append_batch(spark.createDataFrame(rows, PLACES), root, "b1")
+
+
+def test_a_bucketed_log_is_not_exchanged_by_entity_any_more(spark, tmp_path):
+    root = str(tmp_path / "root")
+    observed(spark, root)
+    buckets.write_bucketed(spark, root, "own_log", buckets=4)
+    spark.sql("DROP TABLE own_log")  # as in another session: the folder stays
+    log = buckets.read_bucketed(spark, root, "own_log", buckets=4)
+    assert sorted(log.collect()) == sorted(log_store.read_log(spark, root).collect())
+    line = load_timeline(log_store.read_commits(spark, root), ["location_key"]).settled()
+    intervals = snapshots.validity_intervals(log, line, log_store.KEY)
+    for df in (
+        snapshots.snapshot_latest(log, log_store.KEY, ["commit"]),
+        snapshots.snapshot_as_of(log, day(5), log_store.KEY, ["commit"]),
+        intervals,
+        history.history_table(intervals, line, log_store.KEY),
+    ):
+        assert "entity_id" not in "".join(re.findall(r"Exchange hashpartitioning\(.*?\)", plan(df))), plan(df)
+    want = history.history_table(
+        snapshots.validity_intervals(log_store.read_log(spark, root), line, log_store.KEY), line, log_store.KEY
+    )
+    same = [sorted(map(str, t.collect())) for t in (want, history.history_table(intervals, line, log_store.KEY))]
+    assert same[0] == same[1] and len(same[0]) == 24
+    spark.sql("DROP TABLE own_log")
+
+
+def test_one_batch_per_commit_is_read_without_an_exchange(spark, tmp_path):
+    root = str(tmp_path / "root")
+    observed(spark, root)
+    log = log_store.read_log(spark, root)
+    log.collect()
+    final = plan(log).split("Initial Plan")[0]
+    # Records of commits from one batch come first; those of shared ones, none here, are ranked after.
+    passed, ranked = final.split("Window", 1)
+    assert "entity_id" not in "".join(re.findall(r"Exchange .*", passed)) and "FileScan" in passed
+    assert "entity_id" in "".join(re.findall(r"Exchange .*", ranked))
+
+
+def test_building_history_exchanges_of_the_log(spark, tmp_path):
+    """With broadcasts off: records meet the timeline and go by entity; chunks of them meet its names, and come back."""
+    root = str(tmp_path / "root")
+    observed(spark, root)
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        line = load_timeline(log_store.read_commits(spark, root), ["location_key"]).settled()
+        log = spark.read.parquet(f"{root}/log/batch=b1").withColumn("commit", F.col("commit").cast("string"))
+        table = history.history_table(snapshots.validity_intervals(log, line, log_store.KEY), line, log_store.KEY)
+        by = re.findall(r"[^t]Exchange hashpartitioning\((.*?)\)", plan(table))
+        assert len([b for b in by if "entity_id" in b]) == 2, by
+        # Of these, one side of each is the timeline.
+        assert len([b for b in by if "commit" in b]) == 2 and len([b for b in by if "__chunk" in b]) == 2, by
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)

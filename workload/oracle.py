@@ -259,6 +259,9 @@ ORACLE = {
     "history_increments": f"""WITH {_history()}, {_tables()}
       SELECT '25.0_121.5' AS location_key, {_id()} AS entity_id, name, latitude, longitude,
              history, metric_change FROM history_rows""",
+    "history_bucketed": f"""WITH {_history()}, {_tables()}
+      SELECT '25.0_121.5' AS location_key, {_id()} AS entity_id, name, latitude, longitude,
+             history, metric_change FROM history_rows""",
     "commits_without_rows": f"""WITH {_history(empty=EMPTY_RUN)}, {_tables()}
       SELECT '25.0_121.5' AS location_key, {_id()} AS entity_id, name, latitude, longitude,
              history, metric_change FROM history_rows""",

@@ -10,7 +10,7 @@ from tidelog.operators.latest import duplicate_keys
 from tidelog.operators.numbering import number_rows
 from tidelog.plans import jobs
 from tidelog.schemas import HISTORY
-from tidelog.sources import bases, export, locations, ranks, raw, search, segments
+from tidelog.sources import bases, buckets, export, locations, ranks, raw, search, segments
 from tidelog.sources import history as published
 from tidelog.sources import log as log_store
 from tidelog.sources.scratch import scratch_path
@@ -242,6 +242,19 @@ def history_increments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return segments.read_history(spark, root).select(*_HISTORY_ROWS)
 
 
+def history_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The history table from a log bucketed by entity."""
+    root = scratch_path(spark, "log")
+    log_store.append_batch(ingest.flatten_places(fx.observation_documents(spark, sf_dir)), root, "b1")
+    name = f"bucketed_{root.rsplit('-', 1)[-1]}"
+    buckets.write_bucketed(spark, root, name, buckets=8)
+    line = timeline.load_timeline(log_store.read_commits(spark, root), ["location_key"]).settled()
+    log = buckets.read_bucketed(spark, root, name, buckets=8)
+    intervals = snapshots.validity_intervals(log, line, log_store.KEY)
+    table = history.history_table(intervals, line, log_store.KEY)
+    return history.with_history_json(table).select(*_HISTORY_ROWS)
+
+
 def commits_without_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A run whose rows are all rejected is a commit: history goes on to it, the change is 0."""
     root = scratch_path(spark, "log")
@@ -721,6 +734,7 @@ QUERIES = {
         log_as_of,
         as_of_bases,
         history_increments,
+        history_bucketed,
         commits_without_rows,
         validity_intervals,
         retain_commits,
