@@ -246,7 +246,7 @@ def train(
         chosen = few if chosen is None else chosen.union(few)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in ts.each(batches):
             for block in ts.blocks(batch.column(text)):
                 features, many = passages(block)
                 starts = np.cumsum(many) - many
@@ -290,7 +290,7 @@ def score(docs: DataFrame, model: Model, text: str = "text", drop: tuple[str, ..
     kept = [f for f in docs.schema.fields if f.name not in ("score", *drop)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in ts.each(batches):
             result = np.zeros(batch.num_rows)
             for block in ts.blocks(batch.column(text)):
                 features, many = passages(block)

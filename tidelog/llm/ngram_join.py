@@ -160,7 +160,7 @@ def _profile(n: int):
     """Size, name and sketch of every text's set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in ts.each(batches):
             for block in ts.blocks(batch.column("text")):
                 grams, bounds = ngram_sets(block, n)
                 sketch = sketches(grams, bounds)
@@ -178,7 +178,7 @@ def _show(shape: Shape, n: int):
     """What every text's set shows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in ts.each(batches):
             for block in ts.blocks(batch.column("text")):
                 grams, bounds = ngram_sets(block, n)
                 shown = [signatures(grams[a:b], shape) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
@@ -216,7 +216,7 @@ def _vertical(n: int, parts: int):
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in ts.each(batches):
             expected = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("n", "k1", "k2")]
             for block in ts.blocks(batch.column("text")):
                 grams, bounds = ngram_sets(block, n)

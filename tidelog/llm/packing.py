@@ -149,7 +149,7 @@ def cut_documents(
     kind = docs.schema[id_col].dataType
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in ts.each(batches):
             ids, counts = word_tokenizer(path).encode(batch.column(text))
             sizes = counts + 1
             ends = np.cumsum(sizes)

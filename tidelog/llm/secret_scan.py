@@ -24,6 +24,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidelog.llm import textscan as ts
+
 KINDS = ("assign", "access", "hex")
 _ASSIGN = re.compile(
     r"""(?ai:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -443,7 +445,7 @@ def find_secrets(df: DataFrame, text: str = "text", limit: int = 64 << 20) -> Da
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in ts.each(batches):
             rows = [scan(value.as_py() or "", limit) for value in batch.column(text)]
             spans = [
                 [{"kind": k, "start": lo, "end": hi, "via": via} for lo, hi, k, via in found]

@@ -1,5 +1,6 @@
 """Texts as flat code point arrays, cut into tokens and hashed without a loop over tokens."""
 
+import ctypes
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cache
@@ -13,6 +14,17 @@ from tokenizers.normalizers import Lowercase
 OTHER, LETTER, NUMBER, SPACE = 0, 1, 2, 3
 
 
+def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches, giving what the one before took back to the system: workers live on between stages."""
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    for batch in batches:
+        yield batch
+        del batch
+        pa.default_memory_pool().release_unused()
+        if trim is not None:
+            trim(0)
+
+
 @dataclass
 class Block:
     """Some rows of a batch: code points one after another, row i at bounds[i] to bounds[i+1]."""
