@@ -235,3 +235,25 @@ def test_report(shown, spark, tmp_path):
     assert (summary["location"], summary["data_source"]) == ("here", "Unknown")
     lines = [json.loads(t["value"]) for t in spark.read.text(f"{path}/rows").collect()]
     assert len(lines) == 3 and all(set(r) == set(shown.columns) for r in lines)
+
+
+def test_rows_of_one_position_meet_a_circle_as_blocks_on_several_tasks(spark, monkeypatch):
+    monkeypatch.setattr(explore, "BLOCK", 16)
+    rows = spark.range(600).select(
+        F.col("id").alias("place"),
+        F.lit("n").alias("name"),
+        (F.lit(25.0) + F.col("id") % 3 / 1000).alias("latitude"),
+        F.lit(121.0).alias("longitude"),
+    )
+    centres = spark.range(40).select(
+        F.col("id").alias("centre"), F.lit(25.0).alias("centre_lat"), F.lit(121.0).alias("centre_lng"), F.lit(150.0).alias("radius_m")
+    )
+    found = explore.nearby_many(rows, centres, columns=["place"], digits=1)
+    assert found.columns == ["place", "centre", "centre_lat", "centre_lng", "radius_m", "distance_m"]
+    got = [(r.place, r.centre, r.distance_m) for r in found.collect()]
+    assert len(got) == len(set(got)) == 400 * 40
+    assert {(p % 3, d) for p, _, d in got} == {(0, 0.0), (1, 111.2)}
+    # One distance for many pairs: the pairs are made above the join.  And not in a single task.
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("explode(__rows") < plan.index("Join") and "collect_list" in plan
+    assert found.select(F.spark_partition_id()).distinct().count() > 1

@@ -2,11 +2,14 @@
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidelog.functions import geo
 
+#: Rows of one position in a block of `nearby_many`.
+BLOCK = 1024
+
 
 def explore_filter(
     rows: DataFrame,
@@ -137,6 +140,22 @@ def nearby(
     return boxed.withColumn("distance_m", distance).filter(F.col("distance_m") <= radius_m)
 
 
+def _blocks(rows: DataFrame, by: Sequence[str], kept: Sequence[str], salts: int, name: str) -> DataFrame:
+    """`by`, `__salt` and the list `name`: rows that agree on `by`, at most `BLOCK` of them, as structs of `kept`.
+
+    A position with a third of all rows is dealt out over `salts` tasks.
+    """
+    # By contents, so that a repeated task deals and numbers alike; maps have no hash.
+    contents = [f.name for f in rows.schema if "map<" not in f.dataType.simpleString()]
+    dealt = rows.withColumn("__hash", F.xxhash64(*contents)).withColumn(
+        "__salt", F.pmod("__hash", F.lit(salts)).cast("int")
+    )
+    numbered = F.row_number().over(Window.partitionBy(*by, "__salt").orderBy("__hash"))
+    blocked = dealt.withColumn("__block", F.floor((numbered - 1) / BLOCK))
+    listed = F.collect_list(F.struct(*kept)).alias(name)
+    return blocked.groupBy(*by, "__salt", "__block").agg(listed).drop("__block")
+
+
 def nearby_many(
     rows: DataFrame,
     centres: DataFrame,
@@ -145,19 +164,28 @@ def nearby_many(
     latitude: str = "latitude",
     longitude: str = "longitude",
     salts: int = 8,
+    columns: Sequence[str] | None = None,
+    digits: int | None = None,
 ) -> DataFrame:
     """Rows within the radius of each of many centres: `rows`, the centre's other columns, `distance_m`.
 
     `centres`: centre_lat, centre_lng, radius_m and any more.  Circles are covered by cells of a grid
     whose size follows their radius (powers of two), rows fall into one cell per size, and both meet
-    by an equi-join; the exact distance decides.  The rows of a cell are dealt out over `salts` keys: a
-    cell with a third of all rows is no hot partition.  Rows and centres without a position or radius
-    meet nothing; each pair comes once.
+    by an equi-join; the exact distance decides.  Rows of one position, and centres of one circle, meet
+    as blocks: their distance is worked out (and rounded to `digits`) once, and the pairs are made
+    after that.  The blocks of a cell are dealt out over `salts` keys: a cell with a third of all rows is
+    no hot partition.  Rows and centres without a position or radius meet nothing; each pair comes
+    once.  `columns`: those of `rows` to return, by default all.
     """
+    spark, kept = rows.sparkSession, rows.columns if columns is None else list(columns)
+    circle = ["centre_lat", "centre_lng", "radius_m"]
     level = F.greatest(F.ceil(F.log2(F.greatest("radius_m", F.lit(1.0)))), F.lit(0)).cast("int")
     north, east = geo.reach_of(F.col("centre_lat"), F.col("radius_m"))
     placed = centres.filter("centre_lat IS NOT NULL AND centre_lng IS NOT NULL AND radius_m >= 0")
-    sized = placed.withColumns({"__level": level, "__north": north, "__east": east})
+    # One row per size of circle there is: at most 25, from a metre to the whole earth.
+    levels = sorted(r["__level"] for r in placed.select(level.alias("__level")).distinct().collect())
+    circles = _blocks(placed, circle, centres.columns, salts, "__centres").drop("__salt")
+    sized = circles.withColumns({"__level": level, "__north": north, "__east": east})
     here = F.col("__level")
     bands = sized.withColumn(
         "__band",
@@ -177,23 +205,32 @@ def nearby_many(
             "__salt": F.explode(F.sequence(F.lit(0), F.lit(salts - 1))),
         }
     )
-    # One row per size of circle there is: at most 25, from a metre to the whole earth.
-    levels = sorted(r["__level"] for r in sized.select("__level").distinct().collect())
     lat, lng = F.col(latitude), F.col(longitude)
     located = with_keywords(rows.filter(lat.isNotNull() & lng.isNotNull()), keywords, text)
+    needed = list(dict.fromkeys([*kept, latitude, longitude]))
+    at = located.select(*needed, lat.alias("__lat"), lng.alias("__lng"))
+    spots = _blocks(at, ["__lat", "__lng"], kept, salts, "__rows")
+    lat, lng = F.col("__lat"), F.col("__lng")
     each = F.explode(F.array(*[F.lit(n) for n in levels]).cast("array<int>"))
-    in_cells = located.withColumn("__level", each).withColumn("__band", geo.band_of(lat, here))
+    in_cells = spots.withColumn("__level", each).withColumn("__band", geo.band_of(lat, here))
     around = geo.cells_around(F.col("__band"), here)
-    in_cells = in_cells.withColumns(
-        {
-            "__cell": F.pmod(geo.cell_of(lng, around), around),
-            "__salt": F.pmod(F.xxhash64(lat, lng, *text), F.lit(salts)).cast("int"),
-        }
-    )
+    in_cells = in_cells.withColumn("__cell", F.pmod(geo.cell_of(lng, around), around))
     distance = geo.haversine(lat, lng, F.col("centre_lat"), F.col("centre_lng"))
-    return (
-        in_cells.join(covered, ["__level", "__band", "__cell", "__salt"])
+    # A given number of tasks: by their few bytes the blocks would be put in one, which makes all pairs.
+    key, tasks = ["__level", "__band", "__cell", "__salt"], int(spark.conf.get("spark.sql.shuffle.partitions"))
+    met = (
+        in_cells.repartition(tasks, *key)
+        .join(covered.repartition(tasks, *key), key)
         .withColumn("distance_m", distance)
         .filter(F.col("distance_m") <= F.col("radius_m"))
-        .select(*rows.columns, *centres.columns, "distance_m")
+    )
+    if digits is not None:
+        met = met.withColumn("distance_m", F.round("distance_m", digits))
+    pairs = met.select("__rows", "distance_m", F.explode("__centres").alias("__centre")).select(
+        F.explode("__rows").alias("__row"), "__centre", "distance_m"
+    )
+    return pairs.select(
+        *[F.col("__row")[c].alias(c) for c in kept],
+        *[F.col("__centre")[c].alias(c) for c in centres.columns],
+        "distance_m",
     )

@@ -581,8 +581,10 @@ def nearby_centres(spark: SparkSession, sf_dir: str) -> DataFrame:
         fx.supplier_centres(spark, sf_dir),
         keywords="Building machinery",
         text=["name", "category"],
+        columns=["place_id"],
+        digits=3,
     )
-    return found.select("centre_id", "place_id", F.round("distance_m", 3).alias("distance_m"))
+    return found.select("centre_id", "place_id", "distance_m")
 
 
 def search_indexed(spark: SparkSession, sf_dir: str) -> DataFrame:
