@@ -257,3 +257,19 @@ def test_rows_of_one_position_meet_a_circle_as_blocks_on_several_tasks(spark, mo
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert plan.index("explode(__rows") < plan.index("Join") and "collect_list" in plan
     assert found.select(F.spark_partition_id()).distinct().count() > 1
+
+
+def test_the_index_holds_no_state_per_piece_of_a_task(spark, tmp_path):
+    rows = spark.range(3000).selectExpr("id AS entity_id", "concat('Name#', lpad(id, 6, '0')) AS name", "1.0D AS current_metric")
+    path = str(tmp_path / "postings")
+    search.write_postings(rows.union(rows).union(rows.withColumn("name", F.lit("other"))), path)
+    store = spark._jsparkSession.sharedState().statusStore().executionsList()
+    written = [store.apply(i).physicalPlanDescription() for i in range(store.size())]
+    own = next(p for p in reversed(written) if path in p and "InsertIntoHadoopFs" in p)
+    assert "Aggregate" not in own
+    # An entity that comes three times, with two names, counts each piece once.
+    for needle in ("e#00012", "other", "e#000120", "none of it"):
+        want = ids(explore.explore_filter(rows, needle).orderBy("entity_id"))
+        assert ids(search.search(spark, rows, path, needle).orderBy("entity_id")) == want
+    plan = search.search(spark, rows, path, "e#00012")._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("partial_max") < plan.index("REPARTITION_BY_COL")

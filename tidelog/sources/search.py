@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 from tidelog.operators.explore import explore_filter
 
 BUCKETS = 64
+#: Tasks that a piece of all names is dealt out over when it is written.
+SALTS = 32
 
 
 def _pieces(text: Column) -> Column:
@@ -31,12 +33,18 @@ def _bucket(piece: Column, buckets: int) -> Column:
 def write_postings(
     rows: DataFrame, path: str, key: Sequence[str] = ("entity_id",), name: str = "name", buckets: int = BUCKETS
 ) -> None:
-    """Write the index of `rows`; a piece of a third of all names is that many short rows, no list."""
+    """Write the index of `rows`; a piece of a third of all names is that many short rows, no list.
+
+    A row has each of its pieces once.  Pieces of rows that share a key are not put together: that
+    would hold all pieces of a task's input at once; searches do not count what comes twice.
+    """
     (
         rows.select(*key, F.explode(_pieces(F.col(name))).alias("piece"))
-        .distinct()
-        .withColumn("bucket", _bucket(F.col("piece"), buckets))
-        .hint("rebalance", "bucket")
+        .withColumns(
+            {"bucket": _bucket(F.col("piece"), buckets), "__salt": F.pmod(F.xxhash64(*key), F.lit(SALTS))}
+        )
+        .hint("rebalance", "bucket", "__salt")
+        .drop("__salt")
         .sortWithinPartitions("bucket", "piece")
         .write.mode("overwrite")
         .partitionBy("bucket")
@@ -63,7 +71,10 @@ def search(
         return explore_filter(rows, needle, threshold, name, metric)
     pieces, opened = [r["own"]["piece"] for r in parts], {r["own"]["bucket"] for r in parts}
     postings = spark.read.parquet(path).filter(F.col("bucket").isin(sorted(opened)) & F.col("piece").isin(pieces))
-    # Each key has a piece once: those that have all are few, and counted on the map side first.
-    have_all = postings.groupBy(*key).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") == len(pieces))
+    # One flag per piece and key.  By key first: on the map side a task would hold a state for nearly
+    # each posting it reads, as the postings of one piece have no key twice.
+    flags = [F.max(F.col("piece") == p).alias(f"__has{n}") for n, p in enumerate(pieces)]
+    by_key = postings.repartition(*key).groupBy(*key).agg(*flags)
+    have_all = by_key.filter(" AND ".join(f"__has{n}" for n in range(len(pieces))))
     found = rows.join(have_all.select(*key), list(key), "left_semi").select(rows.columns)
     return explore_filter(found, needle, threshold, name, metric)
