@@ -206,3 +206,17 @@ def test_building_history_exchanges_of_the_log(spark, tmp_path):
         assert len([b for b in by if "commit" in b]) == 2 and len([b for b in by if "__chunk" in b]) == 2, by
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
+def test_entities_are_grouped_once_from_narrow_rows(spark, tmp_path):
+    """One grouping by entity, of commits cut out before it and with no identity but in one row a version."""
+    log = stored(spark, str(tmp_path / "log"))
+    line = load_timeline(log, chunk=7)
+    table = history.history_table(snapshots.validity_intervals(log, line), line)
+    listed = [row for row in plan(table).split("\n") if "Aggregate(keys=[entity_id" in row]
+    assert listed and not any("__chunk" in row or "slice(" in row for row in listed), listed
+    assert "slice(" in plan(table)
+    # The timeline is known where it is used: no exchange by its chunks is left for the log.
+    settled = line.settled()
+    table = history.history_table(snapshots.validity_intervals(log, settled), settled)
+    assert len(re.findall(r"[^t]Exchange hashpartitioning\(__chunk", plan(table))) == 1

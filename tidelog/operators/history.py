@@ -12,41 +12,33 @@ from tidelog.operators.timeline import Timeline, as_number
 IDENTITY = ("name", "latitude", "longitude", "url")
 
 
-def _versions(metric: str) -> Column:
-    """The present versions of a group; at most one per commit."""
-    version = F.struct("ordinal", "next_ordinal", F.col(metric).alias("metric"))
-    return F.collect_list(F.when(F.col(metric).isNotNull(), version)).alias("__versions")
-
-
-def _by_chunk(
-    intervals: DataFrame, timeline: Timeline, entity: Sequence[str], metric: str, *more: Column
+def _parts(
+    intervals: DataFrame, timeline: Timeline, entity: Sequence[str], metric: str, *more: str
 ) -> DataFrame:
-    """One row per entity and chunk of the timeline that shows it: `__pairs` and `more`.
+    """One row per version and chunk of the timeline that shows it: `__commits`, as numbers, and the metric.
 
-    `__pairs` has the chunk's number, commits and metrics: each version is repeated inside the
-    cell, so that no row is made per entity and commit.  Intervals come hash-partitioned by
-    entity, so grouping adds no shuffle to theirs.
+    No row is made per entity and commit, and what entities are grouped from is narrow: beside the
+    commits it has the columns `more` in the version's first row alone.
     """
-    shown = intervals.select("*", chunks_shown(timeline, F.col(metric).isNotNull()))
-    grouped = shown.groupBy(*entity, "__chunk").agg(_versions(metric), *more)
-    named = grouped.join(timeline.chunks(), [*timeline.location, "__chunk"])
-    ordered = F.sort_array("__versions")
-
-    def part(v: Column) -> tuple[Column, Column]:
-        return slice_of_chunk(timeline, v["ordinal"], v["next_ordinal"])
-
-    commits = F.flatten(F.transform(ordered, lambda v: F.slice("__names", *part(v))))
-    metrics = F.flatten(F.transform(ordered, lambda v: F.array_repeat(v["metric"], part(v)[1])))
-    pairs = F.struct("__chunk", commits.alias("commits"), metrics.alias("metrics"))
-    return named.withColumn("__pairs", pairs).drop("__versions", "__names")
+    keys, own = dict.fromkeys([*timeline.location, *entity]), F.col("__chunk") == timeline.chunk_of(F.col("ordinal"))
+    shown = intervals.select(
+        *keys, "ordinal", "next_ordinal", metric, *more, chunks_shown(timeline, F.col(metric).isNotNull())
+    )
+    named = shown.withColumns({c: F.when(own, F.col(c)) for c in more}).join(
+        timeline.chunks(numbers=True), [*timeline.location, "__chunk"]
+    )
+    part = F.slice("__names", *slice_of_chunk(timeline, F.col("ordinal"), F.col("next_ordinal")))
+    commits = F.when(F.col(metric).isNotNull(), part)
+    return named.select(*entity, F.col(metric).alias("__metric"), *more, commits.alias("__commits"))
 
 
 def _as_map() -> Column:
-    """The chunks of an entity as one map, in commit order."""
-    ordered = F.sort_array(F.collect_list("__pairs"))
-    return F.map_from_arrays(
-        F.flatten(ordered["commits"]), F.flatten(ordered["metrics"])
-    ).cast(HISTORY_TYPE)
+    """The parts of an entity as one map, in commit order; a version's metric is repeated inside the cell."""
+    # Asked twice for the commits, Spark cuts them out before it groups: whole chunks stay behind.
+    listed = F.collect_list(F.when(F.col("__commits").isNotNull(), F.struct("__commits", "__metric")))
+    ordered = F.sort_array(listed)
+    metrics = F.transform(ordered, lambda p: F.array_repeat(p["__metric"], F.size(p["__commits"])))
+    return F.map_from_arrays(F.flatten(ordered["__commits"]), F.flatten(metrics)).cast(HISTORY_TYPE)
 
 
 def history_map(
@@ -57,8 +49,7 @@ def history_map(
 ) -> DataFrame:
     """`history`: commit -> metric for each entity that ever had one, nulls left out."""
     present = intervals.filter(F.col(metric).isNotNull())
-    chunked = _by_chunk(present, timeline, entity, metric)
-    return chunked.groupBy(*entity).agg(_as_map().alias("history"))
+    return _parts(present, timeline, entity, metric).groupBy(*entity).agg(_as_map().alias("history"))
 
 
 def metric_change(
@@ -94,24 +85,25 @@ def history_table(
     Intervals come hash-partitioned by entity, so this adds no shuffle to theirs.  An
     entity whose metric was always null keeps a row with an empty map.
     """
-    current = F.col("next_ordinal") > F.col("n_commits")
-    earlier = F.when(F.col("ordinal") < F.col("n_commits"), F.col("ordinal"))
-    chunked = _by_chunk(
-        intervals,
-        timeline,
-        entity,
-        metric,
-        F.first(F.when(current, F.struct(*identity)), ignorenulls=True).alias("__identity"),
-        F.max("ordinal").alias("__last"),
-        F.max_by(metric, "ordinal").alias("__last_metric"),
-        F.max(earlier).alias("__earlier"),
-        F.max_by(metric, earlier).alias("__earlier_metric"),
+    ordinal, end = F.col("ordinal"), F.col("n_commits")
+    current = F.col("next_ordinal") > end
+    # The versions in force at the last commit and at the one before; both are the same, as a rule.
+    tail = F.struct(
+        F.when(current, F.struct(*identity)).alias("identity"),
+        F.when(current, F.col(metric)).alias("last"),
+        F.when((ordinal < end) & (F.col("next_ordinal") >= end), F.col(metric)).alias("earlier"),
     )
-    change = F.max_by("__last_metric", "__last") - F.max_by("__earlier_metric", "__earlier")
-    grouped = chunked.groupBy(*entity).agg(
-        F.first("__identity", ignorenulls=True).alias("__identity"),
-        _as_map().alias("history"),
-        F.coalesce(change, F.lit(0.0)).alias("metric_change"),
+    tailed = intervals.withColumn("__tail", F.when(F.col("next_ordinal") >= end, tail))
+    grouped = (
+        _parts(tailed, timeline, entity, metric, "__tail")
+        .groupBy(*entity)
+        .agg(
+            F.first("__tail.identity", ignorenulls=True).alias("__identity"),
+            F.max("__tail.last").alias("__last"),
+            F.max("__tail.earlier").alias("__earlier"),
+            _as_map().alias("history"),
+        )
+        .withColumn("metric_change", F.coalesce(F.col("__last") - F.col("__earlier"), F.lit(0.0)))
     )
     fields = [F.col(f"__identity.{c}").alias(c) for c in identity]
     return grouped.select(*entity, *fields, "history", "metric_change")

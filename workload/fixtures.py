@@ -60,7 +60,7 @@ def daily_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def daily_log_and_timeline(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Timeline]:
     seen = short_observations(spark, sf_dir)
-    return upsert_merge(seen), load_timeline(seen)
+    return upsert_merge(seen), load_timeline(seen).settled()
 
 
 def daily_intervals(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Timeline]:
@@ -71,7 +71,7 @@ def daily_intervals(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Timeli
 def full_intervals(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Timeline]:
     """As `daily_intervals`, with the identity columns."""
     seen = observations(spark, sf_dir).drop("location_key")
-    timeline = load_timeline(seen)
+    timeline = load_timeline(seen).settled()
     return validity_intervals(upsert_merge(seen), timeline), timeline
 
 
@@ -82,7 +82,7 @@ def located_intervals(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Time
     """One location per event type, one commit per hour: locations differ in their commits,
     and at location `error` no metric is ever present."""
     seen = observations(spark, sf_dir, "hour")
-    timeline = load_timeline(seen, ["location_key"])
+    timeline = load_timeline(seen, ["location_key"]).settled()
     return validity_intervals(upsert_merge(seen, LOCATED), timeline, LOCATED), timeline
 
 

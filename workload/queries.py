@@ -289,7 +289,7 @@ def history_map(spark: SparkSession, sf_dir: str) -> DataFrame:
 def history_table_chunked(spark: SparkSession, sf_dir: str) -> DataFrame:
     """As `history_table_located`, with a timeline cut into chunks of seven commits."""
     seen = fx.observations(spark, sf_dir, "hour")
-    line = timeline.load_timeline(seen, ["location_key"], chunk=7)
+    line = timeline.load_timeline(seen, ["location_key"], chunk=7).settled()
     log = snapshots.upsert_merge(seen, fx.LOCATED)
     intervals = snapshots.validity_intervals(log, line, fx.LOCATED)
     return history.with_history_json(history.history_table(intervals, line, fx.LOCATED))
@@ -301,7 +301,7 @@ def metric_change(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def metric_change_located(spark: SparkSession, sf_dir: str) -> DataFrame:
     seen = fx.observations(spark, sf_dir, "hour")
-    line = timeline.load_timeline(seen, ["location_key"])
+    line = timeline.load_timeline(seen, ["location_key"]).settled()
     merged = snapshots.upsert_merge(seen, fx.LOCATED)
     return history.metric_change(merged, line, fx.LOCATED)
 
