@@ -451,3 +451,14 @@ def test_locations_have_names(spark, tmp_path):
     rows = spark.createDataFrame([("25.0_121.5", 1), ("1.0_2.0", 2), ("9.0_9.0", 3), (None, 4)], "location_key string, n int")
     got = {r.n: r.location_name for r in locations.with_location_names(rows, known).collect()}
     assert got == {1: "Old Town", 2: "1.0_2.0", 3: "9.0_9.0", 4: None}
+
+
+def test_rewriting_meets_the_timeline_without_moving_records_by_location(spark, tmp_path):
+    root, target = str(tmp_path / "root"), str(tmp_path / "target")
+    path = land(tmp_path / "raw", "1.json", document([place(*SHOP1, 4.0)], "r1", day(1)))
+    jobs.ingest_documents(spark, path, root, "b1")
+    log_store.rewrite_log(spark, root, target, "base", keep=1)
+    store = spark._jsparkSession.sharedState().statusStore().executionsList()
+    plans = [store.apply(i).physicalPlanDescription() for i in range(store.size())]
+    own = next(p for p in plans if f"{target}/log" in p and "InsertIntoHadoopFs" in p)
+    assert "BroadcastHashJoin LeftOuter" in own and "SortMergeJoin LeftOuter" not in own

@@ -83,7 +83,8 @@ def rewrite_log(
     """
     records, runs = read_log(spark, root), read_commits(spark, root)
     if keep is not None:
-        timeline = load_timeline(runs, ["location_key"])
+        # Written out, so that its size is known: else all records of a location meet it in one task.
+        timeline = load_timeline(runs, ["location_key"]).settled()
         records = retain_commits(records, timeline, keep, KEY)
         runs = timeline.rows.filter(F.col("ordinal") > F.col("n_commits") - keep)
     kept = _write(records, target, batch, layout)
