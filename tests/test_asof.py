@@ -69,3 +69,13 @@ def test_there_is_no_range_join_and_a_hot_entity_is_dealt_out(spark):
     # Only the one row per stretch goes by entity alone.
     walks = re.findall(r"Exchange hashpartitioning\((.*?), \d+\)", plan)
     assert any("__stretch" in w for w in walks)
+
+
+def test_a_request_carries_its_entity_and_instant_once(spark):
+    log = spark.createDataFrame([("a", day(1), 1.0, "n")], VERSIONS)
+    asked = spark.createDataFrame([("a", day(2), 1)], REQUESTS)
+    joined = as_of_join(asked, log, "at", ["metric"])
+    plan = joined._jdf.queryExecution().analyzed().toString()
+    carried = [line for line in plan.split("\n") if "AS __request" in line and "number" in line]
+    assert carried and not any("at, at#" in line or "entity_id, entity_id#" in line for line in carried)
+    assert joined.collect() == [("a", day(2), 1, 1.0)]

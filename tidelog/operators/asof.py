@@ -9,7 +9,7 @@ stretch is enough to know it.
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidelog.operators.snapshots import ENTITY
@@ -40,7 +40,10 @@ def as_of_join(
     known = versions.filter(F.col(commit).isNotNull()).select(
         *key, F.col(commit).alias("__at"), payload.alias("__version")
     )
-    asked = requests.select(*key, F.col(at).alias("__at"), F.struct("*").alias("__request"))
+    # The entity and the instant travel once, as keys of the walk.
+    rest = [c for c in requests.columns if c not in (*key, at)]
+    carried_on = F.struct(F.lit(True).alias("__asked"), *rest).alias("__request")
+    asked = requests.select(*key, F.col(at).alias("__at"), carried_on)
     part = F.substring("__at", 1, stretch)
     known, asked = (df.withColumn("__stretch", part) for df in (known, asked))
     none_asked = F.lit(None).cast(asked.schema["__request"].dataType)
@@ -72,4 +75,10 @@ def as_of_join(
     )
     usable = F.col("__at").isNotNull()
     found = [F.when(usable, F.col(f"__version.{c}")).alias(c) for c in columns]
-    return placed.filter("__rank = 2").select("__request.*", *found)
+    kinds = {f.name: f.dataType for f in requests.schema}
+
+    def own(c: str) -> Column:
+        held = F.col("__request")[c] if c in rest else F.col(c if c in key else "__at")
+        return held.cast(kinds[c]).alias(c)
+
+    return placed.filter("__rank = 2").select(*[own(c) for c in requests.columns], *found)
