@@ -145,6 +145,61 @@ def test_search_by_hand(spark):
         assert r.score == pytest.approx(cosine(vectors[r.query_id], vectors[r.vec_id]), abs=1e-12)
 
 
+def test_search_in_rows_and_lanes(spark, monkeypatch):
+    """Several rows and lanes of tasks: vectors meet each query once and never travel in pairs with them."""
+    monkeypatch.setattr(onebit_ann, "_HELD", 64)
+    rng = np.random.default_rng(6)
+    rows = [(i, [float(x) for x in np.float32(rng.standard_normal(16))], 0) for i in range(400)] + odd_rows(16)
+    df = spark.createDataFrame(rows, SCHEMA)
+    found = onebit_ann.top_k(df, df.where("vec_id % 20 = 0"), 5, block_rows=16, query_rows=4)
+    assert "Join" not in found._jdf.queryExecution().toString()
+    want = neighbours_by_hand(rows, [r for r in rows if r[0] % 20 == 0], 5)
+    assert {tuple(r)[:3] for r in found.collect()} == want
+
+
+def test_search_of_copies_takes_the_smallest_ids(spark):
+    rng = np.random.default_rng(8)
+    one, other = ([float(x) for x in np.float32(rng.standard_normal(300))] for _ in range(2))
+    rows = [(int(i), one if i % 3 else other, 0) for i in rng.permutation(500)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    got = onebit_ann.top_k(df, df.where("vec_id % 10 = 0"), 4, block_rows=16).collect()
+    for q in range(0, 500, 10):
+        alike = [i for i in range(500) if i != q and (i % 3 == 0) == (q % 3 == 0)][:4]
+        assert sorted((r.rank, r.vec_id) for r in got if r.query_id == q) == list(enumerate(alike, 1))
+
+
+def blocks(vectors, turn, epsilon):
+    """Blocks of 128 vectors, as a task gets them ready."""
+    norms = np.linalg.norm(vectors, axis=1)
+    for lo in range(0, len(vectors), 128):
+        part = slice(lo, lo + 128)
+        units = onebit_ann.unit_rows(vectors[part])
+        ids = np.arange(lo, lo + len(units))
+        coded = onebit_ann.prepare(onebit_ann.encode(units, turn), units.shape[1], epsilon)
+        single = units.astype(np.float32)
+        yield {"ids": ids, "once": ids - lo, "data": vectors[part], "norm": norms[part], "single": single} | coded
+
+
+@pytest.mark.parametrize("spread, most", [(1.0, 0.02), (0.02, 0.05)])
+def test_search_reranks_what_the_best_of_all_blocks_leaves(spread, most):
+    """Of random vectors, and of families of 20, few are compared exactly once some blocks are met."""
+    rng = np.random.default_rng(9)
+    families = np.repeat(rng.standard_normal((200, 96)), 20, axis=0)
+    vectors = rng.permutation((families if spread < 1 else 0) + spread * rng.standard_normal((4000, 96)))
+    turn, k = onebit_ann.rotation(96, 7), 5
+    mine = vectors[:100]
+    asked = {"ids": np.arange(100), "data": mine, "norm": np.linalg.norm(mine, axis=1)}
+    asked |= {"found": np.zeros((100, k), np.int64), "score": np.full((100, k), -np.inf)}
+    asked |= onebit_ann.ask(onebit_ann.unit_rows(mine), turn)
+    adds = onebit_ann.tables(asked)
+    exact = sum(onebit_ann.search_block(b, asked, adds, k) for b in blocks(vectors, turn, 5.0))
+    units = onebit_ann.unit_rows(vectors)
+    near = units[:100] @ units.T
+    near[np.arange(100), np.arange(100)] = -1
+    assert (asked["found"] == np.argsort(-near, axis=1)[:, :k]).all()
+    assert exact <= most * near.size
+
+
 def test_search_ties_repeats_and_few_candidates(spark):
     rows = [(0, [1.0, 0.0], 0), (3, [1.0, 0.0], 0), (2, [1.0, 0.0], 0), (2, [0.0, 1.0], 0), (0, [1.0, 0.0], 0)]
     df = spark.createDataFrame(rows, SCHEMA)
@@ -193,3 +248,21 @@ def test_code_bounds_hold_and_tell(width):
     assert (off <= half).mean() > 0.99 and np.abs((estimate - units[:40] @ units.T).mean()) < 0.02
     if width > 3:
         assert half.mean() < 0.5
+
+
+@pytest.mark.parametrize("width", [1, 12, 64, 300])
+def test_fewest_counts_are_the_bounds_solved(width):
+    rng = np.random.default_rng(width)
+    units = onebit_ann.unit_rows(rng.standard_normal((200, width)))
+    turn = onebit_ann.rotation(width, 7)
+    codes = onebit_ann.encode(units, turn)
+    asked, coded = onebit_ann.ask(units[:50], turn), onebit_ann.prepare(codes, width, 3.0)
+    estimate, half = onebit_ann.bounds(codes, units[:50], turn, 3.0)
+    counts = onebit_ann._count(onebit_ann.tables(asked), coded["columns"])
+    signs = np.unpackbits(codes["bits"].view(np.uint8), axis=1)[:, :width].astype(np.int64)
+    assert (counts == signs @ asked["rounded"].T.astype(np.int64)).all()
+    for bar in (-0.5, 0.0, 0.3, 0.9):
+        got = (counts >= onebit_ann.fewest(coded, asked, np.full(50, bar))).T
+        # None is left out that reaches the bar, and few more are let in than that.
+        assert got[estimate + half >= bar].all()
+        assert not got[estimate + half < bar - 3 * onebit_ann._slack(width)].any()
